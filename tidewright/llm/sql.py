@@ -1,3 +1,113 @@
-"""SQL of the training-data operators that SQL can express."""
+"""SQL (DuckDB) of the training-data operators that SQL can express.
 
-ORACLE_SQL = {}
+Packing, tokenizers, the language model and stored media are tested against plain loops instead (``tests/llm``).
+"""
+
+from __future__ import annotations
+
+from tidewright.llm import licenses, quality
+
+OP1 = """
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    regexp_replace(coalesce(text, ''), '([<\\[])(\\\\*)(\\|im_start\\|>|\\|im_end\\|>|\\|endoftext\\|>|s>|/s>|INST\\]|/INST\\])', '\\1\\\\\\2\\3', 'g') AS body
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(role) + length(body) + length('<|im_start|>') + 1 + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+_WORD = "[^\\x20\\x09-\\x0D]+"
+
+
+def _fails(x: str) -> str:
+    """The line rules on a line."""
+    visible = f"length(regexp_replace({x}, '[\\x20\\x09-\\x0D]+', '', 'g'))"
+    plain = f"length(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}]+', '', 'g'))"
+    punctuation = f"(regexp_matches({x}, '([^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]+){{3}}[^\\x20\\x09-\\x0D]') AND NOT regexp_matches({x}, '{quality.MARKS}')) OR {plain} * 2 < {visible}"
+    navigation = f"len(regexp_extract_all({x}, '{quality.SEPARATORS}')) >= 3 OR regexp_matches(lower({x}), '^\\W*({'|'.join(quality.LABELS)})\\W*$')"
+    return f"({punctuation} OR {navigation} OR regexp_matches(lower({x}), '{'|'.join(quality.BOILERPLATE)}'))"
+
+
+OP7 = f"""
+WITH read AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS filled
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i+7], ' ') AS w FROM read, unnest(range(1, len(words) - 6)) AS u(i)
+), twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, unnest(range(8)) AS v(k) GROUP BY doc_id
+), figures AS (
+  SELECT read.doc_id, len(words)::BIGINT AS n_words,
+    length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    len(regexp_extract_all(t, '{quality.SYMBOLS}'))::BIGINT AS n_symbols,
+    (len(filled) - len(list_distinct(filled)))::BIGINT AS n_dup_lines,
+    coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(list_sum(list_transform(list_filter(filled, lambda x: {_fails('x')}), lambda x: length(regexp_replace(x, '[\\x20\\x09-\\x0D]+', '', 'g')))), 0)::BIGINT AS lost_chars
+  FROM read LEFT JOIN covered ON read.doc_id = covered.doc_id
+), judged AS (
+  SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED_PERCENT} * n_words AS base_failed FROM figures
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lost_chars,
+  NOT base_failed AND 100 * lost_chars <= {quality.MOST_LOST_PERCENT} * word_chars AS kept
+FROM judged
+"""
+
+
+def _license_sql() -> str:
+    texts = ", ".join(f"({t.place}, '{t.name}', [{', '.join(repr(b) for b in t.bigrams)}])" for t in licenses.templates())
+    return f"""
+WITH templates(place, name, pairs) AS (VALUES {texts}),
+units AS (
+  SELECT doc_id, 'whole' AS kind, 0 AS place, coalesce(text, '') AS t FROM documents
+  UNION ALL
+  SELECT doc_id, 'line', i, string_split(coalesce(text, ''), chr(10))[i] FROM documents, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS u(i)
+), cut AS (
+  SELECT doc_id, kind, place, list_filter(string_split_regex(regexp_replace(lower(t), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM units
+), paired AS (
+  SELECT doc_id, kind, place, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pairs FROM cut
+), scored AS (
+  SELECT doc_id, kind, paired.place, round(2.0 * len(list_intersect(paired.pairs, templates.pairs)) / (len(paired.pairs) + len(templates.pairs)), 6) AS dice, -templates.place AS rank, name
+  FROM paired, templates
+), best AS (
+  SELECT doc_id, kind, place, max(struct_pack(dice := dice, rank := rank, name := name)) AS m FROM scored WHERE dice >= {licenses.LEAST_DICE} GROUP BY ALL
+), lines AS (
+  SELECT doc_id, count(*) AS n, max(m) AS m FROM best WHERE kind = 'line' GROUP BY doc_id
+)
+SELECT documents.doc_id, whole.m.name AS whole_license, coalesce(lines.n, 0)::BIGINT AS n_license_lines, lines.m.name AS license, lines.m.dice AS dice
+FROM documents LEFT JOIN lines ON documents.doc_id = lines.doc_id
+LEFT JOIN (SELECT * FROM best WHERE kind = 'whole') AS whole ON documents.doc_id = whole.doc_id
+"""
+
+
+OP9 = """
+WITH RECURSIVE read AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i+4], ' ')) AS s FROM read, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS u(i)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes AS m ON m.doc_id = a.doc_id JOIN sizes AS n ON n.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 100 * count(*) >= 75 * (m.n + n.n - count(*))
+), reached(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached AS r JOIN links AS l ON r.b = l.a
+), least_of AS (
+  SELECT a AS doc_id, min(b) AS m FROM reached GROUP BY a
+)
+SELECT d.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, d.doc_id <= coalesce(m, d.doc_id) AS kept
+FROM documents AS d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least_of ON least_of.doc_id = d.doc_id
+"""
+
+ORACLE_SQL = {"op1_chat_format": OP1, "op7_quality": OP7, "op8_licenses": _license_sql(), "op9_near_dedup": OP9}
