@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 
@@ -14,17 +15,22 @@ class BoundedCache(dict):
         super().__init__(fixed or {})
         self.compute, self.limit, self.fixed = compute, limit, fixed or {}
 
-    def learn(self, keys) -> None:
-        missing = list({k for k in keys if k not in self})
+    def learn(self, keys: Iterable) -> None:
+        missing = list(set(keys) - self.keys())
         if not missing:
             return
         if len(self) + len(missing) > self.limit + len(self.fixed):
             self.clear()
             self.update(self.fixed)
-            missing = list(set(keys).difference(self))
+            missing = list(set(keys) - self.keys())
         self.update(zip(missing, self.compute(missing), strict=True))
 
 
+def without_collector() -> None:
+    """Ends the search for cycles in a worker whose caches hold millions of values; nothing there makes cycles."""
+    gc.disable()
+
+
 def split_batch(batch: pa.RecordBatch, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of at most ``most_bytes`` or one row, so that few very long texts do not fill a worker."""
     if batch.nbytes <= most_bytes or batch.num_rows < 2:

@@ -1,7 +1,7 @@
 """Token counts by a two-tier lookup on the map side.
 
-The driver broadcasts the lengths (in tokens) of frequent chunks of text, at most ``FREQUENT`` of them, found in a
-sample of at most ``SAMPLE_ROWS`` documents. A worker looks each chunk up there, then in its own bounded cache, and has
+The driver broadcasts the lengths (in tokens) of frequent pre-tokens, at most ``FREQUENT`` of them, found in a
+sample of at most ``SAMPLE_ROWS`` documents. A worker looks each pre-token up there, then in its own bounded cache, and has
 the tokenizers library encode the rest in bulk. Nothing is shuffled. The sample only decides what is found fast; every
 count is the library's. A text that holds the string of an added token is encoded whole, as the library cuts there first.
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
@@ -19,37 +20,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewright.llm.arrow_batches import BoundedCache, split_batch
-from tidewright.llm.chunks import chunks_of
+from tidewright.llm.arrow_batches import BoundedCache, split_batch, without_collector
+from tidewright.llm.chunks import chunks_of, encode_joined, plain_words
 
 FREQUENT = 32_768
 SAMPLE_ROWS = 2_000
 SAMPLE_CHARS = 20_000
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_000_000
 _COUNTERS: dict[tuple[str, int], ChunkCounter] = {}
 
 
 class ChunkCounter:
-    """Counts the tokens of a text with the lengths of chunks seen before."""
+    """Counts the tokens of texts with the lengths of pieces seen before: pre-tokens of plain texts, chunks of others."""
 
     def __init__(self, vocabulary: str, frequent: dict[str, int]):
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.lengths = BoundedCache(self.encode, CACHE_ENTRIES, frequent)
+        self.words = BoundedCache(self.word_lengths, CACHE_ENTRIES, frequent)
+        self.chunks = BoundedCache(self.encode, CACHE_ENTRIES)
 
     def encode(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def word_lengths(self, words: list[str]) -> list[int]:
+        """Between newlines, letters are one pre-token; what else there is takes few distinct forms."""
+        visible = [w for w in words if w[-1].isalpha()]
+        known = dict(zip(visible, map(len, encode_joined(self.tokenizer, visible, "\n", 2)), strict=True))
+        other = [w for w in words if w not in known]
+        known.update(zip(other, self.encode(other), strict=True))
+        return [known[w] for w in words]
+
     def count(self, texts: list[str]) -> list[int]:
-        counts = []
-        for text in texts:
-            if any(a in text for a in self.added):
-                counts += self.encode([text])
-                continue
-            chunks = chunks_of(text)
-            self.lengths.learn(chunks)
-            counts.append(sum(map(self.lengths.__getitem__, chunks)))
-        return counts
+        special = [any(a in t for a in self.added) for t in texts]
+        plain = [None if s else plain_words(t) for s, t in zip(special, texts, strict=True)]
+        chunks = [chunks_of(t) if w is None and not s else () for w, s, t in zip(plain, special, texts, strict=True)]
+        self.words.learn(set(chain.from_iterable(w for w in plain if w)))
+        self.chunks.learn(set(chain.from_iterable(chunks)))
+        words, runs = self.words.__getitem__, self.chunks.__getitem__
+        return [self.encode([t])[0] if s else sum(map(runs, c)) if w is None else sum(map(words, w)) for t, s, w, c in zip(texts, special, plain, chunks, strict=True)]
 
 
 def counter(vocabulary: str, frequent: Broadcast) -> ChunkCounter:
@@ -57,24 +65,25 @@ def counter(vocabulary: str, frequent: Broadcast) -> ChunkCounter:
     key = (vocabulary, frequent.value[0])
     if key not in _COUNTERS:
         _COUNTERS.clear()
+        without_collector()
         _COUNTERS[key] = ChunkCounter(vocabulary, frequent.value[1])
     return _COUNTERS[key]
 
 
 def frequent_lengths(docs: DataFrame, text: str, vocabulary: str) -> dict[str, int]:
-    """Lengths of the most frequent chunks of a bounded sample."""
+    """Lengths of the most frequent pre-tokens of the plain texts in a bounded sample."""
 
     def most_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                seen.update(chunks_of(t))
-        chunks = [c for c, n in seen.most_common(FREQUENT) if n > 1]
-        lengths = ChunkCounter(vocabulary, {}).encode(chunks)
-        yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.string()), pa.array(lengths, pa.int32())], ["chunk", "length"])
+                seen.update(plain_words(t) or ())
+        words = [w for w, n in seen.most_common(FREQUENT) if n > 1]
+        lengths = ChunkCounter(vocabulary, {}).word_lengths(words)
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(lengths, pa.int32())], ["word", "length"])
 
     sample = docs.where(F.col(text).isNotNull()).select(F.substring(text, 1, SAMPLE_CHARS).alias("t")).limit(SAMPLE_ROWS)
-    return {r.chunk: r.length for r in sample.coalesce(1).mapInArrow(most_common, "chunk string, length int").collect()}
+    return {r.word: r.length for r in sample.coalesce(1).mapInArrow(most_common, "word string, length int").collect()}
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text", limit: int = 512) -> DataFrame:
@@ -86,7 +95,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", te
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(vocabulary, shared)
         for whole in batches:
-            for batch in split_batch(whole):
+            for batch in split_batch(whole, 8 << 20):
                 n = own.count(batch.column(2).to_pylist())
                 over = pa.array([x > limit for x in n], pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), over], [id_column, "n_bytes", "n_tokens", "over_limit"])
