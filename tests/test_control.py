@@ -80,7 +80,19 @@ def test_time_limit(spark):
 
 
 def test_groups_have_the_size(spark):
-    frame = spark.range(50).select(F.col("id").cast("string").alias("unit_id"))
-    for buckets in (1, 4):
-        sizes = [r["count"] for r in control.grouped(frame, 4, buckets).groupBy("group_id").count().collect()]
+    frame = spark.range(50).select(F.sha2(F.col("id").cast("string"), 256).alias("unit_id"))
+    for digits in (0, 1):
+        sizes = [r["count"] for r in control.grouped(frame, 4, digits).groupBy("group_id").count().collect()]
         assert sum(sizes) == 50 and max(sizes) == 4
+
+
+@pytest.mark.parametrize("units,want", [(0, 0), (4096, 0), (4097, 1), (10**6, 2), (10**12, 7)])
+def test_bucket_digits(units, want):
+    assert control.bucket_digits(units) == want
+
+
+def test_rolling_tokens_over_stretches(spark):
+    rows = [(k % 3, 590 + 7 * k // 3, k) for k in range(200)]
+    frame = spark.createDataFrame(rows, "lane int, sec long, tokens long")
+    got = sorted(tuple(r) for r in control.rolling_tokens(frame).select("lane", "sec", "tokens", "window_tokens").collect())
+    assert got == sorted((a, s, n, sum(m for b, t, m in rows if a == b and s - 59 <= t <= s)) for a, s, n in rows)

@@ -93,7 +93,7 @@ def whole(spark, tmp_path_factory):
 
 
 def test_a_stopped_run_resumes_to_the_same_end(spark, whole, tmp_path):
-    folder, step = tables.Folder(spark, f"file://{tmp_path}"), stub.stub_step(Runtime(pace=Pace(initial_group_size=3, max_group_size=5), group_buckets=3))
+    folder, step = tables.Folder(spark, f"file://{tmp_path}"), stub.stub_step(Runtime(pace=Pace(initial_group_size=3, max_group_size=5)))
     first = run_step(names(spark), step, folder, "20260101_000000", clock(), most_waves=1)
     assert first.where("label IS NOT NULL").count() < 40
     got = run_step(names(spark), step, folder, "20260101_000001")

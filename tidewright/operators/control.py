@@ -101,13 +101,21 @@ def next_load(load: Load, pace: Pace, wave: Wave) -> Load:
     return replace(load, budget=budget, concurrency=concurrency, ema=ema, good_streak=load.good_streak + 1 if good else 0, bad_streak=0 if good else load.bad_streak + 1, since_change=0 if step else waited)
 
 
-def grouped(units: DataFrame, size: int, buckets: int = 1) -> DataFrame:
-    """units with ``group_id`` and ``group_place``: within each of ``buckets`` hash buckets, ``size`` units a group in the order of
-    their ids. More buckets number groups in parallel."""
-    bucket = F.pmod(F.xxhash64("unit_id"), F.lit(buckets)) if buckets > 1 else F.lit(0).cast("long")
+def bucket_digits(units: int, most: int = 4096) -> int:
+    """Digits of the id that part this many units into buckets of ``most`` or so."""
+    digits = 0
+    while units > most * 16**digits:
+        digits += 1
+    return digits
+
+
+def grouped(units: DataFrame, size: int, digits: int = 0) -> DataFrame:
+    """units with ``group_id`` and ``group_place``: ``size`` units a group in the order of their ids, numbered within buckets of
+    ids with the same first ``digits`` (ids are hexadecimal hashes), so that many tasks number groups."""
+    bucket = F.substring("unit_id", 1, digits) if digits else F.lit("")
     placed = units.withColumn("__bucket", bucket)
     k = F.row_number().over(Window.partitionBy("__bucket").orderBy("unit_id")) - 1
-    named = placed.withColumn("__k", k).withColumns({"group_id": F.concat_ws("-", F.col("__bucket").cast("string"), F.floor(F.col("__k") / size).cast("string")), "group_place": F.pmod("__k", F.lit(size))})
+    named = placed.withColumn("__k", k).withColumns({"group_id": F.concat_ws("-", F.col("__bucket"), F.floor(F.col("__k") / size).cast("string")), "group_place": F.pmod("__k", F.lit(size))})
     return named.drop("__bucket", "__k")
 
 
@@ -118,9 +126,15 @@ def estimated_tokens(prompt: Column, n_units: Column, chars_per_token: float = 4
 
 
 def rolling_tokens(sent: DataFrame, lane: str = "lane", second: str = "sec", tokens: str = "tokens") -> DataFrame:
-    """sent with the tokens of the lane's last 60 seconds, itself included."""
-    window = Window.partitionBy(lane).orderBy(second).rangeBetween(-(TOKEN_WINDOW_SECONDS - 1), 0)
-    return sent.withColumn("window_tokens", F.sum(tokens).over(window))
+    """sent with the tokens of the lane's last 60 seconds, itself included. A window's partition is a stretch of ten minutes of a
+    lane, led by sums of the seconds before it, so that a busy lane is shared by many tasks."""
+    stretch = F.floor(F.col(second) / (10 * TOKEN_WINDOW_SECONDS))
+    own = sent.withColumns({"__stretch": stretch, "__own": F.lit(True)})
+    into = F.floor((F.col(second) + TOKEN_WINDOW_SECONDS - 1) / (10 * TOKEN_WINDOW_SECONDS))
+    lead = sent.where(into > stretch).groupBy(lane, second).agg(F.sum(tokens).alias(tokens)).withColumn("__stretch", into)
+    window = Window.partitionBy(lane, "__stretch").orderBy(second).rangeBetween(-(TOKEN_WINDOW_SECONDS - 1), 0)
+    both = own.unionByName(lead.withColumn("__own", F.lit(False)), allowMissingColumns=True)
+    return both.withColumn("window_tokens", F.sum(tokens).over(window)).where("__own").drop("__stretch", "__own")
 
 
 def token_wait(window: Sequence[tuple[float, int]], coming: int, now: float, target: float | None, margin: float = 0.80, most: float = 120.0) -> float:

@@ -196,11 +196,11 @@ def result_fanout(spark, sf_dir):
 
 
 def group_assignment(spark, sf_dir):
-    return control.grouped(_units(spark, sf_dir).select("unit_id", "row_id"), 4)
+    return control.grouped(_units(spark, sf_dir).select("unit_id", "row_id"), 4, 2)
 
 
 def token_estimate(spark, sf_dir):
-    sized = control.grouped(_units(spark, sf_dir).select("unit_id", "input_text"), 4).groupBy("group_id").agg(F.sum(F.length("input_text")).alias("chars"), F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("input_text")), "").alias("prompt"))
+    sized = control.grouped(_units(spark, sf_dir).select("unit_id", "input_text"), 4, 2).groupBy("group_id").agg(F.sum(F.length("input_text")).alias("chars"), F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("input_text")), "").alias("prompt"))
     return sized.select("group_id", "chars", "n", control.estimated_tokens(F.col("prompt"), F.col("n")).alias("tokens"))
 
 

@@ -24,14 +24,13 @@ class Runtime:
     write_partial_output: bool = True
     artifact_retention_mode: str = "standard"
     keep_last: Mapping[str, int] = field(default_factory=dict)
-    group_buckets: int = 1
 
     def __post_init__(self):
         rules = {
             "release_scope is 'unit' or 'row_complete'": self.release_scope in ("unit", "row_complete"),
             "artifact_retention_mode is 'standard' or 'debug'": self.artifact_retention_mode in ("standard", "debug"),
             "max_request_retries, input_row_offset and input_row_limit are not negative": min(self.max_request_retries, self.input_row_offset, self.input_row_limit or 0) >= 0,
-            "checkpoint_every_waves, most_waves and group_buckets are 1 at least": min(self.checkpoint_every_waves, self.most_waves, self.group_buckets) >= 1,
+            "checkpoint_every_waves and most_waves are 1 at least": min(self.checkpoint_every_waves, self.most_waves) >= 1,
             f"max_concurrent_requests is {MOST_CONCURRENT_REQUESTS} at most": self.pace.max_concurrent_requests <= MOST_CONCURRENT_REQUESTS,
             "soft_time_limit_seconds is positive": self.soft_time_limit_seconds > 0,
             "keep_last counts are not negative": all(n >= 0 for n in self.keep_last.values()),

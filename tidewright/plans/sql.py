@@ -97,8 +97,8 @@ FROM (SELECT (SELECT count(*) FROM units) AS total, (SELECT count(*) FROM result
     "checkpoint_rows": BASE + "SELECT unit_id, row_id, output_column, status, output_value, seq FROM results",
     "delta_replay": BASE + "SELECT unit_id, output_column, CASE WHEN seq = 1 THEN 'c' || output_value ELSE output_value END AS output_value, seq FROM results",
     "result_fanout": BASE + "SELECT unit_id, output_column, output_value, 7::BIGINT AS seq FROM results UNION ALL SELECT unit_id, 'half', (output_value::INT * 2)::VARCHAR, 7 FROM results",
-    "group_assignment": BASE + "SELECT unit_id, row_id, '0-' || ((row_number() OVER (ORDER BY unit_id) - 1) // 4) AS group_id, (row_number() OVER (ORDER BY unit_id) - 1) % 4 AS group_place FROM units",
-    "token_estimate": BASE + "SELECT group_id, sum(length(input_text))::BIGINT AS chars, count(*) AS n, (ceil(sum(length(input_text)) / 4.0) + ceil(count(*) * 24.0) + 250)::BIGINT AS tokens FROM (SELECT *, '0-' || ((row_number() OVER (ORDER BY unit_id) - 1) // 4) AS group_id FROM units) GROUP BY group_id",
+    "group_assignment": BASE + "SELECT unit_id, row_id, substr(unit_id, 1, 2) || '-' || ((row_number() OVER (PARTITION BY substr(unit_id, 1, 2) ORDER BY unit_id) - 1) // 4) AS group_id, (row_number() OVER (PARTITION BY substr(unit_id, 1, 2) ORDER BY unit_id) - 1) % 4 AS group_place FROM units",
+    "token_estimate": BASE + "SELECT group_id, sum(length(input_text))::BIGINT AS chars, count(*) AS n, (ceil(sum(length(input_text)) / 4.0) + ceil(count(*) * 24.0) + 250)::BIGINT AS tokens FROM (SELECT *, substr(unit_id, 1, 2) || '-' || ((row_number() OVER (PARTITION BY substr(unit_id, 1, 2) ORDER BY unit_id) - 1) // 4) AS group_id FROM units) GROUP BY group_id",
     "rolling_tokens": LANES + "SELECT event_id, lane, sec, tokens, sum(tokens) OVER (PARTITION BY lane ORDER BY sec RANGE BETWEEN 59 PRECEDING AND CURRENT ROW)::BIGINT AS window_tokens FROM lanes",
     "shared_failures": LANES + "SELECT a.sec, count(DISTINCT b.lane) AS n_lanes FROM lanes AS a JOIN lanes AS b ON b.sec BETWEEN a.sec - 90 AND a.sec WHERE a.event_id % 3 = 0 AND b.event_id % 3 = 0 GROUP BY a.sec",
     "timeout_window": LANES + """SELECT event_id, lane, n AS sample_count, round(center, 4) AS center_seconds, round(least(greatest(10.0, center + greatest(5.0, 2 * dev)), 120.0), 3) AS limit_seconds
@@ -111,7 +111,7 @@ FROM (SELECT event_id, lane, list(seconds) OVER w AS x FROM lanes WHERE seconds
     "final_retention": "SELECT name FROM (SELECT DISTINCT 'out_20260101_' || lpad((o_orderkey % 1000000)::VARCHAR, 6, '0') || '.parquet' AS name FROM orders WHERE o_orderkey % 2 = 0) QUALIFY row_number() OVER (ORDER BY name DESC) > 3",
     "latest_artifact": NAMES + "SELECT family, max(name) AS name FROM names GROUP BY family",
     "artifact_runs": NAMES + "SELECT run, count(*) AS n FROM names GROUP BY run",
-    "file_batches": "SELECT source, n, '0-' || ((k - 1) // 3) AS group_id, (k - 1) % 3 AS group_place FROM (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source) AS k FROM documents GROUP BY source)",
+    "file_batches": "SELECT source, n, '-' || ((k - 1) // 3) AS group_id, (k - 1) % 3 AS group_place FROM (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source) AS k FROM documents GROUP BY source)",
     "safe_names": "SELECT p_partkey, regexp_replace(p_name, '[^\\p{L}\\p{N}_-]', '_', 'g') AS name FROM part",
     "resumable_step": "SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, n_regionkey, CASE WHEN regexp_matches(id, '^[012]{3}') THEN NULL ELSE length(n_name) % 7 END::BIGINT AS label FROM (SELECT *, sha256('names||' || n_nationkey || '||n_name||label||stub-1||v1') AS id FROM nation)",
     "flagship": BASE + "SELECT lang, quality, count(*) AS n, count(text_label) AS answered, sum(text_label::BIGINT)::BIGINT AS text_sum, sum(lang_label::BIGINT)::BIGINT AS lang_sum FROM documents AS d LEFT JOIN wide ON d.doc_id::VARCHAR = wide.row_id LEFT JOIN labels AS l ON l.doc_id = d.doc_id GROUP BY lang, quality",

@@ -81,7 +81,7 @@ def run_step(source: DataFrame, step: ModelStep, folder: tables.Folder, run: str
             break
         seq += 1
         size = load.group_size(pace)
-        groups = control.grouped(waiting, size, runtime.group_buckets)
+        groups = control.grouped(waiting, size, control.bucket_digits(waiting.count()))
         sent = timer()
         traces = log.write(log.debug, responses.answers(groups, step.make_adapter, step.make_handler, config, step.context, clock().isoformat()), "traces")
         seconds = timer() - sent
