@@ -106,7 +106,7 @@ def test_quality(docs, none):
 def test_line_rules(spark):
     lines = {
         "The words of this line end as they should.": False, "Heading": False, "Short heading here": False, "these four words lack any": True,
-        "home | news | sport | weather.": True, "Back to top": True, "We use a cookie to serve you.": True, "=== /// --- +++": True,
+        "home | news | sport | weather.": True, "Back to top": True, "We use a cookie to serve you.": True, "=== /// --- +++": True, "these*** are$$$ marks&&& all over.": True, "It costs $5 & more.": False,
     }
     frame = spark.createDataFrame([(x,) for x in lines], "x string").select("x", quality.line_fails(F.col("x")).alias("f"))
     assert {r.x: r.f for r in frame.collect()} == lines

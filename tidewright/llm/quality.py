@@ -1,7 +1,7 @@
 """Quality rules, lines first, in DataFrame functions alone.
 
 Each line with a word is held against three rules: punctuation (a line of four words or more has a sentence mark, and at
-least half of its visible characters are letters or digits), navigation (it is not a row of separators or one of the usual
+least half of its visible characters are letters or digits and a fifth at most symbols), navigation (it is not a row of separators or one of the usual
 labels) and boilerplate (it has none of the usual phrases). Lines that fail are removed. A document is rejected when it
 fails the base rules, or when the lines removed hold over half of the characters of its words.
 
@@ -38,7 +38,7 @@ def line_fails(line: Column) -> Column:
     visible = F.length(F.regexp_replace(line, f"{SPACE}+", ""))
     plain = F.length(F.regexp_replace(line, r"[^\p{L}\p{N}]+", ""))
     long = line.rlike(f"(?:{VISIBLE}+{SPACE}+){{3}}{VISIBLE}")
-    punctuation = (long & ~line.rlike(MARKS)) | (plain * 2 < visible)
+    punctuation = (long & ~line.rlike(MARKS)) | (plain * 2 < visible) | (F.regexp_count(line, F.lit(SYMBOLS)) * 5 > visible)
     navigation = (F.regexp_count(line, F.lit(SEPARATORS)) >= 3) | low.rlike(rf"^\W*(?:{'|'.join(LABELS)})\W*$")
     boilerplate = low.rlike("|".join(BOILERPLATE))
     return punctuation | navigation | boilerplate
