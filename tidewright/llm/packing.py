@@ -13,7 +13,9 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,38 +24,52 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from tidewright.llm.arrow_batches import BoundedCache, split_batch
+from tidewright.llm.arrow_batches import BoundedCache, split_batch, without_collector
+from tidewright.llm.chunks import CONTRACTIONS, LETTERS, MARKS, encode_joined
 from tidewright.llm.workspace import Workspace
 
 SIZE = 2048
 SLACK = 20
 BLOCK = 65_536
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_000_000
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Ids of a text as little-endian bytes. No token of this kind of vocabulary reaches over white space."""
+    """Ids of texts as little-endian bytes, from those of pieces seen before: pre-tokens of plain texts, and what stands between
+    white space in others, over which no token of this kind of vocabulary reaches."""
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known = BoundedCache(self.encode_all, CACHE_ENTRIES)
-        self.words_of = re.compile("[^ \t\n\r]+").findall
+        self.plain = re.compile(f"{CONTRACTIONS}|[{LETTERS}]+|[0-9]|[{MARKS}]+").findall
+        self.runs_of = re.compile("[^ \t\n\r]+").findall
+        self.words = BoundedCache(self.encode_words, CACHE_ENTRIES)
+        self.runs = BoundedCache(self.encode_all, CACHE_ENTRIES)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        return [pa.array(e.ids, pa.uint32()).buffers()[1].to_pybytes()[: 4 * len(e.ids)] for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, text: str) -> bytes:
-        if any(re.search(r"\s", a) and a in text for a in self.added):
-            return self.encode_all([text])[0]
-        words = self.words_of(text)
-        self.known.learn(words)
-        return b"".join(map(self.known.__getitem__, words))
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        return [array("I", ids).tobytes() for ids in encode_joined(self.tokenizer, words, " ", 1)]
+
+    def plain_words(self, text: str) -> list[str] | None:
+        if "<|" in text and any(a in text for a in self.added):
+            return None
+        words = self.plain(text.lower())
+        return words if sum(map(len, words)) + sum(map(text.count, " \t\n\r")) == len(text) else None
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plain = list(map(self.plain_words, texts))
+        runs = [self.runs_of(t) if w is None else () for w, t in zip(plain, texts, strict=True)]
+        self.words.learn(set(chain.from_iterable(w for w in plain if w)))
+        self.runs.learn(set(chain.from_iterable(runs)))
+        return [b"".join(map(self.runs.__getitem__, r) if w is None else map(self.words.__getitem__, w)) for w, r in zip(plain, runs, strict=True)]
 
 
 def encoder(vocabulary: str) -> WordEncoder:
     if vocabulary not in _ENCODERS:
+        without_collector()
         _ENCODERS[vocabulary] = WordEncoder(vocabulary)
     return _ENCODERS[vocabulary]
 
@@ -66,10 +82,10 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", te
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, step = encoder(vocabulary), 4 * size
         for whole in batches:
-            for batch in split_batch(whole):
+            for batch in split_batch(whole, 8 << 20):
                 rows, pieces, starts, lengths, sums, ids = [], [], [], [], [], []
-                for row, t in enumerate(batch.column(1).to_pylist()):
-                    data = own.encode(t) + bytes(4)
+                for row, encoded in enumerate(own.encode(batch.column(1).to_pylist())):
+                    data = encoded + bytes(4)
                     for k, at in enumerate(range(0, len(data), step)):
                         part = data[at : at + step]
                         rows.append(row)
