@@ -206,6 +206,8 @@ def find_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", te
         width *= FAN
     while True:
         groups = rows.groupBy(*both).agg(F.count("*").alias("n"), F.min("wide").alias("first"), F.max("wide").alias("last")).where("n > 1").select(*both, (F.col("first") == F.col("last")).alias("alike"))
+        # Written first, so that the join deals out both sides itself and can split a frequent core.
+        groups = work.save(groups, f"groups-{level}")
         shared = work.save(rows.join(groups, both), f"shared-{level}")
         mixed = shared.where(~F.col("alike"))
         kinds = work.save(mixed.groupBy(*both, "wide").agg(F.count("*").alias("n"), F.min(F.struct("doc", "tag", "at")).alias("x")), f"kinds-{level}")
@@ -224,7 +226,7 @@ def find_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", te
         places = kinds.select("x.doc", "x.tag", F.struct("x.at", "low").alias("place")).groupBy("doc", "tag").agg(F.collect_list("place").alias("places"))
         waiting = work.spark.table(name).join(places, ["doc", "tag"]).select("doc", "tag", "text", "places")
         rows = work.save(split_blocks(waiting, length, gram, width, narrow), f"blocks-{level + 1}")
-        for done in (f"blocks-{level}", f"shared-{level}", f"kinds-{level}"):
+        for done in (f"blocks-{level}", f"groups-{level}", f"shared-{level}", f"kinds-{level}"):
             work.drop(done)
         width, level = narrow, level + 1
     marked = spans.groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
