@@ -70,3 +70,10 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     judged = counted.withColumns({"base_failed": base, "clean_text": clean})
     kept = ~F.col("base_failed") & (100 * F.col("lost_chars") <= MOST_LOST_PERCENT * F.col("word_chars"))
     return judged.withColumn("kept", kept).drop("__words", "__lines", "__filled", "__hashes", "__bad", "__windows", "__starts")
+
+
+def clean(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The kept documents, with the lines that fail removed from their text."""
+    judged = judge(docs, text).select(*[c for c in docs.columns if c != text], "kept", F.col("clean_text").alias(text), F.monotonically_increasing_id().alias("__row"))
+    # A filter above a row number stays there; below, the optimizer would write out all figures in its condition.
+    return judged.where(F.col("kept") & (F.col("__row") >= 0)).select(*docs.columns)
