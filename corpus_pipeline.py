@@ -25,8 +25,7 @@ def _with_text(docs: DataFrame, text: Column) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that fail are removed; documents that fail are rejected."""
-    kept = quality.judge(docs.select(*COLUMNS)).where("kept")
-    return _with_text(kept.withColumn("n_chars", F.col("n_chars").cast("long")), F.col("clean_text"))
+    return _with_text(quality.clean(docs.select(*COLUMNS)), F.col("text"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
