@@ -16,13 +16,13 @@ class BoundedCache(dict):
         self.compute, self.limit, self.fixed = compute, limit, fixed or {}
 
     def learn(self, keys: Iterable) -> None:
-        missing = list(set(keys) - self.keys())
+        missing = [k for k in set(keys) if k not in self]
         if not missing:
             return
         if len(self) + len(missing) > self.limit + len(self.fixed):
             self.clear()
             self.update(self.fixed)
-            missing = list(set(keys) - self.keys())
+            missing = [k for k in set(keys) if k not in self]
         self.update(zip(missing, self.compute(missing), strict=True))
 
 
