@@ -5,7 +5,8 @@ is one shingle. Documents with equal sets are one class. A class's sketch is the
 similarity 0.75 share so many retained values that, of the rarest ones of each, at least one is shared; only these enter the
 inverted lists. Lists are never expanded into all pairs: in each round one member of a list's largest component, its hub, is
 compared with the members of other components, and what links to it joins. After ``ROUNDS`` rounds the members still outside
-are compared with the whole list, so nothing is capped. A pair goes on when the union of both sketches estimates a similarity
+are compared with all other components of the list, but for those that full sets show to be too far from anything: nothing is
+capped. A pair goes on when the union of both sketches estimates a similarity
 of ``LEAST_ESTIMATE`` (over four standard deviations below the threshold), and links when the full sets have it.
 Components come from alternating large-star and small-star steps. All tables between rounds are written to the shared folder.
 
@@ -16,6 +17,7 @@ null id are kept: they have a component of their own, null, and ``kept`` is true
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +36,7 @@ SHARED_SHARE = 0.375
 """Of the values of the larger sketch, the share that two similar sets have in common at least: five deviations below the mean."""
 LEAST_ESTIMATE = 0.4
 ROUNDS = 4
+EDGES_AT_ONCE = 50_000
 #: Odd multipliers of the words of a shingle, and of the finishing mix.
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -46,7 +49,7 @@ def shingle_set(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
     words = text.translate(_LOWER).split()
     if not words:
         return np.zeros(0, np.uint64)
-    _WORDS.learn(words)
+    _WORDS.learn(set(words))
     codes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     n = min(shingle, len(words))
     mixed = np.full(len(words) - n + 1, n, np.uint64)
@@ -112,31 +115,83 @@ def _exact(pairs: DataFrame, percent: int) -> DataFrame:
 def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
     """(node, component) for the nodes of edges (a, b): the smallest node each can reach."""
     now = work.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), f"{name}-0")
-    seen, step = None, 0
+    most = int(work.spark.conf.get("spark.sql.shuffle.partitions"))
+    step = 0
     while True:
+        # Steps never add edges, so what is few at first needs few partitions from then on.
+        width = max(1, min(most, math.ceil(now.count() / EDGES_AT_ONCE)))
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = work.save(large.coalesce(width), f"{name}-{step}-large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         step += 1
-        then = work.save(small, f"{name}-{step}")
-        state = tuple(then.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        work.drop(f"{name}-{step - 1}")
-        now = then
-        if state == seen:
+        now = work.save(small.coalesce(width), f"{name}-{step}")
+        # Done when the edges are stars: no node has two, and none at an end is a centre too.
+        ends = now.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(now.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+        if ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 OR (out = 1 AND into = 1)").isEmpty():
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        seen = state
 
 
-def _inverted(classes: DataFrame, k: int) -> DataFrame:
-    """(value, doc): of each class the rarest retained values that a similar class must share one of, without lonely ones."""
-    kept = classes.select("doc", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
+def _inverted(classes: DataFrame) -> DataFrame:
+    """(value, doc, n, lonely): of each class the rarest retained values that a similar class must share one of, without
+    lonely ones. ``lonely`` is the share of the sketch that no other sketch has."""
+    kept = classes.select("doc", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
     often = kept.groupBy("value").agg(F.count("*").alias("df"))
-    ranked = kept.join(often, "value").groupBy("doc").agg(F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))
+    ranked = kept.join(often, "value").groupBy("doc").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))
     needed = F.col("m") - F.ceil(F.col("m") * F.lit(SHARED_SHARE)).cast("int") + 1
-    entries = ranked.select("doc", F.explode(F.filter(F.slice("values", 1, F.greatest(needed, F.lit(1))), lambda x: x["df"] > 1)).alias("x"))
-    return entries.select("x.value", "doc")
+    lonely = F.size(F.filter("values", lambda x: x["df"] == 1)) / F.col("m")
+    entries = ranked.select("doc", "n", lonely.alias("lonely"), F.explode(F.filter(F.slice("values", 1, F.greatest(needed, F.lit(1))), lambda x: x["df"] > 1)).alias("x"))
+    return entries.select("x.value", "doc", "n", "lonely")
+
+
+def _mains(placed: DataFrame, turn: int) -> DataFrame:
+    """(value, main, hub): of each list over several components its largest one, and a hub in it. The first hub is the
+    document with the least of its own, as a text that others were made from is; later ones are drawn from those with little."""
+    own = F.floor(F.col("lonely") * (8 if turn else 64))
+    hub = F.min(F.struct(own.alias("own"), F.xxhash64("doc", F.lit(turn)).alias("h"), F.col("doc").alias("hub")))
+    by_part = placed.groupBy("value", "component").agg(F.count("*").alias("size"), hub.alias("x"))
+    most = F.max(F.struct("size", F.col("x.h").alias("h"), F.col("component").alias("main"), F.col("x.hub").alias("hub")))
+    return by_part.groupBy("value").agg(F.count("*").alias("parts"), most.alias("y")).where("parts > 1").select("value", "y.main", "y.hub")
+
+
+def _shingles(texts: DataFrame) -> DataFrame:
+    """(doc, s) for each distinct shingle of (doc, text)."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in split_batch(whole, 2 << 20):
+                sets = [shingle_set(t).view(np.int64) for t in batch.column("text").to_pylist()]
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+                values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.ListArray.from_arrays(ends, pa.array(values))], ["doc", "sets"])
+
+    made = texts.select("doc", "text").mapInArrow(make, f"doc {texts.schema['doc'].dataType.simpleString()}, sets array<long>")
+    return made.select("doc", F.explode("sets").alias("s"))
+
+
+def _remaining(placed: DataFrame, texts: DataFrame, work: Workspace, percent: int) -> DataFrame | None:
+    """Pairs that may link lists' components still. A document can share no shingle that it alone has, which bounds its
+    similarity to any other; entries out of bounds leave the lists, in two passes, before members are paired."""
+    for step in range(2):
+        mains = work.save(_mains(placed, ROUNDS), f"open-{step}")
+        if mains.isEmpty():
+            return None
+        lists = work.save(placed.join(mains.select("value", "main"), "value"), f"open-lists-{step}")
+        members = lists.select("doc").distinct()
+        counts = _shingles(texts.join(members, "doc", "left_semi").dropDuplicates(["doc"])).groupBy("s").agg(F.count("*").alias("df"), F.min("doc").alias("doc"))
+        alone = counts.where("df = 1").groupBy("doc").agg(F.count("*").alias("alone"))
+        least = work.save(lists.groupBy("value").agg(F.min("n").alias("least")), f"open-least-{step}")
+        bounded = lists.join(alone, "doc", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone").join(least, "value")
+        partner = F.greatest(F.ceil(F.col("n") * percent / 100), F.col("least"))
+        placed = work.save(bounded.where((100 + percent) * F.col("shared") >= percent * (F.col("n") + partner)).drop("least", "main"), f"bounded-{step}")
+        placed, shared = placed.drop("shared"), placed
+    mains = work.save(_mains(shared, ROUNDS), "open-last").select("value", "main")
+    outside = shared.join(mains, "value").where("component != main").select("value", "doc", "component", "n", "shared")
+    other = shared.select("value", *[F.col(c).alias(f"other_{c}") for c in ("doc", "component", "n", "shared")])
+    both = outside.join(other, "value").where((F.col("component") != F.col("other_component")) & ((100 + percent) * F.least("shared", "other_shared") >= percent * (F.col("n") + F.col("other_n"))))
+    return both.select(F.least("doc", "other_doc").alias("a"), F.greatest("doc", "other_doc").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT, k: int = K) -> DataFrame:
@@ -145,7 +200,7 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id",
     real = found.where(F.col("doc").isNotNull() & (F.col("n") > 0))
     members = real.groupBy("n", "mark").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch"))
     classes = work.save(members, "classes")
-    lists = work.save(_inverted(classes, k), "lists")
+    lists = work.save(_inverted(classes), "lists")
     listed = lists.select("doc").distinct()
     whole = docs.select(F.col(id_column).alias("doc"), F.col(text).cast("binary").alias("text"))
     texts = work.save(whole.join(listed, "doc", "left_semi"), "texts")
@@ -154,27 +209,26 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id",
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """Of candidate pairs, those that link."""
         with_a = pairs.join(marks.select(F.col("doc").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-        near = work.save(_union_estimates(with_a.join(marks.select(F.col("doc").alias("b"), F.col("sketch").alias("sketch_b")), "b").select("a", "b", "sketch_a", "sketch_b"), k), f"near-{name}")
+        near = _union_estimates(with_a.join(marks.select(F.col("doc").alias("b"), F.col("sketch").alias("sketch_b")), "b").select("a", "b", "sketch_a", "sketch_b"), k)
         left = near.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
         full = left.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
         return work.save(_exact(full, percent), f"edges-{name}")
 
-    edges, parts = None, None
+    parts = None
     for turn in range(ROUNDS + 1):
-        placed = lists.withColumn("component", F.col("doc")) if parts is None else lists.join(parts, lists["doc"] == parts["node"], "left").select("value", "doc", F.coalesce("component", "doc").alias("component"))
-        by_part = placed.groupBy("value", "component").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), F.col("doc").alias("hub"))).alias("x"))
-        mains = by_part.groupBy("value").agg(F.count("*").alias("parts"), F.max(F.struct(F.col("size"), F.col("x.h").alias("h"), F.col("component").alias("main"), F.col("x.hub").alias("hub"))).alias("y")).where("parts > 1").select("value", "y.main", "y.hub")
-        outside = placed.join(mains, "value").where("component != main")
+        placed = lists.withColumn("component", F.col("doc")) if parts is None else lists.join(parts, lists["doc"] == parts["node"], "left").withColumn("component", F.coalesce("component", "doc")).drop("node")
         if turn < ROUNDS:
-            pairs = outside.select(F.col("hub").alias("a"), F.col("doc").alias("b"))
+            mains = work.save(_mains(placed, turn), f"mains-{turn}")
+            pairs = placed.join(mains, "value").where("component != main").select(F.col("hub").alias("a"), F.col("doc").alias("b"))
         else:
-            rest = placed.select("value", F.col("doc").alias("other"), F.col("component").alias("theirs"))
-            pairs = outside.select("value", "doc", "component").join(rest, "value").where("component != theirs").select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b"))
+            pairs = _remaining(work.save(placed, "placed"), texts, work, percent)
+            if pairs is None:
+                continue
         new = verified(pairs.distinct(), str(turn))
-        if turn and new.isEmpty() and turn < ROUNDS:
+        if turn and new.isEmpty():
             continue
-        edges = new if edges is None else edges.unionByName(new)
-        parts = components(edges, work, f"stars-{turn}")
+        known = new if parts is None else new.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        parts = components(known, work, f"stars-{turn}")
     reached = classes.join(parts, classes["doc"] == parts["node"], "left").select("n", "mark", F.coalesce("component", "doc").alias("component_id"))
     joined = found.join(reached, ["n", "mark"], "left")
     own = F.when(F.col("n") > 0, F.coalesce("component_id", "doc")).otherwise(F.col("doc"))
