@@ -24,8 +24,8 @@ from tidewright.llm.arrow_batches import BoundedCache, split_batch, without_coll
 from tidewright.llm.chunks import chunks_of, encode_joined, plain_words
 
 FREQUENT = 32_768
-SAMPLE_ROWS = 2_000
-SAMPLE_CHARS = 20_000
+SAMPLE_ROWS = 1_000
+SAMPLE_CHARS = 10_000
 CACHE_ENTRIES = 1_000_000
 _COUNTERS: dict[tuple[str, int], ChunkCounter] = {}
 
@@ -71,19 +71,12 @@ def counter(vocabulary: str, frequent: Broadcast) -> ChunkCounter:
 
 
 def frequent_lengths(docs: DataFrame, text: str, vocabulary: str) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of the plain texts in a bounded sample."""
-
-    def most_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                seen.update(plain_words(t) or ())
-        words = [w for w, n in seen.most_common(FREQUENT) if n > 1]
-        lengths = ChunkCounter(vocabulary, {}).word_lengths(words)
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(lengths, pa.int32())], ["word", "length"])
-
-    sample = docs.where(F.col(text).isNotNull()).select(F.substring(text, 1, SAMPLE_CHARS).alias("t")).limit(SAMPLE_ROWS)
-    return {r.word: r.length for r in sample.coalesce(1).mapInArrow(most_common, "word string, length int").collect()}
+    """Lengths of the most frequent pre-tokens of the plain texts in a bounded sample: the first rows that a scan finds."""
+    seen: Counter = Counter()
+    for row in docs.where(F.col(text).isNotNull()).select(F.substring(text, 1, SAMPLE_CHARS).alias("t")).take(SAMPLE_ROWS):
+        seen.update(plain_words(row.t) or ())
+    words = [w for w, n in seen.most_common(FREQUENT) if n > 1]
+    return dict(zip(words, ChunkCounter(vocabulary, {}).word_lengths(words), strict=True)) if words else {}
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text", limit: int = 512) -> DataFrame:
