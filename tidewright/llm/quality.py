@@ -49,7 +49,7 @@ def word_chars(text: Column) -> Column:
 
 
 def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with the figures, ``kept``, and ``clean_text`` without the lines that fail."""
+    """docs with the figures, ``kept``, and ``clean_text`` without the lines that fail. To filter by ``kept``, use ``clean``."""
     whole = F.coalesce(F.col(text), F.lit(""))
     read = docs.withColumns({"__words": F.array_remove(F.split(whole, f"{SPACE}+"), ""), "__lines": F.split(whole, "\n")})
     read = read.withColumns({"n_words": F.size("__words").cast("long"), "__filled": F.filter("__lines", lambda x: x.rlike(VISIBLE))})
