@@ -16,6 +16,8 @@ from tidewright.llm.workspace import Workspace
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.2
 """A text whose best language scores less is in none of the languages learned."""
+PASSAGE_WORDS = 51
+"""The least passage that counts as a repeat. Bytes count too, as some scripts put no spaces between words."""
 PACK_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -48,8 +50,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every byte in a passage of 400 bytes that is somewhere else too is removed. A document may be left empty; it stays a row."""
-    left = repeats.without_repeats(docs.select(*COLUMNS), Workspace(spark, "pipeline-repeats"))
+    """Every byte in a passage of ``PASSAGE_WORDS`` words or 400 bytes that is somewhere else too is removed. A document may be
+    left empty; it stays a row."""
+    left = repeats.without_repeats(docs.select(*COLUMNS), Workspace(spark, "pipeline-repeats"), words=PASSAGE_WORDS)
     return _with_text(left, F.col("text"))
 
 

@@ -9,6 +9,8 @@ first, no suffix of the block repeats; not alone on the second, all do; otherwis
 pass, down to single suffixes. Equal blocks enter a pass once. Digits are 64-bit polynomial hashes; groups are only
 ever counted, never gathered, so neither copies nor frequent passages meet in a task.
 
+Depth can be counted in words too: then a text is the string of its words' hashes, and the same passes run over these.
+
 Null text counts as empty. Texts shorter than
 ``length`` repeat nothing. Equal rows repeat each other; null ids pass through. An empty table gives an empty result.
 """
@@ -28,11 +30,14 @@ from tidewright.llm.workspace import Workspace
 
 LENGTH = 400
 GRAM = 150
+WORD_GRAM = 19
+"""The anchor's length where depth is in words."""
 FAN = 4
 CHUNK = 1 << 19
 _DRAWN = np.random.default_rng(400)
 _BYTES = _DRAWN.integers(0, 1 << 64, 256, np.uint64)
 _BASE = np.uint64(int(_DRAWN.integers(0, 1 << 62)) * 2 + 1)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -47,12 +52,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Digits:
-    """Hashes of any stretch of a chunk of bytes."""
+    """Hashes of any stretch of a chunk of bytes, or of 64-bit symbols."""
 
     def __init__(self, data: np.ndarray):
         powers, self.inverse = _powers(len(data) + 1)
         self.n = len(data)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * powers[: len(data)], dtype=np.uint64)])
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((_BYTES[data] if data.dtype == np.uint8 else data) * powers[: len(data)], dtype=np.uint64)])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         raw = (self.sums[end] - self.sums[start]) * self.inverse[start]
@@ -60,6 +65,28 @@ class Digits:
         return raw ^ (raw >> np.uint64(32))
 
 
+def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and end, in bytes."""
+    gaps = np.concatenate([[True], _SPACE[data], [True]])
+    edges = np.flatnonzero(gaps[1:] != gaps[:-1])
+    return edges[::2], edges[1::2]
+
+
+def symbols(text: bytes, words: bool) -> np.ndarray:
+    """What a text's depth is counted in: its bytes, or a hash of each word."""
+    data = np.frombuffer(text, np.uint8)
+    if not words:
+        return data
+    starts, ends = word_places(data)
+    made = np.zeros(len(starts), np.uint64)
+    seams = np.searchsorted(starts, np.arange(0, len(data) + CHUNK, CHUNK))
+    for a, b in zip(seams[:-1], seams[1:], strict=True):
+        if a < b:
+            own = Digits(data[starts[a] : ends[b - 1]])
+            made[a:b] = own.of(starts[a:b] - starts[a], ends[a:b] - starts[a])
+    return made
+
+
 def window_least(keys: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` neighbours, by running minima from both ends of blocks."""
     n = len(keys) - width + 1
@@ -112,7 +139,7 @@ def _block_rows(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(rows)), batch.column("tag").take(pa.array(rows)), *made], ["doc", "tag", *_KINDS])
 
 
-def first_blocks(texts: DataFrame, length: int, gram: int) -> DataFrame:
+def first_blocks(texts: DataFrame, length: int, gram: int, words: bool = False) -> DataFrame:
     """A block of (doc, tag, text) for each anchor, which is what its suffixes have in common."""
     span = length - gram
 
@@ -121,7 +148,7 @@ def first_blocks(texts: DataFrame, length: int, gram: int) -> DataFrame:
             for batch in split_batch(whole, 4 << 20):
                 parts = []
                 for row, text in enumerate(batch.column("text").to_pylist()):
-                    data = np.frombuffer(text, np.uint8)
+                    data = symbols(text, words)
                     if len(data) < length:
                         continue
                     for start, end, first, last in _chunks(len(data), length):
@@ -136,7 +163,7 @@ def first_blocks(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInArrow(make, BLOCKS)
 
 
-def split_blocks(waiting: DataFrame, length: int, gram: int, width: int, narrow: int) -> DataFrame:
+def split_blocks(waiting: DataFrame, length: int, gram: int, width: int, narrow: int, words: bool = False) -> DataFrame:
     """Blocks of ``narrow`` suffixes of (doc, tag, text, places), from places (at, low) of blocks of ``width``."""
     span = length - gram
 
@@ -146,7 +173,7 @@ def split_blocks(waiting: DataFrame, length: int, gram: int, width: int, narrow:
                 parts = []
                 places = batch.column("places")
                 for row, text in enumerate(batch.column("text").to_pylist()):
-                    data = np.frombuffer(text, np.uint8)
+                    data = symbols(text, words)
                     own_places = places[row].values
                     at, low = np.asarray(own_places.field("at")), np.asarray(own_places.field("low")).astype(np.int64)
                     ends = np.minimum(low + width - 1, span)
@@ -167,7 +194,8 @@ def split_blocks(waiting: DataFrame, length: int, gram: int, width: int, narrow:
 
 
 def _cut(texts: DataFrame) -> DataFrame:
-    """(doc, tag, text, spans) to what is left of the text."""
+    """(doc, tag, text, spans) to what is left of the text. ``spans`` are in bytes, and ``word_spans``, if there, in words."""
+    both = "word_spans" in texts.columns
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -177,6 +205,10 @@ def _cut(texts: DataFrame) -> DataFrame:
                 for row, text in enumerate(batch.column("text").to_pylist()):
                     own = spans[row].values
                     start, end = np.maximum(np.asarray(own.field("start")), 0), np.minimum(np.asarray(own.field("end")), len(text))
+                    if both and len(own := batch.column("word_spans")[row].values):
+                        starts, ends = word_places(np.frombuffer(text, np.uint8))
+                        first, last = np.maximum(np.asarray(own.field("start")), 0), np.minimum(np.asarray(own.field("end")), len(starts))
+                        start, end = np.concatenate([start, starts[first]]), np.concatenate([end, ends[last - 1]])
                     order = np.argsort(start, kind="stable")
                     start, reach = start[order], np.maximum.accumulate(end[order])
                     new = np.concatenate([[True], start[1:] > reach[:-1]])
@@ -193,14 +225,11 @@ def _cut(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(make, "doc long, tag int, n_removed long, n_spans long, left binary")
 
 
-def find_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """For rows from which bytes go: ``doc`` and ``tag`` (see ``row_key``), ``n_removed``, ``n_spans`` and ``left``, the
-    bytes that remain."""
+def _find_spans(keyed: DataFrame, work: Workspace, name: str, length: int, gram: int, words: bool = False) -> DataFrame:
+    """(doc, tag, start, end) of the suffixes of (doc, tag, text) that repeat, and the table ``name`` of the texts that may
+    hold some."""
     span = length - gram
-    key = row_key(id_column, text)
-    keyed = docs.select(key["doc"].alias("doc"), key["tag"].alias("tag"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    rows = work.save(first_blocks(keyed, length, gram), "blocks-0")
-    name = f"repeats_{work.path[-32:]}"
+    rows = work.save(first_blocks(keyed, length, gram, words), "blocks-0")
     spans, width, level, both = None, FAN, 0, ["low", "core"]
     while width <= span:
         width *= FAN
@@ -225,14 +254,36 @@ def find_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", te
         narrow = width // FAN
         places = kinds.select("x.doc", "x.tag", F.struct("x.at", "low").alias("place")).groupBy("doc", "tag").agg(F.collect_list("place").alias("places"))
         waiting = work.spark.table(name).join(places, ["doc", "tag"]).select("doc", "tag", "text", "places")
-        rows = work.save(split_blocks(waiting, length, gram, width, narrow), f"blocks-{level + 1}")
+        rows = work.save(split_blocks(waiting, length, gram, width, narrow, words), f"blocks-{level + 1}")
         for done in (f"blocks-{level}", f"groups-{level}", f"shared-{level}", f"kinds-{level}"):
             work.drop(done)
         width, level = narrow, level + 1
-    marked = spans.groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    cut = work.save(_cut(work.spark.table(name).join(marked, ["doc", "tag"]).select("doc", "tag", "text", "spans")), "cut")
+    return spans
+
+
+def find_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, words: int | None = None) -> DataFrame:
+    """For rows from which bytes go: ``doc`` and ``tag`` (see ``row_key``), ``n_removed``, ``n_spans`` and ``left``, the
+    bytes that remain. With ``words``, repeated passages of so many words go as well, though they have fewer bytes."""
+    key = row_key(id_column, text)
+    keyed = docs.select(key["doc"].alias("doc"), key["tag"].alias("tag"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    name = f"repeats_{work.path[-32:]}"
+    span = F.struct("start", "end")
+    found = _find_spans(keyed, work, name, length, gram)
+    if words is None:
+        held, marked = work.spark.table(name), found.groupBy("doc", "tag").agg(F.collect_set(span).alias("spans"))
+    else:
+        part = Workspace(work.spark, "repeats-in-words")
+        by_words = _find_spans(keyed, part, f"{name}_words", words, WORD_GRAM, True)
+        each = found.withColumn("unit", F.lit("byte")).unionByName(by_words.withColumn("unit", F.lit("word")))
+        of = lambda unit: F.collect_set(F.when(F.col("unit") == unit, span))
+        marked = each.groupBy("doc", "tag").agg(of("byte").alias("spans"), of("word").alias("word_spans"))
+        held = work.spark.table(name).unionByName(work.spark.table(f"{name}_words")).dropDuplicates(["doc", "tag"])
+    cut = work.save(_cut(held.join(marked, ["doc", "tag"]).select("doc", "tag", "text", *marked.columns[2:])), "cut")
     work.spark.sql(f"DROP TABLE {name}")
     work.drop("texts")
+    if words is not None:
+        work.spark.sql(f"DROP TABLE {name}_words")
+        part.drop()
     return cut
 
 
@@ -255,9 +306,9 @@ def _whole_characters(left: Column) -> Column:
     return F.replace(F.make_valid_utf8(left.cast("string")), F.lit("\ufffd"), F.lit(""))
 
 
-def without_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """docs with the remaining text. A character that loses some of its bytes goes whole."""
-    cut = find_repeats(docs, work, id_column, text, length, gram)
+def without_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, words: int | None = None) -> DataFrame:
+    """docs with the remaining text; ``words`` as for ``find_repeats``. A character that loses some of its bytes goes whole."""
+    cut = find_repeats(docs, work, id_column, text, length, gram, words)
     keyed = docs.withColumns({f"__{n}": c for n, c in row_key(id_column, text).items()})
     joined = keyed.join(cut.select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("left").alias("__left")), ["__doc", "__tag"], "left")
     return joined.withColumn(text, F.when(F.col("__left").isNotNull(), _whole_characters(F.col("__left"))).otherwise(F.col(text))).select(*docs.columns)
