@@ -13,6 +13,8 @@ PATTERN = public_tokenizers.PATTERN
 COUNT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PACK_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+TAIL_BYTES = 32
+"""Of the end of a payload, for ``tail_crc32``."""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +40,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = media.store_media(table(spark, sf_dir, "documents"), Workspace(spark, "media"))
-    read = media.read_features(media.read_headers(index))
+    read = media.read_features(media.read_headers(index), TAIL_BYTES)
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.col("length").alias("media_bytes"), "media_sha256", "feature", "width", "height")
 
 
