@@ -33,7 +33,7 @@ def chat(rows):
 def payload(text):
     data = (text or "").encode()
     whole = data + b"\xff" * (-len(data) % 576 if data else 576)
-    return len(data), len(whole), sha(whole), zlib.crc32(whole[-576:])
+    return len(data), len(whole), sha(whole), zlib.crc32(whole[-32:])
 
 
 def pieces(docs, size=2048):
@@ -123,6 +123,33 @@ def repeats(texts, length=400):
     return out
 
 
+def passages(texts, length):
+    """For each text, the places of words in passages of so many words that are found twice."""
+    data = [WORD.findall(t or "") for t in texts]
+    often = Counter(tuple(w[i : i + length]) for w in data for i in range(len(w) - length + 1))
+    return [{i + k for i in range(len(w) - length + 1) if often[tuple(w[i : i + length])] > 1 for k in range(length)} for w in data]
+
+
+def passage_bytes(text, places):
+    """The bytes of these words, and of what stands between two of them that follow each other."""
+    found = [(len(text[: m.start()].encode()), len(text[: m.end()].encode())) for m in WORD.finditer(text or "")]
+    return sum(found[k][1] - (found[k - 1][1] if k - 1 in places else found[k][0]) for k in places)
+
+
+def removed_bytes(texts, words, length=400):
+    """For each text, the places of bytes in strings of ``length`` bytes or passages of so many words that are found twice."""
+    data = [(t or "").encode() for t in texts]
+    often = Counter(hash(x[i : i + length]) for x in data for i in range(len(x) - length + 1))
+    out = []
+    for x, t, places in zip(data, texts, passages(texts, words), strict=True):
+        lost = {i + k for i in range(len(x) - length + 1) if often[hash(x[i : i + length])] > 1 for k in range(length)}
+        found = [(len(t[: m.start()].encode()), len(t[: m.end()].encode())) for m in WORD.finditer(t or "")]
+        for k in places:
+            lost.update(range(found[k - 1][1] if k - 1 in places else found[k][0], found[k][1]))
+        out.append(lost)
+    return out
+
+
 def component_words(words):
     return dict.fromkeys(map(" ".join, zip(words, words[1:], strict=False)))
 

@@ -80,7 +80,7 @@ def test_random_strings_encode_like_tiktoken():
 
 def test_media(spark, docs, none):
     index = media.store_media(docs, Workspace(spark, "t"))
-    read = media.read_features(media.read_headers(index))
+    read = media.read_features(media.read_headers(index), 32)
     assert got(read, "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32") == sorted(((d, *brute.payload(t)) for d, t in texts()), key=str)
     assert media.store_media(none, Workspace(spark, "t")).count() == 0
     raw = bytes(range(256)) * 9
@@ -169,19 +169,47 @@ def test_repeats(spark, docs, none):
     assert repeats.remove_repeats(none, Workspace(spark, "t")).count() == 0
 
 
+def test_repeats_of_one_text_and_of_damaged_characters(spark):
+    """Marks of replaced characters stay, a character that loses a byte goes whole, and periodic texts repeat themselves."""
+    draw = random.Random(4)
+    prose = lambda n: "".join(draw.choices("abcdefgh \n", k=n))
+    passage = "é" * 3 + prose(420) + "漢"
+    rows = [(1, "\ufffd" + prose(30) + "\ufffd" + passage + prose(20) + "\ufffd"), (2, prose(60) + passage), (3, "\u00ea" + passage[1:] + "漣"), (4, "ab" * 500), (5, prose(900)), (6, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.repeats([t for _, t in rows])
+    assert got(repeats.remove_repeats(frame, Workspace(spark, "t")), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == [(d, *w) for (d, _), w in zip(rows, want, strict=True)]
+    left = {r.doc_id: r.text for r in repeats.without_repeats(frame, Workspace(spark, "t")).collect()}
+    assert left[1].count("\ufffd") == 3 and left[4] == "" and left[5] == rows[4][1] and left[6] is None
+    assert all(len(left[d].encode()) <= len((t or "").encode()) - w[1] for (d, t), w in zip(rows[:5], want, strict=False))
+
+
+def test_random_repeats(spark):
+    """Texts of few letters, with many repeats of all lengths near the threshold, by both depths."""
+    draw = random.Random(7)
+    parts = ["".join(draw.choices("ab cd\n", k=draw.choice([90, 200, 380, 399, 400, 401, 430]))) for _ in range(14)]
+    rows = [(k, "".join(draw.choice([*parts, "x" * draw.randint(0, 40), "".join(draw.choices("abcdefg ", k=30))]) for _ in range(draw.randint(0, 8)))) for k in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = [(d, *w, brute.passage_bytes(t, n)) for (d, t), w, n in zip(rows, brute.repeats([t for _, t in rows]), brute.passages([t for _, t in rows], 40), strict=True)]
+    assert got(repeats.remove_repeats(frame, Workspace(spark, "t"), words=40), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes") == sorted(want, key=str)
+    assert sum(w[2] for w in want) and sum(w[5] for w in want)
+
+
 def test_repeats_across_chunks(monkeypatch):
-    """A text longer than a chunk, with passages over the seams, gets the anchors it would get whole."""
+    """A text longer than a chunk, with passages over the seams, gets the anchors and digits it would get whole."""
     import numpy as np
 
     draw = random.Random(2)
-    data = np.frombuffer(bytes(draw.choices(b"abcd ", k=9000)), np.uint8)
-    whole = repeats.anchors(data, repeats.Digits(data), 400, 150)
+    data, depth = np.frombuffer(bytes(draw.choices(b"abcd ", k=9000)), np.uint8), repeats.in_bytes()
+    ends = np.array([1000, 1000, 5200, 9000])
+    every = lambda: np.concatenate([np.stack([x.view(np.int64) for x in part]) for part in repeats.anchors(data, ends, depth)], 1)
+    whole = every()
+    bounds = np.zeros_like(whole[0]), np.full_like(whole[0], 9000)
+    digits = lambda: sorted(zip(*(x.tolist() for x in (np.concatenate(c) for c in zip(*((m, *d) for m, d in repeats.grid_digits(data, bounds, whole[0], (whole[0] - whole[1]) // 16, depth)), strict=True))), strict=True))
+    before = digits()
     monkeypatch.setattr(repeats, "CHUNK", 3000)
-    parts = []
-    for start, end, first, last in repeats._chunks(len(data), 400):
-        at = repeats.anchors(data[start:end], repeats.Digits(data[start:end]), 400, 150) + start
-        parts += at[(at >= first) & (at < last)].tolist()
-    assert parts == whole.tolist()
+    assert (every() == whole).all() and digits() == before
+    assert (whole[1] + 400 <= ends[np.searchsorted(ends, whole[0], "right")]).all()
+    assert sum((whole[2] - whole[1] + 1).tolist()) == sum(max(0, b - a - 399) for a, b in zip([0, *ends[:-1]], ends, strict=True))
 
 
 def test_chat(spark):

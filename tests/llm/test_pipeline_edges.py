@@ -64,6 +64,9 @@ def test_symbols_are_equal_where_words_are():
     starts, ends = repeats.word_places(np.frombuffer(text, np.uint8))
     found = [text[a:b] for a, b in zip(starts, ends, strict=True)]
     assert found == text.split()
-    codes = repeats.symbols(text, True).tolist()
+    texts = [b"", text, b" \n", b"one two", b""]
+    codes, ends = repeats.symbols(texts, True)
+    assert ends.tolist() == [0, 15, 15, 17, 17] and codes[15:].tolist() == codes[:2].tolist()
+    codes = codes[:15].tolist()
     assert len(codes) == len(found) and len(set(zip(codes, found, strict=True))) == len(set(codes)) == len(set(found))
-    assert len(repeats.symbols(b"", True)) == 0 == len(repeats.symbols(b" \n", True))
+    assert [len(x) for x in repeats.symbols([], True)] == [0, 0] == [len(x) for x in repeats.symbols([], False)]

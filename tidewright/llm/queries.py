@@ -15,6 +15,8 @@ PACK_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TAIL_BYTES = 32
 """Of the end of a payload, for ``tail_crc32``."""
+PASSAGE_WORDS = 51
+"""The least passage counted in ``n_passage_bytes``: over 50 words."""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,7 +84,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, sf_dir, "documents"), Workspace(spark, "repeats"))
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), Workspace(spark, "repeats"), words=PASSAGE_WORDS)
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_media, op3_packing, op4_token_counts, op5_language_id, op6_byte_bpe, op7_quality, op8_licenses, op9_near_dedup, op10_repeats)}

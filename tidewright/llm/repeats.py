@@ -1,24 +1,28 @@
-"""Removal of repeated byte strings: a depth-limited radix sort of suffixes.
-
-Every string of ``length`` bytes is a suffix cut at that depth. Two of them are equal exactly when they stay in one group
-through all passes of a most-significant-digit radix sort, so the sort needs only that depth, and groups alone on a digit drop
-out. The first digit is an anchor: of the ``GRAM``-byte strings within the suffix, the one with the least hash, which equal
-suffixes share at the same offset. All suffixes around one anchor occurrence go through the passes as one block. A
-pass looks at two digits of a block: the bytes that all its suffixes have in common, and all their bytes. Alone on the
-first, no suffix of the block repeats; not alone on the second, all do; otherwise the block is split in ``FAN`` for the next
-pass, down to single suffixes. Equal blocks enter a pass once. Digits are 64-bit polynomial hashes; groups are only
-ever counted, never gathered, so neither copies nor frequent passages meet in a task.
-
-Depth can be counted in words too: then a text is the string of its words' hashes, and the same passes run over these.
-
-Null text counts as empty. Texts shorter than
-``length`` repeat nothing. Equal rows repeat each other; null ids pass through. An empty table gives an empty result.
+"""Removal of repeated passages: a depth-limited radix sort of suffixes, most significant digit first.
+
+A text is a string of symbols: its bytes, or the hashes of its words. A passage of ``length`` symbols is a suffix cut at that
+depth, and two of them are equal exactly when every pass leaves them in one group, so the sort goes no deeper than that. A
+pass deals the suffixes by their next digit and drops those that are alone; no group is gathered, only counted, so neither copies
+nor frequent passages meet in a task. Digits are 64-bit polynomial hashes of stretches of symbols.
+
+* The first pass needs no row for each suffix. Its digit is a suffix's anchor: of the ``gram``-symbol strings within its depth
+  the one with the least hash, which equal suffixes have at the same place. One row stands for all suffixes of an anchor.
+* The next passes take the suffixes of anchors that are left, from left to right through ``Depth.digits``. Where
+  symbols are bytes, only every ``grid``-th suffix, counted from its anchor, goes through them, cut where the suffixes
+  between would end.
+* The last pass, for bytes only, takes those between as well, through the whole depth. Where all bytes of a group's suffixes
+  agree there is nothing left to tell apart, and of equal stretches one is enough for the others to meet.
+
+Equal texts enter once, under a key of 128 bits. A text that stands twice, whatever its ids, repeats from end to end. Null text
+counts as empty. Texts shorter than ``length`` repeat nothing. Ids play no part: null, equal and ill-typed ids pass through, and
+rows that tie get equal results. Very long texts go by overlapping chunks. An empty table gives an empty result. Only the id
+and text columns are read, so extra columns may have any name.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +33,10 @@ from tidewright.llm.arrow_batches import split_batch
 from tidewright.llm.workspace import Workspace
 
 LENGTH = 400
-GRAM = 150
-WORD_GRAM = 19
-"""The anchor's length where depth is in words."""
-FAN = 4
+GRID = 16
 CHUNK = 1 << 19
+PLACE = np.uint64((1 << 20) - 1)
+MOST_SEEN = 200_000
 _DRAWN = np.random.default_rng(400)
 _BYTES = _DRAWN.integers(0, 1 << 64, 256, np.uint64)
 _BASE = np.uint64(int(_DRAWN.integers(0, 1 << 62)) * 2 + 1)
@@ -42,6 +45,30 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+@dataclass(frozen=True)
+class Depth:
+    """How deep suffixes are sorted, in symbols. ``digits`` are the ends of the digits after the first, from a suffix's start."""
+
+    length: int
+    gram: int
+    grid: int
+    digits: tuple[int, ...]
+    words: bool = False
+
+    @property
+    def name(self) -> str:
+        return "words" if self.words else "bytes"
+
+
+def in_bytes(length: int = LENGTH) -> Depth:
+    grid = max(1, min(GRID, length // 4))
+    return Depth(length, max(1, length * 3 // 8), grid, (length - grid + 1,))
+
+
+def in_words(length: int) -> Depth:
+    return Depth(length, max(1, length * 3 // 8), 1, tuple(dict.fromkeys((max(1, length // 2), length))), True)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The base's powers and their inverses, to n."""
     if len(_POWERS[0]) < n:
@@ -57,7 +84,8 @@ class Digits:
     def __init__(self, data: np.ndarray):
         powers, self.inverse = _powers(len(data) + 1)
         self.n = len(data)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((_BYTES[data] if data.dtype == np.uint8 else data) * powers[: len(data)], dtype=np.uint64)])
+        values = _BYTES[data] if data.dtype == np.uint8 else data
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[: len(data)], dtype=np.uint64)])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         raw = (self.sums[end] - self.sums[start]) * self.inverse[start]
@@ -72,19 +100,20 @@ def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def symbols(text: bytes, words: bool) -> np.ndarray:
-    """What a text's depth is counted in: its bytes, or a hash of each word."""
-    data = np.frombuffer(text, np.uint8)
+def symbols(texts: Sequence[bytes], words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all texts in one string, and where each text ends in it."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     if not words:
-        return data
-    starts, ends = word_places(data)
+        return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes)
+    data = np.frombuffer(b"\n".join(texts), np.uint8)
+    starts, stops = word_places(data)
     made = np.zeros(len(starts), np.uint64)
     seams = np.searchsorted(starts, np.arange(0, len(data) + CHUNK, CHUNK))
     for a, b in zip(seams[:-1], seams[1:], strict=True):
         if a < b:
-            own = Digits(data[starts[a] : ends[b - 1]])
-            made[a:b] = own.of(starts[a:b] - starts[a], ends[a:b] - starts[a])
-    return made
+            own = Digits(data[starts[a] : stops[b - 1]])
+            made[a:b] = own.of(starts[a:b] - starts[a], stops[a:b] - starts[a])
+    return made, np.searchsorted(starts, np.cumsum(sizes + 1))
 
 
 def window_least(keys: np.ndarray, width: int) -> np.ndarray:
@@ -96,29 +125,8 @@ def window_least(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(data: np.ndarray, digits: Digits, length: int, gram: int) -> np.ndarray:
-    """Positions of the anchors of all suffixes of a chunk."""
-    if len(data) < length:
-        return np.zeros(0, np.int64)
-    at = np.arange(len(data) - gram + 1)
-    keys = digits.of(at, at + gram) & ~np.uint64((1 << 20) - 1) | at.astype(np.uint64)
-    return np.unique(window_least(keys, length - gram + 1) & np.uint64((1 << 20) - 1)).astype(np.int64)
-
-
-def block_digits(digits: Digits, at: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For blocks of suffixes that start ``low`` to ``high`` bytes before an anchor: the digit of their common bytes,
-    the digit of all their bytes, and whether the block has a suffix. Bytes beyond the text count as such."""
-    core, core_end = at - low, at - high + length
-    wide, wide_end = at - high, at - low + length
-    there = (core >= 0) & (core_end <= digits.n)
-    before, after = np.maximum(-wide, 0), np.maximum(wide_end - digits.n, 0)
-    beyond = (before * 65_537 + after).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    inside = lambda x: np.clip(x, 0, digits.n)
-    return digits.of(inside(core), inside(core_end)), digits.of(inside(wide), inside(wide_end)) ^ beyond, there
-
-
 def _chunks(size: int, length: int) -> Iterator[tuple[int, int, int, int]]:
-    """(start, end, first, last): overlapping stretches of a text, and the anchors that each of them sees whole."""
+    """(start, end, first, last): overlapping stretches of a string, and the anchors that each of them sees whole."""
     step, start = CHUNK - 4 * length, 0
     while True:
         end = min(size, start + CHUNK)
@@ -128,187 +136,290 @@ def _chunks(size: int, length: int) -> Iterator[tuple[int, int, int, int]]:
         start += step
 
 
-BLOCKS = "doc long, tag int, at long, low int, core long, wide long"
-_KINDS = {"at": np.int64, "low": np.int32, "core": np.int64, "wide": np.int64}
-
-
-def _block_rows(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
-    """parts: (row of the batch, at, low, core, wide) as arrays."""
-    rows = np.concatenate([np.full(len(p[1]), p[0], np.int64) for p in parts]) if parts else np.zeros(0, np.int64)
-    made = [pa.array(np.concatenate([p[k + 1] for p in parts]).astype(kind, copy=False) if parts else np.zeros(0, kind)) for k, kind in enumerate(_KINDS.values())]
-    return pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(rows)), batch.column("tag").take(pa.array(rows)), *made], ["doc", "tag", *_KINDS])
+def anchors(data: np.ndarray, ends: np.ndarray, depth: Depth) -> Iterator[tuple[np.ndarray, ...]]:
+    """(at, first, last, digit): anchors, the first and the last suffix that each is the anchor of, and their hashes. No suffix
+    reaches over the end of its text."""
+    length, gram = depth.length, depth.gram
+    for start, end, low, high in _chunks(len(data), length):
+        if end - start < length:
+            continue
+        own, at = Digits(data[start:end]), np.arange(end - start - gram + 1)
+        keys = own.of(at, at + gram) & ~PLACE | at.astype(np.uint64)
+        least = (window_least(keys, length - gram + 1) & PLACE).astype(np.int64)
+        crossing = np.zeros(len(least) + 1, np.int64)
+        border = ends[(ends > start) & (ends < end)] - start
+        np.add.at(crossing, np.clip(border - length + 1, 0, len(least)), 1)
+        np.add.at(crossing, np.minimum(border, len(least)), -1)
+        suffix = np.flatnonzero(np.cumsum(crossing[:-1]) == 0)
+        if not len(suffix):
+            continue
+        found = least[suffix]
+        new = np.flatnonzero(np.concatenate([[True], (found[1:] != found[:-1]) | (suffix[1:] != suffix[:-1] + 1)]))
+        at, first, last = found[new], suffix[new], suffix[np.concatenate([new[1:], [len(suffix)]]) - 1]
+        seen = (at + start >= low) & (at + start < high)
+        yield at[seen] + start, first[seen] + start, last[seen] + start, own.of(at[seen], at[seen] + gram)
+
+
+def grid_digits(data: np.ndarray, bounds: tuple[np.ndarray, np.ndarray], at: np.ndarray, turn: np.ndarray, depth: Depth) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """For the grid suffixes that start ``turn`` * ``grid`` before their anchors: which they are, and their digits. The last
+    digit is of all symbols of the suffixes up to the grid suffix before; symbols beyond the text count as such."""
+    for start, end, low, high in _chunks(len(data), depth.length):
+        mine = np.flatnonzero((at >= low) & (at < high))
+        if not len(mine):
+            continue
+        own, places, begin = Digits(data[start:end]), at[mine] - depth.grid * turn[mine] - start, 0
+        made = []
+        for stop in depth.digits:
+            made.append(own.of(places + begin, places + stop))
+            begin = stop
+        if depth.grid > 1:
+            left, right = places - depth.grid + 1, places + depth.length
+            text_left, text_right = np.maximum(bounds[0][mine] - start, 0), np.minimum(bounds[1][mine] - start, end - start)
+            before, after = np.maximum(text_left - left, 0), np.maximum(right - text_right, 0)
+            beyond = (before * 65_537 + after).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            made.append(own.of(left + before, right - after) ^ beyond)
+        yield mine, made
+
+
+def row_key(text: str) -> dict[str, Column]:
+    """128 bits of a text."""
+    whole = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    return {"h1": F.xxhash64(whole), "h2": F.xxhash64(F.lit("text"), whole)}
+
+
+KEY = ["h1", "h2"]
+
+
+def _arrays(schema: dict[str, type], batch: pa.RecordBatch, rows: np.ndarray, values: Sequence[np.ndarray]) -> pa.RecordBatch:
+    """Values of rows of a batch, with their texts' keys."""
+    index = pa.array(rows)
+    made = [pa.array(v.view(np.int64) if v.dtype == np.uint64 else v.astype(kind, copy=False)) for v, kind in zip(values, schema.values(), strict=True)]
+    return pa.RecordBatch.from_arrays([batch.column("h1").take(index), batch.column("h2").take(index), *made], [*KEY, *schema])
+
+
+def _ddl(schema: dict[str, type]) -> str:
+    return ", ".join(["h1 long", "h2 long", *(f"{name} {'int' if kind is np.int32 else 'long'}" for name, kind in schema.items())])
+
+
+def first_pass(texts: DataFrame, depth: Depth) -> DataFrame:
+    """A row for each anchor of (h1, h2, text). Texts that a task has seen before give none."""
+    schema = {"at": np.int64, "first": np.int64, "last": np.int64, "digit": np.int64}
 
-
-def first_blocks(texts: DataFrame, length: int, gram: int, words: bool = False) -> DataFrame:
-    """A block of (doc, tag, text) for each anchor, which is what its suffixes have in common."""
-    span = length - gram
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for whole in batches:
+            for batch in split_batch(whole, 4 << 20):
+                if len(seen) > MOST_SEEN:
+                    seen.clear()
+                new = []
+                for k, key in enumerate(zip(batch.column("h1").to_pylist(), batch.column("h2").to_pylist(), strict=True)):
+                    if key not in seen:
+                        seen.add(key)
+                        new.append(k)
+                batch = batch.take(pa.array(new, pa.int64()))
+                data, ends = symbols(batch.column("text").to_pylist(), depth.words)
+                begins = np.concatenate([[0], ends[:-1]])
+                for at, first, last, digit in anchors(data, ends, depth):
+                    row = np.searchsorted(ends, at, "right")
+                    yield _arrays(schema, batch, row, [at - begins[row], first - begins[row], last - begins[row], digit])
+
+    return texts.mapInArrow(make, _ddl(schema))
+
+
+def _places(batch: pa.RecordBatch, fields: Sequence[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The rows of a batch that its places belong to, and the places' fields."""
+    places = batch.column("places")
+    sizes = np.diff(np.asarray(places.offsets))
+    flat = places.flatten()
+    return np.repeat(np.arange(batch.num_rows), sizes), [np.asarray(flat.field(f)).astype(np.int64) for f in fields]
+
+
+def next_digits(waiting: DataFrame, depth: Depth) -> DataFrame:
+    """The grid suffixes of (h1, h2, text, places), places being anchors (at, first, last), with all their digits."""
+    schema = {"at": np.int64, "turn": np.int32, **{f"digit{k}": np.int64 for k in range(len(depth.digits))}, **({"wide": np.int64} if depth.grid > 1 else {})}
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in split_batch(whole, 4 << 20):
-                parts = []
-                for row, text in enumerate(batch.column("text").to_pylist()):
-                    data = symbols(text, words)
-                    if len(data) < length:
-                        continue
-                    for start, end, first, last in _chunks(len(data), length):
-                        own = Digits(data[start:end])
-                        at = anchors(data[start:end], own, length, gram)
-                        at = at[(at + start >= first) & (at + start < last)]
-                        zero = np.zeros(len(at), np.int64)
-                        core, wide, _ = block_digits(own, at, zero, zero + span, length)
-                        parts.append((row, at + start, zero, core.view(np.int64), wide.view(np.int64)))
-                yield _block_rows(batch, parts)
+                data, ends = symbols(batch.column("text").to_pylist(), depth.words)
+                begins = np.concatenate([[0], ends[:-1]])
+                row, (at, first, last) = _places(batch, ("at", "first", "last"))
+                low, high = (at - last) // depth.grid, (at - first) // depth.grid
+                counts = high - low + 1
+                one = np.repeat(np.arange(len(at)), counts)
+                turn = low[one] + np.arange(len(one)) - np.repeat(np.cumsum(counts) - counts, counts)
+                row, at = row[one], at[one]
+                for mine, digits in grid_digits(data, (begins[row], ends[row]), at + begins[row], turn, depth):
+                    yield _arrays(schema, batch, row[mine], [at[mine], turn[mine], *digits])
 
-    return texts.mapInArrow(make, BLOCKS)
+    return waiting.mapInArrow(make, _ddl(schema))
 
 
-def split_blocks(waiting: DataFrame, length: int, gram: int, width: int, narrow: int, words: bool = False) -> DataFrame:
-    """Blocks of ``narrow`` suffixes of (doc, tag, text, places), from places (at, low) of blocks of ``width``."""
-    span = length - gram
+def last_digits(waiting: DataFrame, depth: Depth) -> DataFrame:
+    """Every suffix of (h1, h2, text, places), places being grid suffixes (at, turn, core), through its whole depth."""
+    schema = {"start": np.int64, "back": np.int32, "core": np.int64, "digit": np.int64}
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in split_batch(whole, 4 << 20):
-                parts = []
-                places = batch.column("places")
-                for row, text in enumerate(batch.column("text").to_pylist()):
-                    data = symbols(text, words)
-                    own_places = places[row].values
-                    at, low = np.asarray(own_places.field("at")), np.asarray(own_places.field("low")).astype(np.int64)
-                    ends = np.minimum(low + width - 1, span)
-                    steps = np.arange(0, width, narrow)
-                    lows = (low[:, None] + steps).ravel()
-                    ats, most = np.repeat(at, len(steps)), np.repeat(ends, len(steps))
-                    ats, lows, most = ats[lows <= most], lows[lows <= most], most[lows <= most]
-                    for start, end, first, last in _chunks(len(data), length):
-                        mine = (ats >= first) & (ats < last)
-                        if not mine.any():
-                            continue
-                        high = np.minimum(lows[mine] + narrow - 1, most[mine])
-                        core, wide, there = block_digits(Digits(data[start:end]), ats[mine] - start, lows[mine], high, length)
-                        parts.append((row, ats[mine][there], lows[mine][there], core[there].view(np.int64), wide[there].view(np.int64)))
-                yield _block_rows(batch, parts)
-
-    return waiting.mapInArrow(make, BLOCKS)
-
-
-def _cut(texts: DataFrame) -> DataFrame:
-    """(doc, tag, text, spans) to what is left of the text. ``spans`` are in bytes, and ``word_spans``, if there, in words."""
-    both = "word_spans" in texts.columns
+                data, ends = symbols(batch.column("text").to_pylist(), depth.words)
+                begins = np.concatenate([[0], ends[:-1]])
+                row, (at, turn, core) = _places(batch, ("at", "turn", "core"))
+                at = at + begins[row]
+                for start, end, low, high in _chunks(len(data), depth.length):
+                    mine = np.flatnonzero((at >= low) & (at < high))
+                    if not len(mine):
+                        continue
+                    own = Digits(data[start:end])
+                    back = (turn[mine, None] * depth.grid + np.arange(depth.grid)).ravel()
+                    one = np.repeat(mine, depth.grid)
+                    first = at[one] - back
+                    there = (first >= begins[row[one]]) & (first + depth.length <= ends[row[one]])
+                    one, back, first = one[there], back[there], first[there]
+                    yield _arrays(schema, batch, row[one], [first - begins[row[one]], back, core[one], own.of(first - start, first - start + depth.length)])
+
+    return waiting.mapInArrow(make, _ddl(schema))
+
+
+def _in_company(rows: DataFrame, keys: list[str], work: Workspace, name: str, *more: Column) -> DataFrame:
+    """A pass: the rows that share their digits with others. Groups are written first, so that the join deals out both sides
+    itself and can split a frequent one."""
+    groups = rows.groupBy(*keys).agg(F.count("*").alias("__n"), *more).where("__n > 1").drop("__n")
+    return work.save(rows.join(work.save(groups, f"{name}-groups"), keys), f"{name}-rows")
+
+
+class _Sort:
+    """The passes over the texts of a table, by one depth."""
+
+    def __init__(self, keyed: DataFrame, work: Workspace, depth: Depth):
+        self.work, self.depth = work, depth
+        rows = work.save(first_pass(keyed, depth), f"{depth.name}-anchors")
+        self.left = _in_company(rows, ["digit"], work, f"{depth.name}-first")
+
+    def _with_texts(self, held: DataFrame, places: DataFrame, *fields: str) -> DataFrame:
+        gathered = places.groupBy(*KEY).agg(F.collect_set(F.struct(*fields)).alias("places"))
+        return held.join(gathered, KEY).select(*KEY, "text", "places")
+
+    def spans(self, held: DataFrame) -> DataFrame:
+        """(h1, h2, start, end) of what repeats, in symbols; an end may lie beyond the text, where the text ends."""
+        depth, work, name = self.depth, self.work, self.depth.name
+        rows = work.save(next_digits(self._with_texts(held, self.left, "at", "first", "last"), depth), f"{name}-suffixes")
+        keys, digits = ["turn"], [f"digit{k}" for k in range(len(depth.digits))]
+        for k, digit in enumerate(digits):
+            keys = [*keys, digit]
+            alike = [(F.min("wide") == F.max("wide")).alias("alike")] if depth.grid > 1 and k == len(digits) - 1 else []
+            rows = _in_company(rows, keys, work, f"{name}-{k}", *alike)
+        suffix = F.col("at") - F.col("turn") * depth.grid
+        if depth.grid == 1:
+            return rows.select(*KEY, suffix.alias("start"), (suffix + depth.length).alias("end"))
+        mixed = rows.where(~F.col("alike"))
+        kinds = work.save(mixed.groupBy(*keys, "wide").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "at")).alias("x")), f"{name}-kinds")
+        twice = mixed.join(kinds.where("n > 1").select(*keys, "wide"), [*keys, "wide"], "left_semi")
+        stretch = [(suffix - (depth.grid - 1)).alias("start"), (suffix + depth.length).alias("end")]
+        whole = rows.where("alike").select(*KEY, *stretch).unionByName(twice.select(*KEY, *stretch))
+        open_places = kinds.select("x.h1", "x.h2", "x.at", "turn", F.col(digits[-1]).alias("core"))
+        between = work.save(last_digits(self._with_texts(held, open_places, "at", "turn", "core"), depth), f"{name}-last")
+        single = _in_company(between, ["back", "core", "digit"], work, f"{name}-last")
+        return whole.unionByName(single.select(*KEY, "start", (F.col("start") + depth.length).alias("end")))
+
+
+def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of spans that overlap or touch."""
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    new = np.concatenate([[True], start[1:] > reach[:-1]])
+    return start[new], reach[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(start) - 1]])]
+
+
+def _cut(marked: DataFrame, depths: Sequence[Depth], removed: Sequence[int], characters: bool) -> DataFrame:
+    """(h1, h2, text, twice, spans0, ...) to what is left of the text without the spans of depths ``removed``, and of each depth
+    the number of bytes and of runs in its spans. With ``characters``, a character that loses a byte goes whole."""
+
+    def byte_spans(batch: pa.RecordBatch, row: int, text: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
+        own, depth = batch.column(f"spans{k}")[row].values, depths[k]
+        start, end = (np.asarray(own.field(f)) for f in ("start", "end")) if own is not None else (np.zeros(0, np.int64),) * 2
+        words = word_places(np.frombuffer(text, np.uint8)) if depth.words else None
+        size = len(words[0]) if words else len(text)
+        if batch.column("twice")[row].as_py() and size >= depth.length:
+            start, end = np.zeros(1, np.int64), np.full(1, size)
+        if not len(start):
+            return start, end
+        start, end = _merged(np.maximum(start, 0), np.minimum(end, size))
+        return (words[0][start], words[1][end - 1]) if words else (start, end)
+
+    def at_characters(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        inside = lambda at: at < len(text) and text[at] & 0xC0 == 0x80
+        starts, ends = start.tolist(), end.tolist()
+        for k in range(len(starts)):
+            while starts[k] > 0 and inside(starts[k]):
+                starts[k] -= 1
+            while inside(ends[k]):
+                ends[k] += 1
+        return np.array(starts, np.int64), np.array(ends, np.int64)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in split_batch(whole):
-                removed, runs, left = [], [], []
-                spans = batch.column("spans")
+                sizes, runs, left = [], [], []
                 for row, text in enumerate(batch.column("text").to_pylist()):
-                    own = spans[row].values
-                    start, end = np.maximum(np.asarray(own.field("start")), 0), np.minimum(np.asarray(own.field("end")), len(text))
-                    if both and len(own := batch.column("word_spans")[row].values):
-                        starts, ends = word_places(np.frombuffer(text, np.uint8))
-                        first, last = np.maximum(np.asarray(own.field("start")), 0), np.minimum(np.asarray(own.field("end")), len(starts))
-                        start, end = np.concatenate([start, starts[first]]), np.concatenate([end, ends[last - 1]])
-                    order = np.argsort(start, kind="stable")
-                    start, reach = start[order], np.maximum.accumulate(end[order])
-                    new = np.concatenate([[True], start[1:] > reach[:-1]])
-                    starts, ends = start[new], reach[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(start) - 1]])]
-                    at, kept = 0, []
-                    for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
-                        kept.append(text[at:s])
-                        at = e
-                    left.append(b"".join([*kept, text[at:]]))
-                    removed.append(len(text) - len(left[-1]))
-                    runs.append(len(starts))
-                yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("tag"), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(left, pa.binary())], ["doc", "tag", "n_removed", "n_spans", "left"])
-
-    return texts.mapInArrow(make, "doc long, tag int, n_removed long, n_spans long, left binary")
-
-
-def _find_spans(keyed: DataFrame, work: Workspace, name: str, length: int, gram: int, words: bool = False) -> DataFrame:
-    """(doc, tag, start, end) of the suffixes of (doc, tag, text) that repeat, and the table ``name`` of the texts that may
-    hold some."""
-    span = length - gram
-    rows = work.save(first_blocks(keyed, length, gram, words), "blocks-0")
-    spans, width, level, both = None, FAN, 0, ["low", "core"]
-    while width <= span:
-        width *= FAN
-    while True:
-        groups = rows.groupBy(*both).agg(F.count("*").alias("n"), F.min("wide").alias("first"), F.max("wide").alias("last")).where("n > 1").select(*both, (F.col("first") == F.col("last")).alias("alike"))
-        # Written first, so that the join deals out both sides itself and can split a frequent core.
-        groups = work.save(groups, f"groups-{level}")
-        shared = work.save(rows.join(groups, both), f"shared-{level}")
-        mixed = shared.where(~F.col("alike"))
-        kinds = work.save(mixed.groupBy(*both, "wide").agg(F.count("*").alias("n"), F.min(F.struct("doc", "tag", "at")).alias("x")), f"kinds-{level}")
-        twice = mixed.join(kinds.where("n > 1").select(*both, "wide"), [*both, "wide"], "left_semi")
-        found = shared.where("alike").select("doc", "tag", "at", "low").unionByName(twice.select("doc", "tag", "at", "low"))
-        high = F.least(F.col("low") + (width - 1), F.lit(span))
-        found = work.save(found.select("doc", "tag", (F.col("at") - high).alias("start"), (F.col("at") - F.col("low") + length).alias("end")), f"spans-{level}")
-        spans = found if spans is None else spans.unionByName(found)
-        if level == 0:
-            held = keyed.join(shared.select("doc", "tag").distinct(), ["doc", "tag"], "left_semi").dropDuplicates(["doc", "tag"])
-            parts = int(work.spark.conf.get("spark.sql.shuffle.partitions"))
-            held.repartition(parts, "doc", "tag").write.bucketBy(parts, "doc", "tag").option("compression", "zstd").option("path", f"{work.path}/texts").saveAsTable(name)
-        if width == 1 or kinds.isEmpty():
-            break
-        narrow = width // FAN
-        places = kinds.select("x.doc", "x.tag", F.struct("x.at", "low").alias("place")).groupBy("doc", "tag").agg(F.collect_list("place").alias("places"))
-        waiting = work.spark.table(name).join(places, ["doc", "tag"]).select("doc", "tag", "text", "places")
-        rows = work.save(split_blocks(waiting, length, gram, width, narrow, words), f"blocks-{level + 1}")
-        for done in (f"blocks-{level}", f"groups-{level}", f"shared-{level}", f"kinds-{level}"):
-            work.drop(done)
-        width, level = narrow, level + 1
-    return spans
-
-
-def find_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, words: int | None = None) -> DataFrame:
-    """For rows from which bytes go: ``doc`` and ``tag`` (see ``row_key``), ``n_removed``, ``n_spans`` and ``left``, the
-    bytes that remain. With ``words``, repeated passages of so many words go as well, though they have fewer bytes."""
-    key = row_key(id_column, text)
-    keyed = docs.select(key["doc"].alias("doc"), key["tag"].alias("tag"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    name = f"repeats_{work.path[-32:]}"
-    span = F.struct("start", "end")
-    found = _find_spans(keyed, work, name, length, gram)
-    if words is None:
-        held, marked = work.spark.table(name), found.groupBy("doc", "tag").agg(F.collect_set(span).alias("spans"))
-    else:
-        part = Workspace(work.spark, "repeats-in-words")
-        by_words = _find_spans(keyed, part, f"{name}_words", words, WORD_GRAM, True)
-        each = found.withColumn("unit", F.lit("byte")).unionByName(by_words.withColumn("unit", F.lit("word")))
-        of = lambda unit: F.collect_set(F.when(F.col("unit") == unit, span))
-        marked = each.groupBy("doc", "tag").agg(of("byte").alias("spans"), of("word").alias("word_spans"))
-        held = work.spark.table(name).unionByName(work.spark.table(f"{name}_words")).dropDuplicates(["doc", "tag"])
-    cut = work.save(_cut(held.join(marked, ["doc", "tag"]).select("doc", "tag", "text", *marked.columns[2:])), "cut")
-    work.spark.sql(f"DROP TABLE {name}")
-    work.drop("texts")
-    if words is not None:
-        work.spark.sql(f"DROP TABLE {name}_words")
-        part.drop()
-    return cut
-
-
-def row_key(id_column: str, text: str) -> dict[str, Column]:
-    """What tells rows apart inside this operator: the id (a hash of id and text where it is no number), and a hash of the text."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    return {"doc": F.coalesce(F.col(id_column).try_cast("long"), F.xxhash64(F.col(id_column), whole)), "tag": F.hash(whole)}
-
-
-def remove_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` of the bytes that remain."""
-    cut = find_repeats(docs, work, id_column, text, length, gram).select("doc", "tag", "n_removed", "n_spans", F.sha2("left", 256).alias("digest"))
+                    found = [byte_spans(batch, row, text, k) for k in range(len(depths))]
+                    sizes.append([int((e - s).sum()) for s, e in found])
+                    runs.append([len(s) for s, _ in found])
+                    start, end = (np.concatenate([found[k][n] for k in removed]) for n in (0, 1))
+                    if len(start) and characters:
+                        start, end = at_characters(text, start, end)
+                    if len(start):
+                        start, end = _merged(start, end)
+                    edges = [0, *np.stack([start, end], 1).ravel().tolist(), len(text)]
+                    left.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+                columns = [pa.array(sizes, pa.list_(pa.int64())), pa.array(runs, pa.list_(pa.int64())), pa.array(left, pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), *columns], [*KEY, "sizes", "runs", "left"])
+
+    return marked.mapInArrow(make, "h1 long, h2 long, sizes array<long>, runs array<long>, left binary")
+
+
+def find_repeats(docs: DataFrame, work: Workspace, text: str, depths: Sequence[Depth], removed: Sequence[int], characters: bool = False) -> DataFrame:
+    """For each text with repeats by any depth, under its key: of each depth ``sizes`` (bytes) and ``runs`` of what repeats,
+    and ``left``, the bytes that remain without the repeats of the depths ``removed``."""
+    keyed = docs.select(*[c.alias(n) for n, c in row_key(text).items()], F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    sorts = [_Sort(keyed, work, d) for d in depths]
+    copies = work.save(keyed.groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1").select(*KEY), "copies")
+    wanted = copies
+    for s in sorts:
+        wanted = wanted.unionByName(s.left.select(*KEY))
+    table, parts = f"repeats_{work.path[-32:]}", int(work.spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        texts = keyed.dropDuplicates(KEY).join(work.save(wanted.distinct(), "wanted"), KEY, "left_semi")
+        texts.write.bucketBy(parts, *KEY).option("compression", "zstd").option("path", f"{work.path}/texts").saveAsTable(table)
+        held = work.spark.table(table)
+        marked = held.join(copies.withColumn("twice", F.lit(True)), KEY, "left").withColumn("twice", F.coalesce("twice", F.lit(False)))
+        for k, s in enumerate(sorts):
+            spans = work.save(s.spans(held), f"spans-{k}").groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias(f"spans{k}"))
+            marked = marked.join(spans, KEY, "left")
+        return work.save(_cut(marked, depths, removed, characters), "cut")
+    finally:
+        work.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        work.drop_all_but("cut")
+
+
+def remove_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """``id``, ``n_bytes``, and of strings of ``length`` bytes that repeat ``n_removed``, ``n_spans`` and the ``kept_sha256`` of the
+    bytes that remain. With ``words``, also ``n_passage_bytes``, the bytes in passages of so many words that repeat; they stay."""
+    depths = [in_bytes(length), *([in_words(words)] if words else [])]
+    cut = find_repeats(docs, work, text, depths, [0])
+    extra = ["n_passage_bytes"] if words else []
+    found = cut.select(*KEY, F.get("sizes", F.lit(0)).alias("n_removed"), F.get("runs", F.lit(0)).alias("n_spans"), *[F.get("sizes", F.lit(1)).alias(c) for c in extra], F.sha2("left", 256).alias("digest"))
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(id_column), F.octet_length(whole).cast("long").alias("n_bytes"), F.sha2(whole.cast("binary"), 256).alias("own"), *[c.alias(n) for n, c in row_key(id_column, text).items()])
-    zero = F.lit(0).cast("long")
-    return rows.join(cut, ["doc", "tag"], "left").select(id_column, "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("digest", "own").alias("kept_sha256"))
-
-
-def _whole_characters(left: Column) -> Column:
-    return F.replace(F.make_valid_utf8(left.cast("string")), F.lit("\ufffd"), F.lit(""))
-
-
-def without_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, words: int | None = None) -> DataFrame:
-    """docs with the remaining text; ``words`` as for ``find_repeats``. A character that loses some of its bytes goes whole."""
-    cut = find_repeats(docs, work, id_column, text, length, gram, words)
-    keyed = docs.withColumns({f"__{n}": c for n, c in row_key(id_column, text).items()})
-    joined = keyed.join(cut.select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("left").alias("__left")), ["__doc", "__tag"], "left")
-    return joined.withColumn(text, F.when(F.col("__left").isNotNull(), _whole_characters(F.col("__left"))).otherwise(F.col(text))).select(*docs.columns)
+    rows = docs.select(F.col(id_column), F.octet_length(whole).cast("long").alias("n_bytes"), F.sha2(whole.cast("binary"), 256).alias("own"), *[c.alias(n) for n, c in row_key(text).items()])
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_removed", "n_spans", *extra)]
+    return rows.join(found, KEY, "left").select(id_column, "n_bytes", *counts, F.coalesce("digest", "own").alias("kept_sha256"))
+
+
+def without_repeats(docs: DataFrame, work: Workspace, text: str = "text", length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """docs with the remaining text, without strings of ``length`` bytes and passages of ``words`` words that repeat. A character
+    that loses some of its bytes goes whole; all others stay as they are."""
+    depths = [in_bytes(length), *([in_words(words)] if words else [])]
+    cut = find_repeats(docs, work, text, depths, range(len(depths)), characters=True)
+    keyed = docs.withColumns({f"__{n}": c for n, c in row_key(text).items()})
+    joined = keyed.join(cut.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("left").cast("string").alias("__left")), ["__h1", "__h2"], "left")
+    return joined.withColumn(text, F.when(F.col(text).isNotNull(), F.coalesce("__left", F.col(text)))).select(*docs.columns)

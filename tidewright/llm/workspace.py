@@ -38,3 +38,11 @@ class Workspace:
         """Deletes a table that nothing reads any more, or the whole folder."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def drop_all_but(self, *names: str) -> None:
+        """Deletes the folder's tables but for those that a result still reads."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for found in fs.listStatus(path) if fs.exists(path) else ():
+            if found.getPath().getName() not in names:
+                fs.delete(found.getPath(), True)
