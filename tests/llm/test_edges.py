@@ -203,9 +203,11 @@ def test_repeats_across_chunks(monkeypatch):
     ends = np.array([1000, 1000, 5200, 9000])
     every = lambda: np.concatenate([np.stack([x.view(np.int64) for x in part]) for part in repeats.anchors(data, ends, depth)], 1)
     whole = every()
-    bounds = np.zeros_like(whole[0]), np.full_like(whole[0], 9000)
-    digits = lambda: sorted(zip(*(x.tolist() for x in (np.concatenate(c) for c in zip(*((m, *d) for m, d in repeats.grid_digits(data, bounds, whole[0], (whole[0] - whole[1]) // 16, depth)), strict=True))), strict=True))
+    row = np.searchsorted(ends, whole[0], "right")
+    bounds = np.array([0, *ends[:-1]])[row], ends[row]
+    digits = lambda: sorted(x for part in repeats.grid_digits(data, bounds, whole[0], whole[0] - whole[1], 400, 16) for x in zip(*(p.tolist() for p in part), strict=True))
     before = digits()
+    assert len(before) == len(row)
     monkeypatch.setattr(repeats, "CHUNK", 3000)
     assert (every() == whole).all() and digits() == before
     assert (whole[1] + 400 <= ends[np.searchsorted(ends, whole[0], "right")]).all()

@@ -7,11 +7,10 @@ nor frequent passages meet in a task. Digits are 64-bit polynomial hashes of str
 
 * The first pass needs no row for each suffix. Its digit is a suffix's anchor: of the ``gram``-symbol strings within its depth
   the one with the least hash, which equal suffixes have at the same place. One row stands for all suffixes of an anchor.
-* The next passes take the suffixes of anchors that are left, from left to right through ``Depth.digits``. Where
-  symbols are bytes, only every ``grid``-th suffix, counted from its anchor, goes through them, cut where the suffixes
-  between would end.
-* The last pass, for bytes only, takes those between as well, through the whole depth. Where all bytes of a group's suffixes
-  agree there is nothing left to tell apart, and of equal stretches one is enough for the others to meet.
+* The next passes take the suffixes of anchors that are left, on ever finer grids (``Depth.grids``): every 16th suffix, counted
+  back from its anchor, then every fourth, then all. A grid suffix is cut where the suffixes up to the grid suffix before would
+  end, so it has company if any of these has. Where all symbols of a group's suffixes agree, there is nothing left to tell apart
+  and all of them repeat; of equal stretches in other groups one is enough for the others to meet in the next pass.
 
 Equal texts enter once, under a key of 128 bits. A text that stands twice, whatever its ids, repeats from end to end. Null text
 counts as empty. Texts shorter than ``length`` repeat nothing. Ids play no part: null, equal and ill-typed ids pass through, and
@@ -23,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,6 @@ from tidewright.llm.arrow_batches import split_batch
 from tidewright.llm.workspace import Workspace
 
 LENGTH = 400
-GRID = 16
 CHUNK = 1 << 19
 PLACE = np.uint64((1 << 20) - 1)
 MOST_SEEN = 200_000
@@ -47,12 +46,11 @@ _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 @dataclass(frozen=True)
 class Depth:
-    """How deep suffixes are sorted, in symbols. ``digits`` are the ends of the digits after the first, from a suffix's start."""
+    """How deep suffixes are sorted, in symbols, and the grids of the passes after the first."""
 
     length: int
     gram: int
-    grid: int
-    digits: tuple[int, ...]
+    grids: tuple[int, ...]
     words: bool = False
 
     @property
@@ -60,13 +58,16 @@ class Depth:
         return "words" if self.words else "bytes"
 
 
+def _depth(length: int, grids: Sequence[int], words: bool) -> Depth:
+    return Depth(length, max(1, length * 3 // 8), tuple(g for g in grids if 4 * g <= length or g == 1), words)
+
+
 def in_bytes(length: int = LENGTH) -> Depth:
-    grid = max(1, min(GRID, length // 4))
-    return Depth(length, max(1, length * 3 // 8), grid, (length - grid + 1,))
+    return _depth(length, (16, 4, 1), False)
 
 
 def in_words(length: int) -> Depth:
-    return Depth(length, max(1, length * 3 // 8), 1, tuple(dict.fromkeys((max(1, length // 2), length))), True)
+    return _depth(length, (4, 1), True)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,25 +161,20 @@ def anchors(data: np.ndarray, ends: np.ndarray, depth: Depth) -> Iterator[tuple[
         yield at[seen] + start, first[seen] + start, last[seen] + start, own.of(at[seen], at[seen] + gram)
 
 
-def grid_digits(data: np.ndarray, bounds: tuple[np.ndarray, np.ndarray], at: np.ndarray, turn: np.ndarray, depth: Depth) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """For the grid suffixes that start ``turn`` * ``grid`` before their anchors: which they are, and their digits. The last
-    digit is of all symbols of the suffixes up to the grid suffix before; symbols beyond the text count as such."""
-    for start, end, low, high in _chunks(len(data), depth.length):
-        mine = np.flatnonzero((at >= low) & (at < high))
+def grid_digits(data: np.ndarray, bounds: tuple[np.ndarray, np.ndarray], at: np.ndarray, back: np.ndarray, length: int, grid: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For the grid suffixes that start ``back`` before their anchors: which they are, their digits, and the digits of all symbols
+    of the suffixes up to the grid suffix before, where symbols beyond the text count as such. bounds: where their texts begin
+    and end; grid suffixes that none of their own ends in are left out."""
+    for start, end, low, high in _chunks(len(data), length):
+        mine = np.flatnonzero((at >= low) & (at < high) & (at - back >= bounds[0]) & (at - back + length - grid < bounds[1]))
         if not len(mine):
             continue
-        own, places, begin = Digits(data[start:end]), at[mine] - depth.grid * turn[mine] - start, 0
-        made = []
-        for stop in depth.digits:
-            made.append(own.of(places + begin, places + stop))
-            begin = stop
-        if depth.grid > 1:
-            left, right = places - depth.grid + 1, places + depth.length
-            text_left, text_right = np.maximum(bounds[0][mine] - start, 0), np.minimum(bounds[1][mine] - start, end - start)
-            before, after = np.maximum(text_left - left, 0), np.maximum(right - text_right, 0)
-            beyond = (before * 65_537 + after).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            made.append(own.of(left + before, right - after) ^ beyond)
-        yield mine, made
+        own, place = Digits(data[start:end]), at[mine] - back[mine] - start
+        core = own.of(place, place + length - grid + 1)
+        left, right = place - grid + 1, place + length
+        before, after = np.maximum(bounds[0][mine] - start - left, 0), np.maximum(right - (bounds[1][mine] - start), 0)
+        beyond = (before * 65_537 + after).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        yield mine, core, own.of(left + before, right - after) ^ beyond
 
 
 def row_key(text: str) -> dict[str, Column]:
@@ -234,9 +230,10 @@ def _places(batch: pa.RecordBatch, fields: Sequence[str]) -> tuple[np.ndarray, l
     return np.repeat(np.arange(batch.num_rows), sizes), [np.asarray(flat.field(f)).astype(np.int64) for f in fields]
 
 
-def next_digits(waiting: DataFrame, depth: Depth) -> DataFrame:
-    """The grid suffixes of (h1, h2, text, places), places being anchors (at, first, last), with all their digits."""
-    schema = {"at": np.int64, "turn": np.int32, **{f"digit{k}": np.int64 for k in range(len(depth.digits))}, **({"wide": np.int64} if depth.grid > 1 else {})}
+def next_pass(waiting: DataFrame, depth: Depth, grid: int) -> DataFrame:
+    """The grid suffixes of (h1, h2, text, places), places being an anchor and the first and last of some of its suffixes, with the
+    digit they have in this pass (``core``) and that of all symbols of the suffixes between (``wide``)."""
+    schema = {"at": np.int64, "back": np.int32, "core": np.int64, **({"wide": np.int64} if grid > 1 else {})}
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -244,48 +241,23 @@ def next_digits(waiting: DataFrame, depth: Depth) -> DataFrame:
                 data, ends = symbols(batch.column("text").to_pylist(), depth.words)
                 begins = np.concatenate([[0], ends[:-1]])
                 row, (at, first, last) = _places(batch, ("at", "first", "last"))
-                low, high = (at - last) // depth.grid, (at - first) // depth.grid
+                low, high = (at - last) // grid, (at - first) // grid
                 counts = high - low + 1
                 one = np.repeat(np.arange(len(at)), counts)
-                turn = low[one] + np.arange(len(one)) - np.repeat(np.cumsum(counts) - counts, counts)
+                back = (low[one] + np.arange(len(one)) - np.repeat(np.cumsum(counts) - counts, counts)) * grid
                 row, at = row[one], at[one]
-                for mine, digits in grid_digits(data, (begins[row], ends[row]), at + begins[row], turn, depth):
-                    yield _arrays(schema, batch, row[mine], [at[mine], turn[mine], *digits])
-
-    return waiting.mapInArrow(make, _ddl(schema))
-
-
-def last_digits(waiting: DataFrame, depth: Depth) -> DataFrame:
-    """Every suffix of (h1, h2, text, places), places being grid suffixes (at, turn, core), through its whole depth."""
-    schema = {"start": np.int64, "back": np.int32, "core": np.int64, "digit": np.int64}
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in split_batch(whole, 4 << 20):
-                data, ends = symbols(batch.column("text").to_pylist(), depth.words)
-                begins = np.concatenate([[0], ends[:-1]])
-                row, (at, turn, core) = _places(batch, ("at", "turn", "core"))
-                at = at + begins[row]
-                for start, end, low, high in _chunks(len(data), depth.length):
-                    mine = np.flatnonzero((at >= low) & (at < high))
-                    if not len(mine):
-                        continue
-                    own = Digits(data[start:end])
-                    back = (turn[mine, None] * depth.grid + np.arange(depth.grid)).ravel()
-                    one = np.repeat(mine, depth.grid)
-                    first = at[one] - back
-                    there = (first >= begins[row[one]]) & (first + depth.length <= ends[row[one]])
-                    one, back, first = one[there], back[there], first[there]
-                    yield _arrays(schema, batch, row[one], [first - begins[row[one]], back, core[one], own.of(first - start, first - start + depth.length)])
+                for mine, core, wide in grid_digits(data, (begins[row], ends[row]), at + begins[row], back, depth.length, grid):
+                    yield _arrays(schema, batch, row[mine], [at[mine], back[mine], core, wide][: len(schema)])
 
     return waiting.mapInArrow(make, _ddl(schema))
 
 
 def _in_company(rows: DataFrame, keys: list[str], work: Workspace, name: str, *more: Column) -> DataFrame:
-    """A pass: the rows that share their digits with others. Groups are written first, so that the join deals out both sides
-    itself and can split a frequent one."""
-    groups = rows.groupBy(*keys).agg(F.count("*").alias("__n"), *more).where("__n > 1").drop("__n")
-    return work.save(rows.join(work.save(groups, f"{name}-groups"), keys), f"{name}-rows")
+    """The rows that share their digits with others. Groups are written first, so that the join deals out both sides itself and
+    can split a frequent one. A group of one place is no company, however often it was read."""
+    place = F.xxhash64("h1", "at")
+    groups = rows.groupBy(*keys).agg(F.min(place).alias("__a"), F.max(place).alias("__z"), *more).where("__a != __z").drop("__a", "__z")
+    return work.save(rows.join(work.save(groups, f"{name}-groups"), keys), f"{name}-left")
 
 
 class _Sort:
@@ -294,33 +266,32 @@ class _Sort:
     def __init__(self, keyed: DataFrame, work: Workspace, depth: Depth):
         self.work, self.depth = work, depth
         rows = work.save(first_pass(keyed, depth), f"{depth.name}-anchors")
-        self.left = _in_company(rows, ["digit"], work, f"{depth.name}-first")
-
-    def _with_texts(self, held: DataFrame, places: DataFrame, *fields: str) -> DataFrame:
-        gathered = places.groupBy(*KEY).agg(F.collect_set(F.struct(*fields)).alias("places"))
-        return held.join(gathered, KEY).select(*KEY, "text", "places")
+        self.left = _in_company(rows, ["digit"], work, depth.name)
+        work.drop(f"{depth.name}-anchors")
 
-    def spans(self, held: DataFrame) -> DataFrame:
+    def spans(self, held: DataFrame) -> list[DataFrame]:
         """(h1, h2, start, end) of what repeats, in symbols; an end may lie beyond the text, where the text ends."""
-        depth, work, name = self.depth, self.work, self.depth.name
-        rows = work.save(next_digits(self._with_texts(held, self.left, "at", "first", "last"), depth), f"{name}-suffixes")
-        keys, digits = ["turn"], [f"digit{k}" for k in range(len(depth.digits))]
-        for k, digit in enumerate(digits):
-            keys = [*keys, digit]
-            alike = [(F.min("wide") == F.max("wide")).alias("alike")] if depth.grid > 1 and k == len(digits) - 1 else []
-            rows = _in_company(rows, keys, work, f"{name}-{k}", *alike)
-        suffix = F.col("at") - F.col("turn") * depth.grid
-        if depth.grid == 1:
-            return rows.select(*KEY, suffix.alias("start"), (suffix + depth.length).alias("end"))
-        mixed = rows.where(~F.col("alike"))
-        kinds = work.save(mixed.groupBy(*keys, "wide").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "at")).alias("x")), f"{name}-kinds")
-        twice = mixed.join(kinds.where("n > 1").select(*keys, "wide"), [*keys, "wide"], "left_semi")
-        stretch = [(suffix - (depth.grid - 1)).alias("start"), (suffix + depth.length).alias("end")]
-        whole = rows.where("alike").select(*KEY, *stretch).unionByName(twice.select(*KEY, *stretch))
-        open_places = kinds.select("x.h1", "x.h2", "x.at", "turn", F.col(digits[-1]).alias("core"))
-        between = work.save(last_digits(self._with_texts(held, open_places, "at", "turn", "core"), depth), f"{name}-last")
-        single = _in_company(between, ["back", "core", "digit"], work, f"{name}-last")
-        return whole.unionByName(single.select(*KEY, "start", (F.col("start") + depth.length).alias("end")))
+        depth, work, places, found = self.depth, self.work, self.left, []
+        for grid in depth.grids:
+            name = f"{depth.name}-{grid}"
+            gathered = places.groupBy(*KEY).agg(F.collect_set(F.struct("at", "first", "last")).alias("places"))
+            rows = work.save(next_pass(held.join(gathered, KEY).select(*KEY, "text", "places"), depth, grid), name)
+            alike = [(F.min("wide") == F.max("wide")).alias("alike")] if grid > 1 else []
+            left = _in_company(rows, ["back", "core"], work, name, *alike)
+            stretch = [(F.col("at") - F.col("back") - (grid - 1)).alias("start"), (F.col("at") - F.col("back") + depth.length).alias("end")]
+            if grid > 1:
+                mixed, key = left.where(~F.col("alike")), ["back", "core", "wide"]
+                kinds = work.save(mixed.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "at")).alias("x")), f"{name}-kinds")
+                twice = mixed.join(kinds.where("n > 1").select(*key), key, "left_semi")
+                done = left.where("alike").select(*KEY, *stretch).unionByName(twice.select(*KEY, *stretch))
+                last = F.col("x.at") - F.col("back")
+                places = kinds.select("x.h1", "x.h2", "x.at", (last - (grid - 1)).alias("first"), last.alias("last"))
+            else:
+                done = left.select(*KEY, *stretch)
+            found.append(work.save(done, f"{name}-spans"))
+            for table in (name, f"{name}-groups", f"{name}-left"):
+                work.drop(table)
+        return found
 
 
 def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -394,7 +365,7 @@ def find_repeats(docs: DataFrame, work: Workspace, text: str, depths: Sequence[D
         held = work.spark.table(table)
         marked = held.join(copies.withColumn("twice", F.lit(True)), KEY, "left").withColumn("twice", F.coalesce("twice", F.lit(False)))
         for k, s in enumerate(sorts):
-            spans = work.save(s.spans(held), f"spans-{k}").groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias(f"spans{k}"))
+            spans = reduce(DataFrame.unionByName, s.spans(held)).groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias(f"spans{k}"))
             marked = marked.join(spans, KEY, "left")
         return work.save(_cut(marked, depths, removed, characters), "cut")
     finally:
