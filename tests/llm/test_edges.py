@@ -241,3 +241,32 @@ def test_layouts(spark):
         1: ("prompt_response", [("user", "p"), ("assistant", "r")]), 2: ("instruction", [("user", "i"), ("user", "x"), ("assistant", "o")]), 3: ("instruction", [("user", "i"), ("assistant", "o")]),
         4: ("messages", [("system", "s"), ("user", "h")]), 5: ("from_value", [("assistant", "g")]), 6: (None, []),
     }
+
+
+def test_rows_that_share_an_id(spark):
+    """Each row links by its own text; a set's component has the least id of all its rows."""
+    base = [f"w{k}" for k in range(60)]
+    other = [f"v{k}" for k in range(60)]
+    rows = [(5, " ".join(base)), (5, " ".join(other)), (7, " ".join([*base, "x"])), (6, " ".join([*other, "y"])), (9, "lone words that are like nothing else here at all")]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), Workspace(spark, "t"))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found.collect()) == [(5, 56, 5, True), (5, 56, 5, True), (6, 57, 5, False), (7, 57, 5, False), (9, 6, 9, True)]
+
+
+def test_first_common_shingles_make_few_pairs(spark):
+    """Near copies of a text that is not there itself, most pairs of which are just under the threshold: candidates by full sets lose no
+    link, and where the text is there, they are far fewer than pairs."""
+    draw = random.Random(13)
+    for with_base in (False, True):
+        made = list(cluster(250, 150, 4, draw))
+        if with_base:
+            made = [*cluster(1, 150, 0, random.Random(17)), *cluster(900, 150, 5, random.Random(17))]
+        sets = {bytes([k % 250, k // 250]): near_dedup.shingle_set(t.encode()) for k, t in enumerate(made)}
+        linked = {(a, b) for a in sets for b in sets if a < b and 4 * (both := len(set(sets[a].tolist()) & set(sets[b].tolist()))) >= 3 * (len(sets[a]) + len(sets[b]) - both)} if not with_base else set()
+        hub = min(sets, key=lambda d: -len(sets[d]) if with_base else d)
+        part = lambda d: hub if with_base and 4 * (both := len(set(sets[d].tolist()) & set(sets[hub].tolist()))) >= 3 * (len(sets[d]) + len(sets[hub]) - both) else d  # noqa: E731,B023
+        live = spark.createDataFrame([(bytearray(d), len(s), bytearray(part(d))) for d, s in sets.items()], "node binary, n long, component binary")
+        texts = spark.createDataFrame([(bytearray(d), bytearray(t.encode())) for d, t in zip(sets, made, strict=True)], "node binary, text binary")
+        pairs = {(bytes(r.a), bytes(r.b)) for r in near_dedup._first_common(live, texts, Workspace(spark, "t"), 75).distinct().collect()}
+        assert linked <= pairs
+        if with_base:
+            assert len(pairs) < 0.02 * len(made) ** 2 / 2

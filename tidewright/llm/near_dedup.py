@@ -1,17 +1,25 @@
 """Near duplicates by bottom-k sketches from one hash function.
 
 A document's set is its distinct shingles of ``SHINGLE`` words (lower-cased in A-Z), as 64-bit hashes; a text of fewer words
-is one shingle. Documents with equal sets are one class. A class's sketch is the ``k`` smallest hashes. Two sets with
-similarity 0.75 share so many retained values that, of the rarest ones of each, at least one is shared; only these enter the
-inverted lists. Lists are never expanded into all pairs: in each round one member of a list's largest component, its hub, is
-compared with the members of other components, and what links to it joins. After ``ROUNDS`` rounds the members still outside
-are compared with all other components of the list, but for those that full sets show to be too far from anything: nothing is
-capped. A pair goes on when the union of both sketches estimates a similarity
-of ``LEAST_ESTIMATE`` (over four standard deviations below the threshold), and links when the full sets have it.
-Components come from alternating large-star and small-star steps. All tables between rounds are written to the shared folder.
-
-Null text and text without words have no set and link with nothing. Repeated rows are copies like any other. Rows with a
-null id are kept: they have a component of their own, null, and ``kept`` is true. An empty table gives an empty result.
+is one shingle. Documents with equal sets are one class, known by a 128-bit mark of the set. A class's sketch is the ``k``
+smallest hashes; inverted lists of the rarest retained values generate overlaps. Lists are never expanded into all pairs:
+
+1. In each of ``ROUNDS`` rounds one member of a list's largest component, its hub, is compared with the members of other
+   components, and what links to it joins. The union of both sketches estimates the similarity, and full sets verify it.
+2. Members of lists that still hold several components are compared by full sets alone. A set can share no shingle that it alone
+   has, which bounds its similarity to any other; for what is within bounds, sets are ordered by frequency, rarest shingle
+   first. Two similar sets have their first common shingle so early that enough can follow in both, so only those first
+   shingles enter lists, and a pair is compared only if both places, both sizes, both components and the parities of both sets
+   allow a link. What is just under the threshold is told apart by these, so a large group makes few pairs.
+
+A link of similarity 0.75 is missed by step 1's lists or estimates only if two 32-value sketches share fewer than 8 values of their
+union's, the chance of which is below 1e-9 (24 are expected); step 2 is exact. Nothing is capped or sampled. Components come from
+alternating large-star and small-star steps. All tables between rounds are written to the shared folder.
+
+Null text and text without words have no set and link with nothing. Repeated rows are copies like any other. Rows that share an id
+but not a text are separate: each has the component of its own set. Rows with a null id are kept: they have a component
+of their own, null, and ``kept`` is true. Very long texts are one set each. An empty table gives an empty result. Only the id and
+text columns are read, so extra columns may have any name.
 """
 
 from __future__ import annotations
@@ -32,11 +40,13 @@ from tidewright.llm.workspace import Workspace
 SHINGLE = 5
 PERCENT = 75
 K = 32
-SHARED_SHARE = 0.375
-"""Of the values of the larger sketch, the share that two similar sets have in common at least: five deviations below the mean."""
-LEAST_ESTIMATE = 0.4
-ROUNDS = 4
+SHARED_SHARE = 0.25
+"""Of the values of the larger sketch, the share that two similar sets have in common at least."""
+LEAST_ESTIMATE = 0.25
+ROUNDS = 2
 EDGES_AT_ONCE = 50_000
+PARITIES = 8
+"""Words of 64 bits for the parities of a set."""
 #: Odd multipliers of the words of a shingle, and of the finishing mix.
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -60,22 +70,29 @@ def shingle_set(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(mixed ^ (mixed >> np.uint64(31)))
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
+
+
 def sketches(docs: DataFrame, id_column: str, text: str, k: int = K) -> DataFrame:
-    """``n`` distinct shingles, ``mark`` of the whole set, and the ``sketch`` in ascending order."""
+    """``doc``, ``h`` of its text, ``n`` distinct shingles, ``mark`` of the whole set, and the ``sketch`` in ascending order."""
     id_type = docs.schema[id_column].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in split_batch(whole):
-                sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
-                low = [s[:k].view(np.int64) for s in sets]
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
+                sets = [shingle_set(t) for t in batch.column("t").to_pylist()]
                 marks = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                values = np.concatenate(low) if low else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(marks, pa.binary()), pa.ListArray.from_arrays(ends, pa.array(values))], ["doc", "n", "mark", "sketch"])
+                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array(marks, pa.binary()), _lists([s[:k].view(np.int64) for s in sets])]
+                yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("h"), *columns], ["doc", "h", "n", "mark", "sketch"])
+
+    rows = docs.select(F.col(id_column).alias("doc"), _text_hash(text).alias("h"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
+    return rows.mapInArrow(make, f"doc {id_type}, h long, n long, mark binary, sketch array<long>")
+
 
-    rows = docs.select(F.col(id_column), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
-    return rows.mapInArrow(make, f"doc {id_type}, n long, mark binary, sketch array<long>")
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def _union_estimates(pairs: DataFrame, k: int) -> DataFrame:
@@ -91,7 +108,7 @@ def _union_estimates(pairs: DataFrame, k: int) -> DataFrame:
                 passed.append(shared >= LEAST_ESTIMATE * len(least))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-    return pairs.mapInArrow(keep, f"a {pairs.schema['a'].dataType.simpleString()}, b {pairs.schema['b'].dataType.simpleString()}")
+    return pairs.mapInArrow(keep, "a binary, b binary")
 
 
 def _exact(pairs: DataFrame, percent: int) -> DataFrame:
@@ -109,7 +126,7 @@ def _exact(pairs: DataFrame, percent: int) -> DataFrame:
                     passed.append(100 * both >= percent * (len(left) + len(right) - both))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-    return pairs.mapInArrow(keep, f"a {pairs.schema['a'].dataType.simpleString()}, b {pairs.schema['b'].dataType.simpleString()}")
+    return pairs.mapInArrow(keep, "a binary, b binary")
 
 
 def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
@@ -126,8 +143,10 @@ def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
         large = work.save(large.coalesce(width), f"{name}-{step}-large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        now = work.save(small.coalesce(width), f"{name}-{step + 1}")
+        for done in (f"{name}-{step}", f"{name}-{step}-large"):
+            work.drop(done)
         step += 1
-        now = work.save(small.coalesce(width), f"{name}-{step}")
         # Done when the edges are stars: no node has two, and none at an end is a centre too.
         ends = now.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(now.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
         if ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 OR (out = 1 AND into = 1)").isEmpty():
@@ -135,102 +154,151 @@ def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
 
 
 def _inverted(classes: DataFrame) -> DataFrame:
-    """(value, doc, n, lonely): of each class the rarest retained values that a similar class must share one of, without
+    """(value, node, n, lonely): of each class the rarest retained values that a similar class must share one of, without
     lonely ones. ``lonely`` is the share of the sketch that no other sketch has."""
-    kept = classes.select("doc", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
+    kept = classes.select("node", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
     often = kept.groupBy("value").agg(F.count("*").alias("df"))
-    ranked = kept.join(often, "value").groupBy("doc").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))
+    ranked = kept.join(often, "value").groupBy("node").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))
     needed = F.col("m") - F.ceil(F.col("m") * F.lit(SHARED_SHARE)).cast("int") + 1
     lonely = F.size(F.filter("values", lambda x: x["df"] == 1)) / F.col("m")
-    entries = ranked.select("doc", "n", lonely.alias("lonely"), F.explode(F.filter(F.slice("values", 1, F.greatest(needed, F.lit(1))), lambda x: x["df"] > 1)).alias("x"))
-    return entries.select("x.value", "doc", "n", "lonely")
+    entries = ranked.select("node", "n", lonely.alias("lonely"), F.explode(F.filter(F.slice("values", 1, F.greatest(needed, F.lit(1))), lambda x: x["df"] > 1)).alias("x"))
+    return entries.select("x.value", "node", "n", "lonely")
 
 
 def _mains(placed: DataFrame, turn: int) -> DataFrame:
     """(value, main, hub): of each list over several components its largest one, and a hub in it. The first hub is the
     document with the least of its own, as a text that others were made from is; later ones are drawn from those with little."""
     own = F.floor(F.col("lonely") * (8 if turn else 64))
-    hub = F.min(F.struct(own.alias("own"), F.xxhash64("doc", F.lit(turn)).alias("h"), F.col("doc").alias("hub")))
+    hub = F.min(F.struct(own.alias("own"), F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("hub")))
     by_part = placed.groupBy("value", "component").agg(F.count("*").alias("size"), hub.alias("x"))
     most = F.max(F.struct("size", F.col("x.h").alias("h"), F.col("component").alias("main"), F.col("x.hub").alias("hub")))
     return by_part.groupBy("value").agg(F.count("*").alias("parts"), most.alias("y")).where("parts > 1").select("value", "y.main", "y.hub")
 
 
 def _shingles(texts: DataFrame) -> DataFrame:
-    """(doc, s) for each distinct shingle of (doc, text)."""
+    """(node, s) for each distinct shingle of (node, text)."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in split_batch(whole, 2 << 20):
+                sets = _lists([shingle_set(t).view(np.int64) for t in batch.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column("node"), sets], ["node", "sets"])
+
+    return texts.select("node", "text").mapInArrow(make, "node binary, sets array<long>").select("node", F.explode("sets").alias("s"))
+
+
+def _parities(texts: DataFrame) -> DataFrame:
+    """(node, bits0, ...) of (node, text): of each of ``PARITIES`` * 64 buckets of shingles, whether the set has an odd number.
+    Two sets differ in one shingle at least for each bit in which these differ."""
+    names = [f"bits{k}" for k in range(PARITIES)]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in split_batch(whole, 2 << 20):
-                sets = [shingle_set(t).view(np.int64) for t in batch.column("text").to_pylist()]
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-                values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.ListArray.from_arrays(ends, pa.array(values))], ["doc", "sets"])
+                odd = [np.bincount((shingle_set(t) % np.uint64(PARITIES * 64)).astype(np.int64), minlength=PARITIES * 64) & 1 for t in batch.column("text").to_pylist()]
+                words = np.packbits(np.array(odd, np.uint8).reshape(len(odd), PARITIES * 64), axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("node"), *[pa.array(words[:, k].copy()) for k in range(PARITIES)]], ["node", *names])
+
+    return texts.select("node", "text").mapInArrow(make, ", ".join(["node binary", *(f"{n} long" for n in names)]))
 
-    made = texts.select("doc", "text").mapInArrow(make, f"doc {texts.schema['doc'].dataType.simpleString()}, sets array<long>")
-    return made.select("doc", F.explode("sets").alias("s"))
 
+def _least_overlap(n: Column, other: Column, percent: int) -> Column:
+    """Shingles that sets of these sizes have in common if they link."""
+    return F.ceil((n + other) * percent / (100 + percent))
 
-def _remaining(placed: DataFrame, texts: DataFrame, work: Workspace, percent: int) -> DataFrame | None:
-    """Pairs that may link lists' components still. A document can share no shingle that it alone has, which bounds its
-    similarity to any other; entries out of bounds leave the lists, in two passes, before members are paired."""
+
+def _within_bounds(placed: DataFrame, texts: DataFrame, work: Workspace, percent: int) -> DataFrame | None:
+    """(node, n, component) of members of lists over several components that may link beyond their own still, by the shingles
+    that each has for itself. Two passes, since what leaves takes company from others."""
     for step in range(2):
-        mains = work.save(_mains(placed, ROUNDS), f"open-{step}")
+        mains = work.save(_mains(placed, ROUNDS).select("value"), f"open-{step}")
         if mains.isEmpty():
             return None
-        lists = work.save(placed.join(mains.select("value", "main"), "value"), f"open-lists-{step}")
-        members = lists.select("doc").distinct()
-        counts = _shingles(texts.join(members, "doc", "left_semi").dropDuplicates(["doc"])).groupBy("s").agg(F.count("*").alias("df"), F.min("doc").alias("doc"))
-        alone = counts.where("df = 1").groupBy("doc").agg(F.count("*").alias("alone"))
-        least = work.save(lists.groupBy("value").agg(F.min("n").alias("least")), f"open-least-{step}")
-        bounded = lists.join(alone, "doc", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone").join(least, "value")
+        lists = work.save(placed.join(mains, "value"), f"open-lists-{step}")
+        members = lists.select("node").distinct()
+        counts = _shingles(texts.join(members, "node", "left_semi")).groupBy("s").agg(F.count("*").alias("df"), F.min("node").alias("node"))
+        alone = counts.where("df = 1").groupBy("node").agg(F.count("*").alias("alone"))
+        least = lists.groupBy("value").agg(F.min("n").alias("least"))
+        bounded = lists.join(alone, "node", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).join(least, "value")
+        partner = F.greatest(F.ceil(F.col("n") * percent / 100), F.col("least"))
+        placed = work.save(bounded.where(F.col("shared") >= _least_overlap(F.col("n"), partner, percent)).drop("least", "alone", "shared"), f"bounded-{step}")
+    return placed.select("node", "n", "component").distinct()
+
+
+def _first_common(live: DataFrame, texts: DataFrame, work: Workspace, percent: int) -> DataFrame:
+    """Pairs (a, b) of (node, n, component) over several components that can link by where their first common shingle is, sets
+    being ordered by frequency among these nodes."""
+    own = work.save(_shingles(texts.join(live, "node", "left_semi")), "own-shingles")
+    often = own.groupBy("s").agg(F.count("*").alias("df"))
+    ordered = own.join(often, "s").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("order")).join(live, "node")
+    first = F.col("n") - _least_overlap(F.col("n"), F.ceil(F.col("n") * percent / 100), percent) + 1
+    placed = ordered.select("node", "n", "component", F.posexplode(F.slice("order", 1, first.cast("int"))).alias("place", "x"))
+    entries = work.save(placed.where("x.df > 1").select(F.col("x.s").alias("s"), "node", "n", "component", "place"), "first-shingles-0")
+    for step in range(2):
+        least = entries.groupBy("s").agg(F.min("n").alias("least"), F.min("component").alias("one"), F.max("component").alias("other")).where("one != other").select("s", "least")
         partner = F.greatest(F.ceil(F.col("n") * percent / 100), F.col("least"))
-        placed = work.save(bounded.where((100 + percent) * F.col("shared") >= percent * (F.col("n") + partner)).drop("least", "main"), f"bounded-{step}")
-        placed, shared = placed.drop("shared"), placed
-    mains = work.save(_mains(shared, ROUNDS), "open-last").select("value", "main")
-    outside = shared.join(mains, "value").where("component != main").select("value", "doc", "component", "n", "shared")
-    other = shared.select("value", *[F.col(c).alias(f"other_{c}") for c in ("doc", "component", "n", "shared")])
-    both = outside.join(other, "value").where((F.col("component") != F.col("other_component")) & ((100 + percent) * F.least("shared", "other_shared") >= percent * (F.col("n") + F.col("other_n"))))
-    return both.select(F.least("doc", "other_doc").alias("a"), F.greatest("doc", "other_doc").alias("b"))
+        near = entries.join(least, "s").where(F.col("n") - F.col("place") >= _least_overlap(F.col("n"), partner, percent)).drop("least")
+        entries = work.save(near, f"first-shingles-{step + 1}")
+    sizes = entries.groupBy("s", "component").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("s").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
+    bits = _parities(texts.join(entries.select("node").distinct(), "node", "left_semi"))
+    entries = work.save(entries.join(bits, "node"), "first-shingles-bits")
+    outside = entries.join(work.save(main, "first-mains"), "s").where("component != main")
+    other = entries.select("s", *[F.col(c).alias(f"other_{c}") for c in entries.columns if c != "s"])
+    # Of two that are both outside the largest component, one side is enough.
+    once = (F.col("other_component") == F.col("main")) | (F.col("node") < F.col("other_node"))
+    sizes_allow = (100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n")) & (F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place")) >= _least_overlap(F.col("n"), F.col("other_n"), percent))
+    differ = sum((F.bit_count(F.col(f"bits{k}").bitwiseXOR(F.col(f"other_bits{k}"))) for k in range(PARITIES)), F.lit(0))
+    bits_allow = differ <= F.col("n") + F.col("other_n") - 2 * _least_overlap(F.col("n"), F.col("other_n"), percent)
+    both = outside.join(other, "s").where((F.col("component") != F.col("other_component")) & once & sizes_allow & bits_allow)
+    return both.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT, k: int = K) -> DataFrame:
     """``id``, ``n_shingles``, ``component_id`` and ``kept`` of every row."""
     found = work.save(sketches(docs, id_column, text, k), "sketches")
     real = found.where(F.col("doc").isNotNull() & (F.col("n") > 0))
-    members = real.groupBy("n", "mark").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch"))
-    classes = work.save(members, "classes")
+    members = real.groupBy(F.col("mark").alias("node")).agg(F.min(F.struct("doc", "h")).alias("x"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    classes = work.save(members.select("node", "x.doc", "x.h", "n", "sketch"), "classes")
     lists = work.save(_inverted(classes), "lists")
-    listed = lists.select("doc").distinct()
-    whole = docs.select(F.col(id_column).alias("doc"), F.col(text).cast("binary").alias("text"))
-    texts = work.save(whole.join(listed, "doc", "left_semi"), "texts")
-    marks = classes.select("doc", "sketch")
+    listed = classes.join(lists.select("node").distinct(), "node", "left_semi").select("doc", "h", "node")
+    whole = docs.select(F.col(id_column).alias("doc"), _text_hash(text).alias("h"), F.col(text).cast("binary").alias("text"))
+    texts = work.save(whole.join(listed, ["doc", "h"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    marks = classes.select("node", "sketch")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Of candidate pairs, those whose sketches are alike."""
+        with_a = pairs.join(marks.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+        return _union_estimates(with_a.join(marks.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b").select("a", "b", "sketch_a", "sketch_b"), k)
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
         """Of candidate pairs, those that link."""
-        with_a = pairs.join(marks.select(F.col("doc").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-        near = _union_estimates(with_a.join(marks.select(F.col("doc").alias("b"), F.col("sketch").alias("sketch_b")), "b").select("a", "b", "sketch_a", "sketch_b"), k)
-        left = near.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
-        full = left.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
+        left = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        full = left.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
         return work.save(_exact(full, percent), f"edges-{name}")
 
     parts = None
     for turn in range(ROUNDS + 1):
-        placed = lists.withColumn("component", F.col("doc")) if parts is None else lists.join(parts, lists["doc"] == parts["node"], "left").withColumn("component", F.coalesce("component", "doc")).drop("node")
+        placed = lists.withColumn("component", F.col("node")) if parts is None else lists.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if turn < ROUNDS:
             mains = work.save(_mains(placed, turn), f"mains-{turn}")
-            pairs = placed.join(mains, "value").where("component != main").select(F.col("hub").alias("a"), F.col("doc").alias("b"))
+            pairs = work.save(placed.join(mains, "value").where("component != main").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), f"pairs-{turn}")
+            pairs = alike(pairs)
         else:
-            pairs = _remaining(work.save(placed, "placed"), texts, work, percent)
-            if pairs is None:
+            live = _within_bounds(work.save(placed, "placed"), texts, work, percent)
+            if live is None:
                 continue
-        new = verified(pairs.distinct(), str(turn))
+            pairs = work.save(_first_common(work.save(live, "live"), texts, work, percent).distinct(), "first-pairs")
+        new = linked(pairs, str(turn))
         if turn and new.isEmpty():
             continue
         known = new if parts is None else new.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
         parts = components(known, work, f"stars-{turn}")
-    reached = classes.join(parts, classes["doc"] == parts["node"], "left").select("n", "mark", F.coalesce("component", "doc").alias("component_id"))
-    joined = found.join(reached, ["n", "mark"], "left")
+    labelled = classes.select("node", "doc").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = labelled.groupBy("component").agg(F.min("doc").alias("component_id"))
+    reached = work.save(labelled.join(smallest, "component").select(F.col("node").alias("mark"), "component_id"), "reached")
+    work.drop_all_but("sketches", "reached")
+    joined = found.select("doc", "n", "mark").join(reached, "mark", "left")
     own = F.when(F.col("n") > 0, F.coalesce("component_id", "doc")).otherwise(F.col("doc"))
     result = joined.select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), own).alias("component_id"))
     return result.withColumn("kept", F.coalesce(F.col(id_column) == F.col("component_id"), F.lit(True)))
