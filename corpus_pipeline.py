@@ -41,9 +41,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates stays: the one with the least id, null ids last. Rows are told apart by a key
     of their own, as ids may repeat or be null."""
-    work = Workspace(spark, "pipeline-near-dedup")
-    keyed = work.save(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
-    found = near_dedup.near_duplicates(keyed, work, "row").select("row", "component_id").join(keyed.select("row", "doc_id"), "row")
+    keyed = Workspace(spark, "pipeline-rows").save(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = near_dedup.near_duplicates(keyed, Workspace(spark, "pipeline-near-dedup"), "row").select("row", "component_id").join(keyed.select("row", "doc_id"), "row")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("least")
     first = found.groupBy("component_id").agg(least).select("least.row")
     return keyed.join(first, "row", "left_semi").select(*COLUMNS)
