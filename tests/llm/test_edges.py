@@ -260,13 +260,13 @@ def test_first_common_shingles_make_few_pairs(spark):
         made = list(cluster(250, 150, 4, draw))
         if with_base:
             made = [*cluster(1, 150, 0, random.Random(17)), *cluster(900, 150, 5, random.Random(17))]
-        sets = {bytes([k % 250, k // 250]): near_dedup.shingle_set(t.encode()) for k, t in enumerate(made)}
+        sets = {k: near_dedup.shingle_set(t.encode()) for k, t in enumerate(made)}
         linked = {(a, b) for a in sets for b in sets if a < b and 4 * (both := len(set(sets[a].tolist()) & set(sets[b].tolist()))) >= 3 * (len(sets[a]) + len(sets[b]) - both)} if not with_base else set()
         hub = min(sets, key=lambda d: -len(sets[d]) if with_base else d)
         part = lambda d: hub if with_base and 4 * (both := len(set(sets[d].tolist()) & set(sets[hub].tolist()))) >= 3 * (len(sets[d]) + len(sets[hub]) - both) else d  # noqa: E731,B023
-        live = spark.createDataFrame([(bytearray(d), len(s), bytearray(part(d))) for d, s in sets.items()], "node binary, n long, component binary")
-        texts = spark.createDataFrame([(bytearray(d), bytearray(t.encode())) for d, t in zip(sets, made, strict=True)], "node binary, text binary")
-        pairs = {(bytes(r.a), bytes(r.b)) for r in near_dedup._first_common(live, texts, Workspace(spark, "t"), 75).distinct().collect()}
+        live = spark.createDataFrame([(d, len(s), part(d)) for d, s in sets.items()], "node long, n long, component long")
+        texts = spark.createDataFrame([(d, bytearray(t.encode())) for d, t in zip(sets, made, strict=True)], "node long, text binary")
+        pairs = {(r.a, r.b) for r in near_dedup._first_common(live, texts, Workspace(spark, "t"), 75).distinct().collect()}
         assert linked <= pairs
         if with_base:
             assert len(pairs) < 0.02 * len(made) ** 2 / 2

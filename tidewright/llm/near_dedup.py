@@ -1,7 +1,7 @@
 """Near duplicates by bottom-k sketches from one hash function.
 
 A document's set is its distinct shingles of ``SHINGLE`` words (lower-cased in A-Z), as 64-bit hashes; a text of fewer words
-is one shingle. Documents with equal sets are one class, known by a 128-bit mark of the set. A class's sketch is the ``k``
+is one shingle. Documents with equal sets (by a 128-bit mark) are one class. A class's sketch is the ``k``
 smallest hashes; inverted lists of the rarest retained values generate overlaps. Lists are never expanded into all pairs:
 
 1. In each of ``ROUNDS`` rounds one member of a list's largest component, its hub, is compared with the members of other
@@ -108,7 +108,7 @@ def _union_estimates(pairs: DataFrame, k: int) -> DataFrame:
                 passed.append(shared >= LEAST_ESTIMATE * len(least))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-    return pairs.mapInArrow(keep, "a binary, b binary")
+    return pairs.mapInArrow(keep, "a long, b long")
 
 
 def _exact(pairs: DataFrame, percent: int) -> DataFrame:
@@ -126,7 +126,7 @@ def _exact(pairs: DataFrame, percent: int) -> DataFrame:
                     passed.append(100 * both >= percent * (len(left) + len(right) - both))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-    return pairs.mapInArrow(keep, "a binary, b binary")
+    return pairs.mapInArrow(keep, "a long, b long")
 
 
 def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
@@ -184,7 +184,7 @@ def _shingles(texts: DataFrame) -> DataFrame:
                 sets = _lists([shingle_set(t).view(np.int64) for t in batch.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([batch.column("node"), sets], ["node", "sets"])
 
-    return texts.select("node", "text").mapInArrow(make, "node binary, sets array<long>").select("node", F.explode("sets").alias("s"))
+    return texts.select("node", "text").mapInArrow(make, "node long, sets array<long>").select("node", F.explode("sets").alias("s"))
 
 
 def _parities(texts: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def _parities(texts: DataFrame) -> DataFrame:
                 words = np.packbits(np.array(odd, np.uint8).reshape(len(odd), PARITIES * 64), axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("node"), *[pa.array(words[:, k].copy()) for k in range(PARITIES)]], ["node", *names])
 
-    return texts.select("node", "text").mapInArrow(make, ", ".join(["node binary", *(f"{n} long" for n in names)]))
+    return texts.select("node", "text").mapInArrow(make, ", ".join(["node long", *(f"{n} long" for n in names)]))
 
 
 def _least_overlap(n: Column, other: Column, percent: int) -> Column:
@@ -258,24 +258,19 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id",
     """``id``, ``n_shingles``, ``component_id`` and ``kept`` of every row."""
     found = work.save(sketches(docs, id_column, text, k), "sketches")
     real = found.where(F.col("doc").isNotNull() & (F.col("n") > 0))
-    members = real.groupBy(F.col("mark").alias("node")).agg(F.min(F.struct("doc", "h")).alias("x"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    classes = work.save(members.select("node", "x.doc", "x.h", "n", "sketch"), "classes")
+    members = real.groupBy("mark").agg(F.min(F.struct("doc", "h")).alias("x"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # Numbers are given once, as the table is written.
+    classes = work.save(members.select(F.monotonically_increasing_id().alias("node"), "mark", "x.doc", "x.h", "n", "sketch"), "classes")
     lists = work.save(_inverted(classes), "lists")
     listed = classes.join(lists.select("node").distinct(), "node", "left_semi").select("doc", "h", "node")
     whole = docs.select(F.col(id_column).alias("doc"), _text_hash(text).alias("h"), F.col(text).cast("binary").alias("text"))
-    texts = work.save(whole.join(listed, ["doc", "h"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    texts = work.save(whole.dropDuplicates(["doc", "h"]).join(listed, ["doc", "h"]).select("node", "text"), "texts")
     marks = classes.select("node", "sketch")
 
-    def alike(pairs: DataFrame) -> DataFrame:
-        """Of candidate pairs, those whose sketches are alike."""
-        with_a = pairs.join(marks.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-        return _union_estimates(with_a.join(marks.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b").select("a", "b", "sketch_a", "sketch_b"), k)
-
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """Of candidate pairs, those that link."""
-        left = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        full = left.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
-        return work.save(_exact(full, percent), f"edges-{name}")
+    def with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+        """pairs with both sides' values. Each side is found by itself, so that few pairs never make a large table move."""
+        side = lambda x: pairs.join(table.select(F.col("node").alias(x), F.col(column).alias(f"{column}_{x}")), x)
+        return side("a").join(side("b"), ["a", "b"]).select("a", "b", f"{column}_a", f"{column}_b")
 
     parts = None
     for turn in range(ROUNDS + 1):
@@ -283,20 +278,20 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id",
         if turn < ROUNDS:
             mains = work.save(_mains(placed, turn), f"mains-{turn}")
             pairs = work.save(placed.join(mains, "value").where("component != main").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), f"pairs-{turn}")
-            pairs = alike(pairs)
+            pairs = work.save(_union_estimates(with_both(pairs, marks, "sketch"), k), f"alike-{turn}")
         else:
             live = _within_bounds(work.save(placed, "placed"), texts, work, percent)
             if live is None:
                 continue
             pairs = work.save(_first_common(work.save(live, "live"), texts, work, percent).distinct(), "first-pairs")
-        new = linked(pairs, str(turn))
+        new = work.save(_exact(with_both(pairs, texts, "text"), percent), f"edges-{turn}")
         if turn and new.isEmpty():
             continue
         known = new if parts is None else new.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
         parts = components(known, work, f"stars-{turn}")
-    labelled = classes.select("node", "doc").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = classes.select("node", "mark", "doc").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = labelled.groupBy("component").agg(F.min("doc").alias("component_id"))
-    reached = work.save(labelled.join(smallest, "component").select(F.col("node").alias("mark"), "component_id"), "reached")
+    reached = work.save(labelled.join(smallest, "component").select("mark", "component_id"), "reached")
     work.drop_all_but("sketches", "reached")
     joined = found.select("doc", "n", "mark").join(reached, "mark", "left")
     own = F.when(F.col("n") > 0, F.coalesce("component_id", "doc")).otherwise(F.col("doc"))

@@ -266,7 +266,7 @@ class _Sort:
     def __init__(self, keyed: DataFrame, work: Workspace, depth: Depth):
         self.work, self.depth = work, depth
         rows = work.save(first_pass(keyed, depth), f"{depth.name}-anchors")
-        self.left = _in_company(rows, ["digit"], work, depth.name)
+        self.left = _in_company(rows, ["digit"], work, depth.name).drop("digit")
         work.drop(f"{depth.name}-anchors")
 
     def spans(self, held: DataFrame) -> list[DataFrame]:
@@ -289,7 +289,7 @@ class _Sort:
             else:
                 done = left.select(*KEY, *stretch)
             found.append(work.save(done, f"{name}-spans"))
-            for table in (name, f"{name}-groups", f"{name}-left"):
+            for table in (name, f"{name}-groups", f"{name}-left", f"{depth.name}-left"):
                 work.drop(table)
         return found
 
