@@ -115,6 +115,16 @@ def test_line_rules(spark):
     assert one.kept and one.clean_text == text.removesuffix("\nmenu") and one.lost_chars == 4
 
 
+def test_ordinary_texts_are_kept(spark):
+    """Words that boilerplate uses stand in prose too, and sentences end in more marks than Latin ones."""
+    bakers = "The bakery sells a cookie that people cross the town for.\nIts owner wrote a compiler from JavaScript to oven timers when she was young.\nNow she bakes, and the timers still run as they ought to."
+    hindi = "यह एक छोटी सी कहानी है जो गाँव के बारे में है।\nवहाँ एक नदी बहती थी और लोग सुबह उसके पास आते थे।\nफिर सब अपने घर लौट जाते थे और दिन भर काम करते थे।"
+    frame = spark.createDataFrame([(1, bakers, 7), (2, hindi, 8)], "doc_id long, text string, kept long")
+    assert [(r.kept, r.lost_chars) for r in quality.judge(frame).orderBy("doc_id").collect()] == [(True, 0), (True, 0)]
+    left = quality.clean(frame)
+    assert left.columns == frame.columns and sorted(tuple(r) for r in left.collect()) == [(1, bakers, 7), (2, hindi, 8)]
+
+
 def test_licenses(docs, none, spark):
     assert licenses.scan_licenses(docs).count() == len(texts()) and licenses.scan_licenses(none).count() == 0
     frame = spark.createDataFrame([(1, "Some prose.\nReleased under the MIT license\nmore"), (2, "licensed under cc by 4.0"), (3, "mit license"), (4, None)], "doc_id long, text string")
@@ -229,6 +239,17 @@ def test_chat(spark):
     assert chat_format.format_turns(empty, "conv_id", ["turn"]).count() == 0
 
 
+def test_roles_stay_and_harmless_fields_change_nothing(spark):
+    rows = [(1, 0, "human", "h"), (1, 1, "gpt", "g" * 300_000), (1, 2, "assistant", "a")]
+    out = chat_format.format_turns(chat_format.canonical_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), ["role", "text"]), "conv_id", ["turn"])
+    read = out.select(chat_format.parse_formatted(F.col("formatted")).alias("turns"), chat_format.trained_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).first()
+    assert [(t.role, t.text) for t in read.turns] == [r[2:] for r in rows] and read.loss == "a"
+    named = '{"messages": [{"role": "human", "content": "h", "name": "Ann"}, {"role": "gpt", "content": "g"}]}'
+    frame = spark.createDataFrame([(named,)], "j string").select(F.from_json("j", "messages array<struct<role:string,content:string,name:string>>").alias("s")).select("s.*")
+    found = chat_format.canonical_turns(frame, ["messages"]).first()
+    assert found.layout == "messages" and [(t.role, t.text) for t in found.turns] == [("user", "h"), ("assistant", "g")]
+
+
 def test_layouts(spark):
     rows = [
         '{"id": 1, "prompt": "p", "response": "r"}', '{"id": 2, "instruction": "i", "input": "x", "output": "o"}', '{"id": 3, "instruction": "i", "output": "o"}',

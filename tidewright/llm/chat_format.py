@@ -1,13 +1,14 @@
 """Chat formatting by schema fingerprints, in DataFrame functions alone.
 
-A row's fingerprint is the SHA-256 of its nested field paths that hold something. It selects a declarative mapping, which
+A row's fingerprint is the SHA-256 of its nested field paths that hold something, but for harmless ones. It selects a declarative mapping, which
 turns prompt, instruction and message layouts into canonical turns of role and text. ``format_turns`` writes the turns
 of a conversation with a template that marks them and escapes control strings inside texts; ``parse_formatted`` reads them
 back.
 
 Null text counts as empty, null role as "". Rows of one conversation come in the order of the given columns, nulls first,
 then by role and text; equal rows stay separate turns. A row whose fingerprint no mapping has gets ``layout`` null and no
-turns, and its conversation is kept. An empty table gives an empty result. Result columns that the input has too must be
+turns, and its conversation is kept. Roles stay as they are unless the layout names aliases. A conversation is one value in the
+end, so very long texts and conversations must fit in a task. An empty table gives an empty result. Result columns that the input has too must be
 dropped or renamed by the caller: only the named input columns are read.
 """
 
@@ -38,19 +39,25 @@ class Turn:
 @dataclass(frozen=True)
 class Mapping:
     """``required`` and ``optional`` are the field paths of the layout. ``turns`` make one turn each, in order; ``each``
-    names an array of messages that makes one turn per element, with the given fields."""
+    names an array of messages that makes one turn per element, with the given fields. ``roles`` are other names of roles that
+    the layout uses; all else stays as it is."""
 
     name: str
     required: tuple[str, ...]
     optional: tuple[str, ...] = ()
     turns: tuple[Turn, ...] = ()
     each: tuple[str, str, str] | None = None
+    roles: tuple[tuple[str, str], ...] = ()
 
     def fingerprints(self) -> list[str]:
         options = (c for k in range(len(self.optional) + 1) for c in combinations(self.optional, k))
         return [fingerprint_of((*self.required, *c)) for c in options]
 
 
+#: Other names of roles, in layouts that use them.
+ALIASES = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"))
+#: Fields that say nothing about the layout: a row with one of them, at any depth, is read as without it.
+HARMLESS = ("name", "id", "index", "weight", "timestamp", "created_at", "metadata")
 #: Layouts in common use.
 MAPPINGS = (
     Mapping("turn_rows", (), ("role", "text"), (Turn("text", role_field="role"),)),
@@ -58,12 +65,9 @@ MAPPINGS = (
     Mapping("prompt_completion", ("prompt", "completion"), (), (Turn("prompt", "user"), Turn("completion", "assistant"))),
     Mapping("question_answer", ("question", "answer"), ("system",), (Turn("system", "system"), Turn("question", "user"), Turn("answer", "assistant"))),
     Mapping("instruction", ("instruction", "output"), ("input",), (Turn("instruction", "user"), Turn("input", "user"), Turn("output", "assistant"))),
-    Mapping("messages", ("messages[].role", "messages[].content"), (), each=("messages", "role", "content")),
-    Mapping("from_value", ("conversations[].from", "conversations[].value"), (), each=("conversations", "from", "value")),
+    Mapping("messages", ("messages[].role", "messages[].content"), (), each=("messages", "role", "content"), roles=ALIASES),
+    Mapping("from_value", ("conversations[].from", "conversations[].value"), (), each=("conversations", "from", "value"), roles=ALIASES),
 )
-#: Other names of roles.
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
-
 
 @dataclass(frozen=True)
 class Template:
@@ -115,7 +119,9 @@ def field_paths(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
 def canonical_turns(df: DataFrame, columns: Sequence[str], mappings: Sequence[Mapping] = MAPPINGS) -> DataFrame:
     """df with ``fingerprint``, ``layout`` and ``turns``. columns: those that hold the layout's fields, not ids."""
     paths = field_paths(df, columns)
-    mark = F.sha2(F.concat_ws("\n", *[F.when(paths[p], F.lit(p)) for p in sorted(paths)]), 256)
+    declared = {p for m in mappings for p in (*m.required, *m.optional)}
+    telling = [p for p in sorted(paths) if p in declared or not {*re.split(r"[.\[\]]+", p)} & {*HARMLESS}]
+    mark = F.sha2(F.concat_ws("\n", *[F.when(paths[p], F.lit(p)) for p in telling]), 256)
     usable = [m for m in mappings if {*m.required, *m.optional} & paths.keys() and paths.keys() >= {*m.required}]
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in reversed(usable):
@@ -124,8 +130,9 @@ def canonical_turns(df: DataFrame, columns: Sequence[str], mappings: Sequence[Ma
     return df.withColumn("fingerprint", mark).withColumns({"layout": layout, "turns": F.coalesce(turns, F.array().cast(TURNS))})
 
 
-def _role(name: Column) -> Column:
-    return F.coalesce(F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])[name], name, F.lit(""))
+def _role(name: Column, m: Mapping) -> Column:
+    known = F.create_map(*[F.lit(x) for pair in m.roles for x in pair])[name] if m.roles else F.lit(None)
+    return F.coalesce(known, name, F.lit(""))
 
 
 def _turns_of(m: Mapping, paths: dict[str, Column]) -> Column:
@@ -134,12 +141,12 @@ def _turns_of(m: Mapping, paths: dict[str, Column]) -> Column:
 
     if m.each:
         array, role, text = m.each
-        return F.transform(F.col(array), lambda e: turn(_role(e[role]), e[text]))
+        return F.transform(F.col(array), lambda e: turn(_role(e[role], m), e[text]))
     made = []
     for t in m.turns:
         there = t.text in paths and (F.lit(True) if t.role_field else F.col(t.text).isNotNull())
         if t.text in paths or t.role_field in paths:
-            role = F.lit(t.role) if t.role else (_role(F.col(t.role_field)) if t.role_field in paths else F.lit(""))
+            role = F.lit(t.role) if t.role else (_role(F.col(t.role_field), m) if t.role_field in paths else F.lit(""))
             text = F.col(t.text) if t.text in paths else F.lit("")
             made.append(F.when(there if t.text in paths else F.lit(True), turn(role, text)))
     return F.filter(F.array(*made), lambda x: x.isNotNull())

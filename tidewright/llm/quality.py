@@ -2,12 +2,13 @@
 
 Each line with a word is held against three rules: punctuation (a line of four words or more has a sentence mark, and at
 least half of its visible characters are letters or digits and a fifth at most symbols), navigation (it is not a row of separators or one of the usual
-labels) and boilerplate (it has none of the usual phrases). Lines that fail are removed. A document is rejected when it
+labels) and boilerplate (it has none of the usual phrases, unless it is as long as prose). Lines that fail are removed. A document is rejected when it
 fails the base rules, or when the lines removed hold over half of the characters of its words.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Null text has none; it fails the base. Lines end at ``\\n``. Repeated rows are judged each
 on its own; ids pass through; an empty table gives an empty result. Columns added are those of ``FIGURES``, ``kept`` and
-``clean_text``; a column of such a name in the input is replaced.
+``clean_text``; a column of such a name in the input is replaced by ``judge``, while ``clean`` returns the input's own. Very long
+texts are judged whole; ties do not arise.
 """
 
 from __future__ import annotations
@@ -21,14 +22,22 @@ MOST_REPEATED_PERCENT = 30
 MOST_LOST_PERCENT = 50
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_chars")
 
+MOST_BOILERPLATE_WORDS = 25
+"""A line of more words is prose, whatever phrase it holds."""
+
 #: Lower-case phrases of boilerplate, and labels of navigation.
-BOILERPLATE = ("lorem ipsum", "javascript", "cookie", "privacy policy", "terms of use", "terms of service", "all rights reserved", "subscribe to our", "sign up for our newsletter", "click here to")
+BOILERPLATE = (
+    "lorem ipsum", "enable javascript", "javascript is disabled", "javascript enabled", "use a cookie", "use cookies", "uses cookies", "accept cookies", "cookie policy", "cookie settings",
+    "privacy policy", "terms of use", "terms of service", "all rights reserved", "subscribe to our", "sign up for our newsletter", "click here to",
+    "alle rechte vorbehalten", "tous droits réservés", "todos los derechos reservados", "tutti i diritti riservati",
+)
 LABELS = ("home", "menu", "login", "log in", "sign in", "sign up", "search", "next", "previous", "back to top", "share", "contact us", "about us", "sitemap", "skip to content", "read more")
 
 SPACE = r"[\x20\x09-\x0D]"
 VISIBLE = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
-MARKS = r"[.!?…。！？؟:;]"
+#: Sentence marks of scripts in wide use: Latin, Arabic, Urdu, Devanagari, Armenian, Ethiopic, Khmer, Burmese, Tibetan, Chinese, Japanese.
+MARKS = r"[.!?…:;؟؛۔।॥։՜՞።፧፨។៕၊။།༎。！？｡．：；]"
 SEPARATORS = r"[|»›•]"
 
 
@@ -36,11 +45,12 @@ def line_fails(line: Column) -> Column:
     """For a line that has a word."""
     low = F.lower(line)
     visible = F.length(F.regexp_replace(line, f"{SPACE}+", ""))
-    plain = F.length(F.regexp_replace(line, r"[^\p{L}\p{N}]+", ""))
+    plain = F.length(F.regexp_replace(line, r"[^\p{L}\p{M}\p{N}]+", ""))
     long = line.rlike(f"(?:{VISIBLE}+{SPACE}+){{3}}{VISIBLE}")
     punctuation = (long & ~line.rlike(MARKS)) | (plain * 2 < visible) | (F.regexp_count(line, F.lit(SYMBOLS)) * 5 > visible)
     navigation = (F.regexp_count(line, F.lit(SEPARATORS)) >= 3) | low.rlike(rf"^\W*(?:{'|'.join(LABELS)})\W*$")
-    boilerplate = low.rlike("|".join(BOILERPLATE))
+    prose = line.rlike(f"(?:{VISIBLE}+{SPACE}+){{{MOST_BOILERPLATE_WORDS}}}{VISIBLE}")
+    boilerplate = low.rlike("|".join(BOILERPLATE)) & ~prose
     return punctuation | navigation | boilerplate
 
 
@@ -74,6 +84,8 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def clean(docs: DataFrame, text: str = "text") -> DataFrame:
     """The kept documents, with the lines that fail removed from their text."""
+    own = {c: f"__own_{c}" for c in docs.columns if c in {*FIGURES, "kept", "clean_text"} - {text}}
+    docs, names = docs.withColumnsRenamed(own), docs.columns
     judged = judge(docs, text).select(*[c for c in docs.columns if c != text], "kept", F.col("clean_text").alias(text), F.monotonically_increasing_id().alias("__row"))
     # A filter above a row number stays there; below, the optimizer would write out all figures in its condition.
-    return judged.where(F.col("kept") & (F.col("__row") >= 0)).select(*docs.columns)
+    return judged.where(F.col("kept") & (F.col("__row") >= 0)).select(*[F.col(own.get(c, c)).alias(c) for c in names])

@@ -30,10 +30,12 @@ _WORD = "[^\\x20\\x09-\\x0D]+"
 def _fails(x: str) -> str:
     """The line rules on a line."""
     visible = f"length(regexp_replace({x}, '[\\x20\\x09-\\x0D]+', '', 'g'))"
-    plain = f"length(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}]+', '', 'g'))"
+    plain = f"length(regexp_replace({x}, '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', '', 'g'))"
     punctuation = f"(regexp_matches({x}, '([^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]+){{3}}[^\\x20\\x09-\\x0D]') AND NOT regexp_matches({x}, '{quality.MARKS}')) OR {plain} * 2 < {visible} OR len(regexp_extract_all({x}, '{quality.SYMBOLS}')) * 5 > {visible}"
     navigation = f"len(regexp_extract_all({x}, '{quality.SEPARATORS}')) >= 3 OR regexp_matches(lower({x}), '^\\W*({'|'.join(quality.LABELS)})\\W*$')"
-    return f"({punctuation} OR {navigation} OR regexp_matches(lower({x}), '{'|'.join(quality.BOILERPLATE)}'))"
+    word, space = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]"
+    boilerplate = f"regexp_matches(lower({x}), '{'|'.join(quality.BOILERPLATE)}') AND NOT regexp_matches({x}, '({word}+{space}+){{{quality.MOST_BOILERPLATE_WORDS}}}{word}')"
+    return f"({punctuation} OR {navigation} OR ({boilerplate}))"
 
 
 OP7 = f"""
