@@ -214,7 +214,7 @@ def rolling_tokens(spark, sf_dir):
 
 
 def shared_failures(spark, sf_dir):
-    return control.shared_failures(_lanes(spark, sf_dir).where("event_id % 3 = 0"))  # a third of the requests fail
+    return control.shared_failures(_lanes(spark, sf_dir).where("event_type = 'error'"))
 
 
 def timeout_window(spark, sf_dir):

@@ -45,7 +45,7 @@ WITH units AS (
 
 LANES = """
 WITH lanes AS (
-  SELECT event_id, ts, user_id % 8 AS lane, floor(epoch_us(ts) / 1000000)::BIGINT AS sec, floor(value)::BIGINT AS tokens, value AS seconds FROM events
+  SELECT event_id, ts, event_type, user_id % 8 AS lane, floor(epoch_us(ts) / 1000000)::BIGINT AS sec, floor(value)::BIGINT AS tokens, value AS seconds FROM events
 )
 """
 
@@ -100,7 +100,7 @@ FROM (SELECT (SELECT count(*) FROM units) AS total, (SELECT count(*) FROM result
     "group_assignment": BASE + "SELECT unit_id, row_id, substr(unit_id, 1, 2) || '-' || ((row_number() OVER (PARTITION BY substr(unit_id, 1, 2) ORDER BY unit_id) - 1) // 4) AS group_id, (row_number() OVER (PARTITION BY substr(unit_id, 1, 2) ORDER BY unit_id) - 1) % 4 AS group_place FROM units",
     "token_estimate": BASE + "SELECT group_id, sum(length(input_text))::BIGINT AS chars, count(*) AS n, (ceil(sum(length(input_text)) / 4.0) + ceil(count(*) * 24.0) + 250)::BIGINT AS tokens FROM (SELECT *, substr(unit_id, 1, 2) || '-' || ((row_number() OVER (PARTITION BY substr(unit_id, 1, 2) ORDER BY unit_id) - 1) // 4) AS group_id FROM units) GROUP BY group_id",
     "rolling_tokens": LANES + "SELECT event_id, lane, sec, tokens, sum(tokens) OVER (PARTITION BY lane ORDER BY sec RANGE BETWEEN 59 PRECEDING AND CURRENT ROW)::BIGINT AS window_tokens FROM lanes",
-    "shared_failures": LANES + "SELECT a.sec, count(DISTINCT b.lane) AS n_lanes FROM lanes AS a JOIN lanes AS b ON b.sec BETWEEN a.sec - 90 AND a.sec WHERE a.event_id % 3 = 0 AND b.event_id % 3 = 0 GROUP BY a.sec",
+    "shared_failures": LANES + "SELECT a.sec, count(DISTINCT b.lane) AS n_lanes FROM lanes AS a JOIN lanes AS b ON b.sec BETWEEN a.sec - 90 AND a.sec WHERE a.event_type = 'error' AND b.event_type = 'error' GROUP BY a.sec",
     "timeout_window": LANES + """SELECT event_id, lane, n AS sample_count, round(center, 4) AS center_seconds, round(least(greatest(10.0, center + greatest(5.0, 2 * dev)), 120.0), 3) AS limit_seconds
 FROM (SELECT event_id, lane, count(*) OVER w::INT AS n, median(seconds) OVER w AS center, stddev_pop(seconds) OVER w AS dev FROM lanes WHERE seconds > 0 WINDOW w AS (PARTITION BY lane ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW))""",
     "timeout_window_mad": LANES + """SELECT event_id, lane, len(x)::INT AS sample_count, round(list_median(list_transform(x, lambda v: abs(v - list_median(x)))), 4) AS spread_seconds
