@@ -10,7 +10,7 @@ from tidewright.operators import responses, retention
 from tidewright.operators.control import Pace
 from tidewright.plans import pipeline, stub
 from tidewright.plans.settings import ModelStep, Runtime
-from tidewright.plans.waves import StepLog, run_step
+from tidewright.plans.waves import Cadence, StepLog, run_step
 from tidewright.sources import tables
 from tidewright.streaming.arrivals import process_arrivals
 
@@ -114,7 +114,7 @@ def test_log_can_be_pruned_without_losing_results(spark, whole):
     folder, _ = whole
     log = StepLog(folder, "20260101_000009")
     results = tables.read_results(log.results).count()
-    assert log.prune() > 0
+    assert log.prune(keep={"traces": 0}) > 0  # the run itself keeps the last three of each family
     assert tables.read_results(log.results).count() == results
     assert all(len(tables.artifacts(log.state, f)) <= 3 for f in ("progress", "manifest"))
 
@@ -199,3 +199,87 @@ def test_retention_plans(spark):
     assert retention.covered_deltas(deltas, saved.where("false"), 1).count() == 0
     assert retention.merged_settings([]) is None
     assert retention.merged_settings([{"keep_last_progress": 2}, {"keep_last_progress": 5, "artifact_retention_mode": "debug"}]) == {"artifact_retention_mode": "debug", "cleanup_artifacts": True, "keep_last_progress": 5}
+
+
+BOUNDED = Runtime(pace=Pace(initial_group_size=2), units_per_wave=12, lanes=2, checkpoint_every_waves=2, cleanup_artifacts=False)
+
+
+def test_waves_are_bounded_and_a_failure_loses_one_at_most(spark, whole, tmp_path, monkeypatch):
+    folder, step = tables.Folder(spark, f"file://{tmp_path}"), stub.stub_step(BOUNDED)
+    limited, calls = responses.limited, []
+
+    def failing(traces, most):
+        calls.append(1)
+        if len(calls) == 3:
+            raise OSError("the third wave is lost")
+        return limited(traces, most)
+
+    monkeypatch.setattr(responses, "limited", failing)
+    with pytest.raises(OSError):
+        run_step(names(spark), step, folder, "20260101_000000", clock())
+    monkeypatch.setattr(responses, "limited", limited)
+    log = StepLog(folder, "20260101_000001")
+    waves = [spark.read.parquet(f"{log.debug.path}/{n}") for n in tables.artifacts(log.debug, "traces")]
+    assert len(waves) == 2 and all(0 < w.count() < 40 for w in waves)
+    saved = {r.unit_id for r in tables.read_results(log.results).collect()}
+    assert saved == {r.unit_id for w in waves for r in w.where("status = 'success'").collect()} and saved
+    got = run_step(names(spark), step, folder, "20260101_000001")
+    assert sorted(map(tuple, got.collect())) == whole[1]
+    later = [n for n in tables.artifacts(log.debug, "traces") if "20260101_000001" in n]
+    asked = {r.unit_id for r in spark.read.parquet(*[f"{log.debug.path}/{n}" for n in later]).select("unit_id").collect()}
+    assert not asked & saved
+
+
+def test_a_run_writes_reviews_and_applies_retention(spark, tmp_path):
+    folder = tables.Folder(spark, f"file://{tmp_path}")
+    keep = Runtime(pace=Pace(initial_group_size=8), max_request_retries=0, units_per_wave=12, checkpoint_every_waves=1, keep_last={"traces": 2})
+    run_step(names(spark), stub.stub_step(keep), folder, "20260101_000000")
+    log = StepLog(folder, "20260101_000001")
+    failed = tables.read_progress(log.state).where("status = 'permanent_error'").count()
+    assert failed > 0 and tables.read_permanent_review(log.debug).count() == failed
+    review = spark.read.parquet(f"{log.debug.path}/{max(tables.artifacts(log.debug, 'review'))}")
+    assert review.where("status = 'success' AND NOT review_flag").count() == 0
+    assert len(tables.artifacts(log.debug, "traces")) == 2 and len(tables.artifacts(log.state, "progress")) == 3
+    assert tables.read_progress(log.state).count() == 40
+
+
+def test_a_task_has_one_adapter_for_all_its_groups(spark, tmp_path):
+    units = [UNIT | {"unit_id": f"{k:04x}", "input_text": "t" * 9, "group_id": f"g{k // 3}", "retry_count": 0} for k in range(60)]
+    made = str(tmp_path)
+
+    def counted():
+        import uuid
+        from pathlib import Path
+
+        Path(made, uuid.uuid4().hex).touch()
+        return stub.StubAdapter()
+
+    got = responses.answers(spark.createDataFrame(units), counted, stub.StubHandler, {"model": "m"}, {}, "now", 4)
+    assert sorted(r.unit_id for r in got.collect()) == [u["unit_id"] for u in units]
+    assert len(list(tmp_path.iterdir())) <= 4
+
+
+def test_groups_reach_over_batches():
+    import pandas as pd
+
+    batches = [pd.DataFrame({"group_id": list(ids), "n": range(len(ids))}) for ids in ("aab", "b", "bcc", "c")]
+    assert ["".join(u["group_id"] for u in g) for g in responses.whole_groups(iter(batches))] == ["aa", "bbb", "ccc"]
+    assert list(responses.whole_groups(iter([]))) == []
+
+
+def test_cadence():
+    now = [0.0]
+    due = Cadence(3, 10, lambda: now[0])
+    assert [due.due() for _ in range(4)] == [False, False, True, False]
+    now[0] = 10.0
+    assert due.due() and not due.due()
+
+
+def test_older_results_are_read(spark, tmp_path):
+    folder = tables.Folder(spark, f"file://{tmp_path}")
+    row = lambda unit, value: spark.createDataFrame([(unit, "o", "success", value)], "unit_id string, output_column string, status string, output_value string")
+    row("a", "1").write.parquet(f"file://{tmp_path}/results_20250101.parquet")
+    row("b", "2").withColumn("odd", F.lit(1)).write.parquet(f"file://{tmp_path}/results_20250102.parquet")
+    assert sorted((r.unit_id, r.output_value) for r in tables.read_results(folder).collect()) == [("a", "1"), ("b", "2")]
+    row("a", "3").write.parquet(f"file://{tmp_path}/results_snapshot_20250103.parquet")
+    assert [(r.unit_id, r.output_value) for r in tables.read_results(folder).collect()] == [("a", "3")]

@@ -6,23 +6,94 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
-
-
-def _table(names: str, seq: bool = True) -> StructType:
-    """Columns by name; ``:l`` and ``:b`` mark longs and booleans."""
-    kinds = {"l": LongType(), "b": BooleanType(), "": StringType()}
-    fields = [StructField(name, kinds[kind]) for name, _, kind in (x.partition(":") for x in names.split())]
-    return StructType(fields + [StructField("seq", LongType())] * seq)
-
-
-WORK_UNIT = _table("unit_id row_id field_name input_text output_column model step_name prompt_version", seq=False)
-MANIFEST = _table("unit_id row_id field_name output_column model step_name prompt_version input_hash", seq=False)
-PROGRESS = _table("unit_id status retry_count:l last_error_type last_error_message updated_at")
-RESULT = _table("unit_id row_id output_column status parsed_output output_value raw_output error_type error_message review_flag:b review_reason")
-CHECKPOINT = _table("unit_id row_id output_column status output_value")
-DEBUG = _table("unit_id row_id field_name input_text output_column request_group_id request_group_size:l request_attempt_count:l key_alias provider model status review_flag:b review_reason error_type error_message rendered_prompt raw_output parsed_output output_value updated_at")
-
+from pyspark.sql.types import BooleanType, LongType, StructType
+
+
+def _table(*columns: tuple[str, str]) -> StructType:
+    table = StructType()
+    for name, kind in columns:
+        table.add(name, kind)
+    return table
+
+
+#: The columns of the state tables, and ``seq``.
+WORK_UNIT = _table(
+    ("unit_id", "string"),
+    ("row_id", "string"),
+    ("field_name", "string"),
+    ("input_text", "string"),
+    ("output_column", "string"),
+    ("model", "string"),
+    ("step_name", "string"),
+    ("prompt_version", "string"),
+)
+MANIFEST = _table(
+    ("unit_id", "string"),
+    ("row_id", "string"),
+    ("field_name", "string"),
+    ("output_column", "string"),
+    ("model", "string"),
+    ("step_name", "string"),
+    ("prompt_version", "string"),
+    ("input_hash", "string"),
+)
+PROGRESS = _table(
+    ("unit_id", "string"),
+    ("status", "string"),
+    ("retry_count", "long"),
+    ("last_error_type", "string"),
+    ("last_error_message", "string"),
+    ("updated_at", "string"),
+    ("seq", "long"),
+)
+RESULT = _table(
+    ("unit_id", "string"),
+    ("row_id", "string"),
+    ("output_column", "string"),
+    ("status", "string"),
+    ("parsed_output", "string"),
+    ("output_value", "string"),
+    ("raw_output", "string"),
+    ("error_type", "string"),
+    ("error_message", "string"),
+    ("review_flag", "boolean"),
+    ("review_reason", "string"),
+    ("seq", "long"),
+)
+CHECKPOINT = _table(
+    ("unit_id", "string"),
+    ("row_id", "string"),
+    ("output_column", "string"),
+    ("status", "string"),
+    ("output_value", "string"),
+    ("seq", "long"),
+)
+DEBUG = _table(
+    ("unit_id", "string"),
+    ("row_id", "string"),
+    ("field_name", "string"),
+    ("input_text", "string"),
+    ("output_column", "string"),
+    ("request_group_id", "string"),
+    ("request_group_size", "long"),
+    ("request_attempt_count", "long"),
+    ("key_alias", "string"),
+    ("provider", "string"),
+    ("model", "string"),
+    ("status", "string"),
+    ("review_flag", "boolean"),
+    ("review_reason", "string"),
+    ("error_type", "string"),
+    ("error_message", "string"),
+    ("rendered_prompt", "string"),
+    ("raw_output", "string"),
+    ("parsed_output", "string"),
+    ("output_value", "string"),
+    ("updated_at", "string"),
+    ("seq", "long"),
+)
+
+#: Words read as booleans.
 TRUE_WORDS = {"true", "1", "yes", "y"}
 FALSE_WORDS = {"false", "0", "no", "n"}
 

@@ -60,6 +60,7 @@ class Wave:
     requests: int
     transport_failures: int
     seconds: float
+    successful_requests: int | None = None  # None: all that did not fail on the way
 
 
 def initial_load(pace: Pace) -> Load:
@@ -81,7 +82,7 @@ def next_load(load: Load, pace: Pace, wave: Wave) -> Load:
     factor, step, good = 1.0, 0, False
     if wave.transport_failures == max(wave.requests, 1):
         factor, step = pace.shrink, -fewer
-    elif wave.transport_failures:
+    elif wave.transport_failures and wave.successful_requests != 0:
         factor, step = (1.0, -1) if fewer else (pace.mild_shrink, 0)
     elif failure_rate >= pace.soft_failure_rate:
         factor = pace.shrink if failure_rate >= pace.hard_failure_rate else pace.mild_shrink

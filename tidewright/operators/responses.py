@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from typing import Any, Protocol
 
 import pandas as pd
@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.schemas import DEBUG, PROGRESS, RESULT, conform
+from tidewright.operators.state import apply_retry_limit
 
+TRACES_AT_ONCE = 512
+#: The contract of adapters and handlers.
 ANSWER_STATUSES = ("success", "retryable_error", "permanent_error")
 RESPONSE_KEYS = {"request_id", "status", "raw_output", "error_type", "error_message"}
 PARSED_KEYS = {"unit_id", "status", "parsed_output", "output_value", "error_type", "error_message"}
@@ -106,15 +109,44 @@ def answer_group(units: list[dict], adapter: Adapter, handler: TaskHandler, step
 TRACE = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in DEBUG.fields if f.name != "seq"], "retry_count bigint", "outputs string"])
 
 
-def answers(groups: DataFrame, make_adapter: Callable[[], Adapter], make_handler: Callable[[], TaskHandler], step: Mapping, context: Mapping, now: str) -> DataFrame:
-    """Traces of groups (units with ``group_id`` and ``retry_count``). Each group is one request; adapters live in the workers."""
-    names = [part.split()[0] for part in TRACE.split(", ")]
+def whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[list[dict]]:
+    """The units of each group, of batches in which groups follow one another and may reach over an end."""
+    held: list[dict] = []
+    for batch in batches:
+        for unit in batch.to_dict("records"):
+            if held and unit["group_id"] != held[0]["group_id"]:
+                yield held
+                held = []
+            held.append(unit)
+    if held:
+        yield held
+
 
-    def ask(rows: pd.DataFrame) -> pd.DataFrame:
-        units = rows.sort_values("unit_id").to_dict("records")
-        return pd.DataFrame(answer_group(units, make_adapter(), make_handler(), step, context, now), columns=names)
+def answers(groups: DataFrame, make_adapter: Callable[[], Adapter], make_handler: Callable[[], TaskHandler], step: Mapping, context: Mapping, now: str, tasks: int = 8) -> DataFrame:
+    """Traces of groups (units with ``group_id`` and ``retry_count``). Each group is one request. ``tasks`` tasks ask at a time,
+    each with one adapter for all of its groups."""
+    names = [part.split()[0] for part in TRACE.split(", ")]
 
-    return groups.groupBy("group_id").applyInPandas(ask, TRACE)
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        adapter, handler = make_adapter(), make_handler()
+        rows: list[dict] = []
+        for units in whole_groups(batches):
+            rows += answer_group(units, adapter, handler, step, context, now)
+            if len(rows) >= TRACES_AT_ONCE:
+                yield pd.DataFrame(rows, columns=names, dtype=object)
+                rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=names, dtype=object)
+
+    dealt = groups.repartition(tasks, "group_id").sortWithinPartitions("group_id", "unit_id")
+    return dealt.mapInPandas(ask, TRACE)
+
+
+def limited(traces: DataFrame, most: int) -> DataFrame:
+    """traces in which answer errors that have been repeated ``most`` times are permanent."""
+    own = {"error_type": "last_error_type", "error_message": "last_error_message"}
+    judged = apply_retry_limit(traces.withColumnsRenamed(own), most)
+    return judged.withColumnsRenamed({new: old for old, new in own.items()})
 
 
 def progress_of(traces: DataFrame, seq: int) -> DataFrame:

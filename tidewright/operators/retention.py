@@ -59,13 +59,23 @@ def old_finals(names: DataFrame, output: str, current: Sequence[str] = (), keep:
     return own.withColumn("place", place).where(F.col("place") > keep).select("name")
 
 
-def cleanup_plan(names: DataFrame, written: Sequence[str], mode: str = "standard", keep: Mapping[str, int] | None = None, keep_runs: int = KEEP_RUNS) -> DataFrame:
-    """What to delete after a flush: only of families just written, or in ``debug`` mode whole runs."""
+def cleanup_plan(
+    names: DataFrame,
+    written: Sequence[str],
+    mode: str = "standard",
+    keep: Mapping[str, int] | None = None,
+    keep_runs: int = KEEP_RUNS,
+    families: Sequence[str] = FAMILIES,
+    spared: Sequence[str] = ("results_delta",),
+) -> DataFrame:
+    """What to delete after a flush: only of families just written, or in ``debug`` mode whole runs. Families ``spared`` are
+    pruned by what covers them instead."""
     if mode not in ("standard", "debug"):
         raise ValueError("mode is 'standard' or 'debug'")
+    own = names.where(~family_of(F.col("name"), families).isin(*spared) | family_of(F.col("name"), families).isNull())
     if mode == "debug":
-        return beyond_last_runs(names, keep_runs).select("name")
-    return beyond_last(names, keep).where(F.col("family").isin(*written) & (F.col("family") != "results_delta")).select("name")
+        return beyond_last_runs(own, keep_runs).select("name")
+    return beyond_last(own, keep, families=families).where(F.col("family").isin(*written)).select("name")
 
 
 def merged_settings(steps: Sequence[Mapping]) -> dict | None:

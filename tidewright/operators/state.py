@@ -14,6 +14,9 @@ TERMINAL = ("success", "permanent_error")
 #: Errors of a unit's answer that repeating may not mend.
 ANSWER_ERRORS = ("invalid_score_output", "invalid_cue_output", "missing_prompt_unit_result", "semantic_validation_failed", "invalid_unit_output", "missing_required_field", "unknown_prompt_unit_id")
 
+#: What a message is given when retries end.
+GIVEN_UP = "no usable answer, made permanent after"
+
 
 def latest(log: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
     """The last row of each key. One aggregate, which combines before the shuffle; nulls in ``by`` come first."""
@@ -50,11 +53,13 @@ def apply_retry_limit(progress: DataFrame, most: int) -> DataFrame:
     if most < 0:
         return progress
     hit: Column = (F.col("status") == "retryable_error") & primary_error(F.col("last_error_type")).isin(*ANSWER_ERRORS) & (F.coalesce("retry_count", F.lit(0)) >= most)
-    note = F.concat(F.lit(" [engine converted to permanent_error after repeated unusable unit output reached retry_count="), F.coalesce("retry_count", F.lit(0)).cast("string"), F.lit(f" and max_request_retries={most}]"))
+    retries = F.coalesce("retry_count", F.lit(0)).cast("string")
+    note = F.concat(F.lit(f" [{GIVEN_UP} "), retries, F.lit(f" retries, limit {most}]"))
     said = F.coalesce("last_error_message", F.lit(""))
     kind = F.when(F.col("last_error_type").contains("max_request_retries_exhausted"), F.col("last_error_type")).otherwise(F.concat("last_error_type", F.lit("|max_request_retries_exhausted")))
-    told = F.when(said.contains("engine converted to permanent_error"), said).otherwise(F.trim(F.concat(said, note)))
-    return progress.withColumns({"last_error_type": F.when(hit, kind).otherwise(F.col("last_error_type")), "last_error_message": F.when(hit, told).otherwise(F.col("last_error_message")), "status": F.when(hit, "permanent_error").otherwise(F.col("status"))})
+    told = F.when(said.contains(GIVEN_UP), said).otherwise(F.trim(F.concat(said, note)))
+    changes = {"last_error_type": kind, "last_error_message": told, "status": F.lit("permanent_error")}
+    return progress.withColumns({c: F.when(hit, new).otherwise(F.col(c)) for c, new in changes.items()})
 
 
 def retry_counts(units: DataFrame, progress: DataFrame) -> DataFrame:

@@ -284,6 +284,19 @@ def resumable_step(spark, sf_dir):
     return stub.run_resumed(spark, table(spark, sf_dir, "nation"))
 
 
+def resumable_documents(spark, sf_dir):
+    """The wave loop over all documents, in bounded waves, stopped after the first and resumed."""
+    from tidewright.operators.control import Pace
+    from tidewright.plans import stub
+    from tidewright.plans.settings import Runtime
+
+    docs = table(spark, sf_dir, "documents", ["doc_id", "source", "text"])
+    total = docs.count()
+    runtime = Runtime(pace=Pace(initial_group_size=16, max_group_size=64), units_per_wave=max(1, total // 3))
+    done = stub.run_resumed(spark, docs, stub.stub_step(runtime, "doc_id", "text"))
+    return done.select("doc_id", "source", "label")
+
+
 def flagship(spark, sf_dir):
     """Documents with their typed answers and labels, by language."""
     docs = table(spark, sf_dir, "documents", ["doc_id", "lang", "source"])
@@ -292,4 +305,4 @@ def flagship(spark, sf_dir):
     return labelled.groupBy("lang", "quality").agg(F.count("*").alias("n"), F.count("text_label").alias("answered"), F.sum("text_label").alias("text_sum"), F.sum("lang_label").alias("lang_sum"))
 
 
-QUERIES = {f.__name__: f for f in (scan_projection, row_window, work_units, conversation_units, manifest, pending_units, latest_progress, latest_results, latest_debug, schema_enforcement, append_logs, reconcile_progress, result_difference, retry_limit, retry_counts, terminal_units, released_partial, released_strict, partial_output, pair_status, merge_back, merge_back_typed, run_outcome, run_metadata, status_histogram, run_status_histogram, review_rows, permanent_review, checkpoint_rows, delta_replay, result_fanout, group_assignment, token_estimate, rolling_tokens, shared_failures, timeout_window, timeout_window_mad, controller_trace, artifact_retention, run_retention, delta_retention, final_retention, latest_artifact, artifact_runs, file_batches, safe_names, resumable_step, flagship)}
+QUERIES = {f.__name__: f for f in (scan_projection, row_window, work_units, conversation_units, manifest, pending_units, latest_progress, latest_results, latest_debug, schema_enforcement, append_logs, reconcile_progress, result_difference, retry_limit, retry_counts, terminal_units, released_partial, released_strict, partial_output, pair_status, merge_back, merge_back_typed, run_outcome, run_metadata, status_histogram, run_status_histogram, review_rows, permanent_review, checkpoint_rows, delta_replay, result_fanout, group_assignment, token_estimate, rolling_tokens, shared_failures, timeout_window, timeout_window_mad, controller_trace, artifact_retention, run_retention, delta_retention, final_retention, latest_artifact, artifact_runs, file_batches, safe_names, resumable_step, resumable_documents, flagship)}

@@ -13,15 +13,24 @@ MOST_CONCURRENT_REQUESTS = 7
 @dataclass(frozen=True)
 class Runtime:
     pace: Pace = field(default_factory=Pace)
-    most_waves: int = 1000
+    most_waves: int = 100_000
     max_request_retries: int = 3
     soft_time_limit_seconds: float = 40 * 60
+    #: A wave ends, and its answers are saved, by this many units or by about this many seconds.
+    units_per_wave: int = 100_000
+    seconds_per_wave: float = 60
+    #: Requests at a time are the pace's concurrency in each of so many lanes.
+    lanes: int = 8
     checkpoint_every_waves: int = 10
+    checkpoint_every_seconds: float = 300
+    views_every_waves: int = 50
+    views_every_seconds: float = 600
     release_scope: str = "unit"
     input_row_offset: int = 0
     input_row_limit: int | None = None
     write_pair_status: bool = True
     write_partial_output: bool = True
+    cleanup_artifacts: bool = True
     artifact_retention_mode: str = "standard"
     keep_last: Mapping[str, int] = field(default_factory=dict)
 
@@ -30,7 +39,8 @@ class Runtime:
             "release_scope is 'unit' or 'row_complete'": self.release_scope in ("unit", "row_complete"),
             "artifact_retention_mode is 'standard' or 'debug'": self.artifact_retention_mode in ("standard", "debug"),
             "max_request_retries, input_row_offset and input_row_limit are not negative": min(self.max_request_retries, self.input_row_offset, self.input_row_limit or 0) >= 0,
-            "checkpoint_every_waves and most_waves are 1 at least": min(self.checkpoint_every_waves, self.most_waves) >= 1,
+            "counts of waves, units_per_wave and lanes are 1 at least": min(self.most_waves, self.units_per_wave, self.lanes, self.checkpoint_every_waves, self.views_every_waves) >= 1,
+            "seconds between savings are positive": min(self.seconds_per_wave, self.checkpoint_every_seconds, self.views_every_seconds) > 0,
             f"max_concurrent_requests is {MOST_CONCURRENT_REQUESTS} at most": self.pace.max_concurrent_requests <= MOST_CONCURRENT_REQUESTS,
             "soft_time_limit_seconds is positive": self.soft_time_limit_seconds > 0,
             "keep_last counts are not negative": all(n >= 0 for n in self.keep_last.values()),

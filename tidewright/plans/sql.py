@@ -28,7 +28,7 @@ WITH units AS (
 ), limited AS (
   SELECT unit_id, CASE WHEN hit THEN 'permanent_error' ELSE status END AS status, retry_count,
     CASE WHEN hit THEN error_type || '|max_request_retries_exhausted' ELSE error_type END AS last_error_type,
-    CASE WHEN hit THEN error_message || ' [engine converted to permanent_error after repeated unusable unit output reached retry_count=' || retry_count || ' and max_request_retries=2]' ELSE error_message END AS last_error_message,
+    CASE WHEN hit THEN error_message || ' [no usable answer, made permanent after ' || retry_count || ' retries, limit 2]' ELSE error_message END AS last_error_message,
     updated_at, seq, row_id, field_name
   FROM (SELECT *, coalesce(error_type = 'invalid_score_output' AND retry_count >= 2, false) AS hit FROM log)
 ), progress AS (
@@ -114,5 +114,7 @@ FROM (SELECT event_id, lane, list(seconds) OVER w AS x FROM lanes WHERE seconds
     "file_batches": "SELECT source, n, '-' || ((k - 1) // 3) AS group_id, (k - 1) % 3 AS group_place FROM (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source) AS k FROM documents GROUP BY source)",
     "safe_names": "SELECT p_partkey, regexp_replace(p_name, '[^\\p{L}\\p{N}_-]', '_', 'g') AS name FROM part",
     "resumable_step": "SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, n_regionkey, CASE WHEN regexp_matches(id, '^[012]{3}') THEN NULL ELSE length(n_name) % 7 END::BIGINT AS label FROM (SELECT *, sha256('names||' || n_nationkey || '||n_name||label||stub-1||v1') AS id FROM nation)",
+    "resumable_documents": BASE + """SELECT doc_id::VARCHAR AS doc_id, source, CASE WHEN regexp_matches(id, '^[012]{3}') OR t = '' OR t IS NULL THEN NULL ELSE length(t) % 7 END::BIGINT AS label
+FROM (SELECT doc_id, source, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t, sha256('names||' || doc_id || '||text||label||stub-1||v1') AS id FROM documents)""",
     "flagship": BASE + "SELECT lang, quality, count(*) AS n, count(text_label) AS answered, sum(text_label::BIGINT)::BIGINT AS text_sum, sum(lang_label::BIGINT)::BIGINT AS lang_sum FROM documents AS d LEFT JOIN wide ON d.doc_id::VARCHAR = wide.row_id LEFT JOIN labels AS l ON l.doc_id = d.doc_id GROUP BY lang, quality",
 }

@@ -44,12 +44,13 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{(named or 'file://' + tempfile.mkdtemp(prefix='spark-step-')).rstrip('/')}/steps/{uuid.uuid4().hex}"
 
 
-def stub_step(runtime: Runtime | None = None) -> ModelStep:
-    return ModelStep("names", "n_nationkey", {"n_name": "label"}, "stub-1", StubAdapter, StubHandler, dtypes={"label": "Int64"}, runtime=runtime or Runtime(pace=Pace(initial_group_size=8)))
+def stub_step(runtime: Runtime | None = None, key: str = "n_nationkey", column: str = "n_name") -> ModelStep:
+    own = runtime or Runtime(pace=Pace(initial_group_size=8))
+    return ModelStep("names", key, {column: "label"}, "stub-1", StubAdapter, StubHandler, dtypes={"label": "Int64"}, runtime=own)
 
 
-def run_resumed(spark: SparkSession, source: DataFrame) -> DataFrame:
+def run_resumed(spark: SparkSession, source: DataFrame, step: ModelStep | None = None) -> DataFrame:
     """One wave, then a second run that goes on from the log to the end."""
-    folder, step = Folder(spark, shared_folder(spark)), stub_step()
+    folder, step = Folder(spark, shared_folder(spark)), step or stub_step()
     run_step(source, step, folder, "20260101_000000", most_waves=1)
     return run_step(source, step, folder, "20260101_000100")

@@ -1,23 +1,33 @@
 """A model step as waves of Spark jobs over a replayable log.
 
-Each wave asks for a number of groups, writes the traces once, and derives progress and results from what was written, so
-that Spark never repeats a request to recompute a frame. A run that stops anywhere resumes from the log.
+A wave takes a bounded slice of the waiting units, writes its traces once, and derives results, progress and reviews from what
+was written, so that Spark never repeats a request to recompute a frame. Each wave adds small deltas; snapshots follow at
+the cadence of the settings. A run that stops anywhere loses the answers of one wave at most and resumes from the log.
 """
 
 from __future__ import annotations
 
+import math
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.functions.schemas import PROGRESS, append_all
+from tidewright.functions.schemas import DEBUG, append_all
 from tidewright.operators import control, responses, retention, state, units, views
 from tidewright.plans.settings import ModelStep
 from tidewright.sources import tables
 
+#: Families that this engine writes beside the fixed ones.
+OWN_FAMILIES = ("units", "waiting", "progress_delta")
+#: Deltas, and the snapshots that cover them.
+DELTAS = {"results_delta": "results_checkpoint", "progress_delta": "progress"}
+#: The waiting units of a round are parted into slices of a wave's units by this number; a wave takes as many slices as fit.
+SLICES_PER_WAVE = 4
+
 
 def utc_now() -> datetime:
     return datetime.now(UTC)
@@ -29,38 +39,106 @@ class StepLog:
     def __init__(self, folder: tables.Folder, run: str, clock: Callable[[], datetime] = utc_now):
         self.run, self.clock = run, clock
         self.state, self.results, self.debug = (folder.ensure_subdir(n) for n in ("state", "results", "debug"))
+        self.newest: dict[str, str] = {}
 
     def stamp(self) -> str:
         return self.clock().strftime("%Y%m%d_%H%M%S_%f")
 
     def write(self, folder: tables.Folder, df: DataFrame, family: str) -> DataFrame:
         name = tables.write_artifact(folder, df, family, self.run, self.stamp())
+        self.newest[family] = name
         return folder.spark.read.parquet(f"{folder.path}/{name}")
 
     def last_seq(self) -> int:
         known = tables.read_progress(self.state).agg(F.max("seq")).first()[0]
         return -1 if known is None else known
 
-    def prune(self, mode: str = "standard", keep: Mapping[str, int] | None = None) -> int:
-        """Deletes what retention lets go, deltas that kept checkpoints cover among it. Names are few, some for each wave."""
+    def prune(self, mode: str = "standard", keep: Mapping[str, int] | None = None, written: Sequence[str] | None = None) -> int:
+        """Deletes what retention lets go, of the families ``written`` (all by default), and deltas that kept snapshots cover.
+        What this run wrote last of a family stays. Names are few, some for each wave."""
+        families = (*retention.FAMILIES, *OWN_FAMILIES)
         gone = []
         for folder in (self.state, self.results, self.debug):
-            names = [(n,) for n in folder.list_objects()]
-            plan = retention.cleanup_plan(folder.spark.createDataFrame(names, "name string"), retention.FAMILIES, mode, keep)
-            gone += [(folder, r["name"]) for r in plan.collect()]
+            names = folder.spark.createDataFrame([(n,) for n in folder.list_objects()], "name string")
+            plan = retention.cleanup_plan(names, written or families, mode, keep, families=families, spared=tuple(DELTAS))
+            gone += [(folder, r["name"]) for r in plan.collect() if r["name"] not in self.newest.values()]
         for folder, name in gone:
             folder.delete_object(name)
-        return len(gone) + self.prune_deltas()
+        return len(gone) + sum(self.prune_deltas(folder, d, DELTAS[d]) for folder, d in ((self.results, "results_delta"), (self.state, "progress_delta")))
 
-    def prune_deltas(self) -> int:
-        last = lambda family: [(n, folder.spark.read.parquet(f"{folder.path}/{n}").agg(F.max("seq")).first()[0]) for n in tables.artifacts(folder, family)]
-        folder = self.results
-        made = [folder.spark.createDataFrame([x for x in last(f) if x[1] is not None], "name string, seq long") for f in ("results_delta", "results_checkpoint")]
+    def prune_deltas(self, folder: tables.Folder, delta: str, snapshot: str) -> int:
+        made = [self.last_rows(folder, family) for family in (delta, snapshot)]
         names = [r["name"] for r in retention.covered_deltas(*made).collect()]
         for name in names:
             folder.delete_object(name)
         return len(names)
 
+    def last_rows(self, folder: tables.Folder, family: str) -> DataFrame:
+        """The last ``seq`` of each artifact that has rows, in one pass over that column."""
+        paths = [f"{folder.path}/{n}" for n in tables.artifacts(folder, family)]
+        if not paths:
+            return folder.spark.createDataFrame([], "name string, seq long")
+        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        rows = folder.spark.read.parquet(*paths).select(name.alias("name"), F.col("seq").cast("long").alias("seq"))
+        return rows.groupBy("name").agg(F.max("seq").alias("seq"))
+
+
+@dataclass
+class Cadence:
+    """Something is due after so many waves, or so many seconds since it was done last."""
+
+    waves: int
+    seconds: float
+    timer: Callable[[], float]
+    done_at: float = field(init=False)
+    since: int = field(init=False, default=0)
+
+    def __post_init__(self):
+        self.done_at = self.timer()
+
+    def due(self) -> bool:
+        """To be asked once a wave."""
+        self.since += 1
+        if self.since < self.waves and self.timer() - self.done_at < self.seconds:
+            return False
+        self.since, self.done_at = 0, self.timer()
+        return True
+
+
+class Round:
+    """Waiting units, in slices by a hash of their ids, of which each is asked once."""
+
+    def __init__(self, log: StepLog, waiting: DataFrame, per_wave: int):
+        self.count = waiting.count()
+        self.slices = math.ceil(self.count / max(1, per_wave // SLICES_PER_WAVE))
+        cut = waiting.withColumn("slice", F.pmod(F.xxhash64("unit_id"), F.lit(max(1, self.slices))))
+        # Sorted, so that a wave's filter on slices skips what the footers exclude.
+        self.units = log.write(log.state, cut.repartitionByRange("slice").sortWithinPartitions("slice"), "waiting")
+        self.next = 0
+
+    def left(self) -> bool:
+        return self.next < self.slices
+
+    def take(self, most_units: float) -> tuple[DataFrame, int]:
+        """The next slices that hold about so many units, one at least, and how many units that is about."""
+        each = self.count / self.slices
+        n = min(max(1, int(most_units / each + 1e-9)), self.slices - self.next)
+        taken = self.units.where(F.col("slice").between(self.next, self.next + n - 1)).drop("slice")
+        self.next += n
+        return taken, math.ceil(n * each)
+
+
+def wave_figures(traces: DataFrame, seconds: float) -> control.Wave:
+    request = F.col("request_group_id")
+    failed_on_the_way = F.col("review_reason") == "group_transport_failure"
+    told = traces.agg(
+        F.count("*").alias("units"),
+        F.count_if(F.col("status") != "success").alias("failed"),
+        F.count_distinct(request).alias("requests"),
+        F.count_distinct(F.when(failed_on_the_way, request)).alias("transport"),
+    ).first()
+    return control.Wave(told.units, told.failed, told.units - told.failed, told.requests, told.transport, seconds, told.requests - told.transport)
+
 
 def run_step(source: DataFrame, step: ModelStep, folder: tables.Folder, run: str, clock: Callable[[], datetime] = utc_now, timer: Callable[[], float] = time.monotonic, most_waves: int | None = None) -> DataFrame:
     """source with the step's columns, as far as the run came. Units that succeeded before are not asked again."""
@@ -73,44 +151,77 @@ def run_step(source: DataFrame, step: ModelStep, folder: tables.Folder, run: str
     known = state.reconcile(tables.read_progress(log.state), tables.read_results(log.results), clock().isoformat(), seq)
     progress = log.write(log.state, known, "progress")
     # A run tries what failed for good before once more, and counts its own retries.
-    waiting = log.write(log.state, units.pending(todo, progress).withColumn("retry_count", F.lit(0).cast("long")), "waiting")
-    load, pace, began = control.initial_load(runtime.pace), runtime.pace, timer()
+    waiting = units.pending(todo, progress).withColumn("retry_count", F.lit(0).cast("long"))
+    left = Round(log, waiting, runtime.units_per_wave)
+    load, pace, began, most = control.initial_load(runtime.pace), runtime.pace, timer(), float(runtime.units_per_wave)
     config = {"name": step.name, "model": step.model, "prompt_version": step.prompt_version, "outputs": dict(step.outputs)}
-    for wave in range(1, (most_waves or runtime.most_waves) + 1):
-        if timer() - began >= runtime.soft_time_limit_seconds or waiting.isEmpty():
+    saving = Cadence(runtime.checkpoint_every_waves, runtime.checkpoint_every_seconds, timer)
+    viewing = Cadence(runtime.views_every_waves, runtime.views_every_seconds, timer)
+    unreviewed: list[str] = []
+    for _ in range(most_waves or runtime.most_waves):
+        if timer() - began >= runtime.soft_time_limit_seconds or not left.left():
             break
         seq += 1
-        size = load.group_size(pace)
-        groups = control.grouped(waiting, size, control.bucket_digits(waiting.count()))
+        taken, about = left.take(most)
+        groups = control.grouped(taken, load.group_size(pace), control.bucket_digits(about))
         sent = timer()
-        traces = log.write(log.debug, responses.answers(groups, step.make_adapter, step.make_handler, config, step.context, clock().isoformat()), "traces")
+        tasks = load.concurrency * runtime.lanes
+        answered = responses.answers(groups, step.make_adapter, step.make_handler, config, step.context, clock().isoformat(), tasks)
+        asked = responses.limited(answered, runtime.max_request_retries).withColumn("seq", F.lit(seq).cast("long"))
+        traces = log.write(log.debug, asked, "traces")
         seconds = timer() - sent
-        limited = state.apply_retry_limit(responses.progress_of(traces, seq), runtime.max_request_retries)
-        new = log.write(log.state, limited, "wave_progress")
+        unreviewed.append(log.newest["traces"])
+        # Results come first: what has a result but no progress is found again by reconciling.
         log.write(log.results, responses.results_of(traces, seq), "results_delta")
-        progress = log.write(log.state, state.latest_progress(append_all([progress, new], PROGRESS)), "progress")
-        told = traces.agg(F.count("*").alias("units"), F.count_if(F.col("status") != "success").alias("failed"), F.count_distinct("request_group_id").alias("requests"), F.count_distinct(F.when(F.col("review_reason") == "group_transport_failure", F.col("request_group_id"))).alias("transport")).first()
-        load = control.next_load(load, pace, control.Wave(told.units, told.failed, told.units - told.failed, told.requests, told.transport, seconds))
-        retry = new.where(F.col("status") == "retryable_error").select("unit_id", "retry_count")
-        # Transport failures never become permanent, so a run gives up on a unit after as many retries.
-        again = retry.where(F.col("retry_count") <= runtime.max_request_retries)
-        waiting = log.write(log.state, waiting.drop("retry_count").join(again, "unit_id").select(*waiting.columns), "waiting")
-        if wave % runtime.checkpoint_every_waves == 0:
-            log.write(log.results, state.checkpoint_rows(tables.read_results(log.results)), "results_checkpoint")
-    return finish(source, step, log, todo, progress)
-
-
-def finish(source: DataFrame, step: ModelStep, log: StepLog, todo: DataFrame, progress: DataFrame) -> DataFrame:
-    """Writes the views, the checkpoint and the run's figures, and merges the answers back."""
-    results = log.write(log.results, state.checkpoint_rows(tables.read_results(log.results)), "results_checkpoint")
-    outputs = step.columns
+        log.write(log.state, responses.progress_of(traces, seq), "progress_delta")
+        figures = wave_figures(traces, seconds)
+        if figures.failed_units or not traces.where("review_flag").isEmpty():
+            log.write(log.debug, responses.debug_of(state.review_rows(traces), seq), "review")
+        load = control.next_load(load, pace, figures)
+        most = min(runtime.units_per_wave, figures.units * runtime.seconds_per_wave / max(seconds, 1e-9)) if figures.units else most
+        if saving.due():
+            save(step, log, unreviewed)
+            unreviewed = []
+        if viewing.due():
+            write_views(source, step, log, todo)
+        if not left.left():
+            left = Round(log, to_repeat(left.units, tables.read_progress(log.state), runtime.max_request_retries), runtime.units_per_wave)
+    save(step, log, unreviewed)
+    results = write_views(source, step, log, todo)
+    return views.merge_back(source, results, step.key, step.columns, step.dtypes, todo)
+
+
+def to_repeat(asked: DataFrame, progress: DataFrame, most: int) -> DataFrame:
+    """Of a round's units those to ask once more. Failures on the way never become permanent, so a run gives up on a unit after
+    as many retries."""
+    again = progress.where((F.col("status") == "retryable_error") & (F.col("retry_count") <= most)).select("unit_id", "retry_count")
+    return asked.drop("retry_count", "slice").join(again, "unit_id").select(*[c for c in asked.columns if c != "slice"])
+
+
+def save(step: ModelStep, log: StepLog, unreviewed: Sequence[str]) -> None:
+    """Snapshots of progress, results and permanent failures, after which covered deltas and old artifacts may go."""
+    progress = log.write(log.state, tables.read_progress(log.state), "progress")
+    log.write(log.results, state.checkpoint_rows(tables.read_results(log.results)), "results_checkpoint")
+    if unreviewed:
+        traces = log.debug.spark.read.parquet(*[f"{log.debug.path}/{n}" for n in unreviewed])
+        failed = append_all([tables.read_permanent_review(log.debug), traces], DEBUG)
+        log.write(log.debug, state.permanent_review(failed, progress), "permanent_review")
+    runtime = step.runtime
+    if runtime.cleanup_artifacts:
+        log.prune(runtime.artifact_retention_mode, runtime.keep_last, tuple(log.newest))
+
+
+def write_views(source: DataFrame, step: ModelStep, log: StepLog, todo: DataFrame) -> DataFrame:
+    """Writes the views and the run's figures from the newest state. Returns the results."""
+    progress = tables.read_progress(log.state)
+    results = tables.read_results(log.results)
     released = views.released_rows(todo, progress, step.runtime.release_scope)
     if step.runtime.write_pair_status:
         log.write(log.state, views.pair_status(todo, progress, list(step.outputs), released), "pair_status")
     if step.runtime.write_partial_output:
-        log.write(log.results, views.partial_output(source, results, step.key, outputs, released, step.dtypes), "partial_output")
+        log.write(log.results, views.partial_output(source, results, step.key, step.columns, released, step.dtypes), "partial_output")
     one = views.run_metadata(todo, progress, results, step.name, "complete", log.clock().isoformat()).first().asDict()
     if one["completed_or_terminal_units"] < one["total_units"]:
         one["status"] = "retryable_incomplete"
     tables.write_json(log.state, one, "metadata", log.run, log.stamp())
-    return views.merge_back(source, results, step.key, outputs, step.dtypes, todo)
+    return results

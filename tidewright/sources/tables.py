@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewright.functions.schemas import DEBUG, PROGRESS, RESULT, conform
-from tidewright.operators.state import replay
+from tidewright.functions.schemas import DEBUG, PROGRESS, RESULT, append_all, conform
+from tidewright.operators.state import latest_progress, latest_results, replay
 from tidewright.operators.units import field_list
 
 
@@ -121,7 +121,13 @@ def read_latest(folder: Folder, family: str, schema: StructType) -> DataFrame:
 
 
 def read_progress(folder: Folder) -> DataFrame:
-    return read_latest(folder, "progress", PROGRESS)
+    """The newest snapshot and the deltas of single waves; of each unit, the last."""
+    deltas = artifacts(folder, "progress_delta")
+    known = read_latest(folder, "progress", PROGRESS)
+    if not deltas:
+        return known
+    newer = folder.spark.read.parquet(*[f"{folder.path}/{n}" for n in deltas])
+    return latest_progress(append_all([known, newer], PROGRESS))
 
 
 def read_permanent_review(folder: Folder) -> DataFrame:
@@ -129,15 +135,20 @@ def read_permanent_review(folder: Folder) -> DataFrame:
 
 
 def read_results(folder: Folder) -> DataFrame:
-    """The newest checkpoint and the deltas it does not cover."""
-    spark, empty = folder.spark, folder.spark.createDataFrame([], RESULT)
-    at = lambda names: spark.read.parquet(*[f"{folder.path}/{n}" for n in names])
-    deltas = artifacts(folder, "results_delta")
-    logged = conform(at(deltas), RESULT) if deltas else empty
-    checkpoints = artifacts(folder, "results_checkpoint")
+    """The newest checkpoint and the deltas it does not cover. Without either, the newest of the older ``results_snapshot``
+    files, or else all plain ``results_`` files."""
+    spark, names = folder.spark, [n for n in folder.list_objects() if n.endswith(".parquet")]
+    at = lambda some: conform(spark.read.parquet(*[f"{folder.path}/{n}" for n in some]), RESULT)
+    deltas, checkpoints = artifacts(folder, "results_delta"), artifacts(folder, "results_checkpoint")
+    if not deltas and not checkpoints:
+        snapshots = [n for n in names if n.startswith("results_snapshot_")]
+        older = [max(snapshots)] if snapshots else [n for n in names if n.startswith("results_")]
+        # Files of older formats are few and may differ in columns, so each is read by itself.
+        return latest_results(append_all([at([n]) for n in older], RESULT)) if older else spark.createDataFrame([], RESULT)
+    logged = at(deltas) if deltas else spark.createDataFrame([], RESULT)
     if not checkpoints:
         return replay(None, -1, logged)
-    known = conform(at([max(checkpoints)]), RESULT)
+    known = at([max(checkpoints)])
     covered = known.agg(F.max("seq")).first()[0]
     return replay(known, -1 if covered is None else covered, logged)
 
