@@ -57,13 +57,12 @@ class StepLog:
         """Deletes what retention lets go, of the families ``written`` (all by default), and deltas that kept snapshots cover.
         What this run wrote last of a family stays. Names are few, some for each wave."""
         families = (*retention.FAMILIES, *OWN_FAMILIES)
-        gone = []
-        for folder in (self.state, self.results, self.debug):
-            names = folder.spark.createDataFrame([(n,) for n in folder.list_objects()], "name string")
-            plan = retention.cleanup_plan(names, written or families, mode, keep, families=families, spared=tuple(DELTAS))
-            gone += [(folder, r["name"]) for r in plan.collect() if r["name"] not in self.newest.values()]
-        for folder, name in gone:
-            folder.delete_object(name)
+        places = {n: folder for folder in (self.state, self.results, self.debug) for n in folder.list_objects()}
+        names = self.state.spark.createDataFrame([(n,) for n in places], "name string").coalesce(1)
+        plan = retention.cleanup_plan(names, written or families, mode, keep, families=families, spared=tuple(DELTAS))
+        gone = [r["name"] for r in plan.collect() if r["name"] not in self.newest.values()]
+        for name in gone:
+            places[name].delete_object(name)
         return len(gone) + sum(self.prune_deltas(folder, d, DELTAS[d]) for folder, d in ((self.results, "results_delta"), (self.state, "progress_delta")))
 
     def prune_deltas(self, folder: tables.Folder, delta: str, snapshot: str) -> int:
