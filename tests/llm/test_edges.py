@@ -291,3 +291,65 @@ def test_first_common_shingles_make_few_pairs(spark):
         assert linked <= pairs
         if with_base:
             assert len(pairs) < 0.02 * len(made) ** 2 / 2
+
+
+MIT_GRANT = next(t for n, t in licenses.TEMPLATES if n == "MIT" and t.startswith("Permission"))
+APACHE = next(t for n, t in licenses.TEMPLATES if n == "Apache-2.0" and "may not" in t)
+
+
+def test_wrapped_licenses(spark):
+    import random
+    import textwrap
+
+    chance = random.Random(5)
+    rows, wanted = [], {}
+    for k in range(40):
+        name, notice = (("MIT", MIT_GRANT), ("Apache-2.0", APACHE))[k % 2]
+        mark = chance.choice(["# ", "// ", " * ", ""])
+        body = [mark + line for line in textwrap.wrap(notice, chance.randrange(30, 100))]
+        around = [f"value_{j} = {j} + other" for j in range(chance.randrange(1, 60))]
+        at = chance.randrange(len(around) + 1)
+        rows.append((k, "\n".join([*around[:at], *body, mark.strip(), *around[at:]])))
+        wanted[k] = name
+    full = next(t for n, t in reversed(licenses.TEMPLATES) if n == "MIT")
+    rows.append((100, "MIT License\n\nCopyright (c) 2020 A B\n\n" + textwrap.fill(full, 78)))
+    rows += [(101, "plain words\n" * 50), (102, None), (103, ""), (104, "Licensed under the"), (105, "permission is hereby granted " * 50_000)]
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got[k].block_license for k in wanted} == wanted
+    assert got[100].block_license == "MIT" and got[100].block_dice >= 0.95 and got[100].whole_license == "MIT"
+    assert all(got[k].block_license is None for k in (101, 102, 103, 104, 105))
+
+
+def test_cache_is_bounded_by_characters():
+    from tidewright.llm.arrow_batches import BoundedCache
+
+    asked = []
+
+    def lengths(keys):
+        asked.extend(keys)
+        return [len(k) for k in keys]
+
+    cache = BoundedCache(lengths, 1000, {"fixed": 5}, most_chars=20, longest=8)
+    cache.learn(["a" * 8, "b" * 50])
+    assert cache["b" * 50] == 50 and cache["a" * 8] == 8
+    cache.learn(["c" * 8])
+    assert "b" * 50 not in cache and "a" * 8 in cache
+    cache.learn(["d" * 8, "a" * 8])
+    assert cache["d" * 8] == cache["a" * 8] == 8 and "c" * 8 not in cache and cache["fixed"] == 5
+    assert asked.count("a" * 8) == 2
+
+
+def test_counts_of_long_runs(spark):
+    import base64
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    chance = random.Random(3)
+    odd = ["漢字仮名" * 700, base64.b64encode(chance.randbytes(4000)).decode(), "the cat 漢字 the cat\n\n  ünḯ x", "न" * 500, "a b  the\tcat", None, ""]
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(vocabulary)
+    frame = spark.createDataFrame([(k, odd[k % len(odd)]) for k in range(4 * len(odd))], "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(frame, vocabulary).collect()}
+    assert got == {k: len(library.encode(odd[k % len(odd)] or "", add_special_tokens=False)) for k in range(4 * len(odd))}

@@ -9,20 +9,31 @@ import pyarrow as pa
 
 
 class BoundedCache(dict):
-    """A dict that computes missing values in bulk and forgets all of them once it holds ``limit`` entries."""
+    """A dict that computes missing values in bulk. It forgets all of them once it holds ``limit`` entries or keys of
+    ``most_chars`` characters in all; keys over ``longest`` characters stay for one call of ``learn`` only."""
 
-    def __init__(self, compute: Callable[[list], list], limit: int, fixed: dict | None = None):
+    def __init__(self, compute: Callable[[list], list], limit: int, fixed: dict | None = None, most_chars: int = 64 << 20, longest: int = 256):
         super().__init__(fixed or {})
-        self.compute, self.limit, self.fixed = compute, limit, fixed or {}
+        self.compute, self.limit, self.fixed, self.most_chars, self.longest = compute, limit, fixed or {}, most_chars, longest
+        self.chars, self.passing = 0, []
 
     def learn(self, keys: Iterable) -> None:
-        missing = [k for k in set(keys) if k not in self]
+        for key in self.passing:
+            del self[key]
+        self.passing = []
+        wanted = set(keys)
+        missing = [k for k in wanted if k not in self]
         if not missing:
             return
-        if len(self) + len(missing) > self.limit + len(self.fixed):
+        chars = sum(len(k) for k in missing if len(k) <= self.longest)
+        if len(self) + len(missing) > self.limit + len(self.fixed) or self.chars + chars > self.most_chars:
             self.clear()
             self.update(self.fixed)
-            missing = [k for k in set(keys) if k not in self]
+            self.chars = 0
+            missing = [k for k in wanted if k not in self]
+            chars = sum(len(k) for k in missing if len(k) <= self.longest)
+        self.chars += chars
+        self.passing = [k for k in missing if len(k) > self.longest]
         self.update(zip(missing, self.compute(missing), strict=True))
 
 

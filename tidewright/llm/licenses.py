@@ -1,13 +1,16 @@
 """License scans, in DataFrame functions alone.
 
-Text is normalised to lower-case words of letters and digits. A unit (a line, or the whole text) is like a
-template when the Dice coefficient of their sets of word bigrams, 2 * shared / (unit's + template's), is ``LEAST_DICE`` or
+Text is normalised to lower-case words of letters and digits, so comment marks go. Units are each line, the whole text, and for
+each template blocks of lines: a block starts with a line that holds one of the template's first ``OPENING`` bigrams and
+has the fewest lines (empty ones aside) that hold as many words as the template, or all lines to the end. So a licence that is
+wrapped over lines inside a longer text is one unit. A unit is like a template when the Dice coefficient of their sets of word bigrams, 2 * shared / (unit's + template's), is ``LEAST_DICE`` or
 more. That bounds the sizes: a unit whose number of bigrams is out of the template's bounds is never compared. It also means
 that a match shares so many bigrams that some hold one of the ``anchor_words``, chosen so that this is certain for every
 template; text without any of these words is not cut into bigrams.
 
 Null text and text without two words match nothing. Ties go to the first template in the list. Equal rows are scanned each
-on its own. An empty table gives an empty result.
+on its own. A very long text is one row of a task; only lines that open a template are joined to blocks. The id may have any
+name and no other column is carried, so none can clash. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +40,15 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("reserved", "All rights reserved."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("LGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
 )
+OPENING = 5
 
 
 @dataclass(frozen=True)
@@ -45,22 +56,31 @@ class Template:
     place: int
     name: str
     bigrams: tuple[str, ...]
+    n_words: int
+
+    @property
+    def opening(self) -> str:
+        """A pattern of lines that start a block."""
+        return opening_pattern(self.bigrams[:OPENING])
 
     def bounds(self, least: float) -> tuple[float, float]:
         """Numbers of bigrams of a unit that can reach ``least``."""
         n = len(self.bigrams)
         return n * least / (2 - least), n * (2 - least) / least
 
-
     def least_shared(self, least: float) -> int:
         return max(1, math.ceil(least * (math.ceil(self.bounds(least)[0]) + len(self.bigrams)) / 2 - 1e-9))
 
 
+def opening_pattern(pairs: Sequence[str]) -> str:
+    return rf"(?:^| )(?:{'|'.join(pairs)})(?: |$)"
+
+
 def templates(texts: Sequence[tuple[str, str]] = TEMPLATES) -> list[Template]:
     made = []
     for place, (name, text) in enumerate(texts):
         words = re.findall(r"[^\W_]+", text.lower())
-        made.append(Template(place, name, tuple(dict.fromkeys(map(" ".join, zip(words, words[1:], strict=False))))))
+        made.append(Template(place, name, tuple(dict.fromkeys(map(" ".join, zip(words, words[1:], strict=False)))), len(words)))
     return made
 
 
@@ -99,14 +119,57 @@ def _best(found: Column, tests: Sequence[Template], least: float) -> Column:
     return F.array_max(F.array(*scored))
 
 
+def _block(lines: Column, start: Column, n_words: int) -> Column:
+    """The fewest lines from ``start`` on that hold so many words, as one text."""
+    empty = F.struct(F.lit("").alias("text"), F.lit(0).alias("n"))
+
+    def more(held: Column, line: Column) -> Column:
+        longer = F.struct(F.concat(held["text"], F.lit(" "), line).alias("text"), (held["n"] + F.size(F.split(F.trim(line), " "))).alias("n"))
+        return F.when(held["n"] >= n_words, held).otherwise(longer)
+
+    return F.aggregate(F.slice(lines, start, n_words), empty, more)["text"]
+
+
+def _blocks(lines: Column, starts: Column, test: Template, least: float) -> Column:
+    """The matches of a template among its blocks."""
+    own = F.filter(starts, lambda i: F.element_at(lines, i).rlike(test.opening))
+    units = F.transform(own, lambda i: bigrams(_block(lines, i, test.n_words)))
+    return F.filter(F.transform(units, lambda b: _best(b, [test], least)), lambda m: m.isNotNull())
+
+
 def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text: str = "text", texts: Sequence[tuple[str, str]] = TEMPLATES, least: float = LEAST_DICE) -> DataFrame:
-    """Per document ``whole_license`` of the whole text, ``n_license_lines``, and the best line's ``license`` and ``dice``."""
+    """Per document ``whole_license`` of the whole text, ``n_license_lines``, the best line's ``license`` and ``dice``, and the
+    best block's ``block_license`` and ``block_dice``."""
     tests = templates(texts)
     anchored = rf"(?:^|[ \n])(?:{'|'.join(anchor_words(tests, least))})(?:[ \n]|$)"
     rows = docs.select(F.col(id_column), normal(F.coalesce(F.col(text), F.lit(""))).alias("t"))
     near = rows.withColumn("near", F.col("t").rlike(anchored))
+    all_lines = F.filter(F.split("t", "\n"), lambda x: F.trim(x) != "")
     lines = F.transform(F.filter(F.split("t", "\n"), lambda x: x.rlike(anchored)), bigrams)
-    cut = near.select(id_column, F.when(F.col("near"), lines).otherwise(F.array().cast("array<array<string>>")).alias("lines"), F.when(F.col("near"), bigrams(F.col("t"))).alias("whole"))
-    matched = cut.select(id_column, F.filter(F.transform("lines", lambda b: _best(b, tests, least)), lambda m: m.isNotNull()).alias("matches"), F.when(F.col("whole").isNotNull(), _best(F.col("whole"), tests, least)).alias("w"))
+    none = F.array().cast("array<array<string>>")
+    cut = near.select(
+        id_column,
+        F.when(F.col("near"), lines).otherwise(none).alias("lines"),
+        F.when(F.col("near"), bigrams(F.col("t"))).alias("whole"),
+        F.when(F.col("near"), all_lines).otherwise(F.array().cast("array<string>")).alias("all_lines"),
+    )
+    any_opening = opening_pattern(sorted({b for t in tests for b in t.bigrams[:OPENING]}))
+    places = F.when(F.size("all_lines") > 0, F.sequence(F.lit(1), F.size("all_lines"))).otherwise(F.array().cast("array<int>"))
+    opened = cut.withColumn("starts", F.filter(places, lambda i: F.element_at("all_lines", i).rlike(any_opening)))
+    found = F.flatten(F.array(*[_blocks(F.col("all_lines"), F.col("starts"), t, least) for t in tests]))
+    matched = opened.select(
+        id_column,
+        F.filter(F.transform("lines", lambda b: _best(b, tests, least)), lambda m: m.isNotNull()).alias("matches"),
+        F.when(F.col("whole").isNotNull(), _best(F.col("whole"), tests, least)).alias("w"),
+        F.when(F.size("starts") > 0, F.array_max(found)).alias("block"),
+    )
     best = F.array_max("matches")
-    return matched.select(id_column, F.col("w.name").alias("whole_license"), F.size("matches").cast("long").alias("n_license_lines"), best["name"].alias("license"), best["dice"].alias("dice"))
+    return matched.select(
+        id_column,
+        F.col("w.name").alias("whole_license"),
+        F.size("matches").cast("long").alias("n_license_lines"),
+        best["name"].alias("license"),
+        best["dice"].alias("dice"),
+        F.col("block.name").alias("block_license"),
+        F.col("block.dice").alias("block_dice"),
+    )

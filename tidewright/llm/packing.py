@@ -3,7 +3,7 @@
 ``token_pieces`` turns documents into pieces of at most ``size`` tokens. ``pack`` fits them locally, block by block,
 largest first, each into the fullest bin it fits in. Bins that are full but for ``SLACK`` tokens are done. The underfull
 ones are items of the next round, dealt out anew to fewer blocks, until one block holds them all or a round merges
-almost none. A block holds at most ``BLOCK`` items and a bin at most ``size`` members, so no task grows with the input.
+none. After best fit at most one bin of a block is half empty, so few bins are left to merge and rounds are few. A block holds at most ``BLOCK`` items and a bin at most ``size`` members, so no task grows with the input.
 
 Null text counts as empty: one piece with the end id alone. Equal rows are packed as often as they occur. Ids pass through.
 """
@@ -175,7 +175,7 @@ def pack(pieces: DataFrame, work: Workspace, size: int = SIZE, length: str = "le
         before, waiting = waiting, merged.where(~F.col("done")).count()
         rounds[-1] = rounds[-1].where("done")
         rounds.append(merged)
-        if blocks == 1 or waiting > 0.98 * before:
+        if blocks == 1 or waiting == before:
             break
     bins = rounds[0]
     for more in rounds[1:]:

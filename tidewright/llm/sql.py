@@ -67,9 +67,10 @@ FROM judged
 
 
 def _license_sql() -> str:
-    texts = ", ".join(f"({t.place}, '{t.name}', [{', '.join(repr(b) for b in t.bigrams)}])" for t in licenses.templates())
+    tests = licenses.templates()
+    texts = ", ".join(f"({t.place}, '{t.name}', [{', '.join(repr(b) for b in t.bigrams)}], {t.n_words}, '{t.opening}')" for t in tests)
     return f"""
-WITH templates(place, name, pairs) AS (VALUES {texts}),
+WITH templates(place, name, pairs, n_words, opening) AS (VALUES {texts}),
 units AS (
   SELECT doc_id, 'whole' AS kind, 0 AS place, coalesce(text, '') AS t FROM documents
   UNION ALL
@@ -85,10 +86,28 @@ units AS (
   SELECT doc_id, kind, place, max(struct_pack(dice := dice, rank := rank, name := name)) AS m FROM scored WHERE dice >= {licenses.LEAST_DICE} GROUP BY ALL
 ), lines AS (
   SELECT doc_id, count(*) AS n, max(m) AS m FROM best WHERE kind = 'line' GROUP BY doc_id
+), full_lines AS (
+  SELECT doc_id, place, w, array_to_string(w, ' ') AS t, sum(len(w)) OVER (PARTITION BY doc_id ORDER BY place) - len(w) AS words_before
+  FROM cut WHERE kind = 'line' AND len(w) > 0
+), starts AS (
+  SELECT l.doc_id, l.place, l.words_before, t.place AS template, t.name, t.pairs, t.n_words
+  FROM full_lines AS l JOIN templates AS t ON regexp_matches(l.t, t.opening)
+), blocks AS (
+  SELECT s.doc_id, s.place, s.template, s.name, s.pairs AS wanted, flatten(list(l.w ORDER BY l.place)) AS w
+  FROM starts AS s JOIN full_lines AS l ON l.doc_id = s.doc_id AND l.place >= s.place AND l.words_before - s.words_before < s.n_words
+  GROUP BY s.doc_id, s.place, s.template, s.name, s.pairs
+), block_pairs AS (
+  SELECT *, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pairs FROM blocks
+), block_dice AS (
+  SELECT *, round(2.0 * len(list_intersect(pairs, wanted)) / (len(pairs) + len(wanted)), 6) AS dice FROM block_pairs
+), best_blocks AS (
+  SELECT doc_id, max(struct_pack(dice := dice, rank := -template, name := name)) AS m FROM block_dice WHERE dice >= {licenses.LEAST_DICE} GROUP BY doc_id
 )
-SELECT documents.doc_id, whole.m.name AS whole_license, coalesce(lines.n, 0)::BIGINT AS n_license_lines, lines.m.name AS license, lines.m.dice AS dice
+SELECT documents.doc_id, whole.m.name AS whole_license, coalesce(lines.n, 0)::BIGINT AS n_license_lines, lines.m.name AS license, lines.m.dice AS dice,
+  best_blocks.m.name AS block_license, best_blocks.m.dice AS block_dice
 FROM documents LEFT JOIN lines ON documents.doc_id = lines.doc_id
 LEFT JOIN (SELECT * FROM best WHERE kind = 'whole') AS whole ON documents.doc_id = whole.doc_id
+LEFT JOIN best_blocks ON documents.doc_id = best_blocks.doc_id
 """
 
 

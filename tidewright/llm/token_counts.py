@@ -37,7 +37,7 @@ class ChunkCounter:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words = BoundedCache(self.word_lengths, CACHE_ENTRIES, frequent)
-        self.chunks = BoundedCache(self.encode, CACHE_ENTRIES)
+        self.chunks = BoundedCache(self.chunk_lengths, CACHE_ENTRIES)
 
     def encode(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -50,12 +50,19 @@ class ChunkCounter:
         known.update(zip(other, self.encode(other), strict=True))
         return [known[w] for w in words]
 
+    def chunk_lengths(self, chunks: list[str]) -> list[int]:
+        """A chunk is a run of whole pre-tokens. Those of plain chunks are looked up like others."""
+        plain = [plain_words(c) for c in chunks]
+        self.words.learn(set(chain.from_iterable(w for w in plain if w)))
+        other = iter(self.encode([c for c, w in zip(chunks, plain, strict=True) if w is None]))
+        return [next(other) if w is None else sum(map(self.words.__getitem__, w)) for w in plain]
+
     def count(self, texts: list[str]) -> list[int]:
         special = [any(a in t for a in self.added) for t in texts]
         plain = [None if s else plain_words(t) for s, t in zip(special, texts, strict=True)]
         chunks = [chunks_of(t) if w is None and not s else () for w, s, t in zip(plain, special, texts, strict=True)]
-        self.words.learn(set(chain.from_iterable(w for w in plain if w)))
         self.chunks.learn(set(chain.from_iterable(chunks)))
+        self.words.learn(set(chain.from_iterable(w for w in plain if w)))
         words, runs = self.words.__getitem__, self.chunks.__getitem__
         return [self.encode([t])[0] if s else sum(map(runs, c)) if w is None else sum(map(words, w)) for t, s, w, c in zip(texts, special, plain, chunks, strict=True)]
 
