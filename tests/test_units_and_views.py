@@ -63,7 +63,7 @@ def test_retry_limit(spark):
     got = {r.unit_id: r for r in state.apply_retry_limit(log, 3).collect()}
     assert [got[k].status for k in "abcde"] == ["permanent_error", "retryable_error", "retryable_error", "success", "permanent_error"]
     assert got["a"].last_error_type == "invalid_unit_output|x|max_request_retries_exhausted"
-    assert got["e"].last_error_message.startswith("[engine converted") and "max_request_retries=3" in got["a"].last_error_message
+    assert got["e"].last_error_message == f"[{state.GIVEN_UP} 3 retries, limit 3]" and got["a"].last_error_message == f"m {got['e'].last_error_message}"
 
 
 def source_units(spark):
