@@ -179,23 +179,3 @@ def shared_failures(failures: DataFrame, lane: str = "lane", second: str = "sec"
 def lane_totals(lanes: DataFrame) -> DataFrame:
     """For the log: the load budgets of all lanes, and the largest group."""
     return lanes.agg(F.sum("load_budget").alias("load_budget"), F.max("group_size").alias("group_size"))
-
-
-def load_trace(waves: DataFrame, pace: Pace, lane: str = "lane", order: str = "wave") -> DataFrame:
-    """The load after each wave of each lane. waves: lane, order, and the fields of ``Wave``. State passes from wave to wave, so a
-    lane is one group; a wave is one row however many units it had."""
-    import pandas as pd
-
-    fields = list(Wave.__dataclass_fields__)
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        load, out = initial_load(pace), []
-        for r in rows.sort_values(order).itertuples():
-            load = next_load(load, pace, Wave(**{f: getattr(r, f) for f in fields}))
-            out.append((getattr(r, lane), getattr(r, order), load.budget, load.concurrency, load.group_size(pace), load.ema))
-        return pd.DataFrame(out, columns=[lane, order, "budget", "concurrency", "group_size", "ema"])
-
-    kinds = {f.name: f.dataType.simpleString() for f in waves.schema.fields}
-    return waves.select(lane, order, *fields).groupBy(lane).applyInPandas(fold, f"{lane} {kinds[lane]}, {order} {kinds[order]}, budget double, concurrency long, group_size long, ema double")
-
-

@@ -227,15 +227,6 @@ def timeout_window_mad(spark, sf_dir):
     return got.select("event_id", "lane", "sample_count", F.round("spread_seconds", 4).alias("spread_seconds"))
 
 
-def _waves(spark, sf_dir):
-    hour = F.floor(F.col("sec") / 3600).alias("wave")
-    return _lanes(spark, sf_dir).groupBy("lane", hour).agg(F.count("*").alias("units"), F.count_if(F.col("tokens") % 10 == 0).alias("failed_units"), F.count_if(F.col("tokens") % 10 != 0).alias("useful_units"), F.count("*").alias("requests"), F.count_if(F.col("tokens") % 50 == 0).alias("transport_failures"), F.sum("seconds").alias("seconds"))
-
-
-def controller_trace(spark, sf_dir):
-    return control.load_trace(_waves(spark, sf_dir), control.Pace())
-
-
 def _names(spark, sf_dir):
     family = F.element_at(F.array(*map(F.lit, retention.FAMILIES)), (F.col("event_id") % len(retention.FAMILIES) + 1).cast("int"))
     run, stamp = F.lpad((F.col("event_id") % 40).cast("string"), 6, "0"), F.lpad(F.col("event_id").cast("string"), 6, "0")
@@ -305,4 +296,4 @@ def flagship(spark, sf_dir):
     return labelled.groupBy("lang", "quality").agg(F.count("*").alias("n"), F.count("text_label").alias("answered"), F.sum("text_label").alias("text_sum"), F.sum("lang_label").alias("lang_sum"))
 
 
-QUERIES = {f.__name__: f for f in (scan_projection, row_window, work_units, conversation_units, manifest, pending_units, latest_progress, latest_results, latest_debug, schema_enforcement, append_logs, reconcile_progress, result_difference, retry_limit, retry_counts, terminal_units, released_partial, released_strict, partial_output, pair_status, merge_back, merge_back_typed, run_outcome, run_metadata, status_histogram, run_status_histogram, review_rows, permanent_review, checkpoint_rows, delta_replay, result_fanout, group_assignment, token_estimate, rolling_tokens, shared_failures, timeout_window, timeout_window_mad, controller_trace, artifact_retention, run_retention, delta_retention, final_retention, latest_artifact, artifact_runs, file_batches, safe_names, resumable_step, resumable_documents, flagship)}
+QUERIES = {f.__name__: f for f in (scan_projection, row_window, work_units, conversation_units, manifest, pending_units, latest_progress, latest_results, latest_debug, schema_enforcement, append_logs, reconcile_progress, result_difference, retry_limit, retry_counts, terminal_units, released_partial, released_strict, partial_output, pair_status, merge_back, merge_back_typed, run_outcome, run_metadata, status_histogram, run_status_histogram, review_rows, permanent_review, checkpoint_rows, delta_replay, result_fanout, group_assignment, token_estimate, rolling_tokens, shared_failures, timeout_window, timeout_window_mad, artifact_retention, run_retention, delta_retention, final_retention, latest_artifact, artifact_runs, file_batches, safe_names, resumable_step, resumable_documents, flagship)}
