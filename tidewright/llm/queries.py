@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import byte_bpe, chat_format, language_id, licenses, media, near_dedup, packing, quality, repeats, token_counts
+from tidewright.llm import byte_bpe, chat_format, language_id, licenses, media, near_dedup, packing, quality, repeats, token_counts, vector_codes
 from tidewright.llm.workspace import Workspace
 
 PATTERN = public_tokenizers.PATTERN
@@ -87,4 +87,12 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), Workspace(spark, "repeats"), words=PASSAGE_WORDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_media, op3_packing, op4_token_counts, op5_language_id, op6_byte_bpe, op7_quality, op8_licenses, op9_near_dedup, op10_repeats)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"), Workspace(spark, "vector-codes"))
+    totals = coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    joined = coded.join(totals, F.col("label").eqNullSafe(F.col("of")))
+    return joined.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_media, op3_packing, op4_token_counts, op5_language_id, op6_byte_bpe, op7_quality, op8_licenses, op9_near_dedup, op10_repeats, op11_vector_codes)}

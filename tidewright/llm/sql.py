@@ -131,4 +131,38 @@ SELECT d.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coa
 FROM documents AS d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least_of ON least_of.doc_id = d.doc_id
 """
 
-ORACLE_SQL = {"op1_chat_format": OP1, "op7_quality": OP7, "op8_licenses": _license_sql(), "op9_near_dedup": OP9}
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Lloyd's rounds one after the other. Doubles hold all integers here exactly."""
+    ctes = [
+        """kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS n, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        "parted AS MATERIALIZED (SELECT n, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS x FROM kept, unnest(range(4)) AS u(p))",
+        "book0 AS MATERIALIZED (SELECT p, n - 1 AS k, x FROM parted WHERE n <= 256)",
+    ]
+    for r in range(rounds + 1):
+        ctes.append(f"""near{r} AS MATERIALIZED (
+  SELECT n, a.p, any_value(a.x) AS x, min(struct_pack(d := list_dot_product(a.x, a.x) - 2 * list_dot_product(a.x, b.x) + list_dot_product(b.x, b.x), k := k)) AS m
+  FROM parted AS a JOIN book{r} AS b ON a.p = b.p GROUP BY n, a.p
+)""")
+        if r < rounds:
+            ctes.append(f"""mean{r} AS (
+  SELECT p, k, list(y ORDER BY j) AS x FROM (
+    SELECT p, m.k AS k, j, floor(sum(x[j]) / count(*)) AS y FROM near{r}, unnest(range(1, len(x) + 1)) AS u(j) GROUP BY p, m.k, j
+  ) GROUP BY p, k
+)""")
+            ctes.append(f"book{r + 1} AS MATERIALIZED (SELECT b.p, b.k, coalesce(mean{r}.x, b.x) AS x FROM book{r} AS b LEFT JOIN mean{r} ON b.p = mean{r}.p AND b.k = mean{r}.k)")
+    return f"""
+WITH {", ".join(ctes)}, coded AS (
+  SELECT n, string_agg(printf('%02x', m.k), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM near{rounds} GROUP BY n
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda y: y::BIGINT), ','), ',' ORDER BY p, k)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept ON coded.n = kept.n
+"""
+
+
+ORACLE_SQL = {"op1_chat_format": OP1, "op7_quality": OP7, "op8_licenses": _license_sql(), "op9_near_dedup": OP9, "op11_vector_codes": _codes_sql()}
