@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import byte_bpe, chat_format, language_id, licenses, media, near_dedup, packing, quality, repeats, token_counts, vector_codes
+from tidewright.llm import byte_bpe, chat_format, language_id, licenses, media, near_dedup, packing, quality, relative_lz, repeats, token_counts, vector_codes
 from tidewright.llm.workspace import Workspace
 
 PATTERN = public_tokenizers.PATTERN
@@ -95,4 +95,9 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_media, op3_packing, op4_token_counts, op5_language_id, op6_byte_bpe, op7_quality, op8_licenses, op9_near_dedup, op10_repeats, op11_vector_codes)}
+def op12_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = relative_lz.find_copied(table(spark, sf_dir, "documents"), Workspace(spark, "relative-lz"))
+    return found.select(F.col("doc").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_media, op3_packing, op4_token_counts, op5_language_id, op6_byte_bpe, op7_quality, op8_licenses, op9_near_dedup, op10_repeats, op11_vector_codes, op12_relative_lz)}

@@ -165,4 +165,20 @@ FROM coded JOIN kept ON coded.n = kept.n
 """
 
 
-ORACLE_SQL = {"op1_chat_format": OP1, "op7_quality": OP7, "op8_licenses": _license_sql(), "op9_near_dedup": OP9, "op11_vector_codes": _codes_sql()}
+OP12 = f"""
+WITH read AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i+49], ' ') AS x FROM read, unnest(range(1, len(w) - 48)) AS u(i)
+), copied AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY x) AS least FROM windows) WHERE least < doc_id
+), gone AS (
+  SELECT doc_id, list(DISTINCT i + k) AS places FROM copied, unnest(range(50)) AS v(k) GROUP BY doc_id
+)
+SELECT read.doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+  sha256(coalesce(CASE WHEN places IS NULL THEN array_to_string(w, ' ')
+    ELSE array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(places, i)), lambda i: w[i]), ' ') END, '')) AS kept_sha256
+FROM read LEFT JOIN gone ON read.doc_id = gone.doc_id
+"""
+
+ORACLE_SQL = {"op1_chat_format": OP1, "op7_quality": OP7, "op8_licenses": _license_sql(), "op9_near_dedup": OP9, "op12_relative_lz": OP12, "op11_vector_codes": _codes_sql()}
