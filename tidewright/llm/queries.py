@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import byte_bpe, chat_format, language_id, licenses, media, near_dedup, packing, quality, relative_lz, repeats, token_counts, vector_codes
+from tidewright.llm import byte_bpe, chat_format, language_id, lexical_search, licenses, media, near_dedup, packing, quality, relative_lz, repeats, token_counts, vector_codes
 from tidewright.llm.workspace import Workspace
 
 PATTERN = public_tokenizers.PATTERN
@@ -100,4 +100,10 @@ def op12_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_media, op3_packing, op4_token_counts, op5_language_id, op6_byte_bpe, op7_quality, op8_licenses, op9_near_dedup, op10_repeats, op11_vector_codes, op12_relative_lz)}
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "lexical-search")
+    index = lexical_search.build_index(table(spark, sf_dir, "documents"), work)
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"), work)
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_media, op3_packing, op4_token_counts, op5_language_id, op6_byte_bpe, op7_quality, op8_licenses, op9_near_dedup, op10_repeats, op11_vector_codes, op12_relative_lz, op13_lexical_search)}

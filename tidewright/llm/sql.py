@@ -181,4 +181,27 @@ SELECT read.doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT
 FROM read LEFT JOIN gone ON read.doc_id = gone.doc_id
 """
 
-ORACLE_SQL = {"op1_chat_format": OP1, "op7_quality": OP7, "op8_licenses": _license_sql(), "op9_near_dedup": OP9, "op12_relative_lz": OP12, "op11_vector_codes": _codes_sql()}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+OP13 = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents
+), totals AS (
+  SELECT count(*)::BIGINT AS n, sum(len(t))::BIGINT AS l FROM docs WHERE len(t) > 0
+), asked AS (
+  SELECT item_id, term, count(*) AS q FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item_id, term
+), postings AS (
+  SELECT r, doc_id, n_terms, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, len(t)::BIGINT AS n_terms, unnest(t) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY r, doc_id, n_terms, term
+), weighed AS (
+  SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM postings, totals GROUP BY term, n
+), scored AS (
+  SELECT item_id, r, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n_terms * n) // l))))::BIGINT AS score
+  FROM asked JOIN postings ON asked.term = postings.term JOIN weighed ON weighed.term = asked.term, totals GROUP BY item_id, r, doc_id
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+) WHERE rank <= 10
+"""
+
+ORACLE_SQL = {"op1_chat_format": OP1, "op7_quality": OP7, "op8_licenses": _license_sql(), "op9_near_dedup": OP9, "op12_relative_lz": OP12, "op13_lexical_search": OP13, "op11_vector_codes": _codes_sql()}
