@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -156,3 +157,68 @@ def component_words(words):
 
 def dice(a, b):
     return 2 * len(a & b) / (len(a) + len(b))
+
+
+def vector_codes(rows, scale=1024, parts=4, entries=256, rounds=4):
+    """rows: (vec_id, vector, label) -> [(vec_id, code, error, label_error)], codebooks"""
+    kept = [(i, [math.floor(scale * x) for x in v], lab) for i, v, lab in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    width = -(-max((len(v) for _, v, _ in kept), default=0) // parts) * parts
+    kept = [(i, v + [0] * (width - len(v)), lab) for i, v, lab in kept]
+    size = width // parts
+    cut = [[v[p * size : (p + 1) * size] for p in range(parts)] for _, v, _ in kept]
+    first = sorted(range(len(kept)), key=lambda k: (kept[k][0] is None, kept[k][0] or 0, kept[k][1]))[:entries]
+    books = [[cut[k][p] for k in first] for p in range(parts)]
+
+    def nearest(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e, strict=True)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            groups = defaultdict(list)
+            for c in cut:
+                groups[nearest(c[p], books[p])[1]].append(c[p])
+            books[p] = [[sum(xs) // len(xs) for xs in zip(*groups[k], strict=True)] if k in groups else e for k, e in enumerate(books[p])]
+    found = [[nearest(c[p], books[p]) for p in range(parts)] for c in cut]
+    errors = [sum(d for d, _ in f) for f in found]
+    by = defaultdict(int)
+    for (_, _, lab), e in zip(kept, errors, strict=True):
+        by[lab] += e
+    return [(i, "".join(f"{k:02x}" for _, k in f), e, by[lab]) for (i, _, lab), f, e in zip(kept, found, errors, strict=True)], books
+
+
+def copied(docs, length=50):
+    """[(doc_id, n_words, n_removed, kept_sha256)]: words in windows that start in a document with a smaller id."""
+    words = [(d, (t or "").encode().split()) for d, t in docs]
+    least = {}
+    for d, w in words:
+        for k in range(len(w) - length + 1 if d is not None else 0):
+            key = tuple(w[k : k + length])
+            least[key] = min(least.get(key, d), d)
+    out = []
+    for d, w in words:
+        gone = {k + j for k in range(len(w) - length + 1) if d is not None and least[tuple(w[k : k + length])] < d for j in range(length)}
+        out.append((d, len(w), len(gone), sha(b" ".join(x for k, x in enumerate(w) if k not in gone))))
+    return out
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_SMALL = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def ranked(docs, items, top=10):
+    """[(item_id, rank, doc_id, score)]"""
+    counts = [(d, Counter(TERM.findall((t or "").translate(_SMALL)))) for d, t in docs]
+    counts = [(d, c, sum(c.values())) for d, c in counts if c]
+    n, total = len(counts), sum(s for *_, s in counts)
+    df = Counter(t for _, c, _ in counts for t in c)
+    out = []
+    for i, text in items:
+        asked = Counter(TERM.findall((text or "").translate(_SMALL)))
+        found = []
+        for d, c, size in counts:
+            m = 25 + 75 * size * n // total
+            score = sum(q * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m)) for t, q in asked.items() if t in c)
+            if score > 0:
+                found.append((-score, d is None, d or 0, d))
+        out += [(i, k, d, -s) for k, (s, *_, d) in enumerate(sorted(found)[:top], 1)]
+    return out

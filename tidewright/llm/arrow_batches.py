@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 
 class BoundedCache(dict):
@@ -50,3 +52,15 @@ def split_batch(batch: pa.RecordBatch, most_bytes: int = 16 << 20) -> Iterator[p
     half = batch.num_rows // 2
     yield from split_batch(batch.slice(0, half), most_bytes)
     yield from split_batch(batch.slice(half), most_bytes)
+
+
+@contextmanager
+def rows_at_once(spark: SparkSession, most: int) -> Iterator[None]:
+    """While this lasts, jobs that start send rows to Python by at most so many: for tables of few and large rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

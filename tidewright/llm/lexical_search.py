@@ -35,18 +35,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.arrow_batches import BoundedCache, split_batch
+from tidewright.llm.arrow_batches import BoundedCache, rows_at_once, split_batch
 from tidewright.llm.workspace import Workspace
 
 SAMPLE, SAMPLE_CHARS, SAMPLE_TERMS, FEATURES = 4096, 8192, 256, 1 << 14
 LEVELS, SWAPS = 6, 12
-SHARD, MOST_POSTINGS = 1024, 1 << 20
+SHARD, MOST_POSTINGS = 512, 1 << 20
+SHARD_BYTES, SHARDS_AT_ONCE = 4 << 20, 8
+"""Of a row group of the index, and shards that a task takes to Python at a time."""
 VISITS, WIDER = 4, 8
 CELLS = 1 << 22
 TOP = 10
 #: The bytes of terms, with A-Z lower-cased; all others part them.
 _TERM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-_CODES = BoundedCache(lambda terms: [xxhash.xxh64_intdigest(t) for t in terms], 500_000)
+_CODES = BoundedCache(lambda terms: [xxhash.xxh64_intdigest(t) for t in terms], 200_000)
 
 
 def term_counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -146,6 +148,7 @@ def _forward(docs: DataFrame, id_column: str, text: str, tree: Bisection) -> Dat
                 found = [term_counts(t) for t in batch.column("text").to_pylist()]
                 sizes = [len(codes) for codes, _ in found]
                 terms, counts = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+                counts = counts.astype(np.int32)
                 row = np.repeat(np.arange(len(found)), sizes)
                 leaf, margin = shared.value.place(row, terms, len(found))
                 ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
@@ -155,20 +158,26 @@ def _forward(docs: DataFrame, id_column: str, text: str, tree: Bisection) -> Dat
                 yield made.filter(pa.array(n > 0))
 
     rows = docs.where(F.col(text).isNotNull()).select(F.col(id_column).cast("long").alias("doc"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(make, "doc long, n long, leaf long, margin double, terms array<long>, counts array<long>")
+    return rows.mapInArrow(make, "doc long, n long, leaf long, margin double, terms array<long>, counts array<int>")
 
 
 @dataclass(frozen=True)
 class Index:
     """A row for each shard: ``shard``, ``least`` id, ``docs``, and of each of its ``terms`` in ascending order the largest impact ``peak`` and where its
-    postings end (``ends``); a posting is the place of a document in the shard (``at``) and its ``impact``."""
+    postings end (``ends``); a posting is the place of a document in the shard (``at``) and its ``impact``. Numbers of terms and postings
+    are bytes (``KINDS``), as readers of long arrays hold several copies of them."""
 
     shards: DataFrame
     documents: int
     terms: int
 
 
-SHARDS = "shard long, least long, docs array<long>, terms array<long>, ends array<int>, peak array<int>, at array<int>, impact array<int>"
+SHARDS = "shard long, least long, docs array<long>, terms binary, ends binary, peak binary, at binary, impact binary"
+KINDS = {"terms": np.dtype("<i8"), "ends": np.dtype("<i4"), "peak": np.dtype("<i4"), "at": np.dtype("<i4"), "impact": np.dtype("<i4")}
+
+
+def _read(batch: pa.RecordBatch, row: int, *columns: str) -> list[np.ndarray]:
+    return [np.frombuffer(batch.column(c)[row].as_py(), KINDS[c]) for c in columns]
 
 
 def _shards(documents: int, total: int):
@@ -180,19 +189,16 @@ def _shards(documents: int, total: int):
         terms, counts = (np.asarray(x.flatten()) for x in lists)
         at = np.repeat(np.arange(table.num_rows), np.diff(np.asarray(lists[0].offsets)))
         m = np.array([25 + 75 * n * documents // total for n in table.column("n").to_pylist()], np.int64)
+        counts = counts.astype(np.int64)
         impact = 1_000_000_000 * counts // (1000 * counts + 8 * m[at])
         order = np.lexsort((at, terms))
         terms, at, impact = terms[order], at[order], impact[order]
         starts = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
         ends = np.append(starts[1:], len(terms))
         docs = table.column("docs").to_pylist()
-        one = [table.column("place")[0].as_py(), min((d for d in docs if d is not None), default=None), docs]
-        arrays = [terms[starts], ends, np.maximum.reduceat(impact, starts), at, impact]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([one[0]], pa.int64()), pa.array([one[1]], pa.int64()), pa.array([docs], pa.list_(pa.int64()))]
-            + [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, pa.int64() if k == 0 else pa.int32())) for k, x in enumerate(arrays)],
-            [c.split()[0] for c in SHARDS.split(", ")],
-        )
+        named = [pa.array([table.column("place")[0].as_py()], pa.int64()), pa.array([min((d for d in docs if d is not None), default=None)], pa.int64()), pa.array([docs], pa.list_(pa.int64()))]
+        numbers = zip(KINDS.values(), (terms[starts], ends, np.maximum.reduceat(impact, starts), at, impact), strict=True)
+        return pa.RecordBatch.from_arrays([*named, *(pa.array([x.astype(kind).tobytes()], pa.binary()) for kind, x in numbers)], ["shard", "least", "docs", *KINDS])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -222,7 +228,7 @@ def build_index(docs: DataFrame, work: Workspace, id_column: str = "doc_id", tex
     # The hash parts copies, which all have one place in the tree.
     order = ["leaf", "margin", F.xxhash64("doc")]
     placed = forward.repartitionByRange(*order).sortWithinPartitions(*order).select("doc", "n", "terms", "counts", F.monotonically_increasing_id().alias("place"))
-    shards = work.save(placed.mapInArrow(_shards(told.documents, told.terms), SHARDS), "shards")
+    shards = work.save(placed.mapInArrow(_shards(told.documents, told.terms), SHARDS), "shards", group_bytes=SHARD_BYTES)
     work.drop("forward")
     return Index(shards, told.documents, told.terms)
 
@@ -273,7 +279,7 @@ def _asked(index: Index, block: Block) -> DataFrame:
         for batch in batches:
             made = []
             for k in range(batch.num_rows):
-                terms, ends, peak = (np.asarray(batch.column(c)[k].values) for c in ("terms", "ends", "peak"))
+                terms, ends, peak = _read(batch, k, "terms", "ends", "peak")
                 slot, at = block.slots(terms)
                 made.append((slot, np.diff(ends, prepend=0)[at], peak[at]))
             lists = [pa.array([m[k].tolist() for m in made], pa.list_(pa.int32())) for k in range(3)]
@@ -320,8 +326,9 @@ def _scored(visits: DataFrame, block: Block, weights: np.ndarray, top: int) -> D
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                terms, ends, at, impact, items = (np.asarray(batch.column(c)[k].values) for c in ("terms", "ends", "at", "impact", "items"))
-                named = batch.column("docs")[k].values
+                terms, ends, at, impact = _read(batch, k, *(c for c in KINDS if c != "peak"))
+                named, items = (batch.column(c)[k].values for c in ("docs", "items"))
+                items = np.asarray(items)
                 docs = np.asarray(named.fill_null(last))
                 slot, term = block.slots(terms)
                 own = weights[slot][:, items]
@@ -348,7 +355,8 @@ def _ranked(found: DataFrame, top: int) -> DataFrame:
 
 def _search_block(index: Index, block: Block, work: Workspace, name: str, top: int) -> DataFrame:
     """(item, rank, doc, score) of a block's items, by their numbers in it."""
-    asked = work.save(_asked(index, block), f"{name}-asked")
+    with rows_at_once(work.spark, SHARDS_AT_ONCE):
+        asked = work.save(_asked(index, block), f"{name}-asked")
     df = np.zeros(len(block.asked), np.int64)
     for r in asked.select(F.explode(F.arrays_zip("slots", "dfs")).alias("x")).groupBy("x.slots").agg(F.sum("x.dfs").alias("df")).collect():  # one row a term of the block
         df[r.slots] = r.df
@@ -361,7 +369,8 @@ def _search_block(index: Index, block: Block, work: Workspace, name: str, top: i
         by_shard = work.save(now.groupBy("shard").agg(F.collect_list("item").alias("items")), f"{name}-visits-{turn}")
         pages = index.shards.select("shard", "docs", "terms", "ends", "at", "impact").join(by_shard, "shard").drop("shard")
         scored = _scored(pages, block, weights, top)
-        best = work.save(_ranked(scored if best is None else scored.unionByName(best.drop("rank")), top), f"{name}-best-{turn}")
+        with rows_at_once(work.spark, SHARDS_AT_ONCE):
+            best = work.save(_ranked(scored if best is None else scored.unionByName(best.drop("rank")), top), f"{name}-best-{turn}")
         # A block's last scores are few: what they rule out need not be visited.
         last = best.where(F.col("rank") == top).select("item", F.col("score").alias("reached"), F.col("doc").alias("by"))
         seen = by_shard.select("shard", F.explode("items").alias("item"))

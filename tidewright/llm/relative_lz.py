@@ -241,7 +241,9 @@ def _results(rows: DataFrame, copies: DataFrame, cut: DataFrame, length: int) ->
 
 def without_copied(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """docs with what is left of the texts that lose words, joined by spaces; other texts stay as they are."""
-    lost = find_copied(docs, work, id_column, text, length).where("n_removed > 0").select(F.col("doc").alias("__doc"), *[F.col(c).alias(f"__{c}") for c in KEY], F.col("left").cast("string").alias("__left")).distinct()
-    keyed = docs.withColumns({f"__{n}": c for n, c in row_key(text).items()} | {"__doc": F.col(id_column)})
-    joined = keyed.join(lost, ["__doc", *(f"__{c}" for c in KEY)], "left")
-    return joined.withColumn(text, F.coalesce("__left", F.col(text))).select(*docs.columns)
+    lost = find_copied(docs, work, id_column, text, length).where("n_removed > 0")
+    lost = lost.select("doc", *KEY, F.col("left").cast("string").alias("left")).distinct()
+    # In a struct, the columns of docs cannot clash with those of the join.
+    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("all"), *[c.alias(n) for n, c in row_key(text).items()], F.col(id_column).alias("doc"))
+    joined = keyed.join(lost, ["doc", *KEY], "left")
+    return joined.withColumn("text", F.coalesce("left", F.col("all").getField(text))).select(*[F.col("text").alias(c) if c == text else F.col("all").getField(c).alias(c) for c in docs.columns])

@@ -29,9 +29,10 @@ class Workspace:
         self.spark = spark
         self.path = f"{shared_folder(spark)}/tidewright/{operator}-{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def save(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = (), group_bytes: int = 128 << 20) -> DataFrame:
+        """Writes a table in row groups of about ``group_bytes``, which are read as wholes, and reads it back."""
         path = f"{self.path}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+        df.write.mode("overwrite").options(**{"compression": "zstd", "parquet.block.size": group_bytes}).partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path) if not partition_by else self.spark.read.parquet(path)
 
     def drop(self, name: str = "") -> None:
