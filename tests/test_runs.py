@@ -1,19 +1,33 @@
 """Whole runs: answers, resumption, storage, pipelines, streams."""
 
 import json
+import os
+import sys
+import threading
+import time
+import uuid
+from collections import Counter
+from dataclasses import replace
 from datetime import UTC, datetime, timedelta
+from pathlib import Path
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from tidewright.operators import responses, retention
+from tidewright.functions.schemas import RESULT, append_all, conform
+from tidewright.operators import asking, control, responses, retention, state, units, views
+from tidewright.operators.asking import Flush
 from tidewright.operators.control import Pace
 from tidewright.plans import pipeline, stub
 from tidewright.plans.settings import ModelStep, Runtime
-from tidewright.plans.waves import Cadence, StepLog, run_step
+from tidewright.plans.snapshots import PLACE, Snapshot, bits_for, place
+from tidewright.plans.waves import Cadence, State, StepLog, live_figures, run_step
 from tidewright.sources import tables
 from tidewright.streaming.arrivals import process_arrivals
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot import tests
+
 UNIT = {"unit_id": "u1", "row_id": "1", "field_name": "x", "input_text": "t", "output_column": "o", "retry_count": 1}
 OTHER = UNIT | {"unit_id": "u2", "row_id": "2"}
 
@@ -204,14 +218,19 @@ def test_retention_plans(spark):
 BOUNDED = Runtime(pace=Pace(initial_group_size=2), units_per_wave=12, lanes=2, checkpoint_every_waves=2, cleanup_artifacts=False)
 
 
-def test_waves_are_bounded_and_a_failure_loses_one_at_most(spark, whole, tmp_path, monkeypatch):
+def asked_of(log, run):
+    names = [n for n in tables.artifacts(log.debug, "traces") if run in n]
+    return log.spark.read.parquet(*[f"{log.debug.path}/{n}" for n in names])
+
+
+def test_waves_are_bounded_and_a_failure_after_the_answers_loses_none(spark, whole, tmp_path, monkeypatch):
     folder, step = tables.Folder(spark, f"file://{tmp_path}"), stub.stub_step(BOUNDED)
     limited, calls = responses.limited, []
 
     def failing(traces, most):
         calls.append(1)
         if len(calls) == 3:
-            raise OSError("the third wave is lost")
+            raise OSError("the driver is lost in the third wave")
         return limited(traces, most)
 
     monkeypatch.setattr(responses, "limited", failing)
@@ -219,15 +238,148 @@ def test_waves_are_bounded_and_a_failure_loses_one_at_most(spark, whole, tmp_pat
         run_step(names(spark), step, folder, "20260101_000000", clock())
     monkeypatch.setattr(responses, "limited", limited)
     log = StepLog(folder, "20260101_000001")
-    waves = [spark.read.parquet(f"{log.debug.path}/{n}") for n in tables.artifacts(log.debug, "traces")]
-    assert len(waves) == 2 and all(0 < w.count() < 40 for w in waves)
-    saved = {r.unit_id for r in tables.read_results(log.results).collect()}
-    assert saved == {r.unit_id for w in waves for r in w.where("status = 'success'").collect()} and saved
+    waves = [spark.read.parquet(f"{log.debug.path}/{n}").count() for n in tables.artifacts(log.debug, "traces")]
+    assert len(waves) == 2 and waves[0] <= 12 and all(0 < w < 40 for w in waves)
+    (left,) = log.left_over()
+    third = asking.answers(spark, f"{log.debug.path}/{left}").where("status = 'success'").select("unit_id").collect()
+    saved = {r.unit_id for r in tables.read_results(log.results).collect()} | {r.unit_id for r in third}
+    got = run_step(names(spark), step, folder, "20260101_000001", lambda: datetime(2026, 1, 2, tzinfo=UTC) + timedelta(microseconds=next(TICKS)))
+    assert sorted(map(tuple, got.collect())) == whole[1] and not log.left_over()
+    replayed = {r.unit_id for r in third}
+    later = [r.unit_id for r in asked_of(log, "20260101_000001").select("unit_id").collect() if r.unit_id not in replayed]
+    assert third and not set(later) & saved
+
+
+TICKS = iter(range(1, 10**6))
+
+
+class Counting(stub.StubAdapter):
+    """Leaves a file for each request, waits, and kills its worker once where it is told to."""
+
+    def __init__(self, folder, wait=0.0, kill_at=None):
+        self.folder, self.wait, self.kill_at, self.n = Path(folder), wait, kill_at, 0
+
+    def execute_batch(self, requests, step):
+        self.n += 1
+        if self.n == self.kill_at and not (self.folder / "killed").exists():
+            (self.folder / "killed").touch()
+            os._exit(1)
+        for u in json.loads(requests[0]["prompt"]):
+            (self.folder / f"{u['unit_id']}-{u['attempt']}-{uuid.uuid4().hex}").touch()
+        time.sleep(self.wait)
+        return super().execute_batch(requests, step)
+
+
+def asked_units(folder):
+    return Counter(p.name.rsplit("-", 1)[0] for p in Path(folder).iterdir() if p.name != "killed")
+
+
+def counting_step(folder, runtime, **more):
+    return replace(stub.stub_step(runtime), make_adapter=lambda: Counting(str(folder), **more))
+
+
+def test_a_killed_task_loses_one_flush_at_most(spark, whole, tmp_path):
+    (tmp_path / "asked").mkdir()
+    runtime = Runtime(pace=Pace(initial_group_size=2, max_group_size=2), lanes=1, units_per_wave=40, flush=Flush(units=4, groups=2))
+    step, folder = counting_step(tmp_path / "asked", runtime, kill_at=8), tables.Folder(spark, f"file://{tmp_path}/step")
+    with pytest.raises(Exception, match="crashed|exited|failure"):
+        run_step(names(spark), step, folder, "20260101_000000")
+    got = run_step(names(spark), step, folder, "20260101_000001")
+    assert sorted(map(tuple, got.collect())) == whole[1] and (tmp_path / "asked/killed").exists()
+    assert 1 <= sum(n > 1 for n in asked_units(tmp_path / "asked").values()) <= 4 and max(asked_units(tmp_path / "asked").values()) == 2
+
+
+def test_another_attempt_of_a_task_asks_only_the_rest(tmp_path):
+    units = [UNIT | {"unit_id": f"{k:04x}", "input_text": "t", "retry_count": 0} for k in range(3)]
+    rows = responses.answer_group(units, stub.StubAdapter(), stub.StubHandler(), {"model": "m"}, {}, "now")
+    first = asking.TaskFiles(f"file://{tmp_path}", 7, 0)
+    first.save(rows[:2])
+    second = asking.TaskFiles(f"file://{tmp_path}", 7, 1)
+    assert second.answered == {"0000", "0001"} and second.counts == first.counts and second.counts["units"] == 2
+    assert not asking.TaskFiles(f"file://{tmp_path}", 8, 0).answered
+
+
+def test_a_slow_provider_saves_first_answers_in_time_and_stops_at_the_limits(spark, whole, tmp_path):
+    (tmp_path / "asked").mkdir()
+    runtime = Runtime(pace=Pace(initial_group_size=1, max_group_size=1), lanes=2, units_per_wave=40, seconds_per_wave=4, flush=Flush(units=100, groups=100, seconds=0.5), soft_time_limit_seconds=9)
+    step, folder = counting_step(tmp_path / "asked", runtime, wait=0.4), f"file://{tmp_path}/step"
+    seen, stop = [], threading.Event()
+
+    def watch():
+        while not stop.wait(0.3):
+            told = live_figures(spark, folder)
+            if told and told["units"]:
+                seen.append((time.time(), told["units"]))
+
+    thread = threading.Thread(target=watch)
+    thread.start()
+    began = time.time()
+    got = run_step(names(spark), step, tables.Folder(spark, folder), "20260101_000000")
+    stop.set()
+    thread.join()
+    asked = asked_units(tmp_path / "asked")
+    assert time.time() - began < 60 and 0 < sum(asked.values()) < 40 and seen
+    log = StepLog(tables.Folder(spark, folder), "x")
+    sizes = [spark.read.parquet(f"{log.debug.path}/{n}").count() for n in tables.artifacts(log.debug, "traces")]
+    assert sizes[0] <= 8 and sum(sizes) == sum(asked.values())
+    assert got.where("label IS NOT NULL").count() == tables.read_results(log.results).count()
+    resumed = run_step(names(spark), stub.stub_step(), tables.Folder(spark, folder), "20260101_000001")
+    assert sorted(map(tuple, resumed.collect())) == whole[1]
+
+
+def test_figures_of_tasks_are_those_of_their_answers(spark, tmp_path):
+    todo = units.work_units(names(spark), "n_nationkey", {"n_name": "label"}, "names", "m")
+    groups = control.grouped(todo.withColumn("retry_count", F.lit(0).cast("long")), 3)
+    spark.dataSource.register(asking.answering("answers_test", stub.StubAdapter, stub.StubHandler, {"model": "m"}, {}))
+    asking.ask(groups, "answers_test", f"file://{tmp_path}", "now", time.time() + 60, 4, Flush(units=5))
+    told, got = asking.figures(spark, f"file://{tmp_path}"), asking.answers(spark, f"file://{tmp_path}").collect()
+    assert told["units"] == len(got) == 40 and told["unasked_units"] == 0 and told["failed_units"] == sum(r.status != "success" for r in got) > 0
+    assert told["requests"] == len({r.request_group_id for r in got}) and told["files"] > 4 and told["transport_failures"] == 0
+    asking.ask(groups, "answers_test", f"file://{tmp_path}/late", "now", time.time() - 1, 4)
+    assert asking.figures(spark, f"file://{tmp_path}/late")["unasked_units"] == 40
+
+
+def test_saves_write_only_the_buckets_that_changed(spark, whole, tmp_path):
+    many = Runtime(pace=Pace(initial_group_size=2, max_group_size=2), units_per_wave=16, lanes=1, checkpoint_every_waves=1, views_every_waves=2, units_per_bucket=4, cleanup_artifacts=False, keep_last={})
+    folder, step = tables.Folder(spark, f"file://{tmp_path}"), stub.stub_step(many)
+    run_step(names(spark), step, folder, "20260101_000000", most_waves=3)
+    log = StepLog(folder, "x")
+    held = State(step, log, names(spark), spark.read.parquet(f"{log.state.path}/{max(tables.artifacts(log.state, 'units'))}"))
+    assert held.bits == 4
     got = run_step(names(spark), step, folder, "20260101_000001")
     assert sorted(map(tuple, got.collect())) == whole[1]
-    later = [n for n in tables.artifacts(log.debug, "traces") if "20260101_000001" in n]
-    asked = {r.unit_id for r in spark.read.parquet(*[f"{log.debug.path}/{n}" for n in later]).select("unit_id").collect()}
-    assert not asked & saved
+    # As the whole log has it.
+    deltas = [conform(spark.read.parquet(f"{log.results.path}/{n}"), RESULT) for n in tables.artifacts(log.results, "results_delta")]
+    wanted = {(r.unit_id, r.output_value) for r in state.latest_results(append_all(deltas, RESULT)).collect()}
+    assert {(r.unit_id, r.output_value) for r in tables.read_results(log.results).collect()} == wanted
+    todo, progress = held.todo, tables.read_progress(log.state)
+    full = views.pair_status(todo, progress, list(step.outputs), views.released_rows(todo, progress))
+    view = spark.read.parquet(f"{log.state.path}/{max(tables.artifacts(log.state, 'pair_status'))}")
+    assert sorted(map(tuple, view.select(*full.columns).collect())) == sorted(map(tuple, full.collect()))
+    partial = spark.read.parquet(f"{log.results.path}/{max(tables.artifacts(log.results, 'partial_output'))}")
+    assert sorted(map(tuple, partial.collect())) == [r for r in whole[1] if r[2] is not None]
+
+
+def test_the_cost_of_a_save_grows_with_what_changed(spark, tmp_path):
+    log = StepLog(tables.Folder(spark, f"file://{tmp_path}"), "20260101_000000", clock())
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("unit_id"), F.lit("success").alias("status")).withColumn(PLACE, place(F.col("unit_id")))
+    table = Snapshot(log, log.state, "progress", ["unit_id"], bits_for(20_000, 1000))
+    table.write_whole(rows)
+    some = rows.where(F.col(PLACE) < 1 << 15).withColumn("status", F.lit("permanent_error"))
+    hit = table.merge(some, 1)
+    part = spark.read.parquet(f"{log.state.path}/{log.newest['progress_part']}")
+    assert len(hit) == 1 and part.count() == rows.where(F.col(PLACE) < 1 << 15).count() < 1000
+    table.merge(rows.where(F.col(PLACE) >= (1 << 20) - 9000).limit(0), 2)
+    table.merge(rows.where((F.col(PLACE) >= 1 << 16) & (F.col(PLACE) < 1 << 17)).where("unit_id < '5'").withColumn("status", F.lit("retryable_error")), 3)
+    paths, covered = tables.newest_snapshot(log.state, "progress")
+    got = {r.unit_id: r.status for r in spark.read.parquet(*paths).collect()}
+    want = {r.unit_id: "permanent_error" if r[PLACE] < 1 << 15 else "retryable_error" if 1 << 16 <= r[PLACE] < 1 << 17 and r.unit_id < "5" else "success" for r in rows.collect()}
+    assert covered == 3 and got == want and table.totals() == dict(Counter(want.values()))
+    gone = rows.where(F.col(PLACE) < 1 << 16)
+    table.merge(rows.limit(0), 4, gone)
+    assert table.read().count() == 20_000 - gone.count() and sum(table.totals().values()) == 20_000 - gone.count()
+    table.finish()
+    assert table.read().count() == 20_000 - gone.count() and not [n for n in log.state.list_objects() if "_part" in n or "_buckets" in n]
 
 
 def test_a_run_writes_reviews_and_applies_retention(spark, tmp_path):
@@ -239,30 +391,28 @@ def test_a_run_writes_reviews_and_applies_retention(spark, tmp_path):
     assert failed > 0 and tables.read_permanent_review(log.debug).count() == failed
     review = spark.read.parquet(f"{log.debug.path}/{max(tables.artifacts(log.debug, 'review'))}")
     assert review.where("status = 'success' AND NOT review_flag").count() == 0
-    assert len(tables.artifacts(log.debug, "traces")) == 2 and len(tables.artifacts(log.state, "progress")) == 3
+    assert len(tables.artifacts(log.debug, "traces")) == 2 and len(tables.artifacts(log.state, "progress")) == 2
     assert tables.read_progress(log.state).count() == 40
 
 
 def test_a_task_has_one_adapter_for_all_its_groups(spark, tmp_path):
     units = [UNIT | {"unit_id": f"{k:04x}", "input_text": "t" * 9, "group_id": f"g{k // 3}", "retry_count": 0} for k in range(60)]
-    made = str(tmp_path)
+    made = str(tmp_path / "made")
+    Path(made).mkdir()
 
     def counted():
-        import uuid
-        from pathlib import Path
-
         Path(made, uuid.uuid4().hex).touch()
         return stub.StubAdapter()
 
-    got = responses.answers(spark.createDataFrame(units), counted, stub.StubHandler, {"model": "m"}, {}, "now", 4)
+    spark.dataSource.register(asking.answering("answers_counted", counted, stub.StubHandler, {"model": "m"}, {}))
+    asking.ask(spark.createDataFrame(units), "answers_counted", f"file://{tmp_path}/wave", "now", time.time() + 60, 4)
+    got = asking.answers(spark, f"file://{tmp_path}/wave")
     assert sorted(r.unit_id for r in got.collect()) == [u["unit_id"] for u in units]
-    assert len(list(tmp_path.iterdir())) <= 4
+    assert len(list(Path(made).iterdir())) <= 4
 
 
 def test_groups_reach_over_batches():
-    import pandas as pd
-
-    batches = [pd.DataFrame({"group_id": list(ids), "n": range(len(ids))}) for ids in ("aab", "b", "bcc", "c")]
+    batches = [[{"group_id": c} for c in ids] for ids in ("aab", "b", "bcc", "c")]
     assert ["".join(u["group_id"] for u in g) for g in responses.whole_groups(iter(batches))] == ["aa", "bbb", "ccc"]
     assert list(responses.whole_groups(iter([]))) == []
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,10 +99,11 @@ TRUE_WORDS = {"true", "1", "yes", "y"}
 FALSE_WORDS = {"false", "0", "no", "n"}
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """df with exactly the schema's columns: missing ones null, extra ones dropped, what cannot be cast null."""
+def conform(df: DataFrame, schema: StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """df with exactly the schema's columns: missing ones null, extra ones but those to ``keep`` dropped, what cannot be cast null."""
     have = set(df.columns)
-    return df.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+    own = [(F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+    return df.select(*own, *keep)
 
 
 def coerce(value, kind):

@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from tidewright.operators.stretches import PLACE, STRETCH, carried, in_stretches, led_by
 
 TOKEN_WINDOW_SECONDS = 60
 
@@ -148,22 +152,67 @@ def token_wait(window: Sequence[tuple[float, int]], coming: int, now: float, tar
     return min(max(0.0, min(at for at, _ in recent) + TOKEN_WINDOW_SECONDS - now), most)
 
 
+def moving_averages(samples: DataFrame, lane: str, order: Sequence[str], value: str, alpha: float) -> DataFrame:
+    """samples with the ``average`` of their lane so far, which moves by ``alpha`` to each value and starts with the first; those
+    without a value are left out. A stretch of a lane maps the average before it to a * average + b, so stretches are shared by tasks."""
+    rows = in_stretches(samples.where(F.col(value).isNotNull()), [lane, *order]).withColumn("__x", F.col(value).cast("double"))
+
+    def moved(now: float | None, values: Sequence[float]) -> list[float]:
+        out = []
+        for x in values:
+            now = moving_average(now, x, alpha)
+            out.append(now)
+        return out
+
+    def total(key: tuple, table: pa.Table) -> pa.Table:
+        values = table.sort_by(PLACE)["__x"].to_pylist()
+        made = {"a": (1 - alpha) ** len(values), "b": moved(0.0, values)[-1], "start": moved(None, values)[-1]}
+        return pa.table({lane: table[lane][:1], STRETCH: table[STRETCH][:1]} | {c: pa.array([x], pa.float64()) for c, x in made.items()})
+
+    def then(before: tuple | None, own: tuple) -> tuple:
+        a, b, start = own
+        return own if before is None else (a * before[0], a * before[1] + b, a * before[2] + b)
+
+    def follow(table: pa.Table) -> pa.Table:
+        ordered = table.sort_by(PLACE)
+        found = moved(ordered["before_start"][0].as_py(), ordered["__x"].to_pylist())
+        return ordered.select(samples.columns).append_column("average", pa.array(found, pa.float64()))
+
+    kind = samples.schema[lane].dataType.simpleString()
+    maps = rows.select(lane, STRETCH, PLACE, "__x").groupBy(lane, STRETCH).applyInArrow(total, f"{lane} {kind}, {STRETCH} long, a double, b double, start double")
+    led = led_by(rows, carried(maps, lane, ["a", "b", "start"], then), [lane, STRETCH])
+    out = StructType([*samples.schema.fields, StructField("average", DoubleType())])
+    return led.groupBy(lane, STRETCH).applyInArrow(follow, out)
+
+
 def time_limit(samples: DataFrame, lane: str = "lane", order: Sequence[str] = ("ts", "event_id"), seconds: str = "seconds", base: float = 300.0, most: float = 1800.0, size: int = 8, least_samples: int = 1, multiplier: float = 2.0, least_margin: float = 15.0, center: str = "median", spread: str = "stdev") -> DataFrame:
-    """samples with the time limit that the last ``size`` positive durations of a lane suggest."""
-    good = samples.where(F.col(seconds) > 0)
-    window = Window.partitionBy(lane).orderBy(*order).rowsBetween(-(size - 1), 0)
+    """samples with the time limit that the last ``size`` positive durations of a lane suggest. A window's partition is a stretch of a
+    lane, led by the last samples before it."""
+    rows = in_stretches(samples.where(F.col(seconds) > 0), [lane, *order])
+    back = F.row_number().over(Window.partitionBy(lane, STRETCH).orderBy(F.desc(PLACE)))
+    last = rows.select(lane, STRETCH, PLACE, F.col(seconds).cast("double").alias("x")).withColumn("__back", back).where(F.col("__back") < size)
+    in_place = F.sort_array(F.collect_list(F.struct(PLACE, "x")))
+    tails = last.groupBy(lane, STRETCH).agg(F.transform(in_place, lambda r: r["x"]).alias("tail"))
+
+    def then(before: tuple | None, own: tuple) -> tuple:
+        return ([*(before[0] if before else ()), *own[0]][-(size - 1) :],)
+
+    known = carried(tails, lane, ["tail"], then)
+    lead = known.select(lane, STRETCH, F.posexplode("before_tail").alias("__at", seconds)).withColumn(PLACE, F.col("__at").cast("long") - size).drop("__at")
+    both = rows.withColumn("__own", F.lit(True)).unionByName(lead.withColumn("__own", F.lit(False)), allowMissingColumns=True)
+    window = Window.partitionBy(lane, STRETCH).orderBy(PLACE).rowsBetween(-(size - 1), 0)
 
     def middle(values: Column) -> Column:
         ranked, n = F.array_sort(values), F.size(values)
         return (F.element_at(ranked, F.floor((n + 1) / 2).cast("int")) + F.element_at(ranked, F.floor(n / 2).cast("int") + 1)) / 2
 
-    seen = good.withColumns({"__last": F.collect_list(seconds).over(window), "__mean": F.avg(seconds).over(window), "__dev": F.stddev_pop(seconds).over(window)})
+    seen = both.withColumns({"__last": F.collect_list(seconds).over(window), "__mean": F.avg(seconds).over(window), "__dev": F.stddev_pop(seconds).over(window)}).where("__own")
     centered = seen.withColumn("center_seconds", F.col("__mean") if center == "mean" else middle(F.col("__last")))
     spreads = {"none": F.lit(0.0), "stdev": F.col("__dev"), "mad": middle(F.transform("__last", lambda x: F.abs(x - F.col("center_seconds"))))}
     wide = centered.withColumn("spread_seconds", spreads[spread])
     margin = F.greatest(F.lit(least_margin), F.col("spread_seconds") * multiplier)
     limit = F.least(F.greatest(F.lit(base), F.when(F.size("__last") >= least_samples, F.col("center_seconds") + margin).otherwise(F.lit(base))), F.lit(most))
-    return wide.withColumns({"sample_count": F.size("__last"), "limit_seconds": limit}).drop("__last", "__mean", "__dev")
+    return wide.withColumns({"sample_count": F.size("__last"), "limit_seconds": limit}).select(*samples.columns, "center_seconds", "spread_seconds", "sample_count", "limit_seconds")
 
 
 def shared_failures(failures: DataFrame, lane: str = "lane", second: str = "sec", window: int = 90) -> DataFrame:

@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from typing import Any, Protocol
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.schemas import DEBUG, PROGRESS, RESULT, conform
 from tidewright.operators.state import apply_retry_limit
 
-TRACES_AT_ONCE = 512
 #: The contract of adapters and handlers.
 ANSWER_STATUSES = ("success", "retryable_error", "permanent_error")
 RESPONSE_KEYS = {"request_id", "status", "raw_output", "error_type", "error_message"}
@@ -106,14 +104,11 @@ def answer_group(units: list[dict], adapter: Adapter, handler: TaskHandler, step
     return rows
 
 
-TRACE = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in DEBUG.fields if f.name != "seq"], "retry_count bigint", "outputs string"])
-
-
-def whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[list[dict]]:
+def whole_groups(batches: Iterable[list[dict]]) -> Iterator[list[dict]]:
     """The units of each group, of batches in which groups follow one another and may reach over an end."""
     held: list[dict] = []
     for batch in batches:
-        for unit in batch.to_dict("records"):
+        for unit in batch:
             if held and unit["group_id"] != held[0]["group_id"]:
                 yield held
                 held = []
@@ -122,26 +117,6 @@ def whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[list[dict]]:
         yield held
 
 
-def answers(groups: DataFrame, make_adapter: Callable[[], Adapter], make_handler: Callable[[], TaskHandler], step: Mapping, context: Mapping, now: str, tasks: int = 8) -> DataFrame:
-    """Traces of groups (units with ``group_id`` and ``retry_count``). Each group is one request. ``tasks`` tasks ask at a time,
-    each with one adapter for all of its groups."""
-    names = [part.split()[0] for part in TRACE.split(", ")]
-
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        adapter, handler = make_adapter(), make_handler()
-        rows: list[dict] = []
-        for units in whole_groups(batches):
-            rows += answer_group(units, adapter, handler, step, context, now)
-            if len(rows) >= TRACES_AT_ONCE:
-                yield pd.DataFrame(rows, columns=names, dtype=object)
-                rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=names, dtype=object)
-
-    dealt = groups.repartition(tasks, "group_id").sortWithinPartitions("group_id", "unit_id")
-    return dealt.mapInPandas(ask, TRACE)
-
-
 def limited(traces: DataFrame, most: int) -> DataFrame:
     """traces in which answer errors that have been repeated ``most`` times are permanent."""
     own = {"error_type": "last_error_type", "error_message": "last_error_message"}
@@ -149,16 +124,17 @@ def limited(traces: DataFrame, most: int) -> DataFrame:
     return judged.withColumnsRenamed({new: old for old, new in own.items()})
 
 
-def progress_of(traces: DataFrame, seq: int) -> DataFrame:
-    named = traces.select("unit_id", "status", "retry_count", F.col("error_type").alias("last_error_type"), F.col("error_message").alias("last_error_message"), "updated_at", F.lit(seq).alias("seq"))
-    return conform(named, PROGRESS)
+def progress_of(traces: DataFrame, seq: int, keep: Sequence[str] = ()) -> DataFrame:
+    """The traces as progress, with further columns to ``keep``."""
+    told = {"last_error_type": F.col("error_type"), "last_error_message": F.col("error_message"), "seq": F.lit(seq)}
+    return conform(traces.withColumns(told), PROGRESS, keep)
 
 
-def results_of(traces: DataFrame, seq: int) -> DataFrame:
+def results_of(traces: DataFrame, seq: int, keep: Sequence[str] = ()) -> DataFrame:
     """One row for each output of a success: its own column, and any extra ones."""
     outputs = F.from_json("outputs", "map<string,string>")
     good = traces.where(F.col("status") == "success").drop("output_column", "output_value", "seq")
-    return conform(good.select("*", F.explode(outputs).alias("output_column", "output_value"), F.lit(seq).alias("seq")), RESULT)
+    return conform(good.select("*", F.explode(outputs).alias("output_column", "output_value"), F.lit(seq).alias("seq")), RESULT, keep)
 
 
 def debug_of(traces: DataFrame, seq: int) -> DataFrame:

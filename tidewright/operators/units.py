@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.schemas import MANIFEST, WORK_UNIT
 from tidewright.functions.text import hash_parts, strip
+from tidewright.operators.stretches import in_order, positions
 
 
-def row_window(source: DataFrame, key: str, offset: int = 0, limit: int | None = None) -> DataFrame:
-    """Rows from ``offset`` on, in the order of the key."""
+def row_window(source: DataFrame, key: str | Sequence[str], offset: int = 0, limit: int | None = None) -> DataFrame:
+    """Rows from ``offset`` on, in the order of the key, which must be unique. The order is written once, by ranges of the key, and of it
+    only the ranges that the window covers are read again."""
     if offset < 0 or (limit is not None and limit < 0):
         raise ValueError("offset and limit cannot be negative")
     if not offset and limit is None:
         return source
-    window = source.orderBy(key).offset(offset)
-    return window if limit is None else window.limit(limit)
+    return positions(in_order(source, [key] if isinstance(key, str) else list(key)), offset, limit).select(*source.columns)
 
 
 def require_unique_keys(source: DataFrame, key: str) -> None:

@@ -64,6 +64,12 @@ def row_window(spark, sf_dir):
     return units.row_window(table(spark, sf_dir, "documents", ["doc_id", "lang"]), "doc_id", 10, 50)
 
 
+def row_window_far(spark, sf_dir):
+    """A window behind nine tenths of all line items."""
+    items = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"])
+    return units.row_window(items, ["l_orderkey", "l_linenumber"], items.count() * 9 // 10, 500)
+
+
 def work_units(spark, sf_dir):
     return _units(spark, sf_dir)
 
@@ -227,6 +233,21 @@ def timeout_window_mad(spark, sf_dir):
     return got.select("event_id", "lane", "sample_count", F.round("spread_seconds", 4).alias("spread_seconds"))
 
 
+def moving_averages(spark, sf_dir):
+    """The moving average of each lane, and of all events as one lane."""
+    each = _lanes(spark, sf_dir).select("event_id", F.col("lane").cast("long").alias("lane"), "ts", "seconds")
+    rows = each.unionByName(each.withColumn("lane", F.lit(-1).cast("long")))
+    got = control.moving_averages(rows, "lane", ["ts", "event_id"], "seconds", 0.3)
+    return got.select("event_id", "lane", F.round("average", 6).alias("average"))
+
+
+def timeout_window_one_lane(spark, sf_dir):
+    """One lane that holds all events."""
+    rows = _lanes(spark, sf_dir).withColumn("lane", F.lit(0))
+    got = control.time_limit(rows, base=10.0, most=120.0, least_margin=5.0, center="mean", spread="none")
+    return got.select("event_id", "sample_count", F.round("center_seconds", 4).alias("center_seconds"), F.round("limit_seconds", 3).alias("limit_seconds"))
+
+
 def _names(spark, sf_dir):
     family = F.element_at(F.array(*map(F.lit, retention.FAMILIES)), (F.col("event_id") % len(retention.FAMILIES) + 1).cast("int"))
     run, stamp = F.lpad((F.col("event_id") % 40).cast("string"), 6, "0"), F.lpad(F.col("event_id").cast("string"), 6, "0")
@@ -296,4 +317,4 @@ def flagship(spark, sf_dir):
     return labelled.groupBy("lang", "quality").agg(F.count("*").alias("n"), F.count("text_label").alias("answered"), F.sum("text_label").alias("text_sum"), F.sum("lang_label").alias("lang_sum"))
 
 
-QUERIES = {f.__name__: f for f in (scan_projection, row_window, work_units, conversation_units, manifest, pending_units, latest_progress, latest_results, latest_debug, schema_enforcement, append_logs, reconcile_progress, result_difference, retry_limit, retry_counts, terminal_units, released_partial, released_strict, partial_output, pair_status, merge_back, merge_back_typed, run_outcome, run_metadata, status_histogram, run_status_histogram, review_rows, permanent_review, checkpoint_rows, delta_replay, result_fanout, group_assignment, token_estimate, rolling_tokens, shared_failures, timeout_window, timeout_window_mad, artifact_retention, run_retention, delta_retention, final_retention, latest_artifact, artifact_runs, file_batches, safe_names, resumable_step, resumable_documents, flagship)}
+QUERIES = {f.__name__: f for f in (scan_projection, row_window, row_window_far, work_units, conversation_units, manifest, pending_units, latest_progress, latest_results, latest_debug, schema_enforcement, append_logs, reconcile_progress, result_difference, retry_limit, retry_counts, terminal_units, released_partial, released_strict, partial_output, pair_status, merge_back, merge_back_typed, run_outcome, run_metadata, status_histogram, run_status_histogram, review_rows, permanent_review, checkpoint_rows, delta_replay, result_fanout, group_assignment, token_estimate, rolling_tokens, shared_failures, timeout_window, timeout_window_mad, timeout_window_one_lane, moving_averages, artifact_retention, run_retention, delta_retention, final_retention, latest_artifact, artifact_runs, file_batches, safe_names, resumable_step, resumable_documents, flagship)}

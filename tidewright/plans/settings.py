@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from tidewright.operators.asking import Flush
 from tidewright.operators.control import Pace
 
 MOST_CONCURRENT_REQUESTS = 7
@@ -16,9 +17,13 @@ class Runtime:
     most_waves: int = 100_000
     max_request_retries: int = 3
     soft_time_limit_seconds: float = 40 * 60
-    #: A wave ends, and its answers are saved, by this many units or by about this many seconds.
+    #: A wave ends by this many units, or by this many seconds, after which no task starts a request.
     units_per_wave: int = 100_000
     seconds_per_wave: float = 60
+    #: Within a wave each task saves its answers by this.
+    flush: Flush = field(default_factory=Flush)
+    #: A bucket of the state, which is saved as a whole, has about this many units.
+    units_per_bucket: int = 200_000
     #: Requests at a time are the pace's concurrency in each of so many lanes.
     lanes: int = 8
     checkpoint_every_waves: int = 10
@@ -39,8 +44,11 @@ class Runtime:
             "release_scope is 'unit' or 'row_complete'": self.release_scope in ("unit", "row_complete"),
             "artifact_retention_mode is 'standard' or 'debug'": self.artifact_retention_mode in ("standard", "debug"),
             "max_request_retries, input_row_offset and input_row_limit are not negative": min(self.max_request_retries, self.input_row_offset, self.input_row_limit or 0) >= 0,
-            "counts of waves, units_per_wave and lanes are 1 at least": min(self.most_waves, self.units_per_wave, self.lanes, self.checkpoint_every_waves, self.views_every_waves) >= 1,
-            "seconds between savings are positive": min(self.seconds_per_wave, self.checkpoint_every_seconds, self.views_every_seconds) > 0,
+            "counts of waves, units, groups and lanes are 1 at least": min(
+                self.most_waves, self.units_per_wave, self.units_per_bucket, self.lanes, self.checkpoint_every_waves, self.views_every_waves, self.flush.units, self.flush.groups
+            )
+            >= 1,
+            "seconds between savings are positive": min(self.seconds_per_wave, self.checkpoint_every_seconds, self.views_every_seconds, self.flush.seconds) > 0,
             f"max_concurrent_requests is {MOST_CONCURRENT_REQUESTS} at most": self.pace.max_concurrent_requests <= MOST_CONCURRENT_REQUESTS,
             "soft_time_limit_seconds is positive": self.soft_time_limit_seconds > 0,
             "keep_last counts are not negative": all(n >= 0 for n in self.keep_last.values()),

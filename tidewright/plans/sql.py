@@ -63,6 +63,8 @@ _FIELD = ", ".join(f"max(p.{c}) FILTER (p.field_name = '{f}') AS {f}__{c}" for f
 ORACLE_SQL = {
     "scan_projection": "SELECT doc_id, lang, source FROM documents",
     "row_window": "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 50 OFFSET 10",
+    "row_window_far": """SELECT l_orderkey, l_linenumber, l_quantity FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS k, count(*) OVER () AS n FROM lineitem)
+WHERE k > n * 9 // 10 AND k <= n * 9 // 10 + 500""",
     "work_units": BASE + "SELECT unit_id, row_id, field_name, input_text, output_column, model, step_name, prompt_version FROM units",
     "conversation_units": f"SELECT sha256('tone||' || conv_id || '-' || turn || '||text||tone||stub-1||v2') AS unit_id, conv_id || '-' || turn AS row_id, 'text' AS field_name, 'tone' AS output_column, 'v2' AS prompt_version FROM conversations WHERE trim(text, {_SPACE}) <> ''",
     "manifest": BASE + "SELECT unit_id, row_id, field_name, output_column, model, step_name, prompt_version, sha256(input_text) AS input_hash FROM units",
@@ -105,6 +107,18 @@ FROM (SELECT (SELECT count(*) FROM units) AS total, (SELECT count(*) FROM result
 FROM (SELECT event_id, lane, count(*) OVER w::INT AS n, median(seconds) OVER w AS center, stddev_pop(seconds) OVER w AS dev FROM lanes WHERE seconds > 0 WINDOW w AS (PARTITION BY lane ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW))""",
     "timeout_window_mad": LANES + """SELECT event_id, lane, len(x)::INT AS sample_count, round(list_median(list_transform(x, lambda v: abs(v - list_median(x)))), 4) AS spread_seconds
 FROM (SELECT event_id, lane, list(seconds) OVER w AS x FROM lanes WHERE seconds > 0 WINDOW w AS (PARTITION BY lane ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW))""",
+    "timeout_window_one_lane": LANES + """SELECT event_id, n AS sample_count, round(center, 4) AS center_seconds, round(least(greatest(10.0, center + 5.0), 120.0), 3) AS limit_seconds
+FROM (SELECT event_id, count(*) OVER w::INT AS n, avg(seconds) OVER w AS center FROM lanes WHERE seconds > 0 WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW))""",
+    "moving_averages": LANES.replace("WITH", "WITH RECURSIVE") + """, both_lanes AS (
+  SELECT event_id, lane, ts, seconds FROM lanes UNION ALL SELECT event_id, -1, ts, seconds FROM lanes
+), numbered AS MATERIALIZED (
+  SELECT event_id, lane::BIGINT AS lane, seconds, row_number() OVER (PARTITION BY lane ORDER BY ts, event_id) AS k FROM both_lanes WHERE seconds IS NOT NULL
+), moved(k, event_id, lane, average) AS (
+  SELECT k, event_id, lane, seconds FROM numbered WHERE k = 1
+  UNION ALL
+  SELECT n.k, n.event_id, n.lane, 0.3 * n.seconds + (1 - 0.3) * m.average FROM moved AS m JOIN numbered AS n ON n.lane = m.lane AND n.k = m.k + 1
+)
+SELECT event_id, lane, round(average, 6) AS average FROM moved""",
     "artifact_retention": NAMES + "SELECT name, family FROM names QUALIFY row_number() OVER (PARTITION BY family ORDER BY name DESC) > CASE family WHEN 'manifest' THEN 1 WHEN 'traces' THEN 5 ELSE 3 END",
     "run_retention": NAMES + "SELECT name, run FROM names QUALIFY dense_rank() OVER (ORDER BY run DESC) > 10",
     "delta_retention": NAMES + "SELECT name, seq FROM names WHERE family = 'results_delta' AND seq <= (SELECT min(seq) FROM (SELECT seq FROM names WHERE family = 'results_checkpoint' ORDER BY seq DESC LIMIT 3))",

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import json
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.operators.control import Pace
 from tidewright.plans.settings import ModelStep, Runtime
 from tidewright.plans.waves import run_step
+from tidewright.sources.scratch import new_folder
 from tidewright.sources.tables import Folder
 
 
@@ -37,13 +36,6 @@ class StubHandler:
         return out
 
 
-def shared_folder(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return f"{(named or 'file://' + tempfile.mkdtemp(prefix='spark-step-')).rstrip('/')}/steps/{uuid.uuid4().hex}"
-
-
 def stub_step(runtime: Runtime | None = None, key: str = "n_nationkey", column: str = "n_name") -> ModelStep:
     own = runtime or Runtime(pace=Pace(initial_group_size=8))
     return ModelStep("names", key, {column: "label"}, "stub-1", StubAdapter, StubHandler, dtypes={"label": "Int64"}, runtime=own)
@@ -51,6 +43,6 @@ def stub_step(runtime: Runtime | None = None, key: str = "n_nationkey", column:
 
 def run_resumed(spark: SparkSession, source: DataFrame, step: ModelStep | None = None) -> DataFrame:
     """One wave, then a second run that goes on from the log to the end."""
-    folder, step = Folder(spark, shared_folder(spark)), step or stub_step()
+    folder, step = Folder(spark, new_folder(spark, "steps")), step or stub_step()
     run_step(source, step, folder, "20260101_000000", most_waves=1)
     return run_step(source, step, folder, "20260101_000100")

@@ -45,9 +45,20 @@ class Folder:
         self._fs.copyToLocalFile(False, self._at(name), self._api.Path(local), True)
 
     def write_text(self, name: str, text: str) -> None:
-        out = self._fs.create(self._at(name), True)
+        """A file that is there whole or not at all."""
+        out = self._fs.create(self._at(f"_{name}"), True)
         out.write(bytearray(text.encode()))
         out.close()
+        self._fs.delete(self._at(name), False)
+        self._fs.rename(self._at(f"_{name}"), self._at(name))
+
+    def read_text(self, name: str) -> str:
+        return self.spark.read.text(f"{self.path}/{name}", wholetext=True).first()[0]
+
+    def uri(self, name: str) -> str:
+        """The full address of an object, for readers other than Hadoop's."""
+        text = self._fs.makeQualified(self._at(name)).toUri().toString()
+        return text if not text.startswith("file:/") or text.startswith("file://") else f"file://{text.removeprefix('file:')}"
 
 
 CONNECTORS = {"hadoop": Folder, "local": Folder}
@@ -96,9 +107,9 @@ def artifact_name(family: str, run: str, stamp: str, extension: str = "parquet")
     return f"{family}__run_{run}__{stamp}.{extension}"
 
 
-def write_artifact(folder: Folder, df: DataFrame, family: str, run: str, stamp: str) -> str:
+def write_artifact(folder: Folder, df: DataFrame, family: str, run: str, stamp: str, partition_by: Sequence[str] = ()) -> str:
     name = artifact_name(family, run, stamp)
-    df.write.mode("errorifexists").option("compression", "zstd").parquet(f"{folder.path}/{name}")
+    df.write.mode("errorifexists").option("compression", "zstd").partitionBy(*partition_by).parquet(f"{folder.path}/{name}")
     return name
 
 
@@ -112,12 +123,26 @@ def artifacts(folder: Folder, family: str) -> list[str]:
     return [n for n in folder.list_objects() if n.startswith(f"{family}__run_") and n.endswith(".parquet")]
 
 
-def read_latest(folder: Folder, family: str, schema: StructType) -> DataFrame:
-    """The newest artifact of a family in its schema; empty if there is none."""
-    names = artifacts(folder, family)
+def newest_snapshot(folder: Folder, family: str) -> tuple[list[str], int | None]:
+    """The paths of the newest state of a family: an artifact, or the buckets that a newer ``..._buckets`` file names. With such a file
+    also the last ``seq`` that it covers."""
+    listed = [n for n in folder.list_objects() if n.endswith(".json") and n.startswith(f"{family}_buckets__run_")]
+    names = artifacts(folder, family) + listed
     if not names:
+        return [], None
+    name = max(names, key=lambda n: n.rsplit("__", 1)[1].split(".")[0])
+    if name.endswith(".parquet"):
+        return [f"{folder.path}/{name}"], None
+    told = json.loads(folder.read_text(name))
+    return [f"{folder.path}/{n}/bucket__={k}" for k, n in told["buckets"].items()], told["seq"]
+
+
+def read_latest(folder: Folder, family: str, schema: StructType) -> DataFrame:
+    """The newest state of a family in its schema; empty if there is none."""
+    paths, _ = newest_snapshot(folder, family)
+    if not paths:
         return folder.spark.createDataFrame([], schema)
-    return conform(folder.spark.read.parquet(f"{folder.path}/{max(names)}"), schema)
+    return conform(folder.spark.read.parquet(*paths), schema)
 
 
 def read_progress(folder: Folder) -> DataFrame:
@@ -139,17 +164,18 @@ def read_results(folder: Folder) -> DataFrame:
     files, or else all plain ``results_`` files."""
     spark, names = folder.spark, [n for n in folder.list_objects() if n.endswith(".parquet")]
     at = lambda some: conform(spark.read.parquet(*[f"{folder.path}/{n}" for n in some]), RESULT)
-    deltas, checkpoints = artifacts(folder, "results_delta"), artifacts(folder, "results_checkpoint")
-    if not deltas and not checkpoints:
+    deltas, (paths, covered) = artifacts(folder, "results_delta"), newest_snapshot(folder, "results_checkpoint")
+    if not deltas and not paths:
         snapshots = [n for n in names if n.startswith("results_snapshot_")]
         older = [max(snapshots)] if snapshots else [n for n in names if n.startswith("results_")]
         # Files of older formats are few and may differ in columns, so each is read by itself.
         return latest_results(append_all([at([n]) for n in older], RESULT)) if older else spark.createDataFrame([], RESULT)
     logged = at(deltas) if deltas else spark.createDataFrame([], RESULT)
-    if not checkpoints:
+    if not paths:
         return replay(None, -1, logged)
-    known = at([max(checkpoints)])
-    covered = known.agg(F.max("seq")).first()[0]
+    known = conform(spark.read.parquet(*paths), RESULT)
+    if covered is None:
+        covered = known.agg(F.max("seq")).first()[0]
     return replay(known, -1 if covered is None else covered, logged)
 
 
