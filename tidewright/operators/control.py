@@ -173,10 +173,12 @@ def moving_averages(samples: DataFrame, lane: str, order: Sequence[str], value:
         a, b, start = own
         return own if before is None else (a * before[0], a * before[1] + b, a * before[2] + b)
 
+    names = samples.columns
+
     def follow(table: pa.Table) -> pa.Table:
         ordered = table.sort_by(PLACE)
         found = moved(ordered["before_start"][0].as_py(), ordered["__x"].to_pylist())
-        return ordered.select(samples.columns).append_column("average", pa.array(found, pa.float64()))
+        return ordered.select(names).append_column("average", pa.array(found, pa.float64()))
 
     kind = samples.schema[lane].dataType.simpleString()
     maps = rows.select(lane, STRETCH, PLACE, "__x").groupBy(lane, STRETCH).applyInArrow(total, f"{lane} {kind}, {STRETCH} long, a double, b double, start double")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions import text as text_functions
 from tidewright.functions.schemas import CHECKPOINT, DEBUG, PROGRESS, RESULT, append_all, conform
-from tidewright.operators import control, retention, state, units, views
+from tidewright.operators import contract, control, retention, state, units, views
 from tidewright.sources.tables import scan
 
 STEP, MODEL = "classify", "stub-1"
@@ -244,10 +244,74 @@ def moving_averages(spark, sf_dir):
 def timeout_window_one_lane(spark, sf_dir):
     """One lane that holds all events."""
     rows = _lanes(spark, sf_dir).withColumn("lane", F.lit(0))
-    got = control.time_limit(rows, base=10.0, most=120.0, least_margin=5.0, center="mean", spread="none")
+    got = control.time_limit(rows, base=10.0, most=120.0, least_margin=5.0)
     return got.select("event_id", "sample_count", F.round("center_seconds", 4).alias("center_seconds"), F.round("limit_seconds", 3).alias("limit_seconds"))
 
 
+def lane_totals(spark, sf_dir):
+    """The loads of all lanes, a lane's budget being its tokens of the fullest minute and its group the most events in one."""
+    minutes = _lanes(spark, sf_dir).groupBy("lane", F.floor(F.col("sec") / 60).alias("minute")).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("events"))
+    return control.lane_totals(minutes.groupBy("lane").agg(F.max("tokens").alias("load_budget"), F.max("events").alias("group_size")))
+
+
+def _asked_and_answered(spark, sf_dir):
+    """Events in requests of 20, of which some are answered badly, twice, not at all, or without being asked."""
+    events = table(spark, sf_dir, "events", ["event_id", "event_type", "value"])
+    unit, request = F.col("event_id").cast("string").alias("unit_id"), F.floor(F.col("event_id") / 20).cast("string").alias("request_id")
+    asked = events.select(request, unit)
+    times = F.when(F.col("event_id") % 41 == 0, 0).when(F.col("event_id") % 53 == 0, 3).otherwise(1)
+    said = F.when(F.col("event_id") % 61 == 0, "odd").when(F.col("event_id") % 67 == 0, F.lit(None)).otherwise("success").alias("status")
+    copies = events.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3)))).where(F.col("n") <= times)
+    answers = copies.select(request, unit, said, F.when(F.col("event_id") % 71 != 0, F.col("value")).alias("output_value"))
+    more = events.where(F.col("event_id") % 83 == 0).select(request, F.concat(F.lit("x"), F.col("event_id").cast("string")).alias("unit_id"), said, F.col("value").alias("output_value"))
+    return asked, answers.unionByName(more)
+
+
+def contract_breaches(spark, sf_dir):
+    """Every unit that is not answered once and well."""
+    asked, answers = _asked_and_answered(spark, sf_dir)
+    return contract.breaches(asked, answers, ["request_id", "unit_id"], ["unit_id", "output_value"])
+
+
+def broken_requests(spark, sf_dir):
+    asked, answers = _asked_and_answered(spark, sf_dir)
+    return contract.broken_requests(contract.breaches(asked, answers, ["request_id", "unit_id"], ["unit_id", "output_value"]))
+
+
+def file_batch_stream(spark, sf_dir):
+    """Documents that arrive as files, two at a time, through a function and a model step. The stream is stopped by a failure in its second
+    batch and started again; all batches together are what one run over all files gives."""
+    from tidewright.operators.control import Pace
+    from tidewright.plans import pipeline, stub
+    from tidewright.plans.settings import Runtime
+    from tidewright.sources.scratch import new_folder
+    from tidewright.sources.tables import Folder
+    from tidewright.streaming.arrivals import process_arrivals
+
+    at = new_folder(spark, "arrivals")
+    docs = table(spark, sf_dir, "documents", ["doc_id", "source", "lang"])
+    docs.repartition(4, "doc_id").write.option("compression", "zstd").parquet(f"{at}/in")
+    failed = []
+
+    def named(batch):
+        if not failed and Folder(spark, f"{at}/out").list_objects() != ["arrived"]:
+            failed.append(1)
+            raise InterruptedError("stopped between two batches")
+        return batch.withColumn("source", text_functions.safe_name(F.col("source")))
+
+    plan = pipeline.Pipeline("arrived", [pipeline.FunctionStep(named), stub.stub_step(Runtime(pace=Pace(initial_group_size=64, max_group_size=128)), "doc_id", "lang")])
+    for _ in range(2):
+        query = process_arrivals(spark, plan, f"{at}/in", docs.schema, f"{at}/out", f"{at}/checkpoint", files_at_once=2)
+        try:
+            query.awaitTermination()
+        except Exception:
+            if len(failed) != 1:
+                raise
+            failed.append(2)
+    made = [f"{at}/out/{n}" for n in Folder(spark, f"{at}/out").list_objects() if n.endswith(".parquet")]
+    return spark.read.parquet(*made).select("doc_id", "source", "lang", "label")
+
+
 def _names(spark, sf_dir):
     family = F.element_at(F.array(*map(F.lit, retention.FAMILIES)), (F.col("event_id") % len(retention.FAMILIES) + 1).cast("int"))
     run, stamp = F.lpad((F.col("event_id") % 40).cast("string"), 6, "0"), F.lpad(F.col("event_id").cast("string"), 6, "0")
@@ -317,4 +381,4 @@ def flagship(spark, sf_dir):
     return labelled.groupBy("lang", "quality").agg(F.count("*").alias("n"), F.count("text_label").alias("answered"), F.sum("text_label").alias("text_sum"), F.sum("lang_label").alias("lang_sum"))
 
 
-QUERIES = {f.__name__: f for f in (scan_projection, row_window, row_window_far, work_units, conversation_units, manifest, pending_units, latest_progress, latest_results, latest_debug, schema_enforcement, append_logs, reconcile_progress, result_difference, retry_limit, retry_counts, terminal_units, released_partial, released_strict, partial_output, pair_status, merge_back, merge_back_typed, run_outcome, run_metadata, status_histogram, run_status_histogram, review_rows, permanent_review, checkpoint_rows, delta_replay, result_fanout, group_assignment, token_estimate, rolling_tokens, shared_failures, timeout_window, timeout_window_mad, timeout_window_one_lane, moving_averages, artifact_retention, run_retention, delta_retention, final_retention, latest_artifact, artifact_runs, file_batches, safe_names, resumable_step, resumable_documents, flagship)}
+QUERIES = {f.__name__: f for f in (scan_projection, row_window, row_window_far, work_units, conversation_units, manifest, pending_units, latest_progress, latest_results, latest_debug, schema_enforcement, append_logs, reconcile_progress, result_difference, retry_limit, retry_counts, terminal_units, released_partial, released_strict, partial_output, pair_status, merge_back, merge_back_typed, run_outcome, run_metadata, status_histogram, run_status_histogram, review_rows, permanent_review, checkpoint_rows, delta_replay, result_fanout, group_assignment, token_estimate, rolling_tokens, shared_failures, timeout_window, timeout_window_mad, timeout_window_one_lane, moving_averages, lane_totals, contract_breaches, broken_requests, file_batch_stream, artifact_retention, run_retention, delta_retention, final_retention, latest_artifact, artifact_runs, file_batches, safe_names, resumable_step, resumable_documents, flagship)}

@@ -60,6 +60,27 @@ WITH names AS (
 _STATUSES = "unnest(['success', 'retryable_error', 'permanent_error']) AS s(status)"
 _FIELD = ", ".join(f"max(p.{c}) FILTER (p.field_name = '{f}') AS {f}__{c}" for f in ("text", "lang") for c in ("unit_id", "status", "retry_count", "last_error_type", "last_error_message"))
 
+BREACHES = """
+WITH said AS (
+  SELECT event_id, (event_id // 20)::VARCHAR AS request_id, CASE WHEN event_id % 61 = 0 THEN 'odd' WHEN event_id % 67 = 0 THEN NULL ELSE 'success' END AS status, value FROM events
+), answers AS (
+  SELECT request_id, event_id::VARCHAR AS unit_id, status, CASE WHEN event_id % 71 <> 0 THEN value END AS v
+  FROM said, unnest([1, 2, 3]) AS u(n) WHERE n <= CASE WHEN event_id % 41 = 0 THEN 0 WHEN event_id % 53 = 0 THEN 3 ELSE 1 END
+  UNION ALL SELECT request_id, 'x' || event_id, status, value FROM said WHERE event_id % 83 = 0
+), asked AS (
+  SELECT (event_id // 20)::VARCHAR AS request_id, event_id::VARCHAR AS unit_id, count(*) AS asked FROM events GROUP BY ALL
+), got AS (
+  SELECT request_id, unit_id, count(*) AS answered, count_if(status IS NULL OR status NOT IN ('success', 'retryable_error', 'permanent_error') OR v IS NULL) AS malformed FROM answers GROUP BY ALL
+), joined AS (
+  SELECT coalesce(asked.request_id, got.request_id) AS request_id, coalesce(asked.unit_id, got.unit_id) AS unit_id, coalesce(asked, 0) AS asked, coalesce(answered, 0) AS answered,
+    coalesce(malformed, 0)::BIGINT AS malformed
+  FROM asked FULL JOIN got ON asked.request_id = got.request_id AND asked.unit_id = got.unit_id
+), breaches AS (
+  SELECT *, concat_ws(',', CASE WHEN malformed > 0 THEN 'malformed' END, CASE WHEN asked = 0 THEN 'unexpected' END, CASE WHEN answered > greatest(asked, 1) THEN 'repeated' END,
+    CASE WHEN answered < asked THEN 'missing' END) AS problems FROM joined
+)
+"""
+
 ORACLE_SQL = {
     "scan_projection": "SELECT doc_id, lang, source FROM documents",
     "row_window": "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 50 OFFSET 10",
@@ -107,8 +128,9 @@ FROM (SELECT (SELECT count(*) FROM units) AS total, (SELECT count(*) FROM result
 FROM (SELECT event_id, lane, count(*) OVER w::INT AS n, median(seconds) OVER w AS center, stddev_pop(seconds) OVER w AS dev FROM lanes WHERE seconds > 0 WINDOW w AS (PARTITION BY lane ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW))""",
     "timeout_window_mad": LANES + """SELECT event_id, lane, len(x)::INT AS sample_count, round(list_median(list_transform(x, lambda v: abs(v - list_median(x)))), 4) AS spread_seconds
 FROM (SELECT event_id, lane, list(seconds) OVER w AS x FROM lanes WHERE seconds > 0 WINDOW w AS (PARTITION BY lane ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW))""",
-    "timeout_window_one_lane": LANES + """SELECT event_id, n AS sample_count, round(center, 4) AS center_seconds, round(least(greatest(10.0, center + 5.0), 120.0), 3) AS limit_seconds
-FROM (SELECT event_id, count(*) OVER w::INT AS n, avg(seconds) OVER w AS center FROM lanes WHERE seconds > 0 WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW))""",
+    "timeout_window_one_lane": LANES + """SELECT event_id, n AS sample_count, round(center, 4) AS center_seconds, round(least(greatest(10.0, center + greatest(5.0, 2 * dev)), 120.0), 3) AS limit_seconds
+FROM (SELECT event_id, count(*) OVER w::INT AS n, median(seconds) OVER w AS center, stddev_pop(seconds) OVER w AS dev FROM lanes WHERE seconds > 0
+  WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW))""",
     "moving_averages": LANES.replace("WITH", "WITH RECURSIVE") + """, both_lanes AS (
   SELECT event_id, lane, ts, seconds FROM lanes UNION ALL SELECT event_id, -1, ts, seconds FROM lanes
 ), numbered AS MATERIALIZED (
@@ -119,6 +141,15 @@ FROM (SELECT event_id, count(*) OVER w::INT AS n, avg(seconds) OVER w AS center
   SELECT n.k, n.event_id, n.lane, 0.3 * n.seconds + (1 - 0.3) * m.average FROM moved AS m JOIN numbered AS n ON n.lane = m.lane AND n.k = m.k + 1
 )
 SELECT event_id, lane, round(average, 6) AS average FROM moved""",
+    "lane_totals": LANES + """SELECT sum(budget)::BIGINT AS load_budget, max(most) AS group_size FROM (
+  SELECT lane, max(tokens) AS budget, max(n) AS most FROM (SELECT lane, sec // 60 AS minute, sum(tokens) AS tokens, count(*) AS n FROM lanes GROUP BY ALL) GROUP BY lane)""",
+    "contract_breaches": BREACHES + "SELECT * FROM breaches WHERE problems <> ''",
+    "broken_requests": BREACHES + "SELECT request_id, "
+    + ", ".join(f"count_if(contains(problems, '{p}')) AS {p}" for p in ("malformed", "unexpected", "repeated", "missing"))
+    + " FROM breaches WHERE problems <> '' GROUP BY request_id",
+    "file_batch_stream": """SELECT doc_id::VARCHAR AS doc_id, regexp_replace(source, '[^\\p{L}\\p{N}_-]', '_', 'g') AS source, lang,
+  CASE WHEN regexp_matches(id, '^[012]{3}') OR t = '' OR t IS NULL THEN NULL ELSE length(t) % 7 END::BIGINT AS label
+FROM (SELECT doc_id, source, lang, regexp_replace(lang, '^\\s+|\\s+$', '', 'g') AS t, sha256('names||' || doc_id || '||lang||label||stub-1||v1') AS id FROM documents)""",
     "artifact_retention": NAMES + "SELECT name, family FROM names QUALIFY row_number() OVER (PARTITION BY family ORDER BY name DESC) > CASE family WHEN 'manifest' THEN 1 WHEN 'traces' THEN 5 ELSE 3 END",
     "run_retention": NAMES + "SELECT name, run FROM names QUALIFY dense_rank() OVER (ORDER BY run DESC) > 10",
     "delta_retention": NAMES + "SELECT name, seq FROM names WHERE family = 'results_delta' AND seq <= (SELECT min(seq) FROM (SELECT seq FROM names WHERE family = 'results_checkpoint' ORDER BY seq DESC LIMIT 3))",

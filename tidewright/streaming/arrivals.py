@@ -16,7 +16,7 @@ def process_arrivals(spark: SparkSession, pipeline: Pipeline, source: str, schem
     work = tables.Folder(spark, destination).ensure_subdir(pipeline.name)
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        made = run_steps(pipeline.steps, batch, work, f"batch_{epoch}")
+        made = run_steps(pipeline.steps, batch, work, f"00000000_{epoch:06}")  # a run id, the same when the batch is repeated
         made.write.mode("overwrite").parquet(f"{destination}/{pipeline.name}_batch_{epoch}.parquet")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(source)
