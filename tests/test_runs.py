@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 import sys
 import threading
 import time
@@ -23,7 +24,7 @@ from tidewright.plans import pipeline, stub
 from tidewright.plans.settings import ModelStep, Runtime
 from tidewright.plans.snapshots import PLACE, Snapshot, bits_for, place
 from tidewright.plans.waves import Cadence, State, StepLog, live_figures, run_step
-from tidewright.sources import tables
+from tidewright.sources import artifact_log, tables
 from tidewright.streaming.arrivals import process_arrivals
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot import tests
@@ -360,6 +361,22 @@ def test_saves_write_only_the_buckets_that_changed(spark, whole, tmp_path):
     assert sorted(map(tuple, partial.collect())) == [r for r in whole[1] if r[2] is not None]
 
 
+@pytest.mark.parametrize("rest", [["x"], ["x", "results_checkpoint"], ["x", "results_delta"]])
+def test_the_log_as_a_data_source(spark, whole, tmp_path, rest, monkeypatch):
+    """Of a real run, and without its checkpoints or deltas; covered deltas are in no partition."""
+    folder = tables.Folder(spark, f"file://{tmp_path}")
+    shutil.copytree(f"{whole[0].path.removeprefix('file://')}/results", tmp_path / "results", ignore=lambda _, names: [n for n in names if n.startswith(rest[-1])])
+    results = folder.ensure_subdir("results")
+    pick = lambda df: sorted((r.unit_id, r.output_column, r.output_value, r.seq) for r in df.collect())
+    assert pick(artifact_log.read_log(spark, results.uri(""))) == pick(tables.read_results(results))
+    parts = [p for x in artifact_log.LogReader({"path": results.uri("")}, RESULT).partitions() for p in x.paths]
+    assert rest[-1] == "results_checkpoint" or not any("results_delta" in p for p in parts)
+
+
+def test_an_empty_log_as_a_data_source(spark, tmp_path):
+    assert artifact_log.read_log(spark, f"file://{tmp_path}").count() == 0
+
+
 def test_the_cost_of_a_save_grows_with_what_changed(spark, tmp_path):
     log = StepLog(tables.Folder(spark, f"file://{tmp_path}"), "20260101_000000", clock())
     rows = spark.range(20_000).select(F.col("id").cast("string").alias("unit_id"), F.lit("success").alias("status")).withColumn(PLACE, place(F.col("unit_id")))

@@ -194,6 +194,20 @@ def delta_replay(spark, sf_dir):
     return state.replay(known, 1, log).select("unit_id", "output_column", "output_value", "seq")
 
 
+def artifact_log(spark, sf_dir):
+    """The results of all documents from a log of three deltas and a checkpoint of the first two, read as a data source."""
+    from tidewright.sources.artifact_log import read_log
+    from tidewright.sources.scratch import new_folder
+    from tidewright.sources.tables import Folder, write_artifact
+
+    folder, log = Folder(spark, new_folder(spark, "logs")), _results(spark, sf_dir)
+    for k in (1, 2, 3):
+        write_artifact(folder, log.where(F.col("seq") == k), "results_delta", "20260101_000000", f"20260101_00000{k}_000000")
+    known = state.checkpoint_rows(log.where("seq <= 2")).withColumn("output_value", F.concat(F.lit("c"), F.col("output_value")))
+    write_artifact(folder, known, "results_checkpoint", "20260101_000000", "20260101_000009_000000")
+    return read_log(spark, folder.uri("")).select("unit_id", "output_column", "output_value", "seq")
+
+
 def result_fanout(spark, sf_dir):
     from tidewright.operators.responses import results_of
 
@@ -381,4 +395,4 @@ def flagship(spark, sf_dir):
     return labelled.groupBy("lang", "quality").agg(F.count("*").alias("n"), F.count("text_label").alias("answered"), F.sum("text_label").alias("text_sum"), F.sum("lang_label").alias("lang_sum"))
 
 
-QUERIES = {f.__name__: f for f in (scan_projection, row_window, row_window_far, work_units, conversation_units, manifest, pending_units, latest_progress, latest_results, latest_debug, schema_enforcement, append_logs, reconcile_progress, result_difference, retry_limit, retry_counts, terminal_units, released_partial, released_strict, partial_output, pair_status, merge_back, merge_back_typed, run_outcome, run_metadata, status_histogram, run_status_histogram, review_rows, permanent_review, checkpoint_rows, delta_replay, result_fanout, group_assignment, token_estimate, rolling_tokens, shared_failures, timeout_window, timeout_window_mad, timeout_window_one_lane, moving_averages, lane_totals, contract_breaches, broken_requests, file_batch_stream, artifact_retention, run_retention, delta_retention, final_retention, latest_artifact, artifact_runs, file_batches, safe_names, resumable_step, resumable_documents, flagship)}
+QUERIES = {f.__name__: f for f in (scan_projection, row_window, row_window_far, work_units, conversation_units, manifest, pending_units, latest_progress, latest_results, latest_debug, schema_enforcement, append_logs, reconcile_progress, result_difference, retry_limit, retry_counts, terminal_units, released_partial, released_strict, partial_output, pair_status, merge_back, merge_back_typed, run_outcome, run_metadata, status_histogram, run_status_histogram, review_rows, permanent_review, checkpoint_rows, delta_replay, artifact_log, result_fanout, group_assignment, token_estimate, rolling_tokens, shared_failures, timeout_window, timeout_window_mad, timeout_window_one_lane, moving_averages, lane_totals, contract_breaches, broken_requests, file_batch_stream, artifact_retention, run_retention, delta_retention, final_retention, latest_artifact, artifact_runs, file_batches, safe_names, resumable_step, resumable_documents, flagship)}

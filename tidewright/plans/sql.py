@@ -119,6 +119,7 @@ FROM (SELECT (SELECT count(*) FROM units) AS total, (SELECT count(*) FROM result
     "permanent_review": BASE + "SELECT unit_id, error_type, seq FROM log WHERE error_type = 'invalid_score_output' AND unit_id NOT IN (SELECT unit_id FROM results) QUALIFY row_number() OVER (PARTITION BY unit_id ORDER BY seq DESC) = 1",
     "checkpoint_rows": BASE + "SELECT unit_id, row_id, output_column, status, output_value, seq FROM results",
     "delta_replay": BASE + "SELECT unit_id, output_column, CASE WHEN seq = 1 THEN 'c' || output_value ELSE output_value END AS output_value, seq FROM results",
+    "artifact_log": BASE + "SELECT unit_id, output_column, CASE WHEN seq <= 2 THEN 'c' || output_value ELSE output_value END AS output_value, seq FROM results",
     "result_fanout": BASE + "SELECT unit_id, output_column, output_value, 7::BIGINT AS seq FROM results UNION ALL SELECT unit_id, 'half', (output_value::INT * 2)::VARCHAR, 7 FROM results",
     "group_assignment": BASE + "SELECT unit_id, row_id, substr(unit_id, 1, 2) || '-' || ((row_number() OVER (PARTITION BY substr(unit_id, 1, 2) ORDER BY unit_id) - 1) // 4) AS group_id, (row_number() OVER (PARTITION BY substr(unit_id, 1, 2) ORDER BY unit_id) - 1) % 4 AS group_place FROM units",
     "token_estimate": BASE + "SELECT group_id, sum(length(input_text))::BIGINT AS chars, count(*) AS n, (ceil(sum(length(input_text)) / 4.0) + ceil(count(*) * 24.0) + 250)::BIGINT AS tokens FROM (SELECT *, substr(unit_id, 1, 2) || '-' || ((row_number() OVER (PARTITION BY substr(unit_id, 1, 2) ORDER BY unit_id) - 1) // 4) AS group_id FROM units) GROUP BY group_id",
