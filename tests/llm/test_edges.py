@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.llm import byte_bpe, chat_format, language_id, licenses, media, near_dedup, packing, quality, repeats, token_counts
+from tidewright.llm import byte_bpe, chat_format, language_id, licenses, media, near_dedup, packing, quality, queries, repeats, token_counts
 from tidewright.llm.workspace import Workspace
 
 CLASHES = ["n", "mark", "left", "doc", "tag", "t", "rows", "kept", "ids", "n_tokens", "sequence_id", "digest", "span", "k", "value", "piece", "v", "data", "words", "lines", "turns", "n_words", "dice"]
@@ -353,3 +353,18 @@ def test_counts_of_long_runs(spark):
     frame = spark.createDataFrame([(k, odd[k % len(odd)]) for k in range(4 * len(odd))], "doc_id long, text string")
     got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(frame, vocabulary).collect()}
     assert got == {k: len(library.encode(odd[k % len(odd)] or "", add_special_tokens=False)) for k in range(4 * len(odd))}
+
+
+def test_undeclared_fields_are_counted_and_drop_nothing(spark):
+    rows = [(1, [("user", "hi", "calc")], None, None, "web"), (2, None, "ask", "tell", "web"), (3, None, None, None, "web"), (4, [("user", "hi", None)], "ask", None, None)]
+    frame = spark.createDataFrame(rows, "id long, messages array<struct<role:string,content:string,tool:string>>, prompt string, response string, source string")
+    found = {r.id: (r.layout, len(r.turns), r.n_unmapped) for r in chat_format.canonical_turns(frame, frame.columns[1:]).collect()}
+    assert found[1] == ("messages", 1, 2) and found[2][1:] == (2, 1) and found[3] == (None, 0, 1)
+    assert found[4][1] >= 1 and found[4][2] >= 1
+
+
+def test_frequent_pre_tokens_of_mixed_texts(spark):
+    frame = spark.createDataFrame([(k, f"some plain words \u4f60 and words number {k}") for k in range(300)], "doc_id long, text string")
+    known = token_counts.frequent_lengths(frame, "text", queries.COUNT_VOCABULARY)
+    assert {" plain", " words", " number"} <= known.keys() and known[" words"] == 1
+    assert token_counts.frequent_lengths(frame.limit(0), "text", queries.COUNT_VOCABULARY) == {}

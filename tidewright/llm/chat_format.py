@@ -1,13 +1,15 @@
 """Chat formatting by schema fingerprints, in DataFrame functions alone.
 
-A row's fingerprint is the SHA-256 of its nested field paths that hold something, but for harmless ones. It selects a declarative mapping, which
-turns prompt, instruction and message layouts into canonical turns of role and text. ``format_turns`` writes the turns
+A row's fingerprint is the SHA-256 of those of its nested field paths that hold something and that any mapping declares. It selects a declarative
+mapping, which turns prompt, instruction and message layouts into canonical turns of role and text. Where fields of several layouts are there, so
+that no mapping has the fingerprint, the first one takes the row whose required paths are. ``n_unmapped`` counts the paths that hold something and
+are not read, but for harmless ones. ``format_turns`` writes the turns
 of a conversation with a template that marks them and escapes control strings inside texts; ``parse_formatted`` reads them
 back.
 
 Null text counts as empty, null role as "". Rows of one conversation come in the order of the given columns, nulls first,
-then by role and text; equal rows stay separate turns. A row whose fingerprint no mapping has gets ``layout`` null and no
-turns, and its conversation is kept. Roles stay as they are unless the layout names aliases. A conversation is one value in the
+then by role and text; equal rows stay separate turns. A row without the required paths of any mapping gets ``layout`` null and no
+turns, all its paths are unmapped, and its conversation is kept. Roles stay as they are unless the layout names aliases. A conversation is one value in the
 end, so very long texts and conversations must fit in a task. An empty table gives an empty result. Result columns that the input has too must be
 dropped or renamed by the caller: only the named input columns are read.
 """
@@ -117,17 +119,28 @@ def field_paths(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
 
 
 def canonical_turns(df: DataFrame, columns: Sequence[str], mappings: Sequence[Mapping] = MAPPINGS) -> DataFrame:
-    """df with ``fingerprint``, ``layout`` and ``turns``. columns: those that hold the layout's fields, not ids."""
+    """df with ``fingerprint``, ``layout``, ``turns`` and ``n_unmapped``. columns: those that hold the layout's fields, not ids."""
     paths = field_paths(df, columns)
     declared = {p for m in mappings for p in (*m.required, *m.optional)}
-    telling = [p for p in sorted(paths) if p in declared or not {*re.split(r"[.\[\]]+", p)} & {*HARMLESS}]
-    mark = F.sha2(F.concat_ws("\n", *[F.when(paths[p], F.lit(p)) for p in telling]), 256)
+    mark = F.sha2(F.concat_ws("\n", *[F.when(paths[p], F.lit(p)) for p in sorted(paths) if p in declared]), 256)
     usable = [m for m in mappings if {*m.required, *m.optional} & paths.keys() and paths.keys() >= {*m.required}]
-    layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+    named = F.lit(None).cast("string")
     for m in reversed(usable):
-        hit = F.col("fingerprint").isin(m.fingerprints())
-        layout, turns = F.when(hit, m.name).otherwise(layout), F.when(hit, _turns_of(m, paths)).otherwise(turns)
-    return df.withColumn("fingerprint", mark).withColumns({"layout": layout, "turns": F.coalesce(turns, F.array().cast(TURNS))})
+        there = F.lit(True)
+        for p in m.required:
+            there = there & paths[p]
+        named = F.when(there, m.name).otherwise(named)
+    for m in reversed(usable):
+        named = F.when(F.col("fingerprint").isin(m.fingerprints()), m.name).otherwise(named)
+    left = [F.when(paths[p] & ~F.coalesce(F.col("layout").isin([m.name for m in usable if p in (*m.required, *m.optional)]), F.lit(False)), 1).otherwise(0) for p in paths if p in declared or not _parts(p) & {*HARMLESS}]
+    turns = F.array().cast(TURNS)
+    for m in reversed(usable):
+        turns = F.when(F.col("layout") == m.name, _turns_of(m, paths)).otherwise(turns)
+    return df.withColumn("fingerprint", mark).withColumn("layout", named).withColumns({"turns": turns, "n_unmapped": sum(left, F.lit(0)).cast("long")})
+
+
+def _parts(path: str) -> set[str]:
+    return {*re.split(r"[.\[\]]+", path)}
 
 
 def _role(name: Column, m: Mapping) -> Column:

@@ -1,7 +1,7 @@
 """Token counts by a two-tier lookup on the map side.
 
 The driver broadcasts the lengths (in tokens) of frequent pre-tokens, at most ``FREQUENT`` of them, found in a
-sample of at most ``SAMPLE_ROWS`` documents. A worker looks each pre-token up there, then in its own bounded cache, and has
+sample of at most ``SAMPLE_ROWS`` documents drawn from all files. A worker looks each pre-token up there, then in its own bounded cache, and has
 the tokenizers library encode the rest in bulk. Nothing is shuffled. The sample only decides what is found fast; every
 count is the library's. A text that holds the string of an added token is encoded whole, as the library cuts there first.
 
@@ -78,10 +78,13 @@ def counter(vocabulary: str, frequent: Broadcast) -> ChunkCounter:
 
 
 def frequent_lengths(docs: DataFrame, text: str, vocabulary: str) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of the plain texts in a bounded sample: the first rows that a scan finds."""
+    """Lengths of the most frequent pre-tokens in a bounded sample: rows drawn from all of them, and of texts that are not plain
+    throughout the plain runs."""
     seen: Counter = Counter()
-    for row in docs.where(F.col(text).isNotNull()).select(F.substring(text, 1, SAMPLE_CHARS).alias("t")).take(SAMPLE_ROWS):
-        seen.update(plain_words(row.t) or ())
+    few = docs.select(text).sample(min(1.0, SAMPLE_ROWS / max(1, docs.count())), seed=4).where(F.col(text).isNotNull()).limit(SAMPLE_ROWS)
+    for row in few.select(F.substring(text, 1, SAMPLE_CHARS).alias("t")).collect():
+        words = plain_words(row.t)
+        seen.update(chain.from_iterable(plain_words(c) or () for c in chunks_of(row.t)) if words is None else words)
     words = [w for w, n in seen.most_common(FREQUENT) if n > 1]
     return dict(zip(words, ChunkCounter(vocabulary, {}).word_lengths(words), strict=True)) if words else {}
 
