@@ -125,6 +125,21 @@ def test_ordinary_texts_are_kept(spark):
     assert left.columns == frame.columns and sorted(tuple(r) for r in left.collect()) == [(1, bakers, 7), (2, hindi, 8)]
 
 
+THAI = "\n".join(["วันนี้ อากาศ ดี มาก เรา จึง ไป เดินเล่น ที่ สวน กับ เพื่อน หลาย คน", "เด็ก หลาย คน วิ่งเล่น อยู่ ใต้ ต้นไม้ ใหญ่ ริม น้ำ ใน ตอน เช้า"])
+VERSE = "\n".join(["The morning walks along the bay", "and leaves its slippers in the sand", "a boat goes by with none to say", "what it has carried to the land", "The gulls are talking to the rain", "of summers that were never planned"])
+COOKIES = "We use cookies to make this site work for you and to see how it is used, and by going on you say yes to our cookie policy, which you can read at any time, or change in the cookie settings below."
+PROSE = "The river rose in the night and by dawn the lower field was a lake.\nNobody in the village had seen the like of it.\nThey moved the cows to the hill and waited for the water to go."
+
+
+def test_unmarked_scripts_verse_and_long_boilerplate(spark):
+    texts = {1: THAI, 2: VERSE, 3: f"{PROSE}\n{COOKIES}\n{PROSE.upper()}", 4: f"{COOKIES}\n{COOKIES.replace('We', 'They')}", 5: PROSE.replace("seen the like of it.", "seen the like of it"), 6: " ".join(["word"] * 4 + [f"w{k}" for k in range(30)])}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.judge(frame).collect()}
+    assert (got[1].lost_chars, got[2].lost_chars, got[1].kept, got[2].kept) == (0, 0, True, True)
+    assert got[3].kept and got[3].clean_text == f"{PROSE}\n{PROSE.upper()}" and not got[4].kept
+    assert got[5].clean_text == "\n".join(PROSE.split("\n")[::2]) and not got[6].kept
+
+
 def test_licenses(docs, none, spark):
     assert licenses.scan_licenses(docs).count() == len(texts()) and licenses.scan_licenses(none).count() == 0
     frame = spark.createDataFrame([(1, "Some prose.\nReleased under the MIT license\nmore"), (2, "licensed under cc by 4.0"), (3, "mit license"), (4, None)], "doc_id long, text string")

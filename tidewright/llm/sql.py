@@ -28,14 +28,24 @@ _WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def _fails(x: str) -> str:
-    """The line rules on a line."""
+    """The rules of a line that it fails by itself."""
     visible = f"length(regexp_replace({x}, '[\\x20\\x09-\\x0D]+', '', 'g'))"
     plain = f"length(regexp_replace({x}, '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', '', 'g'))"
-    punctuation = f"(regexp_matches({x}, '([^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]+){{3}}[^\\x20\\x09-\\x0D]') AND NOT regexp_matches({x}, '{quality.MARKS}')) OR {plain} * 2 < {visible} OR len(regexp_extract_all({x}, '{quality.SYMBOLS}')) * 5 > {visible}"
+    shape = f"{plain} * 2 < {visible} OR len(regexp_extract_all({x}, '{quality.SYMBOLS}')) * 5 > {visible}"
     navigation = f"len(regexp_extract_all({x}, '{quality.SEPARATORS}')) >= 3 OR regexp_matches(lower({x}), '^\\W*({'|'.join(quality.LABELS)})\\W*$')"
-    word, space = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]"
-    boilerplate = f"regexp_matches(lower({x}), '{'|'.join(quality.BOILERPLATE)}') AND NOT regexp_matches({x}, '({word}+{space}+){{{quality.MOST_BOILERPLATE_WORDS}}}{word}')"
-    return f"({punctuation} OR {navigation} OR ({boilerplate}))"
+    phrases = f"len(regexp_extract_all(lower({x}), '{'|'.join(quality.BOILERPLATE)}'))"
+    return f"({shape} OR {navigation} OR ({phrases} > 0 AND {phrases} * {quality.PHRASE_WORDS} >= len(regexp_extract_all({x}, '{_WORD}'))))"
+
+
+def _marked(x: str) -> str:
+    return f"regexp_matches({x}, '{quality.MARKS}')"
+
+
+def _lacks(x: str, i: str) -> str:
+    """Whether line i of ``filled`` lacks a mark where one is expected."""
+    words = f"len(regexp_extract_all({x}, '{_WORD}'))"
+    expected = f"coalesce({_marked(f'filled[{i} - 1]')}, true) AND coalesce({_marked(f'filled[{i} + 1]')}, true) AND len(filled) > 1"
+    return f"({words} >= 4 AND NOT {_marked(x)} AND NOT regexp_matches({x}, '{quality.UNMARKED}') AND ({words} > {quality.VERSE_WORDS} OR ({expected})))"
 
 
 OP7 = f"""
@@ -55,7 +65,7 @@ WITH read AS (
     len(regexp_extract_all(t, '{quality.SYMBOLS}'))::BIGINT AS n_symbols,
     (len(filled) - len(list_distinct(filled)))::BIGINT AS n_dup_lines,
     coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
-    coalesce(list_sum(list_transform(list_filter(filled, lambda x: {_fails('x')}), lambda x: length(regexp_replace(x, '[\\x20\\x09-\\x0D]+', '', 'g')))), 0)::BIGINT AS lost_chars
+    coalesce(list_sum(list_transform(list_filter(filled, lambda x, i: {_fails('x')} OR {_lacks('x', 'i')}), lambda x: length(regexp_replace(x, '[\\x20\\x09-\\x0D]+', '', 'g')))), 0)::BIGINT AS lost_chars
   FROM read LEFT JOIN covered ON read.doc_id = covered.doc_id
 ), judged AS (
   SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED_PERCENT} * n_words AS base_failed FROM figures
