@@ -383,3 +383,50 @@ def test_frequent_pre_tokens_of_mixed_texts(spark):
     known = token_counts.frequent_lengths(frame, "text", queries.COUNT_VOCABULARY)
     assert {" plain", " words", " number"} <= known.keys() and known[" words"] == 1
     assert token_counts.frequent_lengths(frame.limit(0), "text", queries.COUNT_VOCABULARY) == {}
+
+
+LONG = "A long text, 你好 and ÉÜ <b>; " * 9000
+ODD = [(1, LONG), (2, None), (3, ""), (3, "same id"), (4, "same row"), (4, "same row"), (None, "no id"), (5, " \n\t")]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Very long, null, empty and repeated texts and rows, and columns called like results."""
+    return spark.createDataFrame(ODD, "doc_id long, text string").withColumns({c: F.lit("theirs") for c in ("n_bytes", "n_tokens", "digest", "offset", "piece", "length", "t", "data", "lang_pred", "score")})
+
+
+def tuples(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+def test_odd_rows_of_media(spark, odd):
+    index = media.store_media(odd, Workspace(spark, "test"))
+    found = tuples(media.read_features(media.read_headers(index), 32), "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32")
+    assert found == sorted(((d, *brute.payload(t)) for d, t in ODD), key=str)
+    assert media.read_features(media.store_media(odd.limit(0), Workspace(spark, "test")), 32).count() == 0
+    with pytest.raises(ValueError, match="cannot be called"):
+        media.store_media(odd, Workspace(spark, "test"), "digest")
+
+
+def test_odd_rows_of_packing(spark, odd):
+    work = Workspace(spark, "test")
+    pieces = work.save(packing.token_pieces(odd, queries.PACK_VOCABULARY), "pieces")
+    assert tuples(packing.pack(pieces, work), "doc_id", "piece", "start", "length", "ids_crc32") == sorted(brute.pieces(ODD), key=str)
+    none = Workspace(spark, "test")
+    assert packing.pack(none.save(packing.token_pieces(odd.limit(0), queries.PACK_VOCABULARY), "pieces"), none).count() == 0
+
+
+def test_odd_rows_of_token_counts_and_byte_bpe(odd):
+    assert tuples(token_counts.count_tokens(odd, queries.COUNT_VOCABULARY), "doc_id", "n_bytes", "n_tokens", "over_limit") == sorted(brute.token_counts(ODD), key=str)
+    coded = byte_bpe.round_trip_digests(odd, queries.RANKS, queries.PATTERN)
+    assert tuples(coded, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(brute.byte_bpe(ODD), key=str)
+    assert token_counts.count_tokens(odd.limit(0), queries.COUNT_VOCABULARY).count() == 0 and byte_bpe.round_trip_digests(odd.limit(0), queries.RANKS, queries.PATTERN).count() == 0
+
+
+def test_odd_rows_of_language_id(spark, odd):
+    said = {"de": "der Hund und die Katze laufen durch den alten Garten", "fr": "le chien et le chat courent dans le vieux jardin", "en": "the dog and the cat run through the old garden"}
+    labelled = spark.createDataFrame([(k, f"{t} {k}", lang) for k in range(30) for lang, t in said.items()], "doc_id long, text string, lang string")
+    model = language_id.train(labelled, F.lit(True))
+    found = tuples(language_id.predict(odd, model), "doc_id", "lang_pred")
+    assert len(found) == len(ODD) and found.count((4, found[[f[0] for f in found].index(4)][1])) == 2 and (2, "und") in found and (5, "und") in found
+    assert language_id.predict(odd.limit(0), model).count() == 0

@@ -5,7 +5,8 @@ the priority of all pairs that make up its token. Each match of the pattern is e
 from a worker's bounded cache. Decoding maps each token's characters back to bytes; a token may hold a part of a
 character, so bytes are joined over the whole text before they are read as UTF-8.
 
-Null text counts as empty: no ids, no bytes. Ids that are not in the vocabulary raise an error on decoding.
+Null text counts as empty: no ids, no bytes. Repeated rows are coded each, very long texts whole; an empty table gives an empty result. Only the id and
+text columns are read, so extra columns may have any name. Ids that are not in the vocabulary raise an error on decoding.
 """
 
 from __future__ import annotations

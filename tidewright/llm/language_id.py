@@ -6,6 +6,7 @@ n-gram counts once, however often it occurs; n-grams are hashed into ``2**bits``
 one-versus-rest kernel ridge regression on Nyström landmarks, at most ``landmarks`` of each language. Prediction reads
 whole texts: presence vectors of a batch, times the landmark vectors folded with the regression weights.
 
+Repeated rows are judged alike, very long texts whole; an empty table gives an empty result, and is no model to learn from but one that says ``und``.
 Null text, or text without a letter, gives ``und`` with score 0, as does all text when nothing was learned. Rows with a null
 language or id are not learned from. Ties go to the first language in alphabetical order. Ids pass through.
 """

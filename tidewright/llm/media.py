@@ -6,7 +6,9 @@ equal payloads are stored once. ``read_headers`` reads only the first 33 bytes o
 ``read_features`` reads the files themselves. A shard's name is new for each attempt of a task and its rows are written
 as a table afterwards, so a lost executor leaves at most shards that no row names.
 
-Null text counts as empty and has a payload of one line of padding. Ids pass through. An empty table gives an empty one.
+Null text counts as empty and has a payload of one line of padding. Ids pass through. Repeated rows share a file. A very long text is one payload in
+memory. An empty table gives an empty one. Only the id and text columns are read, so extra columns may have any name; an id column called like a
+column of the index or of what is read raises an error.
 """
 
 from __future__ import annotations
@@ -117,11 +119,14 @@ class ShardWriter:
 
 
 INDEX = "digest string, shard string, offset long, length long, n_bytes long"
+RESERVED = {c.split()[0] for c in INDEX.split(", ")} | {"width", "height", "bits", "colour_type", "payload_bytes", "payload_sha256", "tail_crc32", "media_sha256", "feature"}
 
 
 def store_media(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """Writes the shards, and returns the written index: ``id``, ``digest``, ``shard``, ``offset``, ``length`` of the file,
     and ``n_bytes`` of the text."""
+    if id_column in RESERVED:
+        raise ValueError(f"an id column cannot be called {id_column}, as a column of the index is")
     id_type = docs.schema[id_column].dataType.simpleString()
     folder = f"{work.path}/shards"
     anchor = work.spark._jvm.org.apache.hadoop.fs.Path(folder)

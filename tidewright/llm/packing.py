@@ -5,7 +5,8 @@ largest first, each into the fullest bin it fits in. Bins that are full but for
 ones are items of the next round, dealt out anew to fewer blocks, until one block holds them all or a round merges
 none. After best fit at most one bin of a block is half empty, so few bins are left to merge and rounds are few. A block holds at most ``BLOCK`` items and a bin at most ``size`` members, so no task grows with the input.
 
-Null text counts as empty: one piece with the end id alone. Equal rows are packed as often as they occur. Ids pass through.
+Null text counts as empty: one piece with the end id alone. Equal rows are packed as often as they occur. Ids pass through. Pieces that
+tie in length are taken in any order. Very long texts make many pieces. An empty table gives an empty result. Only the id and text columns are read.
 """
 
 from __future__ import annotations

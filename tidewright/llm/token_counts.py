@@ -5,7 +5,8 @@ sample of at most ``SAMPLE_ROWS`` documents drawn from all files. A worker looks
 the tokenizers library encode the rest in bulk. Nothing is shuffled. The sample only decides what is found fast; every
 count is the library's. A text that holds the string of an added token is encoded whole, as the library cuts there first.
 
-Null text counts as empty (0 bytes, 0 tokens); ids, nulls among them, pass through; an empty table gives an empty result.
+Null text counts as empty (0 bytes, 0 tokens); ids, nulls among them, pass through; repeated rows are counted each; very long texts are counted whole; an
+empty table gives an empty result. Only the id and text columns are read, so extra columns may have any name.
 """
 
 from __future__ import annotations
