@@ -261,10 +261,15 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id",
     members = real.groupBy("mark").agg(F.min(F.struct("doc", "h")).alias("x"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     # Numbers are given once, as the table is written.
     classes = work.save(members.select(F.monotonically_increasing_id().alias("node"), "mark", "x.doc", "x.h", "n", "sketch"), "classes")
+    # Of rows, only the mark is needed from here on; sketches are as large as they are random.
+    found = work.save(found.select("doc", "n", "mark"), "marks")
+    work.drop("sketches")
     lists = work.save(_inverted(classes), "lists")
+    work.release()
     listed = classes.join(lists.select("node").distinct(), "node", "left_semi").select("doc", "h", "node")
     whole = docs.select(F.col(id_column).alias("doc"), _text_hash(text).alias("h"), F.col(text).cast("binary").alias("text"))
     texts = work.save(whole.dropDuplicates(["doc", "h"]).join(listed, ["doc", "h"]).select("node", "text"), "texts")
+    work.release()
     marks = classes.select("node", "sketch")
 
     def with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -292,7 +297,8 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id",
     labelled = classes.select("node", "mark", "doc").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = labelled.groupBy("component").agg(F.min("doc").alias("component_id"))
     reached = work.save(labelled.join(smallest, "component").select("mark", "component_id"), "reached")
-    work.drop_all_but("sketches", "reached")
+    work.drop_all_but("marks", "reached")
+    work.release()
     joined = found.select("doc", "n", "mark").join(reached, "mark", "left")
     own = F.when(F.col("n") > 0, F.coalesce("component_id", "doc")).otherwise(F.col("doc"))
     result = joined.select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), own).alias("component_id"))

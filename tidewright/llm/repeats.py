@@ -267,7 +267,8 @@ class _Sort:
         self.work, self.depth = work, depth
         rows = work.save(first_pass(keyed, depth), f"{depth.name}-anchors")
         self.left = _in_company(rows, ["digit"], work, depth.name).drop("digit")
-        work.drop(f"{depth.name}-anchors")
+        for done in ("anchors", "groups"):
+            work.drop(f"{depth.name}-{done}")
 
     def spans(self, held: DataFrame) -> list[DataFrame]:
         """(h1, h2, start, end) of what repeats, in symbols; an end may lie beyond the text, where the text ends."""
@@ -362,6 +363,7 @@ def find_repeats(docs: DataFrame, work: Workspace, text: str, depths: Sequence[D
     try:
         texts = keyed.dropDuplicates(KEY).join(work.save(wanted.distinct(), "wanted"), KEY, "left_semi")
         texts.write.bucketBy(parts, *KEY).option("compression", "zstd").option("path", f"{work.path}/texts").saveAsTable(table)
+        work.release()
         held = work.spark.table(table)
         marked = held.join(copies.withColumn("twice", F.lit(True)), KEY, "left").withColumn("twice", F.coalesce("twice", F.lit(False)))
         for k, s in enumerate(sorts):
@@ -371,6 +373,7 @@ def find_repeats(docs: DataFrame, work: Workspace, text: str, depths: Sequence[D
     finally:
         work.spark.sql(f"DROP TABLE IF EXISTS {table}")
         work.drop_all_but("cut")
+        work.release()
 
 
 def remove_repeats(docs: DataFrame, work: Workspace, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, words: int | None = None) -> DataFrame:

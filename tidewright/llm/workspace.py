@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -47,3 +48,9 @@ class Workspace:
         for found in fs.listStatus(path) if fs.exists(path) else ():
             if found.getPath().getName() not in names:
                 fs.delete(found.getPath(), True)
+
+    def release(self) -> None:
+        """Asks the driver to collect the plans of finished jobs. Spark deletes a job's shuffle files only once its plan is collected, which
+        may be long after the tables that were made of them are written."""
+        gc.collect()
+        self.spark._jvm.System.gc()
