@@ -3,8 +3,10 @@
 import random
 
 import brute
+import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidewright.llm import byte_bpe, chat_format, language_id, licenses, media, near_dedup, packing, quality, queries, repeats, token_counts
@@ -185,6 +187,66 @@ def test_near_duplicates_in_large_groups(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute.near(frame)
 
 
+class Kept(Workspace):
+    """A workspace whose tables stay, to be counted."""
+
+    def drop(self, name=""):
+        pass
+
+    def drop_all_but(self, *names):
+        pass
+
+    def table(self, name):
+        try:
+            return self.spark.read.parquet(f"{self.path}/{name}")
+        except AnalysisException:
+            return None
+
+
+def form_pages(n, draw):
+    """Pages of one form: twelve fields of three values each."""
+    label = lambda field: " ".join(f"f{field}w{k}" for k in range(13))
+    return [" ".join(f"{label(field)} v{draw.randrange(3)}" for field in range(12)) for _ in range(n)]
+
+
+def linked_components(texts):
+    """The least index that each text can reach by links of 0.75, by products of matrices."""
+    sets = [near_dedup.shingle_set(t.encode()) for t in texts]
+    names, place = np.unique(np.concatenate(sets), return_inverse=True)
+    sizes = np.array([len(s) for s in sets])
+    holds = np.zeros((len(sets), len(names)), np.float32)
+    holds[np.repeat(np.arange(len(sets)), sizes), place] = 1
+    both = holds @ holds.T
+    links = 100 * both >= 75 * (sizes[:, None] + sizes - both)
+    least = np.arange(len(sets))
+    while True:
+        now = np.where(links, least, len(sets)).min(axis=1)
+        now = now[now]
+        if (now == least).all():
+            return least
+        least = now
+
+
+def test_pages_of_one_form_make_work_in_line_with_rows(spark):
+    """Four times the rows make at most 5.2 times the pairs and the comparisons inside lists."""
+    work = {}
+    for n in (1000, 4000):
+        made = form_pages(n, random.Random(3))
+        kept = Kept(spark, "form")
+        frame = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+        found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, kept).collect()}
+        assert [found[k] for k in range(n)] == linked_components(made).tolist()
+        names = ["pairs-0", "pairs-1", "first-pairs", *(f"neighbours-{turn}" for turn in range(40))]
+        pairs = sum(t.count() for t in map(kept.table, names) if t)
+        compared = 0
+        if bits := kept.table("first-shingles-bits"):
+            lists = bits.join(kept.table("first-mains"), "s").groupBy("s").agg(F.count("*").alias("n"), F.count_if(F.col("component") != F.col("main")).alias("outside"))
+            compared = lists.agg(F.sum(F.col("n") * F.col("outside"))).first()[0] or 0
+        work[n] = (pairs, pairs + compared)
+    print(work)
+    assert all(most <= 5.2 * few for few, most in zip(work[1000], work[4000], strict=True))
+
+
 def test_repeats(spark, docs, none):
     want = brute.repeats([t for _, t in texts()])
     rows = sorted(((d, *w) for (d, _), w in zip(texts(), want, strict=True)), key=str)

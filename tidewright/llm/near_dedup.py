@@ -2,19 +2,24 @@
 
 A document's set is its distinct shingles of ``SHINGLE`` words (lower-cased in A-Z), as 64-bit hashes; a text of fewer words
 is one shingle. Documents with equal sets (by a 128-bit mark) are one class. A class's sketch is the ``k``
-smallest hashes; inverted lists of the rarest retained values generate overlaps. Lists are never expanded into all pairs:
+smallest hashes; inverted lists of the rarest retained values generate overlaps, without a pair for each two members of a list:
 
 1. In each of ``ROUNDS`` rounds one member of a list's largest component, its hub, is compared with the members of other
    components, and what links to it joins. The union of both sketches estimates the similarity, and full sets verify it.
-2. Members of lists that still hold several components are compared by full sets alone. A set can share no shingle that it alone
+2. Members of lists that still hold several components are put in an order of their sketches, and each is compared with the
+   likeliest of the ``WINDOW`` before it that is of another component. Each turn has another order, and turns go on while they
+   join many, so a large group of sets that are alike becomes one component in time that grows as its rows do.
+3. What is left in lists over several components is compared by full sets alone. A set can share no shingle that it alone
    has, which bounds its similarity to any other; for what is within bounds, sets are ordered by frequency, rarest shingle
    first. Two similar sets have their first common shingle so early that enough can follow in both, so only those first
    shingles enter lists, and a pair is compared only if both places, both sizes, both components and the parities of both sets
-   allow a link. What is just under the threshold is told apart by these, so a large group makes few pairs.
+   allow a link. Within such a list the largest component's members are never compared with each other, all others are with all
+   members, so sets that are many, just under the threshold and hard to tell apart by these bounds make many pairs still.
 
 A link of similarity 0.75 is missed by step 1's lists or estimates only if two 32-value sketches share fewer than 8 values of their
-union's, the chance of which is below 1e-9 (24 are expected); step 2 is exact. Nothing is capped or sampled. Components come from
-alternating large-star and small-star steps. All tables between rounds are written to the shared folder.
+union's, the chance of which is below 1e-9 (24 are expected); step 3 is exact, and step 2 only leaves it less to do. Nothing is
+capped or sampled. Components come from alternating large-star and small-star steps. All tables between rounds are written to the
+shared folder.
 
 Null text and text without words have no set and link with nothing. Repeated rows are copies like any other. Rows that share an id
 but not a text are separate: each has the component of its own set. Rows with a null id are kept: they have a component
@@ -44,6 +49,12 @@ SHARED_SHARE = 0.25
 """Of the values of the larger sketch, the share that two similar sets have in common at least."""
 LEAST_ESTIMATE = 0.25
 ROUNDS = 2
+WINDOW = 8
+"""Sets before it in an order of sketches that a set is held against."""
+LIKELY = 0.5
+"""The share of two sketches' values that both have, in pairs of neighbours worth a comparison of full sets."""
+WORTH = 64
+"""Turns of neighbours go on while one of so many sets is linked in a turn."""
 EDGES_AT_ONCE = 50_000
 PARITIES = 8
 """Words of 64 bits for the parities of a set."""
@@ -202,6 +213,48 @@ def _parities(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(make, ", ".join(["node long", *(f"{n} long" for n in names)]))
 
 
+def likeliest(nodes: np.ndarray, components: np.ndarray, sketches: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): for rows from ``first`` on, the node b and that of the ``WINDOW`` rows before it which shares the most values with
+    it and is of another component, if it shares enough. A row of ``sketches`` has no value twice."""
+    best, partner = np.zeros(len(nodes)), np.zeros(len(nodes), np.int64)
+    width = sketches.shape[1]
+    for back in range(1, min(WINDOW, len(nodes) - 1) + 1):
+        both = np.sort(np.concatenate([sketches[back:], sketches[:-back]], axis=1), axis=1)
+        shared = (both[:, 1:] == both[:, :-1]).sum(axis=1)
+        share = np.where(components[back:] != components[:-back], shared / (2 * width - shared), 0)
+        better = np.flatnonzero(share > best[back:]) + back
+        best[better], partner[better] = share[better - back], better - back
+    found = np.flatnonzero(best >= LIKELY)
+    found = found[found >= first]
+    return nodes[partner[found]], nodes[found]
+
+
+def _neighbours(live: DataFrame, marks: DataFrame, turn: int, k: int) -> DataFrame:
+    """Pairs (a, b) of (node, component): of each node the likeliest of those before it, in this turn's order of its sketch."""
+    order = F.array_sort(F.transform("sketch", lambda v: F.xxhash64(v, F.lit(turn))))
+    rows = live.select("node", "component").join(marks, "node").select("node", "component", order.alias("order"))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, components, sketches = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, k), np.int64)
+        filler = 0
+        for batch in batches:
+            kept = len(nodes)
+            own = batch.column("order")
+            sizes = np.diff(np.asarray(own.offsets))
+            # Places that a short sketch leaves free get numbers that no other place has.
+            values = filler + np.arange(batch.num_rows * k, dtype=np.int64).reshape(-1, k)
+            filler += values.size
+            values[np.arange(k) < sizes[:, None]] = np.asarray(own.flatten())
+            nodes = np.concatenate([nodes, np.asarray(batch.column("node"))])
+            components = np.concatenate([components, np.asarray(batch.column("component"))])
+            sketches = np.concatenate([sketches, values])
+            a, b = likeliest(nodes, components, sketches, kept)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            nodes, components, sketches = nodes[-WINDOW:], components[-WINDOW:], sketches[-WINDOW:]
+
+    return rows.repartitionByRange("order").sortWithinPartitions("order").mapInArrow(make, "a long, b long")
+
+
 def _least_overlap(n: Column, other: Column, percent: int) -> Column:
     """Shingles that sets of these sizes have in common if they link."""
     return F.ceil((n + other) * percent / (100 + percent))
@@ -262,9 +315,9 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id",
     # Numbers are given once, as the table is written.
     classes = work.save(members.select(F.monotonically_increasing_id().alias("node"), "mark", "x.doc", "x.h", "n", "sketch"), "classes")
     lists = work.save(_inverted(classes), "lists")
-    listed = classes.join(lists.select("node").distinct(), "node", "left_semi").select("doc", "h", "node")
+    listed = work.save(classes.join(lists.select("node").distinct(), "node", "left_semi").select("doc", "h", "node"), "listed")
     whole = docs.select(F.col(id_column).alias("doc"), _text_hash(text).alias("h"), F.col(text).cast("binary").alias("text"))
-    texts = work.save(whole.dropDuplicates(["doc", "h"]).join(listed, ["doc", "h"]).select("node", "text"), "texts")
+    texts = work.save(whole.join(listed, ["doc", "h"]).select("node", "text").dropDuplicates(["node"]), "texts")
     marks = classes.select("node", "sketch")
 
     def with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -272,23 +325,41 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id",
         side = lambda x: pairs.join(table.select(F.col("node").alias(x), F.col(column).alias(f"{column}_{x}")), x)
         return side("a").join(side("b"), ["a", "b"]).select("a", "b", f"{column}_a", f"{column}_b")
 
+    def placed(table: DataFrame) -> DataFrame:
+        """table with the component that each node has reached."""
+        return table.withColumn("component", F.col("node")) if parts is None else table.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    def linked(pairs: DataFrame, name: str) -> int:
+        """Compares pairs by full sets and joins the components of those that link, of which it returns the number."""
+        nonlocal parts
+        new = work.save(_exact(with_both(pairs, texts, "text"), percent), f"edges-{name}")
+        count = new.count()
+        if count:
+            known = new if parts is None else new.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            parts = components(known, work, f"stars-{name}")
+        return count
+
     parts = None
-    for turn in range(ROUNDS + 1):
-        placed = lists.withColumn("component", F.col("node")) if parts is None else lists.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        if turn < ROUNDS:
-            mains = work.save(_mains(placed, turn), f"mains-{turn}")
-            pairs = work.save(placed.join(mains, "value").where("component != main").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), f"pairs-{turn}")
-            pairs = work.save(_union_estimates(with_both(pairs, marks, "sketch"), k), f"alike-{turn}")
-        else:
-            live = _within_bounds(work.save(placed, "placed"), texts, work, percent)
-            if live is None:
-                continue
-            pairs = work.save(_first_common(work.save(live, "live"), texts, work, percent).distinct(), "first-pairs")
-        new = work.save(_exact(with_both(pairs, texts, "text"), percent), f"edges-{turn}")
-        if turn and new.isEmpty():
-            continue
-        known = new if parts is None else new.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        parts = components(known, work, f"stars-{turn}")
+    for turn in range(ROUNDS):
+        now = placed(lists)
+        mains = work.save(_mains(now, turn), f"mains-{turn}")
+        pairs = work.save(now.join(mains, "value").where("component != main").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), f"pairs-{turn}")
+        linked(work.save(_union_estimates(with_both(pairs, marks, "sketch"), k), f"alike-{turn}"), str(turn))
+    live = _within_bounds(work.save(placed(lists), "placed"), texts, work, percent)
+    if live is not None:
+        live = work.save(live.drop("component"), "live")
+        most = count = live.count()
+        turn = 0
+        while count and count * WORTH >= most:
+            count = linked(work.save(_neighbours(placed(live), marks, turn, k), f"neighbours-{turn}"), f"near-{turn}")
+            turn += 1
+        now = placed(lists)
+        members = now.join(_mains(now, ROUNDS).select("value"), "value").select("node").distinct()
+        still = work.save(placed(live).join(members, "node", "left_semi"), "still-open")
+        if not still.isEmpty():
+            linked(work.save(_first_common(still, texts, work, percent).distinct(), "first-pairs"), "first")
+    if parts is None:
+        parts = marks.select("node", F.col("node").alias("component")).limit(0)
     labelled = classes.select("node", "mark", "doc").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = labelled.groupBy("component").agg(F.min("doc").alias("component_id"))
     reached = work.save(labelled.join(smallest, "component").select("mark", "component_id"), "reached")
