@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.functions.schemas import PROGRESS, RESULT, conform, rows_to_frame
+from tidewright.functions.schemas import PROGRESS, RESULT, append_all, conform, rows_to_frame
 from tidewright.functions.text import SPACE, strip, typed
 from tidewright.operators import state, units, views
 
@@ -129,6 +129,16 @@ def test_replay_takes_only_newer_deltas(spark):
     assert {r.unit_id: r.output_value for r in state.replay(saved, 4, deltas).collect()} == {"u1": "saved", "u2": "new"}
 
 
+def test_replay_takes_a_delta_before_a_checkpoint_row_of_its_seq(spark, monkeypatch):
+    saved = results(spark, [("u1", "1", "o", "success", "saved", 2), ("u2", "2", "o", "success", "saved", 1)])
+    deltas = results(spark, [("u1", "1", "o", "success", "new", 2)])
+    want = {"u1": "new", "u2": "saved"}
+    assert {r.unit_id: r.output_value for r in state.replay(saved, 1, deltas).collect()} == want
+    # Executors may meet the rows of the deltas first.
+    monkeypatch.setattr(state, "append_all", lambda frames, schema: append_all(frames[::-1], schema))
+    assert {r.unit_id: r.output_value for r in state.replay(saved, 1, deltas).collect()} == want
+
+
 def test_rows_to_frame_coerces(spark):
     row = rows_to_frame(spark, [{"unit_id": 5, "parsed_output": {"a": [1]}, "review_flag": "yes", "seq": "3"}], RESULT).first()
     assert (row.unit_id, row.parsed_output, row.review_flag, row.seq, row.row_id) == ("5", '{"a": [1]}', True, 3, None)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tidewright.functions.schemas import CHECKPOINT, DEBUG, PROGRESS, RESULT, append_all, conform
 from tidewright.functions.text import primary_error
@@ -14,6 +15,8 @@ TERMINAL = ("success", "permanent_error")
 #: Errors of a unit's answer that repeating may not mend.
 ANSWER_ERRORS = ("invalid_score_output", "invalid_cue_output", "missing_prompt_unit_result", "semantic_validation_failed", "invalid_unit_output", "missing_required_field", "unknown_prompt_unit_id")
 
+FROM_DELTA = "from_delta__"
+
 #: What a message is given when retries end.
 GIVEN_UP = "no usable answer, made permanent after"
 
@@ -86,9 +89,13 @@ def checkpoint_rows(results: DataFrame) -> DataFrame:
 
 
 def replay(checkpoint: DataFrame | None, covered: int, deltas: DataFrame) -> DataFrame:
-    """Results from a checkpoint that covers rows up to ``covered``, and the deltas after it."""
+    """Results from a checkpoint that covers rows up to ``covered``, and the deltas after it. Of a delta and a row of the checkpoint with the
+    same ``seq`` the delta is the later one, in whatever order tasks meet them."""
     newer = deltas.where(F.col("seq") > covered)
-    return latest_results(append_all([newer] if checkpoint is None else [checkpoint, newer], RESULT))
+    if checkpoint is None:
+        return latest_results(append_all([newer], RESULT))
+    both = append_all([rows.withColumn(FROM_DELTA, F.lit(late)) for rows, late in ((checkpoint, False), (newer, True))], StructType([*RESULT.fields, StructField(FROM_DELTA, BooleanType())]))
+    return latest(both, ["unit_id", "output_column"], ["seq", FROM_DELTA]).drop(FROM_DELTA)
 
 
 def status_counts(progress: DataFrame, units: DataFrame | None = None) -> DataFrame:
