@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.schemas import PROGRESS, RESULT, append_all, conform, rows_to_frame
 from tidewright.functions.text import SPACE, strip, typed
 from tidewright.operators import state, units, views
+from tidewright.plans import queries
 
 
 def test_strip_is_pythons(spark):
@@ -24,6 +25,17 @@ def test_unit_ids_and_blank_inputs(spark):
     assert got["1", "x"].unit_id == hashlib.sha256(b"s||1||x||ox||m||v1").hexdigest()
 
 
+def test_a_far_window_is_the_same_in_whatever_order_rows_come(spark, tmp_path):
+    rows = [(k // 40, 1, float(k * 7 % 40)) for k in range(1000)]
+    for name, some in (("up", sorted(rows)), ("down", sorted(rows, reverse=True))):
+        spark.createDataFrame(some, "l_orderkey long, l_linenumber int, l_quantity double").coalesce(1).write.parquet(f"{tmp_path}/{name}/lineitem.parquet")
+        got = [tuple(r) for r in queries.row_window_far(spark, f"{tmp_path}/{name}").collect()]
+        assert sorted(got) == sorted(rows)[900:]
+    few = [(1, 1, float(k)) for k in range(700)]
+    spark.createDataFrame(few[::-1], "l_orderkey long, l_linenumber int, l_quantity double").coalesce(1).write.parquet(f"{tmp_path}/tied/lineitem.parquet")
+    assert sorted(tuple(r) for r in queries.row_window_far(spark, f"{tmp_path}/tied").collect()) == few[630:]
+
+
 def test_keys_must_be_unique(spark):
     for rows in ([(1,), (1,)], [(None,)]):
         with pytest.raises(ValueError, match="null or repeated"):
