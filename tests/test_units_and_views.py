@@ -151,6 +151,22 @@ def test_replay_takes_a_delta_before_a_checkpoint_row_of_its_seq(spark, monkeypa
     assert {r.unit_id: r.output_value for r in state.replay(saved, 1, deltas).collect()} == want
 
 
+def test_state_is_not_sent_through_the_driver(spark, tmp_path):
+    source, work = source_units(spark)
+    known = progress(spark, ("u1", "success", 0, None, None, "2026-01-01", 1))
+    rows, released = results(spark, [("u1", "1", "ox", "success", "3", 1)]), spark.createDataFrame([("1",)], "row_id string")
+    for k, df in enumerate((source, work, known, rows, released)):
+        df.write.parquet(f"{tmp_path}/{k}")  # of files Spark knows that they are small
+    source, work, known, rows, released = (spark.read.parquet(f"{tmp_path}/{k}") for k in range(5))
+    made = [
+        state.reconcile(known, rows, "2026-02-01", 7), state.retry_counts(work, known), units.pending(work, known), views.released_rows(work, known), views.pair_status(work, known, ["x", "y"], released),
+        views.merge_back(source, rows, "k", ["ox"], None, work), views.partial_output(source, rows, "k", ["ox"], released),
+    ]
+    for df in made:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_rows_to_frame_coerces(spark):
     row = rows_to_frame(spark, [{"unit_id": 5, "parsed_output": {"a": [1]}, "review_flag": "yes", "seq": "3"}], RESULT).first()
     assert (row.unit_id, row.parsed_output, row.review_flag, row.seq, row.row_id) == ("5", '{"a": [1]}', True, 3, None)

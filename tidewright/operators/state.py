@@ -21,6 +21,12 @@ FROM_DELTA = "from_delta__"
 GIVEN_UP = "no usable answer, made permanent after"
 
 
+def merged(rows: DataFrame) -> DataFrame:
+    """rows as a side of a join that is dealt out and merged. State has a row for each unit, and its files are far smaller than its rows, so
+    Spark would send each such side whole through the driver until it is large, many times a run."""
+    return rows.hint("merge")
+
+
 def latest(log: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
     """The last row of each key. One aggregate, which combines before the shuffle; nulls in ``by`` come first."""
     rest = [c for c in log.columns if c not in keys]
@@ -46,7 +52,7 @@ def success_ids(rows: DataFrame) -> DataFrame:
 
 def reconcile(progress: DataFrame, results: DataFrame, now: str, seq: int) -> DataFrame:
     """Units with a successful result but no success in the progress get one."""
-    missing = success_ids(results).join(success_ids(progress), "unit_id", "left_anti")
+    missing = success_ids(results).join(merged(success_ids(progress)), "unit_id", "left_anti")
     made = missing.select("unit_id", F.lit("success").alias("status"), F.lit(0).cast("long").alias("retry_count"), F.lit(now).alias("updated_at"), F.lit(seq).cast("long").alias("seq"))
     return latest_progress(append_all([progress, made], PROGRESS))
 
@@ -67,7 +73,7 @@ def apply_retry_limit(progress: DataFrame, most: int) -> DataFrame:
 
 def retry_counts(units: DataFrame, progress: DataFrame) -> DataFrame:
     """units with the retries so far."""
-    return units.join(progress.select("unit_id", "retry_count"), "unit_id", "left").withColumn("retry_count", F.coalesce("retry_count", F.lit(0).cast("long")))
+    return units.join(merged(progress.select("unit_id", "retry_count")), "unit_id", "left").withColumn("retry_count", F.coalesce("retry_count", F.lit(0).cast("long")))
 
 
 def terminal(progress: DataFrame) -> DataFrame:
@@ -81,7 +87,7 @@ def review_rows(debug: DataFrame) -> DataFrame:
 def permanent_review(debug: DataFrame, progress: DataFrame) -> DataFrame:
     """The latest trace of units that failed for good, without those that have succeeded since."""
     failed = latest_debug(conform(debug, DEBUG).where(F.col("status") == "permanent_error"))
-    return failed.join(success_ids(progress), "unit_id", "left_anti").select(*failed.columns)
+    return failed.join(merged(success_ids(progress)), "unit_id", "left_anti").select(*failed.columns)
 
 
 def checkpoint_rows(results: DataFrame) -> DataFrame:
@@ -100,6 +106,6 @@ def replay(checkpoint: DataFrame | None, covered: int, deltas: DataFrame) -> Dat
 
 def status_counts(progress: DataFrame, units: DataFrame | None = None) -> DataFrame:
     """How many units have each of the three final statuses, zeros included; with ``units``, among these only."""
-    of = progress if units is None else progress.join(units.select("unit_id").distinct(), "unit_id", "left_semi")
+    of = progress if units is None else progress.join(merged(units.select("unit_id").distinct()), "unit_id", "left_semi")
     one = of.agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("success", "retryable_error", "permanent_error")])
     return one.select(F.inline(F.array(*[F.struct(F.lit(s).alias("status"), F.col(s).alias("n")) for s in one.columns])))

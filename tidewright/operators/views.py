@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.text import typed
-from tidewright.operators.state import latest_results
+from tidewright.operators.state import latest_results, merged
 
 PER_FIELD = ("unit_id", "status", "retry_count", "last_error_type", "last_error_message")
 
@@ -18,14 +18,14 @@ def released_rows(units: DataFrame, progress: DataFrame, scope: str = "unit") ->
     if scope not in ("unit", "row_complete"):
         raise ValueError("scope is 'unit' or 'row_complete'")
     good = F.count_if(F.col("status") == "success")
-    seen = units.select("unit_id", "row_id").join(progress.select("unit_id", "status"), "unit_id", "left")
+    seen = units.select("unit_id", "row_id").join(merged(progress.select("unit_id", "status")), "unit_id", "left")
     counted = seen.groupBy("row_id").agg(good.alias("good"), F.count("*").alias("expected"))
     return counted.where("good > 0" if scope == "unit" else "good = expected").select("row_id")
 
 
 def pair_status(units: DataFrame, progress: DataFrame, fields: Sequence[str], released: DataFrame | None = None) -> DataFrame:
     """One row per touched source row, with counts and each field's status, from a single aggregate."""
-    seen = units.select("unit_id", "row_id", "field_name").join(progress.select(*PER_FIELD), "unit_id", "left")
+    seen = units.select("unit_id", "row_id", "field_name").join(merged(progress.select(*PER_FIELD)), "unit_id", "left")
     counts = {"success_unit_count": "success", "retryable_error_count": "retryable_error", "permanent_error_count": "permanent_error"}
     made = [F.count("*").alias("expected_unit_count"), F.count("status").alias("observed_unit_count"), *[F.count_if(F.col("status") == s).alias(n) for n, s in counts.items()]]
     # A unit without progress is expected but has no columns of its own.
@@ -38,7 +38,7 @@ def pair_status(units: DataFrame, progress: DataFrame, fields: Sequence[str], re
     if released is None:
         return derived.withColumn("released_for_partial_output", F.lit(False))
     flags = released.select("row_id").distinct().withColumn("shown", F.lit(True))
-    return derived.join(flags, "row_id", "left").withColumn("released_for_partial_output", F.coalesce("shown", F.lit(False))).drop("shown")
+    return derived.join(merged(flags), "row_id", "left").withColumn("released_for_partial_output", F.coalesce("shown", F.lit(False))).drop("shown")
 
 
 def merge_back(source: DataFrame, results: DataFrame, key: str, outputs: Sequence[str], dtypes: Mapping[str, str] | None = None, units: DataFrame | None = None) -> DataFrame:
@@ -48,18 +48,18 @@ def merge_back(source: DataFrame, results: DataFrame, key: str, outputs: Sequenc
         raise ValueError(f"output columns {sorted(clash)} are in the source already")
     good = latest_results(results).where(F.col("status") == "success")
     if units is not None:
-        good = good.join(units.select("unit_id"), "unit_id", "left_semi")
+        good = good.join(merged(units.select("unit_id")), "unit_id", "left_semi")
     wide = good.groupBy("row_id").agg(*[F.max_by("output_value", F.when(F.col("output_column") == c, F.col("seq"))).alias(c) for c in outputs])
     kinds = dtypes or {}
     unknown = {c: t for c, t in kinds.items() if c in outputs}
     cast = wide.select(F.col("row_id").alias(key), *[(typed(F.col(c), unknown[c]) if c in unknown else F.col(c)).alias(c) for c in outputs])
-    return source.withColumn(key, F.col(key).cast("string")).join(cast, key, "left").select(*source.columns, *outputs)
+    return source.withColumn(key, F.col(key).cast("string")).join(merged(cast), key, "left").select(*source.columns, *outputs)
 
 
 def partial_output(source: DataFrame, results: DataFrame, key: str, outputs: Sequence[str], released: DataFrame, dtypes: Mapping[str, str] | None = None) -> DataFrame:
     """The released rows only, with their answers."""
-    rows = source.join(released.select(F.col("row_id").alias("__row")), F.col(key).cast("string") == F.col("__row"), "left_semi")
-    return merge_back(rows, results.join(released.select("row_id"), "row_id", "left_semi").select(*results.columns), key, outputs, dtypes)
+    rows = source.join(merged(released.select(F.col("row_id").alias("__row"))), F.col(key).cast("string") == F.col("__row"), "left_semi")
+    return merge_back(rows, results.join(merged(released.select("row_id")), "row_id", "left_semi").select(*results.columns), key, outputs, dtypes)
 
 
 def outcome(units: DataFrame, results: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.operators.state import merged
 from tidewright.sources import tables
 
 PLACE, BUCKET = "place__", "bucket__"
@@ -93,7 +94,7 @@ class Snapshot:
     def merge(self, rows: DataFrame, seq: int, gone: DataFrame | None = None) -> list[int]:
         """Replaces the rows that have the keys of ``rows`` (or of ``gone``, with ``PLACE``). Returns the buckets written."""
         hit = self.hit(rows if gone is None else gone)
-        old = self.read(hit).join((rows if gone is None else gone).select(*self.keys), self.keys, "left_anti")
+        old = self.read(hit).join(merged((rows if gone is None else gone).select(*self.keys)), self.keys, "left_anti")
         made = self._write(old.unionByName(rows.select(*old.columns)), f"{self.family}_part")
         before = [(k, self.where[k]) for k in hit if k in self.where]
         self.where = {k: n for k, n in self.where.items() if k not in hit} | made

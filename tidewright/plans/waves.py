@@ -172,7 +172,7 @@ class Round:
 
     def put_back(self, traces: DataFrame) -> None:
         """Units that were taken last and have no trace are taken again."""
-        self.unasked = self.log.write(self.log.state, self.taken.join(traces.select("unit_id"), "unit_id", "left_anti").select(*self.taken.columns), "waiting")
+        self.unasked = self.log.write(self.log.state, self.taken.join(state.merged(traces.select("unit_id")), "unit_id", "left_anti").select(*self.taken.columns), "waiting")
 
 
 def wave_of(told: Mapping[str, int], seconds: float) -> control.Wave:
@@ -253,7 +253,7 @@ def to_repeat(asked: DataFrame, progress: DataFrame, most: int) -> DataFrame:
     """Of a round's units those to ask once more. Failures on the way never become permanent, so a run gives up on a unit after
     as many retries."""
     again = progress.where((F.col("status") == "retryable_error") & (F.col("retry_count") <= most)).select("unit_id", "retry_count")
-    return asked.drop("retry_count", "slice").join(again, "unit_id").select(*[c for c in asked.columns if c != "slice"])
+    return asked.drop("retry_count", "slice").join(state.merged(again), "unit_id").select(*[c for c in asked.columns if c != "slice"])
 
 
 class State:
@@ -273,7 +273,7 @@ class State:
 
     def begin(self, known: DataFrame) -> None:
         """The first snapshot of progress. Units of other settings have a place of their own."""
-        placed = known.join(self.todo.select("unit_id", PLACE), "unit_id", "left")
+        placed = known.join(state.merged(self.todo.select("unit_id", PLACE)), "unit_id", "left")
         self.progress.write_whole(placed.withColumn(PLACE, F.coalesce(PLACE, place(F.col("unit_id")))).select(*PROGRESS.names, PLACE))
 
     def save(self, seq: int) -> None:
@@ -312,7 +312,7 @@ class State:
                 self._views(self.todo, self.progress.read(), self.results.read(), self._source(None), None, seq, last)
             elif rows is not None:
                 hit = self.progress.hit(rows)
-                own = self.todo.where(within(hit, self.bits)).join(rows.select("row_id"), "row_id", "left_semi")
+                own = self.todo.where(within(hit, self.bits)).join(state.merged(rows.select("row_id")), "row_id", "left_semi")
                 self._views(own, self.progress.read(hit), self.results.read(hit), self._source(hit), rows, seq, last)
         self.log.held.clear()
         counts = self.progress.totals()
