@@ -450,3 +450,13 @@ def test_older_results_are_read(spark, tmp_path):
     assert sorted((r.unit_id, r.output_value) for r in tables.read_results(folder).collect()) == [("a", "1"), ("b", "2")]
     row("a", "3").write.parquet(f"file://{tmp_path}/results_snapshot_20250103.parquet")
     assert [(r.unit_id, r.output_value) for r in tables.read_results(folder).collect()] == [("a", "3")]
+
+
+def test_units_wait_without_their_texts(spark, tmp_path):
+    folder = tables.Folder(spark, f"file://{tmp_path}")
+    run_step(names(spark), stub.stub_step(Runtime(pace=Pace(initial_group_size=8), cleanup_artifacts=False)), folder, "20260101_000000")
+    log = StepLog(folder, "x")
+    waiting = tables.artifacts(log.state, "waiting")
+    assert len(waiting) > 1  # of the units, and of those that failed
+    assert all("input_text" not in spark.read.parquet(f"{log.state.path}/{n}").columns for n in waiting)
+    assert "again" not in log.state.list_objects()

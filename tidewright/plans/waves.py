@@ -18,7 +18,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.functions.schemas import CHECKPOINT, DEBUG, PROGRESS, RESULT, append_all, conform
+from tidewright.functions.schemas import CHECKPOINT, DEBUG, PROGRESS, RESULT, WORK_UNIT, append_all, conform
 from tidewright.operators import asking, control, responses, retention, state, units, views
 from tidewright.plans.settings import ModelStep
 from tidewright.plans.snapshots import PLACE, PLACE_BITS, Snapshot, bits_for, place, within
@@ -31,6 +31,8 @@ SPARED = ("results_delta", "progress_delta", *(f"{f}_{kind}" for f in ("progress
 #: Deltas, and the snapshots that cover them.
 DELTAS = {"results_delta": "results_checkpoint", "progress_delta": "progress"}
 ASKING = "asking__run_"
+#: A folder of the state for units that have failed in a round, by the number of the round.
+AGAIN = "again"
 
 
 def utc_now() -> datetime:
@@ -144,15 +146,16 @@ class Cadence:
 
 
 class Round:
-    """Waiting units, in slices by the place of their rows, of which each is asked once."""
+    """Waiting units, in slices by the place of their rows, of which each is asked once. Only ids wait; the rest of a unit, its text above all,
+    is read from ``todo`` when its slice is taken. What fails is kept whole for the next round, which then reads nothing else."""
 
-    def __init__(self, log: StepLog, waiting: DataFrame, a_slice: int):
-        self.log, self.count = log, waiting.count()
+    def __init__(self, log: StepLog, waiting: DataFrame, a_slice: int, todo: DataFrame, number: int = 1):
+        self.log, self.count, self.todo, self.number = log, waiting.count(), todo, number
         self.slices = min(1 << PLACE_BITS, math.ceil(self.count / max(1, a_slice)))
         cut = waiting.withColumn("slice", F.shiftright(F.col(PLACE).cast("long") * self.slices, PLACE_BITS))
         # Sorted, so that a wave's filter on slices skips what the footers exclude.
         self.units = log.write(log.state, cut.repartitionByRange("slice").sortWithinPartitions("slice"), "waiting")
-        self.next = 0
+        self.next, self.first = 0, 0
         self.unasked: DataFrame | None = None
         self.taken: DataFrame | None = None
 
@@ -167,9 +170,29 @@ class Round:
         each = self.count / self.slices
         n = min(max(1, int(most_units / each + 1e-9)), self.slices - self.next)
         self.taken = self.units.where(F.col("slice").between(self.next, self.next + n - 1))
-        self.next += n
+        self.first, self.next = self.next, self.next + n
         return self.taken, math.ceil(n * each)
 
+    def whole(self, groups: DataFrame) -> DataFrame:
+        """Groups of the units taken last, with all that ``todo`` has of them. Of it the places of the slices are read."""
+        low, high = (-(-(k << PLACE_BITS) // self.slices) for k in (self.first, self.next))
+        rows = self.todo.where((F.col(PLACE) >= low) & (F.col(PLACE) < high)).drop(PLACE)
+        return rows.join(state.merged(groups), "unit_id")
+
+    def keep_failed(self, traces: DataFrame, step: ModelStep) -> None:
+        own = {"step_name": F.lit(step.name), "model": F.lit(step.model), "prompt_version": F.lit(step.prompt_version)}
+        failed = traces.where(F.col("status") == "retryable_error").withColumns(own).select(*WORK_UNIT.names, PLACE)
+        failed.write.mode("append").option("compression", "zstd").parquet(f"{self.log.state.path}/{AGAIN}/{self.number}")
+
+    def following(self, most_retries: int, a_slice: int) -> Round:
+        """The round of the units of this one that are to be asked once more."""
+        kept = self.log.state.ensure_subdir(AGAIN)
+        again = to_repeat(self.units, tables.read_progress(self.log.state), most_retries)
+        todo = self.log.spark.read.schema(self.todo.schema).parquet(f"{kept.path}/{self.number}") if str(self.number) in kept.list_objects() else self.todo
+        made = Round(self.log, again, a_slice, todo, self.number + 1)
+        kept.delete_object(str(self.number - 1))
+        return made
+
     def put_back(self, traces: DataFrame) -> None:
         """Units that were taken last and have no trace are taken again."""
         self.unasked = self.log.write(self.log.state, self.taken.join(state.merged(traces.select("unit_id")), "unit_id", "left_anti").select(*self.taken.columns), "waiting")
@@ -204,12 +227,13 @@ def run_step(source: DataFrame, step: ModelStep, folder: tables.Folder, run: str
     held = State(step, log, source, todo)
     held.begin(known)
     # A run tries what failed for good before once more, and counts its own retries.
-    waiting = units.pending(todo, held.progress.read()).withColumn("retry_count", F.lit(0).cast("long"))
+    waiting = units.pending(todo.select("unit_id", PLACE), held.progress.read()).withColumn("retry_count", F.lit(0).cast("long"))
+    log.state.delete_object(AGAIN)  # of a run that stopped
     load, pace, began = control.initial_load(runtime.pace), runtime.pace, timer()
     # The first wave is a group for each task; how long it takes says how much to take next.
     most = float(min(runtime.units_per_wave, load.concurrency * runtime.lanes * load.group_size(pace)))
     a_slice = max(1, int(most) // 2)
-    left = Round(log, waiting, a_slice)
+    left = Round(log, waiting, a_slice, todo)
     provider = f"answers_{uuid.uuid4().hex}"
     config = {"name": step.name, "model": step.model, "prompt_version": step.prompt_version, "outputs": dict(step.outputs)}
     log.spark.dataSource.register(asking.answering(provider, step.make_adapter, step.make_handler, config, step.context))
@@ -221,7 +245,7 @@ def run_step(source: DataFrame, step: ModelStep, folder: tables.Folder, run: str
             break
         seq += 1
         taken, about = left.take(most)
-        groups = control.grouped(taken.drop("slice", PLACE), load.group_size(pace), control.bucket_digits(about))
+        groups = left.whole(control.grouped(taken.drop("slice", PLACE), load.group_size(pace), control.bucket_digits(about)))
         name = f"{ASKING}{run}__{log.stamp()}"
         for part in (asking.ANSWERS, asking.FIGURES):
             log.debug.ensure_subdir(f"{name}/{part}")
@@ -232,6 +256,8 @@ def run_step(source: DataFrame, step: ModelStep, folder: tables.Folder, run: str
         traces, told = log.finish_wave(name, seq, runtime.max_request_retries)
         if told["unasked_units"]:
             left.put_back(traces)
+        if told["failed_units"]:
+            left.keep_failed(traces, step)
         figures = wave_of(told, seconds)
         if figures.units:
             load = control.next_load(load, pace, figures)
@@ -242,7 +268,8 @@ def run_step(source: DataFrame, step: ModelStep, folder: tables.Folder, run: str
         if viewed:
             held.view(seq, told)
         if not left.left():
-            left = Round(log, to_repeat(left.units, tables.read_progress(log.state), runtime.max_request_retries), a_slice)
+            left = left.following(runtime.max_request_retries, a_slice)
+    log.state.delete_object(AGAIN)
     held.save(seq)
     held.view(seq, None, last=True)
     results = held.end()
