@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.arrow_batches import BoundedCache, split_batch
+from tidewright.llm.sieve import Sieve
 from tidewright.llm.workspace import Workspace
 
 SHINGLE = 5
@@ -168,11 +169,13 @@ def _inverted(classes: DataFrame) -> DataFrame:
     """(value, node, n, lonely): of each class the rarest retained values that a similar class must share one of, without
     lonely ones. ``lonely`` is the share of the sketch that no other sketch has."""
     kept = classes.select("node", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
-    often = kept.groupBy("value").agg(F.count("*").alias("df"))
+    often = kept.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    # Lonely values are the rarest, so only their number matters; the rows of the others are few.
     ranked = kept.join(often, "value").groupBy("node").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))
     needed = F.col("m") - F.ceil(F.col("m") * F.lit(SHARED_SHARE)).cast("int") + 1
-    lonely = F.size(F.filter("values", lambda x: x["df"] == 1)) / F.col("m")
-    entries = ranked.select("node", "n", lonely.alias("lonely"), F.explode(F.filter(F.slice("values", 1, F.greatest(needed, F.lit(1))), lambda x: x["df"] > 1)).alias("x"))
+    lonely = F.col("m") - F.size("values")
+    rarest = F.slice("values", F.lit(1), F.greatest(F.greatest(needed, F.lit(1)) - lonely, F.lit(0)))
+    entries = ranked.select("node", "n", (lonely / F.col("m")).alias("lonely"), F.explode(rarest).alias("x"))
     return entries.select("x.value", "node", "n", "lonely")
 
 
@@ -268,8 +271,9 @@ def _within_bounds(placed: DataFrame, texts: DataFrame, work: Workspace, percent
         if mains.isEmpty():
             return None
         lists = work.save(placed.join(mains, "value"), f"open-lists-{step}")
-        members = lists.select("node").distinct()
-        counts = _shingles(texts.join(members, "node", "left_semi")).groupBy("s").agg(F.count("*").alias("df"), F.min("node").alias("node"))
+        members = Sieve(work.save(lists.select("node").distinct(), f"open-members-{step}"), ["node"], work, f"open-bits-{step}")
+        # Some other texts pass too. All they can do is to give a member's shingles company, so the bounds still hold.
+        counts = _shingles(members.hits(texts.select("node", "text"))).groupBy("s").agg(F.count("*").alias("df"), F.min("node").alias("node"))
         alone = counts.where("df = 1").groupBy("node").agg(F.count("*").alias("alone"))
         least = lists.groupBy("value").agg(F.min("n").alias("least"))
         bounded = lists.join(alone, "node", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).join(least, "value")
@@ -317,8 +321,12 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id",
     lists = work.save(_inverted(classes), "lists")
     listed = work.save(classes.join(lists.select("node").distinct(), "node", "left_semi").select("doc", "h", "node"), "listed")
     whole = docs.select(F.col(id_column).alias("doc"), _text_hash(text).alias("h"), F.col(text).cast("binary").alias("text"))
-    texts = work.save(whole.join(listed, ["doc", "h"]).select("node", "text").dropDuplicates(["node"]), "texts")
-    marks = classes.select("node", "sketch")
+    # Only texts that may be in a list are dealt out, and once: rows of one id and text are in the task that the join deals them to.
+    whole = Sieve(listed, ["doc", "h"], work, "listed-bits").hits(whole)
+    work.release()
+    texts = work.save(whole.join(listed, ["doc", "h"]).dropDuplicates(["doc", "h", "node"]).select("node", "text"), "texts")
+    work.release()
+    marks = work.save(Sieve(listed, ["node"], work, "marks-bits").hits(classes.select("node", "sketch")), "marks")
 
     def with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
         """pairs with both sides' values. Each side is found by itself, so that few pairs never make a large table move."""
@@ -337,6 +345,7 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_column: str = "doc_id",
         if count:
             known = new if parts is None else new.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
             parts = components(known, work, f"stars-{name}")
+        work.release()
         return count
 
     parts = None
