@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm import language_id, near_dedup, packing, quality, repeats
+from tidewright.llm.sieve import Sieve
 from tidewright.llm.workspace import Workspace
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -41,11 +42,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates stays: the one with the least id, null ids last. Rows are told apart by a key
     of their own, as ids may repeat or be null."""
-    keyed = Workspace(spark, "pipeline-rows").save(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    work = Workspace(spark, "pipeline-rows")
+    keyed = work.save(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
     found = near_dedup.near_duplicates(keyed, Workspace(spark, "pipeline-near-dedup"), "row").select("row", "component_id").join(keyed.select("row", "doc_id"), "row")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("least")
     first = found.groupBy("component_id").agg(least).select("least.row")
-    return keyed.join(first, "row", "left_semi").select(*COLUMNS)
+    gone = work.save(found.select("row").join(first, "row", "left_anti"), "gone")
+    # The rows that go are few, so of the others most stay where they are.
+    sieve = Sieve(gone, ["row"], work, "gone-bits")
+    return sieve.misses(keyed).select(*COLUMNS).unionByName(sieve.hits(keyed).join(gone, "row", "left_anti").select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

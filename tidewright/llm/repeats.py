@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.arrow_batches import split_batch
+from tidewright.llm.sieve import Sieve
 from tidewright.llm.workspace import Workspace
 
 LENGTH = 400
@@ -269,6 +270,7 @@ class _Sort:
         self.left = _in_company(rows, ["digit"], work, depth.name).drop("digit")
         for done in ("anchors", "groups"):
             work.drop(f"{depth.name}-{done}")
+        work.release()
 
     def spans(self, held: DataFrame) -> list[DataFrame]:
         """(h1, h2, start, end) of what repeats, in symbols; an end may lie beyond the text, where the text ends."""
@@ -292,6 +294,7 @@ class _Sort:
             found.append(work.save(done, f"{name}-spans"))
             for table in (name, f"{name}-groups", f"{name}-left", f"{depth.name}-left"):
                 work.drop(table)
+            work.release()
         return found
 
 
@@ -361,7 +364,10 @@ def find_repeats(docs: DataFrame, work: Workspace, text: str, depths: Sequence[D
         wanted = wanted.unionByName(s.left.select(*KEY))
     table, parts = f"repeats_{work.path[-32:]}", int(work.spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        texts = keyed.dropDuplicates(KEY).join(work.save(wanted.distinct(), "wanted"), KEY, "left_semi")
+        wanted = work.save(wanted.distinct(), "wanted")
+        # Texts without company stay where they are.
+        texts = Sieve(wanted, KEY, work, "wanted-bits").hits(keyed).dropDuplicates(KEY).join(wanted, KEY, "left_semi")
+        work.release()
         texts.write.bucketBy(parts, *KEY).option("compression", "zstd").option("path", f"{work.path}/texts").saveAsTable(table)
         work.release()
         held = work.spark.table(table)
@@ -395,5 +401,9 @@ def without_repeats(docs: DataFrame, work: Workspace, text: str = "text", length
     depths = [in_bytes(length), *([in_words(words)] if words else [])]
     cut = find_repeats(docs, work, text, depths, range(len(depths)), characters=True)
     keyed = docs.withColumns({f"__{n}": c for n, c in row_key(text).items()})
-    joined = keyed.join(cut.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("left").cast("string").alias("__left")), ["__h1", "__h2"], "left")
-    return joined.withColumn(text, F.when(F.col(text).isNotNull(), F.coalesce("__left", F.col(text)))).select(*docs.columns)
+    changed = cut.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("left").cast("string").alias("__left"))
+    # Only texts that may have lost something are dealt out.
+    sieve = Sieve(cut, KEY, work, "cut-bits")
+    joined = sieve.hits(keyed, ["__h1", "__h2"]).join(changed, ["__h1", "__h2"], "left")
+    met = joined.withColumn(text, F.when(F.col(text).isNotNull(), F.coalesce("__left", F.col(text))))
+    return sieve.misses(keyed, ["__h1", "__h2"]).select(*docs.columns).unionByName(met.select(*docs.columns))
