@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import weakref
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
@@ -12,14 +14,38 @@ from pyspark.sql import SparkSession
 
 class BoundedCache(dict):
     """A dict that computes missing values in bulk. It forgets all of them once it holds ``limit`` entries or keys of
-    ``most_chars`` characters in all; keys over ``longest`` characters stay for one call of ``learn`` only."""
+    ``most_chars`` characters in all; keys over ``longest`` characters stay for one call of ``learn`` only.
+
+    Spark hands a worker on from stage to stage. So that what one stage has learned does not fill the worker while others run,
+    the caches of a module are forgotten, and their memory is handed back, once those of another module learn."""
+
+    _made: list[weakref.ref] = []
+    _learning = ""
 
     def __init__(self, compute: Callable[[list], list], limit: int, fixed: dict | None = None, most_chars: int = 64 << 20, longest: int = 256):
         super().__init__(fixed or {})
         self.compute, self.limit, self.fixed, self.most_chars, self.longest = compute, limit, fixed or {}, most_chars, longest
         self.chars, self.passing = 0, []
+        self._made.append(weakref.ref(self, self._made.remove))
+
+    def forget(self) -> None:
+        self.clear()
+        self.update(self.fixed)
+        self.chars, self.passing = 0, []
+
+    def _take_turn(self) -> None:
+        own = self.compute.__module__
+        if BoundedCache._learning == own:
+            return
+        BoundedCache._learning = own
+        others = [c for c in (ref() for ref in self._made) if c is not None and c.compute.__module__ != own and len(c) > len(c.fixed)]
+        for cache in others:
+            cache.forget()
+        if others:
+            hand_back()
 
     def learn(self, keys: Iterable) -> None:
+        self._take_turn()
         for key in self.passing:
             del self[key]
         self.passing = []
@@ -29,9 +55,7 @@ class BoundedCache(dict):
             return
         chars = sum(len(k) for k in missing if len(k) <= self.longest)
         if len(self) + len(missing) > self.limit + len(self.fixed) or self.chars + chars > self.most_chars:
-            self.clear()
-            self.update(self.fixed)
-            self.chars = 0
+            self.forget()
             missing = [k for k in wanted if k not in self]
             chars = sum(len(k) for k in missing if len(k) <= self.longest)
         self.chars += chars
@@ -39,6 +63,14 @@ class BoundedCache(dict):
         self.update(zip(missing, self.compute(missing), strict=True))
 
 
+def hand_back() -> None:
+    """Returns memory that nothing uses to the system, where its allocators can; else a worker holds it as long as it lives."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def without_collector() -> None:
     """Ends the search for cycles in a worker whose caches hold millions of values; nothing there makes cycles."""
     gc.disable()

@@ -63,7 +63,7 @@ PARITIES = 8
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_WORDS = BoundedCache(lambda words: [xxhash.xxh64_intdigest(w) for w in words], 500_000)
+_WORDS = BoundedCache(lambda words: [xxhash.xxh64_intdigest(w) for w in words], 100_000)
 
 
 def shingle_set(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
