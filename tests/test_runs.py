@@ -23,7 +23,7 @@ from tidewright.operators.control import Pace
 from tidewright.plans import pipeline, stub
 from tidewright.plans.settings import ModelStep, Runtime
 from tidewright.plans.snapshots import PLACE, Snapshot, bits_for, place
-from tidewright.plans.waves import Cadence, State, StepLog, live_figures, run_step
+from tidewright.plans.waves import Cadence, Round, State, StepLog, live_figures, run_step
 from tidewright.sources import artifact_log, tables
 from tidewright.streaming.arrivals import process_arrivals
 
@@ -279,6 +279,20 @@ def counting_step(folder, runtime, **more):
     return replace(stub.stub_step(runtime), make_adapter=lambda: Counting(str(folder), **more))
 
 
+def test_a_round_is_read_to_its_end_however_often_units_are_put_back(spark, tmp_path):
+    log = StepLog(tables.Folder(spark, f"file://{tmp_path}"), "20260101_000000", clock())
+    todo = units.work_units(names(spark), "n_nationkey", {"n_name": "label"}, "names", "stub-1").withColumn(PLACE, place(F.col("row_id")))
+    left = Round(log, todo.select("unit_id", PLACE), 10, todo)
+    for _ in range(4):
+        left.take(10)
+        left.put_back(todo.where("false"))
+        log.prune(written=tuple(log.newest))
+    seen = []
+    while left.left():
+        seen += [r.unit_id for r in left.take(10)[0].collect()]
+    assert sorted(seen) == sorted(r.unit_id for r in todo.collect()) and len(seen) == 40
+
+
 def test_a_killed_task_loses_one_flush_at_most(spark, whole, tmp_path):
     (tmp_path / "asked").mkdir()
     runtime = Runtime(pace=Pace(initial_group_size=2, max_group_size=2), lanes=1, units_per_wave=40, flush=Flush(units=4, groups=2))
@@ -340,6 +354,20 @@ def test_figures_of_tasks_are_those_of_their_answers(spark, tmp_path):
     assert asking.figures(spark, f"file://{tmp_path}/late")["unasked_units"] == 40
 
 
+def test_a_batch_of_a_stream_asks_in_the_session_of_its_groups(spark, tmp_path):
+    names(spark).coalesce(1).write.parquet(f"{tmp_path}/in")
+    todo = units.work_units(names(spark), "n_nationkey", {"n_name": "label"}, "names", "m")
+    groups = control.grouped(todo.withColumn("retry_count", F.lit(0).cast("long")), 3)
+
+    def handle(batch, epoch):
+        spark.dataSource.register(asking.answering("answers_streamed", stub.StubAdapter, stub.StubHandler, {"model": "m"}, {}))
+        asking.ask(groups, "answers_streamed", f"file://{tmp_path}/wave", "now", time.time() + 60, 4)
+
+    stream = spark.readStream.schema(names(spark).schema).parquet(f"{tmp_path}/in").writeStream.foreachBatch(handle)
+    stream.option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start().awaitTermination()
+    assert asking.answers(spark, f"file://{tmp_path}/wave").count() == 40
+
+
 def test_saves_write_only_the_buckets_that_changed(spark, whole, tmp_path):
     many = Runtime(pace=Pace(initial_group_size=2, max_group_size=2), units_per_wave=16, lanes=1, checkpoint_every_waves=1, views_every_waves=2, units_per_bucket=4, cleanup_artifacts=False, keep_last={})
     folder, step = tables.Folder(spark, f"file://{tmp_path}"), stub.stub_step(many)

@@ -131,7 +131,9 @@ def answering(name: str, make_adapter: Callable[[], Adapter], make_handler: Call
 def ask(groups: DataFrame, source: str, uri: str, now: str, deadline: float, tasks: int, flush: Flush | None = None) -> None:
     """Asks for groups (units with ``group_id`` and ``retry_count``) until ``deadline`` (seconds since 1970). ``source`` is registered. ``tasks``
     tasks ask at a time, each with one adapter for all of its groups."""
-    when = flush or Flush()
+    when, spark = flush or Flush(), groups.sparkSession
+    # Spark looks a source up in the thread's active session, which in a batch of a stream is a copy from before the source was registered.
+    spark._jvm.org.apache.spark.sql.SparkSession.setActiveSession(spark._jsparkSession)
     dealt = groups.repartition(tasks, "group_id").sortWithinPartitions("group_id", "unit_id")
     options = {"path": uri, "now": now, "deadline": repr(deadline), "units": when.units, "groups": when.groups, "seconds": when.seconds}
     dealt.write.format(source).mode("append").options(**options).save()

@@ -25,7 +25,7 @@ from tidewright.plans.snapshots import PLACE, PLACE_BITS, Snapshot, bits_for, pl
 from tidewright.sources import tables
 
 #: Families that this engine writes beside the fixed ones.
-OWN_FAMILIES = ("units", "waiting", "progress_delta", "source")
+OWN_FAMILIES = ("units", "waiting", "unasked", "progress_delta", "source")
 #: Families that are not pruned by age: deltas go once a snapshot covers them, parts once no newer snapshot names them.
 SPARED = ("results_delta", "progress_delta", *(f"{f}_{kind}" for f in ("progress", "results_checkpoint", "pair_status", "partial_output") for kind in ("part", "buckets")))
 #: Deltas, and the snapshots that cover them.
@@ -194,8 +194,9 @@ class Round:
         return made
 
     def put_back(self, traces: DataFrame) -> None:
-        """Units that were taken last and have no trace are taken again."""
-        self.unasked = self.log.write(self.log.state, self.taken.join(state.merged(traces.select("unit_id")), "unit_id", "left_anti").select(*self.taken.columns), "waiting")
+        """Units that were taken last and have no trace are taken again. They are a family of their own, as the round's slices are read until
+        its end, and of a family only the last few artifacts are kept."""
+        self.unasked = self.log.write(self.log.state, self.taken.join(state.merged(traces.select("unit_id")), "unit_id", "left_anti").select(*self.taken.columns), "unasked")
 
 
 def wave_of(told: Mapping[str, int], seconds: float) -> control.Wave:
