@@ -368,6 +368,16 @@ def test_a_batch_of_a_stream_asks_in_the_session_of_its_groups(spark, tmp_path):
     assert asking.answers(spark, f"file://{tmp_path}/wave").count() == 40
 
 
+def test_results_of_a_run_are_read_after_its_last_cleanup(spark, tmp_path):
+    log = StepLog(tables.Folder(spark, f"file://{tmp_path}"), "20260101_000000", clock())
+    todo = units.work_units(names(spark), "n_nationkey", {"n_name": "label"}, "names", "stub-1").withColumn(PLACE, place(F.col("row_id")))
+    rows = conform(spark.createDataFrame([("u1", "1", "label", "success", "3", 0)], "unit_id string, row_id string, output_column string, status string, output_value string, seq long"), RESULT)
+    for family in ("results_delta", *["results_checkpoint"] * 3):
+        tables.write_artifact(log.results, rows if family == "results_delta" else state.checkpoint_rows(rows), family, log.run, log.stamp())
+    got = State(stub.stub_step(), log, names(spark), todo).end()
+    assert not tables.artifacts(log.results, "results_delta") and [r.output_value for r in got.collect()] == ["3"]
+
+
 def test_saves_write_only_the_buckets_that_changed(spark, whole, tmp_path):
     many = Runtime(pace=Pace(initial_group_size=2, max_group_size=2), units_per_wave=16, lanes=1, checkpoint_every_waves=1, views_every_waves=2, units_per_bucket=4, cleanup_artifacts=False, keep_last={})
     folder, step = tables.Folder(spark, f"file://{tmp_path}"), stub.stub_step(many)

@@ -385,4 +385,5 @@ class State:
         tables.write_json(self.log.state, one, "metadata", self.log.run, self.log.stamp())
         if self.step.runtime.cleanup_artifacts:
             self.log.prune(self.step.runtime.artifact_retention_mode, self.step.runtime.keep_last, tuple(self.log.newest))
+            results = tables.read_results(self.log.results)  # without the deltas that have just gone
         return results
